@@ -1,0 +1,45 @@
+"""Area benefit: mean fare + mean tip of trips by pickup cell, in cents."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from .. import schema as S
+from ..functions.money import cents, mean_cents
+
+
+def benefit_aggs(fare_cents: Column | str = "tarifa_c", tip_cents: Column | str = "propina_c") -> list[Column]:
+    """Aggregates giving ``media_tarifa`` and ``media_propina`` (cents, double)."""
+    return [mean_cents(fare_cents).alias("media_tarifa"), mean_cents(tip_cents).alias("media_propina")]
+
+
+def with_cents(trips: DataFrame) -> DataFrame:
+    return trips.withColumns({"tarifa_c": cents(S.FARE), "propina_c": cents(S.TIP)})
+
+
+def area_benefit(trips: DataFrame) -> DataFrame:
+    """Per pickup cell: ``beneficios = mean(fare) + mean(tip)`` (cents)."""
+    return (
+        with_cents(trips)
+        .groupBy(F.col(S.PICKUP_LAT_CELL).alias(S.AREA[0]), F.col(S.PICKUP_LON_CELL).alias(S.AREA[1]))
+        .agg(*benefit_aggs())
+        .select(*S.AREA, (F.col("media_tarifa") + F.col("media_propina")).alias("beneficios"))
+    )
+
+
+def seasonal_area_benefit(trips: DataFrame, influence: Column) -> DataFrame:
+    """Per pickup cell: ``(mean(fare) + mean(tip)) x mean(influence)`` (cents).
+
+    A product of means, not a mean of products: that is the definition the
+    seasonal query uses.
+    """
+    return (
+        with_cents(trips)
+        .groupBy(F.col(S.PICKUP_LAT_CELL).alias(S.AREA[0]), F.col(S.PICKUP_LON_CELL).alias(S.AREA[1]))
+        .agg(*benefit_aggs(), F.avg(influence).alias("influencia"))
+        .select(
+            *S.AREA,
+            ((F.col("media_tarifa") + F.col("media_propina")) * F.col("influencia")).alias("beneficios"),
+        )
+    )
