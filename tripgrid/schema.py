@@ -99,3 +99,15 @@ ROUTE = (PICKUP_LON_CELL, PICKUP_LAT_CELL, DROPOFF_LON_CELL, DROPOFF_LAT_CELL)
 PICKUP_CELL = (PICKUP_LAT_CELL, PICKUP_LON_CELL)
 DROPOFF_CELL = (DROPOFF_LAT_CELL, DROPOFF_LON_CELL)
 AREA = ("cuad_latitud", "cuad_longitud")
+
+# Processed table: kept raw columns + cells (bigint) + weekday (int).
+PROCESSED_SCHEMA = T.StructType(
+    [f for f in RAW_SCHEMA.fields if f.name in KEPT_COLUMNS]
+    + [
+        T.StructField(PICKUP_LAT_CELL, T.LongType(), True),
+        T.StructField(PICKUP_LON_CELL, T.LongType(), True),
+        T.StructField(DROPOFF_LAT_CELL, T.LongType(), True),
+        T.StructField(DROPOFF_LON_CELL, T.LongType(), True),
+        T.StructField(WEEKDAY, T.IntegerType(), True),
+    ]
+)
