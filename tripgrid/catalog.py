@@ -243,7 +243,7 @@ def _roundtrip_summary(df: DataFrame) -> DataFrame:
 
 def _q_roundtrip_parquet(spark, sf_dir):
     path = scratch_path(spark, "roundtrip-parquet")
-    write_trips(trips(spark, sf_dir), path, partition_by_date=True)
+    write_trips(trips(spark, sf_dir), path, layout="by_date")
     return _roundtrip_summary(read_trips(spark, path))
 
 

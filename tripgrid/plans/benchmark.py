@@ -27,7 +27,7 @@ def run_process(
     out_path: str,
     timing_path: str | None = None,
     mode: str = "errorifexists",
-    partition_by_date: bool = True,
+    layout: str = "by_date",
     compat: bool = False,
 ) -> float:
     """Clean + enrich + store one raw CSV log; returns (and optionally logs) the seconds taken."""
@@ -36,7 +36,7 @@ def run_process(
         process_trips(read_raw_trips(spark, csv_path), compat=compat),
         out_path,
         mode=mode,
-        partition_by_date=partition_by_date,
+        layout=layout,
     )
     seconds = time.perf_counter() - start
     if timing_path:

@@ -1,42 +1,102 @@
-"""Helpers shared by the query plans."""
+"""Window and band predicates shared by the query plans.
+
+Each helper returns the exact predicate of the query, plus, when the table
+has the "by_date" storage layout, redundant predicates on the layout columns
+that the exact one already implies. They change no result; they let the file
+index skip date directories and the Parquet reader skip row groups:
+
+* pickup/drop-off windows add ``fecha_subida``/``fecha_bajada`` ranges
+  (partition pruning);
+* time-of-day bands add ``segundo_subida``/``segundo_bajada`` ranges (the
+  whole second of a time in ``[lo, hi]`` lies in ``[floor(lo), floor(hi)]``);
+  files are sorted by pickup time inside each date, so those row-group
+  statistics are tight;
+* weekday filters add ``weekday(fecha_subida)`` (partition pruning).
+"""
 
 from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schema as S
-from ..functions.time import ts_literal_for, weekday0
+from ..functions.time import in_time_of_day, in_window, parse_time, ts_literal_for, weekday0
 
 
-def has_date_partitions(trips: DataFrame) -> bool:
-    return S.PICKUP_DATE in trips.columns
+def _has(trips: DataFrame, column: str) -> bool:
+    return column in trips.columns
 
 
-def prune_pickup_dates(trips: DataFrame, lo: _dt.datetime, hi: _dt.datetime) -> DataFrame:
-    """Restrict to pickup dates in ``[date(lo), date(hi)]`` when the table is date-partitioned.
+def _date_range(column: str, lo: _dt.datetime, hi: _dt.datetime) -> Column:
+    return F.col(column).between(F.lit(lo.date()), F.lit(hi.date()))
 
-    Only use it where the query already requires the pickup time in
-    ``[lo, hi]``: it is then implied, adds no semantics, and lets the file
-    index skip whole directories.
-    """
-    if not has_date_partitions(trips):
-        return trips
-    return trips.where(F.col(S.PICKUP_DATE).between(F.lit(lo.date()), F.lit(hi.date())))
+
+def pickup_window(trips: DataFrame, lo: _dt.datetime, hi: _dt.datetime, closed: str) -> Column:
+    cond = in_window(
+        S.PICKUP_TIME, ts_literal_for(trips, S.PICKUP_TIME, lo), ts_literal_for(trips, S.PICKUP_TIME, hi), closed
+    )
+    if _has(trips, S.PICKUP_DATE):
+        cond = _date_range(S.PICKUP_DATE, lo, hi) & cond
+    return cond
+
+
+def dropoff_window(trips: DataFrame, lo: _dt.datetime, hi: _dt.datetime, closed: str) -> Column:
+    cond = in_window(
+        S.DROPOFF_TIME,
+        ts_literal_for(trips, S.DROPOFF_TIME, lo),
+        ts_literal_for(trips, S.DROPOFF_TIME, hi),
+        closed,
+    )
+    if _has(trips, S.DROPOFF_DATE):
+        cond = _date_range(S.DROPOFF_DATE, lo, hi) & cond
+    return cond
+
+
+def _seconds_band(column: str, lo: _dt.time, hi: _dt.time, wrap: bool) -> Column:
+    lo_s = lo.hour * 3600 + lo.minute * 60 + lo.second
+    hi_s = hi.hour * 3600 + hi.minute * 60 + hi.second
+    c = F.col(column)
+    if (lo_s, lo.microsecond) <= (hi_s, hi.microsecond):
+        return c.between(lo_s, hi_s)
+    if not wrap:
+        return F.lit(False)
+    return (c >= lo_s) | (c <= hi_s)
 
 
-def prune_pickup_weekday(trips: DataFrame, weekday: int) -> DataFrame:
-    """Restrict to pickup dates with the given weekday (implied by ``dia_semana``)."""
-    if not has_date_partitions(trips):
-        return trips
-    return trips.where(weekday0(S.PICKUP_DATE) == weekday)
+def _band(trips: DataFrame, time_col: str, second_col: str, lo, hi, wrap: bool) -> Column:
+    lo_t, hi_t = parse_time(lo), parse_time(hi)
+    cond = in_time_of_day(time_col, lo_t, hi_t, wrap)
+    if _has(trips, second_col):
+        cond = _seconds_band(second_col, lo_t, hi_t, wrap) & cond
+    return cond
 
 
-def pickup_literal(trips: DataFrame, value: _dt.datetime):
-    return ts_literal_for(trips, S.PICKUP_TIME, value)
+def pickup_band(trips: DataFrame, lo, hi, wrap: bool = True) -> Column:
+    return _band(trips, S.PICKUP_TIME, S.PICKUP_SECOND, lo, hi, wrap)
 
 
-def dropoff_literal(trips: DataFrame, value: _dt.datetime):
-    return ts_literal_for(trips, S.DROPOFF_TIME, value)
+def dropoff_band(trips: DataFrame, lo, hi, wrap: bool = True) -> Column:
+    return _band(trips, S.DROPOFF_TIME, S.DROPOFF_SECOND, lo, hi, wrap)
+
+
+def on_pickup_weekday(trips: DataFrame, weekday: int) -> Column:
+    cond = F.col(S.WEEKDAY) == weekday
+    if _has(trips, S.PICKUP_DATE):
+        cond = (weekday0(S.PICKUP_DATE) == weekday) & cond
+    return cond
+
+
+def band_prefilter(trips: DataFrame, lo, hi, wrap: bool = True) -> Column:
+    """Pushable superset of "pickup OR drop-off time of day in the band".
+
+    Spark pushes an OR to Parquet only when both sides are pushable, so the
+    coarse second-of-day ranges are offered as their own conjunct. TRUE
+    without the layout columns.
+    """
+    if not (_has(trips, S.PICKUP_SECOND) and _has(trips, S.DROPOFF_SECOND)):
+        return F.lit(True)
+    lo_t, hi_t = parse_time(lo), parse_time(hi)
+    return _seconds_band(S.DROPOFF_SECOND, lo_t, hi_t, wrap) | _seconds_band(S.PICKUP_SECOND, lo_t, hi_t, wrap)
+

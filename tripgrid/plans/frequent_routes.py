@@ -9,26 +9,21 @@ from __future__ import annotations
 import datetime as _dt
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..functions.names import month_number, weekday_number
-from ..functions.time import band_before, in_time_of_day, in_window, minus_minutes, parse_time, to_instant
+from ..functions.time import band_before, minus_minutes, parse_time, to_instant
 from ..functions.weights import NEAR_DAYS, near_weight
 from ..operators.routes import route_counts, weighted_route_counts
 from ..operators.topk import top_k
-from .common import dropoff_literal, pickup_literal, prune_pickup_dates, prune_pickup_weekday
+from .common import dropoff_band, dropoff_window, on_pickup_weekday, pickup_band, pickup_window
 
 
 def routes_in_window(trips: DataFrame, at: str | _dt.datetime, minutes: float = 30) -> DataFrame:
     """Trips that both start and end in the closed window ``[at - minutes, at]``."""
     hi = to_instant(at)
     lo = minus_minutes(hi, minutes)
-    trips = prune_pickup_dates(trips, lo, hi)
-    return trips.where(
-        in_window(S.PICKUP_TIME, pickup_literal(trips, lo), pickup_literal(trips, hi), "both")
-        & in_window(S.DROPOFF_TIME, dropoff_literal(trips, lo), dropoff_literal(trips, hi), "both")
-    )
+    return trips.where(pickup_window(trips, lo, hi, "both") & dropoff_window(trips, lo, hi, "both"))
 
 
 def frequent_routes(
@@ -59,13 +54,11 @@ def seasonal_route_trips(
     flags but never filtered on them, so every trip of the weekday counts.
     """
     day = weekday_number(weekday, compat)
-    out = prune_pickup_weekday(trips, day).where(F.col(S.WEEKDAY) == day)
+    out = trips.where(on_pickup_weekday(trips, day))
     if compat:
         return out
     lo_t, hi_t = band_before(hhmm, minutes)
-    return out.where(
-        in_time_of_day(S.PICKUP_TIME, lo_t, hi_t) & in_time_of_day(S.DROPOFF_TIME, lo_t, hi_t)
-    )
+    return out.where(pickup_band(trips, lo_t, hi_t) & dropoff_band(trips, lo_t, hi_t))
 
 
 def frequent_routes_seasonal(

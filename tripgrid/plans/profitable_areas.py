@@ -25,19 +25,11 @@ from pyspark.sql import functions as F
 from .. import schema as S
 from ..functions.money import cents, mean_cents
 from ..functions.names import weekday_number
-from ..functions.time import (
-    band_before,
-    band_occurrence_date,
-    in_time_of_day,
-    in_window,
-    instant,
-    minus_minutes,
-    to_instant,
-)
+from ..functions.time import band_before, band_occurrence_date, instant, minus_minutes, to_instant
 from ..functions.weights import COMPAT_TIERS, TIERS, tier_weight
 from ..operators.taxis import free_taxis, taxi_state
 from ..operators.topk import top_k
-from .common import dropoff_literal, pickup_literal, prune_pickup_weekday
+from .common import band_prefilter, dropoff_band, dropoff_window, on_pickup_weekday, pickup_band, pickup_window
 
 def _null(type_name: str) -> Column:
     return F.lit(None).cast(type_name)
@@ -102,12 +94,10 @@ def profitable_areas_components(
     t = to_instant(at)
     t_taxi = minus_minutes(t, taxi_minutes)
     t_benefit = minus_minutes(t, benefit_minutes)
-    down = in_window(S.DROPOFF_TIME, dropoff_literal(trips, t_taxi), dropoff_literal(trips, t), "right")
-    up = in_window(S.PICKUP_TIME, pickup_literal(trips, t_taxi), pickup_literal(trips, t), "right")
+    down = dropoff_window(trips, t_taxi, t, "right")
+    up = pickup_window(trips, t_taxi, t, "right")
     state = taxi_state(trips, down, up, tiebreak=tiebreak)
-    benefit_trips = trips.where(
-        in_window(S.DROPOFF_TIME, dropoff_literal(trips, t_benefit), dropoff_literal(trips, t), "right")
-    )
+    benefit_trips = trips.where(dropoff_window(trips, t_benefit, t, "right"))
     return state, benefit_trips
 
 
@@ -167,20 +157,21 @@ def seasonal_area_components(
     """(taxi state, benefit trips, influence column) for the seasonal query."""
     day = weekday_number(weekday, compat)
     ref = seasonal_instant(mmdd, hhmm, year)
-    base = prune_pickup_weekday(trips, day).where(F.col(S.WEEKDAY) == day)
+    base = trips.where(on_pickup_weekday(trips, day))
     taxi_lo, taxi_hi = band_before(hhmm, taxi_minutes)
     ben_lo, ben_hi = band_before(hhmm, benefit_minutes)
     wrap = not compat
-    down = in_time_of_day(S.DROPOFF_TIME, taxi_lo, taxi_hi, wrap)
-    up = in_time_of_day(S.PICKUP_TIME, taxi_lo, taxi_hi, wrap)
+    down = dropoff_band(trips, taxi_lo, taxi_hi, wrap)
+    up = pickup_band(trips, taxi_lo, taxi_hi, wrap)
     occurrence = None
     if not compat:
         occurrence = (
             band_occurrence_date(S.DROPOFF_TIME, taxi_hi),
             band_occurrence_date(S.PICKUP_TIME, taxi_hi),
         )
-    state = taxi_state(base, down, up, occurrence=occurrence, tiebreak=tiebreak)
-    benefit_trips = base.where(in_time_of_day(S.DROPOFF_TIME, ben_lo, ben_hi, wrap))
+    taxi_rows = base.where(band_prefilter(trips, taxi_lo, taxi_hi, wrap))
+    state = taxi_state(taxi_rows, down, up, occurrence=occurrence, tiebreak=tiebreak)
+    benefit_trips = base.where(dropoff_band(trips, ben_lo, ben_hi, wrap))
     influence = tier_weight(
         S.DROPOFF_TIME,
         ref,

@@ -36,8 +36,14 @@ DROPOFF_LAT_CELL = "cuad_latitud_bajada"
 DROPOFF_LON_CELL = "cuad_longitud_bajada"
 WEEKDAY = "dia_semana"
 
-# Optional storage column: pickup date, used as the Parquet partition key.
+# Optional storage columns of the "by_date" layout: pickup and drop-off dates
+# (Parquet partition keys) and seconds since midnight of both times (stored so
+# time-of-day bands reach the Parquet reader as plain range filters).
 PICKUP_DATE = "fecha_subida"
+DROPOFF_DATE = "fecha_bajada"
+PICKUP_SECOND = "segundo_subida"
+DROPOFF_SECOND = "segundo_bajada"
+LAYOUT_COLUMNS = (PICKUP_DATE, DROPOFF_DATE, PICKUP_SECOND, DROPOFF_SECOND)
 
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 

@@ -1,10 +1,10 @@
 """Sources and sinks of the trip log.
 
 * raw log: headerless CSV read with the declared schema (never inferred);
-* processed table: Snappy Parquet. ``partition_by_date=True`` adds the pickup
-  date as a partition column and writes each date's files sorted by pickup
-  time, so time-window queries prune directories and skip row groups by their
-  min/max statistics;
+* processed table: Snappy Parquet. The ``by_date`` layout partitions by
+  pickup and drop-off date and writes files sorted by pickup time, so
+  time-window queries prune directories and skip row groups by their min/max
+  statistics;
 * processed rows as CSV;
 * result lines and timing rows, appended.
 
@@ -56,39 +56,63 @@ def read_trips(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     return spark.read.parquet(*paths)
 
 
-def with_pickup_date(df: DataFrame) -> DataFrame:
-    return df.withColumn(S.PICKUP_DATE, F.to_date(S.PICKUP_TIME))
+def with_layout_columns(df: DataFrame) -> DataFrame:
+    """Add the "by_date" storage columns: pickup/drop-off date and second of day."""
+    return df.withColumns(
+        {
+            S.PICKUP_DATE: F.to_date(S.PICKUP_TIME),
+            S.DROPOFF_DATE: F.to_date(S.DROPOFF_TIME),
+            S.PICKUP_SECOND: _second_of_day(S.PICKUP_TIME),
+            S.DROPOFF_SECOND: _second_of_day(S.DROPOFF_TIME),
+        }
+    )
+
+
+def _second_of_day(c: str):
+    return (F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c)).cast("int")
+
+
+LAYOUTS = ("flat", "by_date")
 
 
 def write_trips(
     df: DataFrame,
     path: str,
     mode: str = "errorifexists",
-    partition_by_date: bool = False,
+    layout: str = "flat",
     compression: str = "snappy",
     num_partitions: int | None = None,
     max_records_per_file: int | None = None,
 ) -> None:
     """Write processed trips as Parquet.
 
-    ``partition_by_date`` range-partitions on (pickup time, taxi, licence),
-    sorts each task's rows by (date, time) and writes ``fecha_subida=...``
-    directories. Range partitioning on the time plus tie columns balances
-    the tasks even when one instant holds a large share of the rows, and
-    each task writes one or two contiguous time slices.
+    ``flat``: the table as is (what the original wrote).
+
+    ``by_date``: adds the layout columns, range-partitions on (pickup time,
+    taxi, licence), sorts each task's rows by (pickup date, drop-off date,
+    pickup time) and writes ``fecha_subida=.../fecha_bajada=...``
+    directories. Range partitioning on the time plus tie columns balances the
+    tasks even when one instant holds a large share of the rows; each task
+    writes a contiguous time slice, so files hold narrow, sorted time ranges.
+    Nearly every trip ends on its start date or the next, so a date holds one
+    or two drop-off sub-directories.
     """
+    if layout not in LAYOUTS:
+        raise ValueError(f"layout must be one of {LAYOUTS}, got {layout!r}")
     writer_df = df
-    if partition_by_date:
+    if layout == "by_date":
         keys = [F.col(S.PICKUP_TIME), F.col(S.MEDALLION), F.col(S.LICENSE)]
         ranged = (
             df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys)
         )
-        writer_df = with_pickup_date(ranged).sortWithinPartitions(S.PICKUP_DATE, S.PICKUP_TIME)
+        writer_df = with_layout_columns(ranged).sortWithinPartitions(
+            S.PICKUP_DATE, S.DROPOFF_DATE, S.PICKUP_TIME
+        )
     writer = writer_df.write.mode(mode).option("compression", compression)
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
-    if partition_by_date:
-        writer = writer.partitionBy(S.PICKUP_DATE)
+    if layout == "by_date":
+        writer = writer.partitionBy(S.PICKUP_DATE, S.DROPOFF_DATE)
     writer.parquet(path)
 
 
