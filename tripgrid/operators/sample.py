@@ -54,7 +54,7 @@ def prefix_sample(
     numbered = ranged.sortWithinPartitions(*keys).withColumn("_rid", F.monotonically_increasing_id())
     # Reliable checkpoint (spark.checkpoint.dir): ids and partition contents are fixed from here on.
     numbered = numbered.checkpoint(eager=True)
-    part = (F.col("_rid") >> _PART_SHIFT).alias("_part")
+    part = F.shiftright("_rid", _PART_SHIFT).alias("_part")
     counts = numbered.groupBy(part).agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.select(
         "_part",
@@ -64,6 +64,6 @@ def prefix_sample(
         ).alias("_offset"),
     )
     # One row per partition of `numbered`: a size bound known before the join.
-    joined = numbered.join(F.broadcast(offsets), (F.col("_rid") >> _PART_SHIFT) == F.col("_part"))
+    joined = numbered.join(F.broadcast(offsets), F.shiftright("_rid", _PART_SHIFT) == F.col("_part"))
     position = F.col("_offset") + (F.col("_rid") - (F.col("_part") * F.lit(1 << _PART_SHIFT)))
     return joined.where(position < n).select(*cols)
