@@ -229,6 +229,13 @@ def _q_result_line(spark, sf_dir):
     return out
 
 
+def _q_frequent_routes_by_instant(spark, sf_dir):
+    """Top-10 routes at every 5-minute instant (the streaming query, run as a batch)."""
+    from .streaming.routes_stream import rank_per_instant, route_counts_by_instant
+
+    return rank_per_instant(route_counts_by_instant(trips(spark, sf_dir), 30, 5))
+
+
 def _roundtrip_summary(df: DataFrame) -> DataFrame:
     return df.agg(
         F.count(F.lit(1)).alias("n"),
@@ -272,6 +279,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "frequent_routes_seasonal": _q_frequent_routes_seasonal,
         "frequent_routes_seasonal_compat": _q_frequent_routes_seasonal_compat,
         "time_of_day_wrap": _q_time_of_day_wrap,
+        "frequent_routes_by_instant": _q_frequent_routes_by_instant,
         "last_dropoff_per_taxi": _q_last_dropoff_per_taxi,
         "taxi_state": _q_taxi_state,
         "free_taxis_per_cell": _q_free_taxis_per_cell,

@@ -9,8 +9,6 @@ DuckDB reads bare decimals as DECIMAL, so grid arithmetic casts to DOUBLE;
 
 from __future__ import annotations
 
-_D = "CAST({} AS DOUBLE)"
-
 # Raw trip log derived from lineitem (FIXTURES.md section 6) -> cleaned -> enriched.
 TRIPS_CTE = """
 li AS (
@@ -350,6 +348,25 @@ SELECT dia_semana,
   CAST(0 AS BIGINT) AS n_banda_sin_envolver,
   count(*) AS n
 FROM trips GROUP BY dia_semana"""
+    q["frequent_routes_by_instant"] = _with() + f"""
+, grid AS (
+  SELECT unnest(generate_series(
+    time_bucket(INTERVAL 5 MINUTE, (SELECT min(least(hora_subida, hora_bajada)) FROM trips)),
+    (SELECT max(greatest(hora_subida, hora_bajada)) FROM trips) + INTERVAL 30 MINUTE,
+    INTERVAL 5 MINUTE)) AS instante
+),
+counted AS (
+  SELECT g.instante, {ROUTE}, count(*) AS viajes
+  FROM grid g JOIN trips t
+    ON t.hora_subida BETWEEN g.instante - INTERVAL 30 MINUTE AND g.instante
+   AND t.hora_bajada BETWEEN g.instante - INTERVAL 30 MINUTE AND g.instante
+  GROUP BY g.instante, {ROUTE}
+),
+ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY instante ORDER BY viajes DESC, {ROUTE}) - 1 AS INTEGER) AS rank
+  FROM counted
+)
+SELECT instante, rank, {ROUTE}, viajes FROM ranked WHERE rank < 10"""
     q["last_dropoff_per_taxi"] = _with() + """
 SELECT medallon, hora_bajada, k, licencia, cuad_latitud_bajada, cuad_longitud_bajada FROM (
   SELECT *, row_number() OVER (PARTITION BY medallon ORDER BY hora_bajada DESC, k DESC, licencia DESC,
