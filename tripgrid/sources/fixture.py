@@ -15,16 +15,19 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schema as S
+from ..session import scratch_path
 
 # Fixed values of the fixture (FIXTURES.md section 6).
 _EPOCH = "2013-01-01 00:00:00"
 _DAY_SECONDS = 86400
 _FIRST_SECOND = 33300  # 09:15:00
-_ORIGIN_LON = Decimal("-74.916578")
-_ORIGIN_LAT = Decimal("41.477182778")
-_LON_STEP = Decimal("0.005986")
-_LAT_STEP = Decimal("0.004491556")
-_HALF = Decimal("0.5")
+# Cell-centre coordinates in exact integer units of 1e-9 degree:
+# lon = -74.916578 + (a - 0.5) * 0.005986, lat = 41.477182778 - (b - 0.5) * 0.004491556.
+_ORIGIN_LON_E9 = -74_916_578_000
+_ORIGIN_LAT_E9 = 41_477_182_778
+_HALF_LON_STEP_E9 = 2_993_000
+_HALF_LAT_STEP_E9 = 2_245_778
+_E9 = Decimal("1e-9")
 _CENT = Decimal("0.01")
 
 
@@ -39,10 +42,16 @@ def raw_trips_from_lineitem(lineitem: DataFrame) -> DataFrame:
     def cell(base: int, a: int, b: int, c: int) -> Column:
         return F.lit(base) + F.least(d(a) % 5, d(b) % 5, d(c) % 5)
 
-    def coord(origin: Decimal, step: Decimal, cell_col: Column, sign: int) -> Column:
-        offset = (cell_col.cast("decimal(20,0)") - F.lit(_HALF)) * F.lit(step)
-        value = F.lit(origin) + offset if sign > 0 else F.lit(origin) - offset
-        return value.cast("decimal(18,14)")
+    def coord(origin_e9: int, half_step_e9: int, base: int, cell_col: Column, sign: int) -> Column:
+        # A cell number takes only the five values base..base+4, so the exact
+        # coordinate is looked up among five decimal literals: no per-row
+        # decimal arithmetic (the cleaning filter re-evaluates it several times).
+        values = [
+            (Decimal(origin_e9 + sign * (2 * c - 1) * half_step_e9) * _E9).quantize(Decimal("1e-14"))
+            for c in range(base, base + 5)
+        ]
+        table = F.array(*[F.lit(v).cast("decimal(18,14)") for v in values])
+        return F.element_at(table, (cell_col - (base - 1)).cast("int"))
 
     with_k = lineitem.select(
         (
@@ -76,11 +85,11 @@ def raw_trips_from_lineitem(lineitem: DataFrame) -> DataFrame:
         F.col("_dur").alias(S.DURATION),
         F.lit(Decimal("1.00")).cast("decimal(10,2)").alias(S.DISTANCE),
         F.when(k % 53 == 0, F.lit(0).cast("decimal(18,14)"))
-        .otherwise(coord(_ORIGIN_LON, _LON_STEP, F.col("_a"), +1))
+        .otherwise(coord(_ORIGIN_LON_E9, _HALF_LON_STEP_E9, 150, F.col("_a"), +1))
         .alias(S.PICKUP_LON),
-        coord(_ORIGIN_LAT, _LAT_STEP, F.col("_b"), -1).alias(S.PICKUP_LAT),
-        coord(_ORIGIN_LON, _LON_STEP, F.col("_c"), +1).alias(S.DROPOFF_LON),
-        coord(_ORIGIN_LAT, _LAT_STEP, F.col("_d"), -1).alias(S.DROPOFF_LAT),
+        coord(_ORIGIN_LAT_E9, _HALF_LAT_STEP_E9, 155, F.col("_b"), -1).alias(S.PICKUP_LAT),
+        coord(_ORIGIN_LON_E9, _HALF_LON_STEP_E9, 150, F.col("_c"), +1).alias(S.DROPOFF_LON),
+        coord(_ORIGIN_LAT_E9, _HALF_LAT_STEP_E9, 155, F.col("_d"), -1).alias(S.DROPOFF_LAT),
         F.when(k % 10 == 0, F.lit("UNK")).when(k % 10 < 5, F.lit("CSH")).otherwise(F.lit("CRD")).alias(S.PAYMENT),
         money(F.col("_fare")).alias(S.FARE),
         F.lit(Decimal("0.50")).cast("decimal(10,2)").alias(S.SURCHARGE),
@@ -96,6 +105,26 @@ def read_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/lineitem.parquet")
 
 
-def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw trip log derived from ``{sf_dir}/lineitem.parquet``."""
+def raw_trips_derived(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw trip log derived from ``{sf_dir}/lineitem.parquet`` (lazy, not materialized)."""
     return raw_trips_from_lineitem(read_lineitem(spark, sf_dir))
+
+
+_MATERIALIZED: dict[tuple[str, str], str] = {}
+
+
+def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The derived raw log, written once per application as Parquet and read back.
+
+    A real raw log is a file whose columns are values; the derived one is a
+    stack of expressions that Catalyst would inline into every cleaning
+    predicate pushed below it. Writing it once (under ``spark.checkpoint.dir``)
+    makes every query scan materialized columns, as it would on real input.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    path = _MATERIALIZED.get(key)
+    if path is None:
+        path = scratch_path(spark, "raw-trips")
+        raw_trips_derived(spark, sf_dir).write.parquet(path)
+        _MATERIALIZED[key] = path
+    return spark.read.parquet(path)

@@ -73,6 +73,7 @@ def _second_of_day(c: str):
 
 
 LAYOUTS = ("flat", "by_date")
+CLUSTERINGS = ("rebalance", "local")
 
 
 def write_trips(
@@ -81,33 +82,39 @@ def write_trips(
     mode: str = "errorifexists",
     layout: str = "flat",
     compression: str = "snappy",
-    num_partitions: int | None = None,
+    cluster: str = "rebalance",
     max_records_per_file: int | None = None,
 ) -> None:
     """Write processed trips as Parquet.
 
     ``flat``: the table as is (what the original wrote).
 
-    ``by_date``: adds the layout columns, range-partitions on (pickup time,
-    taxi, licence), sorts each task's rows by (pickup date, drop-off date,
-    pickup time) and writes ``fecha_subida=.../fecha_bajada=...``
-    directories. Range partitioning on the time plus tie columns balances the
-    tasks even when one instant holds a large share of the rows; each task
-    writes a contiguous time slice, so files hold narrow, sorted time ranges.
-    Nearly every trip ends on its start date or the next, so a date holds one
-    or two drop-off sub-directories.
+    ``by_date``: adds the layout columns and writes
+    ``fecha_subida=.../fecha_bajada=...`` directories, each file sorted by
+    pickup time (tight row-group statistics for time filters). Nearly every
+    trip ends on its start date or the next, so a date has one or two
+    drop-off sub-directories.
+
+    ``cluster`` (``by_date`` only) chooses how rows reach the writers:
+
+    * ``rebalance`` (default): a ``REBALANCE`` on the two date keys — one
+      hash exchange without a sampling pass; adaptive execution splits a
+      skewed date over several tasks and merges small ones, so every task
+      writes a few files of reasonable size whatever the input order;
+    * ``local``: no exchange, each task sorts its own rows. For inputs that
+      are already in time order (a time-sorted log), where each input split
+      covers a short time span.
     """
     if layout not in LAYOUTS:
         raise ValueError(f"layout must be one of {LAYOUTS}, got {layout!r}")
+    if cluster not in CLUSTERINGS:
+        raise ValueError(f"cluster must be one of {CLUSTERINGS}, got {cluster!r}")
     writer_df = df
     if layout == "by_date":
-        keys = [F.col(S.PICKUP_TIME), F.col(S.MEDALLION), F.col(S.LICENSE)]
-        ranged = (
-            df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys)
-        )
-        writer_df = with_layout_columns(ranged).sortWithinPartitions(
-            S.PICKUP_DATE, S.DROPOFF_DATE, S.PICKUP_TIME
-        )
+        writer_df = with_layout_columns(df)
+        if cluster == "rebalance":
+            writer_df = writer_df.hint("rebalance", S.PICKUP_DATE, S.DROPOFF_DATE)
+        writer_df = writer_df.sortWithinPartitions(S.PICKUP_DATE, S.DROPOFF_DATE, S.PICKUP_TIME)
     writer = writer_df.write.mode(mode).option("compression", compression)
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
