@@ -144,3 +144,28 @@ def test_prefix_sample_paths_agree(spark):
     assert sorted(small, key=key) == sorted(big, key=key)
     assert len(big) == 137
     assert prefix_sample(df, 1000, order, num_partitions=5, take_ordered_max=0).count() == 300
+
+
+def test_legacy_ltz_table_gives_same_answers(spark, scratch):
+    """Processed tables written by the original program store zone-aware TIMESTAMPs."""
+    from tripgrid.plans.frequent_routes import frequent_routes_seasonal
+    from tripgrid.plans.profitable_areas import profitable_areas_seasonal
+
+    rows = [
+        raw_row(medallon=f"T{i % 5}", pickup=f"2013-01-{1 + 7 * (i % 3):02d} 09:{30 + i % 25}:00",
+                dropoff=f"2013-01-{1 + 7 * (i % 3):02d} 09:{40 + i % 19}:00",
+                pickup_cell=(150 + i % 3, 155), dropoff_cell=(151 + i % 2, 156 + i % 4))
+        for i in range(50)
+    ]
+    ntz = trips_frame(spark, rows)
+    path = os.path.join(scratch, "legacy")
+    ntz.withColumns({c: F.col(c).cast("timestamp") for c in (S.PICKUP_TIME, S.DROPOFF_TIME)}).write.parquet(path)
+    ltz = read_trips(spark, path)
+    assert dict(ltz.dtypes)[S.PICKUP_TIME] == "timestamp"
+    for q in (
+        lambda t: frequent_routes(t, "2013-01-08 10:00"),
+        lambda t: frequent_routes_seasonal(t, "enero", "martes", "10:00"),
+        lambda t: profitable_areas(t, "2013-01-08 10:00"),
+        lambda t: profitable_areas_seasonal(t, "martes", "01-08", "10:00"),
+    ):
+        assert q(ltz).collect() == q(ntz).collect()

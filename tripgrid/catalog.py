@@ -92,6 +92,11 @@ def _q_clean_report(spark, sf_dir):
     return clean_report(raw_trips(spark, sf_dir))
 
 
+def _q_clean_report_any_differs(spark, sf_dir):
+    """Cleaning report with the looser "moved" rule (any coordinate differs)."""
+    return clean_report(raw_trips(spark, sf_dir), moved_mode="any_differs")
+
+
 def _q_trip_cells(spark, sf_dir):
     return trips(spark, sf_dir).select("k", *S.DERIVED_COLUMNS)
 
@@ -271,6 +276,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "raw_trips_profile": _q_raw_profile,
         "clean_trips": _q_clean_trips,
         "clean_report": _q_clean_report,
+        "clean_report_any_differs": _q_clean_report_any_differs,
         "trip_cells": _q_trip_cells,
         "grid_cells": _q_grid_cells,
         "prefix_sample": _q_prefix_sample,

@@ -321,6 +321,20 @@ SELECT count(*) AS n_raw,
   count(*) FILTER (WHERE NOT ok_box) AS fail_box,
   count(*) FILTER (WHERE ok_ids AND ok_times AND ok_positive AND ok_moved AND ok_payment AND ok_box) AS n_clean
 FROM checks"""
+    q["clean_report_any_differs"] = _with() + """
+, loose AS (
+  SELECT *, coalesce(longitud_subida <> longitud_bajada OR latitud_subida <> latitud_bajada, false) AS ok_moved_any
+  FROM checks
+)
+SELECT count(*) AS n_raw,
+  count(*) FILTER (WHERE NOT ok_ids) AS fail_ids,
+  count(*) FILTER (WHERE NOT ok_times) AS fail_times,
+  count(*) FILTER (WHERE NOT ok_positive) AS fail_positive,
+  count(*) FILTER (WHERE NOT ok_moved_any) AS fail_moved,
+  count(*) FILTER (WHERE NOT ok_payment) AS fail_payment,
+  count(*) FILTER (WHERE NOT ok_box) AS fail_box,
+  count(*) FILTER (WHERE ok_ids AND ok_times AND ok_positive AND ok_moved_any AND ok_payment AND ok_box) AS n_clean
+FROM loose"""
     q["trip_cells"] = _with() + """
 SELECT k, cuad_latitud_subida, cuad_longitud_subida, cuad_latitud_bajada, cuad_longitud_bajada, dia_semana
 FROM trips"""
