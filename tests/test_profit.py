@@ -170,3 +170,28 @@ def test_taxi_state_occurrence_split(spark):
     occ = (F.to_date(S.DROPOFF_TIME), F.to_date(S.PICKUP_TIME))
     out = sorted((str(r.ocurrencia), r.taxi_ocupado) for r in taxi_state(t, down, up, occurrence=occ).collect())
     assert out == [("2013-01-02", 0)]
+
+
+def test_in_use_flag_and_split_benefit(spark):
+    from pyspark.sql import functions as F
+
+    from tripgrid.functions.time import ts_literal
+    from tripgrid.operators.benefit import seasonal_area_benefit
+    from tripgrid.operators.taxis import with_in_use_flag
+    from tripgrid.plans.profitable_areas import seasonal_area_components
+
+    s = _state(spark, [
+        raw_row(medallon="early", pickup="2013-01-01 09:35:00", dropoff="2013-01-01 09:45:00"),
+        raw_row(medallon="late", pickup="2013-01-01 09:35:00", dropoff="2013-01-01 09:40:00"),
+        raw_row(medallon="late", pickup="2013-01-01 10:00:00", dropoff="2013-01-01 10:20:00"),
+    ])
+    state = spark.createDataFrame([(m, r[S.PICKUP_TIME]) for m, r in s.items()], f"{S.MEDALLION} string, {S.PICKUP_TIME} timestamp_ntz")
+    flags = {r[S.MEDALLION]: r.taxi_en_uso for r in with_in_use_flag(state, ts_literal("2013-01-01 10:00")).collect()}
+    assert flags == {"early": 1, "late": 0}
+
+    t = trips_frame(spark, _seasonal_rows())
+    _, benefit_trips, influence = seasonal_area_components(t, "martes", "03-19", "10:00")
+    split = seasonal_area_benefit(benefit_trips, influence, split=True).where(F.col("cuad_latitud") == 155).first()
+    joined = seasonal_area_benefit(benefit_trips, influence).where(F.col("cuad_latitud") == 155).first()
+    assert (split.beneficios, split.influencia) == (2000.0, 0.5)
+    assert joined.beneficios == split.beneficios * split.influencia

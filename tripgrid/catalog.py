@@ -8,7 +8,6 @@ are the instants used for the checks in FIXTURES.md.
 from __future__ import annotations
 
 import datetime as _dt
-import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,12 +15,18 @@ from pyspark.sql import functions as F
 
 from . import schema as S
 from .functions.grid import cell_corner_lat, cell_corner_lon
-from .functions.time import band_before, in_time_of_day
+from .functions.time import band_before, in_time_of_day, ts_literal
 from .operators.benefit import area_benefit, seasonal_area_benefit
 from .operators.clean import clean_report, process_trips
 from .operators.routes import route_counts
 from .operators.sample import prefix_sample
-from .operators.taxis import free_taxis, free_taxis_per_cell, latest_per_key, weighted_free_taxis
+from .operators.taxis import (
+    free_taxis,
+    free_taxis_per_cell,
+    latest_per_key,
+    weighted_free_taxis,
+    with_in_use_flag,
+)
 from .plans.frequent_routes import frequent_routes, frequent_routes_seasonal
 from .plans.profitable_areas import (
     profitable_areas,
@@ -160,7 +165,7 @@ def _q_last_dropoff_per_taxi(spark, sf_dir):
 
 def _q_taxi_state(spark, sf_dir):
     state, _ = profitable_areas_components(trips(spark, sf_dir), AT, tiebreak=TIEBREAK)
-    return state
+    return with_in_use_flag(state, ts_literal(AT))
 
 
 def _q_free_taxis_per_cell(spark, sf_dir):
@@ -193,6 +198,11 @@ def _q_seasonal_area_benefit(spark, sf_dir):
     return seasonal_area_benefit(benefit_trips, influence)
 
 
+def _q_seasonal_area_benefit_split(spark, sf_dir):
+    _, benefit_trips, influence = _seasonal_parts(spark, sf_dir)
+    return seasonal_area_benefit(benefit_trips, influence, split=True)
+
+
 def _q_profitable_areas_seasonal(spark, sf_dir):
     return profitable_areas_seasonal(
         trips(spark, sf_dir), AREA_WEEKDAY, AREA_MMDD, AREA_HHMM, tiebreak=TIEBREAK
@@ -293,6 +303,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "profitable_areas": _q_profitable_areas,
         "weighted_free_taxis": _q_weighted_free_taxis,
         "seasonal_area_benefit": _q_seasonal_area_benefit,
+        "seasonal_area_benefit_split": _q_seasonal_area_benefit_split,
         "profitable_areas_seasonal": _q_profitable_areas_seasonal,
         "profitable_areas_seasonal_compat": _q_profitable_areas_seasonal_compat,
         "result_line": _q_result_line,
@@ -300,9 +311,3 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "roundtrip_csv": _q_roundtrip_csv,
         "scan_benchmark": _q_scan_benchmark,
     }
-
-
-def timed(fn: Callable[[], object]) -> tuple[object, float]:
-    start = time.perf_counter()
-    out = fn()
-    return out, time.perf_counter() - start

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _US_PER_SECOND = 1_000_000
-_US_PER_DAY = 86_400 * _US_PER_SECOND
 
 
 def _col(c: Column | str) -> Column:
@@ -100,11 +99,6 @@ def weekday0(col: Column | str) -> Column:
     return F.weekday(_col(col))
 
 
-def day_start(col: Column | str) -> Column:
-    """Midnight of the row's own date, as ``TIMESTAMP_NTZ``."""
-    return F.to_date(_col(col)).cast("timestamp_ntz")
-
-
 def time_of_day_micros(col: Column | str) -> Column:
     """Microseconds since the row's own midnight (exact, fractional seconds kept)."""
     c = _col(col)

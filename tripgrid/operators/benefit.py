@@ -28,18 +28,19 @@ def area_benefit(trips: DataFrame) -> DataFrame:
     )
 
 
-def seasonal_area_benefit(trips: DataFrame, influence: Column) -> DataFrame:
+def seasonal_area_benefit(trips: DataFrame, influence: Column, split: bool = False) -> DataFrame:
     """Per pickup cell: ``(mean(fare) + mean(tip)) x mean(influence)`` (cents).
 
     A product of means, not a mean of products: that is the definition the
-    seasonal query uses.
+    seasonal query uses. ``split`` returns the two factors instead:
+    ``beneficios = mean(fare) + mean(tip)`` and ``influencia = mean(influence)``.
     """
-    return (
+    grouped = (
         with_cents(trips)
         .groupBy(F.col(S.PICKUP_LAT_CELL).alias(S.AREA[0]), F.col(S.PICKUP_LON_CELL).alias(S.AREA[1]))
         .agg(*benefit_aggs(), F.avg(influence).alias("influencia"))
-        .select(
-            *S.AREA,
-            ((F.col("media_tarifa") + F.col("media_propina")) * F.col("influencia")).alias("beneficios"),
-        )
     )
+    fare_tip = F.col("media_tarifa") + F.col("media_propina")
+    if split:
+        return grouped.select(*S.AREA, fare_tip.alias("beneficios"), "influencia")
+    return grouped.select(*S.AREA, (fare_tip * F.col("influencia")).alias("beneficios"))

@@ -100,6 +100,16 @@ def taxi_state(
     )
 
 
+def with_in_use_flag(state: DataFrame, at: Column) -> DataFrame:
+    """Add ``taxi_en_uso``: 1 when the taxi's last pickup is strictly before ``at``.
+
+    A trial flag of the original notebooks, kept next to ``taxi_ocupado``.
+    """
+    return state.withColumn(
+        "taxi_en_uso", F.when(F.col(S.PICKUP_TIME) < at, 1).otherwise(0)
+    )
+
+
 def free_taxis(state: DataFrame) -> DataFrame:
     """Taxis (or taxi occurrences) that are not occupied."""
     return state.where(F.col("taxi_ocupado") == 0)

@@ -159,7 +159,8 @@ q2_last_up AS (
 ),
 q2_state AS (
   SELECT d.medallon, d.hora_bajada, d.cuad_latitud_bajada, d.cuad_longitud_bajada, u.hora_subida,
-         CAST(CASE WHEN u.hora_subida > d.hora_bajada THEN 1 ELSE 0 END AS INTEGER) AS taxi_ocupado
+         CAST(CASE WHEN u.hora_subida > d.hora_bajada THEN 1 ELSE 0 END AS INTEGER) AS taxi_ocupado,
+         CAST(CASE WHEN u.hora_subida < TIMESTAMP '2013-03-19 10:00:00' THEN 1 ELSE 0 END AS INTEGER) AS taxi_en_uso
   FROM q2_last_down d LEFT JOIN q2_last_up u ON d.medallon = u.taxi
 ),
 q2_free AS (
@@ -257,6 +258,14 @@ def _q2s(compat: bool) -> str:
   FROM trips WHERE dia_semana = 1 AND {_band('hora_bajada', '09:45:00', '10:00:00')}
   GROUP BY cuad_latitud_subida, cuad_longitud_subida
 ),
+{p}_benefit_split AS (
+  SELECT cuad_latitud_subida AS cuad_latitud, cuad_longitud_subida AS cuad_longitud,
+    CAST(sum(CAST(tarifa * 100 AS BIGINT)) AS DOUBLE) / count(tarifa)
+      + CAST(sum(CAST(propina * 100 AS BIGINT)) AS DOUBLE) / count(propina) AS beneficios,
+    avg({_influence('hora_bajada', compat)}) AS influencia
+  FROM trips WHERE dia_semana = 1 AND {_band('hora_bajada', '09:45:00', '10:00:00')}
+  GROUP BY cuad_latitud_subida, cuad_longitud_subida
+),
 {p}_profit AS (
   SELECT b.cuad_latitud, b.cuad_longitud, b.beneficios, w.proporcion_taxis_libres,
          {profit} AS beneficio
@@ -392,6 +401,7 @@ SELECT medallon, hora_bajada, k, licencia, cuad_latitud_bajada, cuad_longitud_ba
     q["profitable_areas"] = _with(Q2_PARTS) + "\nSELECT * FROM q2"
     q["weighted_free_taxis"] = _with(_q2s(False)) + "\nSELECT * FROM q2s_weighted"
     q["seasonal_area_benefit"] = _with(_q2s(False)) + "\nSELECT * FROM q2s_benefit"
+    q["seasonal_area_benefit_split"] = _with(_q2s(False)) + "\nSELECT * FROM q2s_benefit_split"
     q["profitable_areas_seasonal"] = _with(_q2s(False)) + "\nSELECT * FROM q2s"
     q["profitable_areas_seasonal_compat"] = _with(_q2s(True)) + "\nSELECT * FROM q2sc"
     q["result_line"] = _with(Q1_ROUTES, _q1s(False), Q2_PARTS, _q2s(False)) + "\n" + "\nUNION ALL\n".join(

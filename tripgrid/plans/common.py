@@ -29,8 +29,13 @@ def _has(trips: DataFrame, column: str) -> bool:
     return column in trips.columns
 
 
+def _date_literal(value: _dt.date) -> Column:
+    # A typed literal from text: F.lit(date) costs dozens of JVM round trips.
+    return F.lit(value.isoformat()).cast("date")
+
+
 def _date_range(column: str, lo: _dt.datetime, hi: _dt.datetime) -> Column:
-    return F.col(column).between(F.lit(lo.date()), F.lit(hi.date()))
+    return F.col(column).between(_date_literal(lo.date()), _date_literal(hi.date()))
 
 
 def pickup_window(trips: DataFrame, lo: _dt.datetime, hi: _dt.datetime, closed: str) -> Column:
