@@ -22,6 +22,9 @@ SQL_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.parquet.compression.codec": "snappy",
+    # Python call-site capture on every Column operation (error context only)
+    # costs extra JVM round trips while plans are built.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
