@@ -169,3 +169,18 @@ def test_legacy_ltz_table_gives_same_answers(spark, scratch):
         lambda t: profitable_areas_seasonal(t, "martes", "01-08", "10:00"),
     ):
         assert q(ltz).collect() == q(ntz).collect()
+
+
+def test_catalog_table_layout(spark, scratch):
+    from tripgrid.sources.trips_io import read_trips_table
+
+    rows = [raw_row(pickup=f"2013-01-0{d} 09:45:00", dropoff=f"2013-01-0{d} 09:55:00") for d in range(1, 4)]
+    t = trips_frame(spark, rows)
+    write_trips(t, os.path.join(scratch, "tbl"), layout="by_date", table="trips_catalog_test")
+    back = read_trips_table(spark, "trips_catalog_test")
+    assert back.count() == 3
+    q = frequent_routes(back, "2013-01-02 10:00")
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan
+    assert q.collect() == frequent_routes(t, "2013-01-02 10:00").collect()
+    spark.sql("DROP TABLE trips_catalog_test")

@@ -51,11 +51,25 @@ def register_trips(df: DataFrame, name: str = "unprocessed") -> DataFrame:
 
 
 def read_trips(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """Processed Parquet table (partition column ``fecha_subida`` if present)."""
+    """Processed Parquet table by path (layout columns included when present).
+
+    A path-based read lists every file of the table before partition
+    pruning; for very large tables register it in a catalog
+    (``write_trips(table=...)``) and use :func:`read_trips_table`.
+    """
     paths = [path] if isinstance(path, str) else list(path)
     return spark.read.parquet(*paths)
 
 
+def read_trips_table(spark: SparkSession, table: str) -> DataFrame:
+    """Processed trips from a catalog table.
+
+    With a metastore-backed catalog, partition filters are answered by the
+    metastore, so only the files of the selected dates are ever listed.
+    """
+    return spark.table(table)
+
+
 def with_layout_columns(df: DataFrame) -> DataFrame:
     """Add the "by_date" storage columns: pickup/drop-off date and second of day."""
     return df.withColumns(
@@ -84,6 +98,7 @@ def write_trips(
     compression: str = "snappy",
     cluster: str = "rebalance",
     max_records_per_file: int | None = None,
+    table: str | None = None,
 ) -> None:
     """Write processed trips as Parquet.
 
@@ -104,6 +119,12 @@ def write_trips(
     * ``local``: no exchange, each task sorts its own rows. For inputs that
       are already in time order (a time-sorted log), where each input split
       covers a short time span.
+
+    File size follows ``spark.sql.adaptive.advisoryPartitionSizeInBytes``
+    (raise it to the target file size for large loads).
+
+    ``table``: also register the output as a catalog table located at
+    ``path`` (read it back with :func:`read_trips_table`).
     """
     if layout not in LAYOUTS:
         raise ValueError(f"layout must be one of {LAYOUTS}, got {layout!r}")
@@ -120,7 +141,10 @@ def write_trips(
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
     if layout == "by_date":
         writer = writer.partitionBy(S.PICKUP_DATE, S.DROPOFF_DATE)
-    writer.parquet(path)
+    if table:
+        writer.format("parquet").option("path", path).saveAsTable(table)
+    else:
+        writer.parquet(path)
 
 
 def write_trips_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
