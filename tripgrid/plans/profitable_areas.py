@@ -31,6 +31,7 @@ from ..operators.taxis import free_taxis, taxi_state
 from ..operators.topk import top_k
 from .common import band_prefilter, dropoff_band, dropoff_window, on_pickup_weekday, pickup_band, pickup_window
 
+
 def _null(type_name: str) -> Column:
     return F.lit(None).cast(type_name)
 
@@ -43,7 +44,7 @@ def _benefit_rows(trips: DataFrame, influence: Column | None = None) -> DataFram
         cents(S.FARE).alias("tarifa_c"),
         cents(S.TIP).alias("propina_c"),
         (influence if influence is not None else _null("double")).alias("influencia_viaje"),
-        F.lit(None).cast("int").alias("es_libre"),
+        _null("int").alias("es_libre"),
         _null("double").alias("influencia_taxi"),
     )
 
@@ -52,7 +53,7 @@ def _free_rows(free: DataFrame, influence: Column | None = None) -> DataFrame:
     return free.select(
         F.col(S.DROPOFF_LAT_CELL).alias(S.AREA[0]),
         F.col(S.DROPOFF_LON_CELL).alias(S.AREA[1]),
-        F.lit(None).cast("int").alias("es_viaje"),
+        _null("int").alias("es_viaje"),
         _null("bigint").alias("tarifa_c"),
         _null("bigint").alias("propina_c"),
         _null("double").alias("influencia_viaje"),
