@@ -30,12 +30,15 @@ from .plans.benchmark import performance_summary, run_process, scan_benchmark
 from .plans.frequent_routes import frequent_routes, frequent_routes_seasonal
 from .plans.profitable_areas import profitable_areas, profitable_areas_seasonal, seasonal_instant
 from .plans.result_line import area_line, route_line
-from .session import SQL_CONF
+from .session import SQL_CONF, STATIC_CONF
 from .sources.trips_io import append_timing, read_raw_trips, read_timings, read_trips, write_result_line
 
 
 def _session() -> SparkSession:
-    spark = SparkSession.builder.appName("tripgrid").getOrCreate()
+    builder = SparkSession.builder.appName("tripgrid")
+    for key, value in STATIC_CONF.items():
+        builder = builder.config(key, value)
+    spark = builder.getOrCreate()
     for key, value in SQL_CONF.items():
         spark.conf.set(key, value)
     return spark

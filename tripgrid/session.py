@@ -22,6 +22,11 @@ SQL_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.parquet.compression.codec": "snappy",
+}
+
+# Static settings: only honoured when a session is built (spark.conf.set on a
+# running session rejects them).
+STATIC_CONF = {
     # Python call-site capture on every Column operation (error context only)
     # costs extra JVM round trips while plans are built.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
@@ -45,7 +50,7 @@ def local_session(
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
-    for k, v in SQL_CONF.items():
+    for k, v in {**SQL_CONF, **STATIC_CONF}.items():
         b = b.config(k, v)
     if event_log_dir:
         b = b.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_log_dir)
