@@ -54,3 +54,11 @@ def test_entry(spark):
     df = E.entry(spark)
     assert df.columns[0] == "rank"
     assert df.count() >= 0
+
+
+def test_runtime_settings_are_modifiable(spark):
+    """__spark_entry__ applies SQL_CONF to the driver's running session."""
+    from tripgrid.session import SQL_CONF, STATIC_CONF
+
+    assert all(spark.conf.isModifiable(k) for k in SQL_CONF)
+    assert not any(spark.conf.isModifiable(k) for k in STATIC_CONF)
