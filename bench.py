@@ -11,7 +11,7 @@ Each query runs once to warm up, then ``BENCH_REPEAT`` times; the median is
 reported. Prints one JSON line.
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_REPEAT (default 3).
+BENCH_REPEAT (default 5).
 """
 
 from __future__ import annotations
@@ -48,7 +48,7 @@ def _median_seconds(action, repeat: int) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "5"))
     m = re.search(r"sf([0-9.]+)", sf_dir)
     sf = float(m.group(1)) if m else None
 
@@ -79,13 +79,16 @@ def main() -> None:
         "q2s_profitable_areas_seasonal": lambda: profitable_areas_seasonal(
             trips, catalog.AREA_WEEKDAY, catalog.AREA_MMDD, catalog.AREA_HHMM
         ).collect(),
+        # Same plan over a window with no data (every directory pruned): the
+        # fixed cost of planning and scheduling a query, independent of data size.
+        "q1_empty_window_overhead": lambda: frequent_routes(trips, "2099-01-01 00:00").collect(),
         "scan_count_parquet": lambda: read_trips(spark, out_path).count(),
         "scan_count_csv": lambda: read_raw_trips(spark, csv_path).count(),
     }
     timings = {name: round(_median_seconds(fn, repeat), 4) for name, fn in queries.items()}
     timings["j1_process"] = round(t_process, 4)
 
-    headline = [k for k in timings if k.startswith("q")]
+    headline = [k for k in timings if k.startswith("q") and not k.endswith("_overhead")]
     total = round(sum(timings[k] for k in headline), 4)
     print(
         json.dumps(
