@@ -17,17 +17,16 @@ from pyspark.sql import functions as F
 from .. import schema as S
 from ..session import scratch_path
 
-# Fixed values of the fixture (FIXTURES.md section 6).
+# Fixed values of the fixture (FIXTURES.md section 6): start instant, first
+# second of the day (09:15:00), grid origin and cell steps of the coordinates.
 _EPOCH = "2013-01-01 00:00:00"
 _DAY_SECONDS = 86400
-_FIRST_SECOND = 33300  # 09:15:00
-# Cell-centre coordinates in exact integer units of 1e-9 degree:
-# lon = -74.916578 + (a - 0.5) * 0.005986, lat = 41.477182778 - (b - 0.5) * 0.004491556.
-_ORIGIN_LON_E9 = -74_916_578_000
-_ORIGIN_LAT_E9 = 41_477_182_778
-_HALF_LON_STEP_E9 = 2_993_000
-_HALF_LAT_STEP_E9 = 2_245_778
-_E9 = Decimal("1e-9")
+_FIRST_SECOND = 33300
+_ORIGIN_LON = Decimal("-74.916578")
+_ORIGIN_LAT = Decimal("41.477182778")
+_LON_STEP = Decimal("0.005986")
+_LAT_STEP = Decimal("0.004491556")
+_HALF = Decimal("0.5")
 _CENT = Decimal("0.01")
 
 
@@ -42,14 +41,12 @@ def raw_trips_from_lineitem(lineitem: DataFrame) -> DataFrame:
     def cell(base: int, a: int, b: int, c: int) -> Column:
         return F.lit(base) + F.least(d(a) % 5, d(b) % 5, d(c) % 5)
 
-    def coord(origin_e9: int, half_step_e9: int, base: int, cell_col: Column, sign: int) -> Column:
+    def coord(origin: Decimal, step: Decimal, base: int, cell_col: Column, sign: int) -> Column:
         # A cell number takes only the five values base..base+4, so the exact
-        # coordinate is looked up among five decimal literals: no per-row
-        # decimal arithmetic (the cleaning filter re-evaluates it several times).
-        values = [
-            (Decimal(origin_e9 + sign * (2 * c - 1) * half_step_e9) * _E9).quantize(Decimal("1e-14"))
-            for c in range(base, base + 5)
-        ]
+        # coordinate origin +/- (cell - 0.5) * step is looked up among five
+        # decimal literals: no per-row decimal arithmetic (the cleaning filter
+        # re-evaluates it several times).
+        values = [(origin + sign * (Decimal(c) - _HALF) * step).quantize(Decimal("1e-14")) for c in range(base, base + 5)]
         table = F.array(*[F.lit(v).cast("decimal(18,14)") for v in values])
         return F.element_at(table, (cell_col - (base - 1)).cast("int"))
 
@@ -85,11 +82,11 @@ def raw_trips_from_lineitem(lineitem: DataFrame) -> DataFrame:
         F.col("_dur").alias(S.DURATION),
         F.lit(Decimal("1.00")).cast("decimal(10,2)").alias(S.DISTANCE),
         F.when(k % 53 == 0, F.lit(0).cast("decimal(18,14)"))
-        .otherwise(coord(_ORIGIN_LON_E9, _HALF_LON_STEP_E9, 150, F.col("_a"), +1))
+        .otherwise(coord(_ORIGIN_LON, _LON_STEP, 150, F.col("_a"), +1))
         .alias(S.PICKUP_LON),
-        coord(_ORIGIN_LAT_E9, _HALF_LAT_STEP_E9, 155, F.col("_b"), -1).alias(S.PICKUP_LAT),
-        coord(_ORIGIN_LON_E9, _HALF_LON_STEP_E9, 150, F.col("_c"), +1).alias(S.DROPOFF_LON),
-        coord(_ORIGIN_LAT_E9, _HALF_LAT_STEP_E9, 155, F.col("_d"), -1).alias(S.DROPOFF_LAT),
+        coord(_ORIGIN_LAT, _LAT_STEP, 155, F.col("_b"), -1).alias(S.PICKUP_LAT),
+        coord(_ORIGIN_LON, _LON_STEP, 150, F.col("_c"), +1).alias(S.DROPOFF_LON),
+        coord(_ORIGIN_LAT, _LAT_STEP, 155, F.col("_d"), -1).alias(S.DROPOFF_LAT),
         F.when(k % 10 == 0, F.lit("UNK")).when(k % 10 < 5, F.lit("CSH")).otherwise(F.lit("CRD")).alias(S.PAYMENT),
         money(F.col("_fare")).alias(S.FARE),
         F.lit(Decimal("0.50")).cast("decimal(10,2)").alias(S.SURCHARGE),
