@@ -184,3 +184,18 @@ def test_catalog_table_layout(spark, scratch):
     assert "PartitionFilters: [" in plan
     assert q.collect() == frequent_routes(t, "2013-01-02 10:00").collect()
     spark.sql("DROP TABLE trips_catalog_test")
+
+
+def test_size_ladder(spark, scratch):
+    from tripgrid.operators.sample import ladder_sizes, write_size_ladder
+
+    assert ladder_sizes(173_185_091)[:4] == [173_185, 346_370, 3_463_701, 17_318_509]
+    rows = [raw_row(licencia=f"L{i}", pickup=f"2013-01-{1 + i % 20:02d} 09:{i % 60:02d}:00",
+                    dropoff=f"2013-01-{1 + i % 20:02d} 10:{i % 60:02d}:00") for i in range(200)]
+    df = raw_frame(spark, rows)
+    out = write_size_ladder(df, os.path.join(scratch, "ladder"), (S.PICKUP_TIME, S.LICENSE),
+                            fractions=((1, 10), (1, 2), (1, 1)), fmt="parquet")
+    assert [n for n, _ in out] == [20, 100, 200]
+    first = spark.read.parquet(out[0][1])
+    expected = sorted(rows, key=lambda r: (r[2], r[1]))[:20]
+    assert sorted(r.licencia for r in first.collect()) == sorted(r[1] for r in expected)

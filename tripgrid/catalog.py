@@ -19,7 +19,7 @@ from .functions.time import band_before, in_time_of_day, ts_literal
 from .operators.benefit import area_benefit, seasonal_area_benefit
 from .operators.clean import clean_report, process_trips
 from .operators.routes import route_counts
-from .operators.sample import prefix_sample
+from .operators.sample import ladder_summary, prefix_sample
 from .operators.taxis import (
     free_taxis,
     free_taxis_per_cell,
@@ -123,6 +123,12 @@ def _q_prefix_sample(spark, sf_dir):
     return sample.select("k", S.MEDALLION, S.PICKUP_TIME, S.DROPOFF_TIME, S.PAYMENT)
 
 
+def _q_size_ladder(spark, sf_dir):
+    """The 13 prefix sizes of the time-ordered raw log, their rows and last pickup."""
+    raw = raw_trips(spark, sf_dir)
+    return ladder_summary(raw, order=(S.PICKUP_TIME, "k", S.MEDALLION, S.LICENSE), time_col=S.PICKUP_TIME)
+
+
 def _q_frequent_routes(spark, sf_dir):
     return frequent_routes(trips(spark, sf_dir), AT)
 
@@ -290,6 +296,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "trip_cells": _q_trip_cells,
         "grid_cells": _q_grid_cells,
         "prefix_sample": _q_prefix_sample,
+        "size_ladder": _q_size_ladder,
         "frequent_routes": _q_frequent_routes,
         "route_counts": _q_route_counts,
         "frequent_routes_seasonal": _q_frequent_routes_seasonal,

@@ -1,19 +1,21 @@
-"""First ``n`` rows of a table in a given order (the size ladder of the benchmarks).
+"""First ``n`` rows of a table in a given order, and the size ladder of the benchmarks.
 
 Small ``n``: ``orderBy().limit(n)`` = ``TakeOrderedAndProject`` (a per-task
 top-n, then one merge of ``n x tasks`` rows).
 
 Large ``n`` (a tenth of a 100 TB log, say): that merge would funnel
-``n x tasks`` rows into one task, so instead
+``n x tasks`` rows into one task, so instead :func:`with_position` numbers
+every row with its global position:
   1. range-partition on the order keys and sort inside each partition
      (tie columns in the key split a hot timestamp over several partitions);
   2. number rows inside each partition (``monotonically_increasing_id`` keeps
      the partition index in its upper bits) and cut lineage with a reliable
-     checkpoint, so both uses below see the same rows;
+     checkpoint, so every later use sees the same rows and numbers;
   3. count rows per partition (one row per partition), turn the counts into
-     start offsets, broadcast them (their size is the partition count) and
-     keep rows whose global position is below ``n``.
-No step moves more than one partition's rows through one task.
+     start offsets, broadcast them (their size is the partition count) and add
+     ``offset + row index``.
+No step moves more than one partition's rows through one task, and a whole
+ladder of prefixes costs one sort.
 """
 
 from __future__ import annotations
@@ -26,27 +28,35 @@ from pyspark.sql import functions as F
 # Above this many rows the distributed path is used.
 TAKE_ORDERED_MAX_ROWS = 50_000
 
+# The prefix sizes of the original size ladder, as fractions of
+# the whole log (1/1000, 1/500, 1/50, 1/10 ... 9/10, all).
+LADDER_FRACTIONS = (
+    (1, 1000),
+    (1, 500),
+    (1, 50),
+    (1, 10),
+    (2, 10),
+    (3, 10),
+    (4, 10),
+    (5, 10),
+    (6, 10),
+    (7, 10),
+    (8, 10),
+    (9, 10),
+    (1, 1),
+)
+
+POSITION = "posicion"
 _PART_SHIFT = 33  # monotonically_increasing_id = partition index << 33 | row index
 
 
-def prefix_sample(
-    df: DataFrame,
-    n: int,
-    order: Sequence[str],
-    num_partitions: int | None = None,
-    take_ordered_max: int = TAKE_ORDERED_MAX_ROWS,
-) -> DataFrame:
-    """The first ``n`` rows of ``df`` ordered by ``order`` (ascending).
+def with_position(df: DataFrame, order: Sequence[str], num_partitions: int | None = None) -> DataFrame:
+    """``df`` plus ``posicion``: the 0-based global position of each row in ``order``.
 
-    Include enough tie columns in ``order`` to make it total, or the rows
-    kept at the boundary are arbitrary.
+    Include enough tie columns in ``order`` to make it total, or positions
+    among equal keys are arbitrary.
     """
-    if n <= 0:
-        return df.limit(0)
     keys = [F.col(c).asc_nulls_last() for c in order]
-    if n <= take_ordered_max:
-        return df.orderBy(*keys).limit(n)
-
     cols = df.columns
     ranged = (
         df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys)
@@ -66,4 +76,73 @@ def prefix_sample(
     # One row per partition of `numbered`: a size bound known before the join.
     joined = numbered.join(F.broadcast(offsets), F.shiftright("_rid", _PART_SHIFT) == F.col("_part"))
     position = F.col("_offset") + (F.col("_rid") - (F.col("_part") * F.lit(1 << _PART_SHIFT)))
-    return joined.where(position < n).select(*cols)
+    return joined.select(*cols, position.alias(POSITION))
+
+
+def prefix_sample(
+    df: DataFrame,
+    n: int,
+    order: Sequence[str],
+    num_partitions: int | None = None,
+    take_ordered_max: int = TAKE_ORDERED_MAX_ROWS,
+) -> DataFrame:
+    """The first ``n`` rows of ``df`` ordered by ``order`` (ascending)."""
+    if n <= 0:
+        return df.limit(0)
+    if n <= take_ordered_max:
+        return df.orderBy(*[F.col(c).asc_nulls_last() for c in order]).limit(n)
+    positioned = with_position(df, order, num_partitions)
+    return positioned.where(F.col(POSITION) < n).drop(POSITION)
+
+
+def ladder_sizes(total: int, fractions: Sequence[tuple[int, int]] = LADDER_FRACTIONS) -> list[int]:
+    """Prefix sizes ``total * num // den`` (integer arithmetic)."""
+    return [total * num // den for num, den in fractions]
+
+
+def size_ladder(
+    df: DataFrame,
+    order: Sequence[str],
+    fractions: Sequence[tuple[int, int]] = LADDER_FRACTIONS,
+    num_partitions: int | None = None,
+) -> list[tuple[int, DataFrame]]:
+    """``[(size, prefix)]`` for every ladder fraction, from one sort of ``df``."""
+    positioned = with_position(df, order, num_partitions)
+    total = positioned.count()
+    return [(n, positioned.where(F.col(POSITION) < n).drop(POSITION)) for n in ladder_sizes(total, fractions)]
+
+
+def write_size_ladder(
+    df: DataFrame,
+    out_dir: str,
+    order: Sequence[str],
+    fractions: Sequence[tuple[int, int]] = LADDER_FRACTIONS,
+    fmt: str = "csv",
+    mode: str = "errorifexists",
+) -> list[tuple[int, str]]:
+    """Write every prefix to ``{out_dir}/{size}`` (CSV by default, as the original logs)."""
+    written = []
+    for n, prefix in size_ladder(df, order, fractions):
+        path = f"{out_dir.rstrip('/')}/{n}"
+        prefix.write.mode(mode).format(fmt).save(path)
+        written.append((n, path))
+    return written
+
+
+def ladder_summary(
+    df: DataFrame,
+    order: Sequence[str],
+    time_col: str,
+    fractions: Sequence[tuple[int, int]] = LADDER_FRACTIONS,
+    num_partitions: int | None = None,
+) -> DataFrame:
+    """One row per ladder size: (tamano, filas, max time of the prefix), in one pass."""
+    positioned = with_position(df, order, num_partitions)
+    sizes = ladder_sizes(positioned.count(), fractions)
+    pos = F.col(POSITION)
+    aggs = []
+    for i, n in enumerate(sizes):
+        aggs += [F.count_if(pos < n).alias(f"f{i}"), F.max(F.when(pos < n, F.col(time_col))).alias(f"t{i}")]
+    wide = positioned.agg(*aggs)
+    rows = ", ".join(f"{n}L, f{i}, t{i}" for i, n in enumerate(sizes))
+    return wide.selectExpr(f"stack({len(sizes)}, {rows}) AS (tamano, filas, max_subida)")

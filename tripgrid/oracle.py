@@ -359,6 +359,18 @@ FROM (
     q["prefix_sample"] = _with() + """
 SELECT k, medallon, hora_subida, hora_bajada, tipo_pago FROM raw
 ORDER BY hora_subida, k, medallon, licencia LIMIT 5000"""
+    q["size_ladder"] = _with() + """
+, ranked AS (
+  SELECT hora_subida, row_number() OVER (ORDER BY hora_subida, k, medallon, licencia) - 1 AS pos FROM raw
+),
+sizes AS (
+  SELECT CAST((SELECT count(*) FROM raw) * num // den AS BIGINT) AS tamano
+  FROM (VALUES (1, 1000), (1, 500), (1, 50), (1, 10), (2, 10), (3, 10), (4, 10), (5, 10),
+               (6, 10), (7, 10), (8, 10), (9, 10), (1, 1)) AS f(num, den)
+)
+SELECT s.tamano, count(r.pos) AS filas, max(r.hora_subida) AS max_subida
+FROM sizes s LEFT JOIN ranked r ON r.pos < s.tamano
+GROUP BY s.tamano"""
     q["frequent_routes"] = _with(Q1_ROUTES) + "\nSELECT * FROM q1"
     q["route_counts"] = _with() + f"\nSELECT {ROUTE}, count(*) AS viajes FROM trips GROUP BY {ROUTE}"
     q["frequent_routes_seasonal"] = _with(_q1s(False)) + "\nSELECT * FROM q1s"
