@@ -21,6 +21,7 @@ from .time import (
     band_occurrence_date,
     in_time_of_day,
     in_window,
+    in_window_at,
     instant,
     minus_minutes,
     parse_time,
@@ -28,6 +29,7 @@ from .time import (
     to_instant,
     ts_literal,
     ts_literal_for,
+    ts_sql,
     weekday0,
 )
 from .weights import COMPAT_TIERS, TIERS, near_weight, tier_weight
@@ -50,6 +52,7 @@ __all__ = [
     "in_grid",
     "in_time_of_day",
     "in_window",
+    "in_window_at",
     "instant",
     "lat_cell",
     "lon_cell",
@@ -64,6 +67,7 @@ __all__ = [
     "to_instant",
     "ts_literal",
     "ts_literal_for",
+    "ts_sql",
     "weekday0",
     "weekday_number",
     "weekday_number_col",

@@ -61,17 +61,23 @@ def time_to_micros(t: _dt.time) -> int:
 # ---------------------------------------------------------------------------
 # Literals typed like the column they are compared with
 # ---------------------------------------------------------------------------
+#
+# The predicates below are written as SQL text and parsed once by ``F.expr``:
+# the same Catalyst expressions as the Column API builds, at a fraction of the
+# driver round trips (a composite predicate costs one call instead of dozens).
+# Their column arguments are column names (or SQL expressions) for that reason.
 
 
-def ts_literal(value: str | _dt.datetime, data_type: T.DataType | None = None) -> Column:
-    """Timestamp literal; ``TIMESTAMP_NTZ`` unless ``data_type`` says otherwise.
-
-    The literal is built from its text form and folded by the optimizer, so the
-    comparison reaches the Parquet reader as a pushed filter on the raw column.
-    """
+def ts_sql(value: str | _dt.datetime, data_type: T.DataType | None = None) -> str:
+    """SQL text of a timestamp literal; ``TIMESTAMP_NTZ`` unless ``data_type`` is TIMESTAMP."""
     text = to_instant(value).isoformat(sep=" ")
-    target = "timestamp" if isinstance(data_type, T.TimestampType) else "timestamp_ntz"
-    return F.lit(text).cast(target)
+    keyword = "TIMESTAMP" if isinstance(data_type, T.TimestampType) else "TIMESTAMP_NTZ"
+    return f"{keyword} '{text}'"
+
+
+def ts_literal(value: str | _dt.datetime, data_type: T.DataType | None = None) -> Column:
+    """Timestamp literal column (folded by the optimizer, so comparisons push down)."""
+    return F.expr(ts_sql(value, data_type))
 
 
 def ts_literal_for(df: DataFrame, column: str, value: str | _dt.datetime) -> Column:
@@ -83,33 +89,70 @@ def ts_literal_for(df: DataFrame, column: str, value: str | _dt.datetime) -> Col
 # Windows and bands
 # ---------------------------------------------------------------------------
 
+_CLOSED = {"both": (">=", "<="), "right": (">", "<="), "left": (">=", "<"), "neither": (">", "<")}
+
+
+def _bounds(closed: str) -> tuple[str, str]:
+    if closed not in _CLOSED:
+        raise ValueError(f"closed must be both/right/left/neither, got {closed!r}")
+    return _CLOSED[closed]
+
 
 def in_window(col: Column | str, lo: Column, hi: Column, closed: str = "both") -> Column:
-    """``lo (<|<=) col (<|<=) hi``; ``closed`` is both, right, left or neither."""
+    """``lo (<|<=) col (<|<=) hi`` for arbitrary bound columns; ``closed`` is both, right, left or neither."""
     c = _col(col)
-    if closed not in {"both", "right", "left", "neither"}:
-        raise ValueError(f"closed must be both/right/left/neither, got {closed!r}")
-    lower = c >= lo if closed in ("both", "left") else c > lo
-    upper = c <= hi if closed in ("both", "right") else c < hi
+    lower_op, upper_op = _bounds(closed)
+    lower = c >= lo if lower_op == ">=" else c > lo
+    upper = c <= hi if upper_op == "<=" else c < hi
     return lower & upper
 
 
+def window_sql(
+    col: str, lo: _dt.datetime, hi: _dt.datetime, closed: str = "both", data_type: T.DataType | None = None
+) -> str:
+    lower_op, upper_op = _bounds(closed)
+    return f"({col} {lower_op} {ts_sql(lo, data_type)} AND {col} {upper_op} {ts_sql(hi, data_type)})"
+
+
+def in_window_at(
+    col: str, lo: _dt.datetime, hi: _dt.datetime, closed: str = "both", data_type: T.DataType | None = None
+) -> Column:
+    """``col`` within the absolute window ``lo .. hi`` (timestamp literals typed like the column)."""
+    return F.expr(window_sql(col, lo, hi, closed, data_type))
+
+
 def weekday0(col: Column | str) -> Column:
     """Day of week with Monday = 0 ... Sunday = 6."""
     return F.weekday(_col(col))
 
 
-def time_of_day_micros(col: Column | str) -> Column:
-    """Microseconds since the row's own midnight (exact, fractional seconds kept)."""
-    c = _col(col)
-    whole = (F.hour(c) * 3600 + F.minute(c) * 60).cast("bigint") * _US_PER_SECOND
+def time_of_day_sql(col: str) -> str:
+    """SQL text: microseconds since the row's own midnight (exact, fractional seconds kept)."""
     # extract(SECOND ...) is decimal(8,6): seconds with the microsecond fraction.
-    secs = F.extract(F.lit("SECOND"), c)
-    return whole + (secs * _US_PER_SECOND).cast("bigint")
+    return (
+        f"(CAST(hour({col}) * 3600 + minute({col}) * 60 AS BIGINT) * {_US_PER_SECOND}"
+        f" + CAST(extract(SECOND FROM {col}) * {_US_PER_SECOND} AS BIGINT))"
+    )
+
+
+def time_of_day_micros(col: str) -> Column:
+    """Microseconds since the row's own midnight."""
+    return F.expr(time_of_day_sql(col))
+
+
+def time_of_day_band_sql(col: str, lo: str | _dt.time, hi: str | _dt.time, wrap: bool = True) -> str:
+    lo_us = time_to_micros(parse_time(lo))
+    hi_us = time_to_micros(parse_time(hi))
+    tod = time_of_day_sql(col)
+    if lo_us <= hi_us:
+        return f"({tod} BETWEEN {lo_us}L AND {hi_us}L)"
+    if not wrap:
+        return "false"
+    return f"({tod} >= {lo_us}L OR {tod} <= {hi_us}L)"
 
 
 def in_time_of_day(
-    col: Column | str,
+    col: str,
     lo: str | _dt.time,
     hi: str | _dt.time,
     wrap: bool = True,
@@ -120,14 +163,7 @@ def in_time_of_day(
     ``tod >= lo OR tod <= hi``; without it the band is empty, which is what the
     original code did.
     """
-    lo_us = time_to_micros(parse_time(lo))
-    hi_us = time_to_micros(parse_time(hi))
-    tod = time_of_day_micros(col)
-    if lo_us <= hi_us:
-        return tod.between(lo_us, hi_us)
-    if not wrap:
-        return F.lit(False)
-    return (tod >= lo_us) | (tod <= hi_us)
+    return F.expr(time_of_day_band_sql(col, lo, hi, wrap))
 
 
 def band_before(end: str | _dt.time, minutes: float) -> tuple[_dt.time, _dt.time]:
@@ -137,13 +173,13 @@ def band_before(end: str | _dt.time, minutes: float) -> tuple[_dt.time, _dt.time
     return start, end_t
 
 
-def band_occurrence_date(col: Column | str, end: str | _dt.time) -> Column:
+def band_occurrence_date(col: str, end: str | _dt.time) -> Column:
     """Date on which the band occurrence that contains ``col`` ends.
 
     For a band that does not cross midnight this is the row's own date. For one
     that does (say 23:45-00:15), a row at 23:50 belongs to the next day's band.
     """
-    c = _col(col)
     end_us = time_to_micros(parse_time(end))
-    d = F.to_date(c)
-    return F.when(time_of_day_micros(c) <= end_us, d).otherwise(F.date_add(d, 1))
+    return F.expr(
+        f"CASE WHEN {time_of_day_sql(col)} <= {end_us}L THEN to_date({col}) ELSE date_add(to_date({col}), 1) END"
+    )

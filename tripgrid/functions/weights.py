@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .time import ts_literal
+from .time import ts_sql
 
 # Fixed values of the original seasonal queries.
 # Seasonal routes: weight 2 within 30 days of the reference, else 1.
@@ -25,44 +25,38 @@ TIERS = ((7, 1.0), (14, 0.75), (21, 0.5), (28, 0.25))
 COMPAT_TIERS = ((7, 1.0), (14, 0.75), (21, 0.5))
 
 
-def _col(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
-def _strictly_within(c: Column, ref: _dt.datetime, days: float, data_type=None) -> Column:
+def _strictly_within_sql(col: str, ref: _dt.datetime, days: float, data_type=None) -> str:
     delta = _dt.timedelta(days=days)
-    return (c > ts_literal(ref - delta, data_type)) & (c < ts_literal(ref + delta, data_type))
+    return f"({col} > {ts_sql(ref - delta, data_type)} AND {col} < {ts_sql(ref + delta, data_type)})"
 
 
 def near_weight(
-    col: Column | str,
+    col: str,
     ref: _dt.datetime,
     days: float = NEAR_DAYS,
     near: int = NEAR_WEIGHT,
     far: int = FAR_WEIGHT,
     data_type=None,
 ) -> Column:
-    """``near`` if ``|col - ref| < days`` (strict), else ``far``."""
-    return F.when(_strictly_within(_col(col), ref, days, data_type), F.lit(near)).otherwise(F.lit(far))
+    """``near`` if ``|col - ref| < days`` (strict), else ``far`` (``col`` is a column name)."""
+    return F.expr(f"CASE WHEN {_strictly_within_sql(col, ref, days, data_type)} THEN {int(near)} ELSE {int(far)} END")
 
 
 def tier_weight(
-    col: Column | str,
+    col: str,
     ref: _dt.datetime,
     tiers: Sequence[tuple[float, float]] = TIERS,
     default: float | None = 0.0,
     data_type=None,
 ) -> Column:
-    """First tier whose window ``|col - ref| < days`` holds, else ``default``.
+    """First tier whose window ``|col - ref| < days`` holds, else ``default`` (double).
 
     ``default=None`` gives NULL, which is what the original float UDF produced
     for rows outside every tier (they then drop out of means but not counts).
     """
-    c = _col(col)
-    out = None
-    for days, weight in sorted(tiers):
-        cond = _strictly_within(c, ref, days, data_type)
-        w = F.lit(float(weight))
-        out = F.when(cond, w) if out is None else out.when(cond, w)
-    dflt = F.lit(None).cast("double") if default is None else F.lit(float(default))
-    return dflt if out is None else out.otherwise(dflt)
+    whens = " ".join(
+        f"WHEN {_strictly_within_sql(col, ref, days, data_type)} THEN CAST({float(weight)!r} AS DOUBLE)"
+        for days, weight in sorted(tiers)
+    )
+    other = "CAST(NULL AS DOUBLE)" if default is None else f"CAST({float(default)!r} AS DOUBLE)"
+    return F.expr(f"CASE {whens} ELSE {other} END" if whens else other)

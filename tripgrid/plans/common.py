@@ -22,60 +22,50 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schema as S
-from ..functions.time import in_time_of_day, in_window, parse_time, ts_literal_for, weekday0
+from ..functions.time import parse_time, time_of_day_band_sql, window_sql
+
+# Predicates are assembled as SQL text and parsed once (see functions.time).
 
 
 def _has(trips: DataFrame, column: str) -> bool:
     return column in trips.columns
 
 
-def _date_literal(value: _dt.date) -> Column:
-    # A typed literal from text: F.lit(date) costs dozens of JVM round trips.
-    return F.lit(value.isoformat()).cast("date")
+def _date_range_sql(column: str, lo: _dt.datetime, hi: _dt.datetime) -> str:
+    return f"({column} BETWEEN DATE '{lo.date().isoformat()}' AND DATE '{hi.date().isoformat()}')"
 
 
-def _date_range(column: str, lo: _dt.datetime, hi: _dt.datetime) -> Column:
-    return F.col(column).between(_date_literal(lo.date()), _date_literal(hi.date()))
+def _window(trips: DataFrame, time_col: str, date_col: str, lo: _dt.datetime, hi: _dt.datetime, closed: str) -> Column:
+    cond = window_sql(time_col, lo, hi, closed, trips.schema[time_col].dataType)
+    if _has(trips, date_col):
+        cond = f"{_date_range_sql(date_col, lo, hi)} AND {cond}"
+    return F.expr(cond)
 
 
 def pickup_window(trips: DataFrame, lo: _dt.datetime, hi: _dt.datetime, closed: str) -> Column:
-    cond = in_window(
-        S.PICKUP_TIME, ts_literal_for(trips, S.PICKUP_TIME, lo), ts_literal_for(trips, S.PICKUP_TIME, hi), closed
-    )
-    if _has(trips, S.PICKUP_DATE):
-        cond = _date_range(S.PICKUP_DATE, lo, hi) & cond
-    return cond
+    return _window(trips, S.PICKUP_TIME, S.PICKUP_DATE, lo, hi, closed)
 
 
 def dropoff_window(trips: DataFrame, lo: _dt.datetime, hi: _dt.datetime, closed: str) -> Column:
-    cond = in_window(
-        S.DROPOFF_TIME,
-        ts_literal_for(trips, S.DROPOFF_TIME, lo),
-        ts_literal_for(trips, S.DROPOFF_TIME, hi),
-        closed,
-    )
-    if _has(trips, S.DROPOFF_DATE):
-        cond = _date_range(S.DROPOFF_DATE, lo, hi) & cond
-    return cond
+    return _window(trips, S.DROPOFF_TIME, S.DROPOFF_DATE, lo, hi, closed)
 
 
-def _seconds_band(column: str, lo: _dt.time, hi: _dt.time, wrap: bool) -> Column:
+def _seconds_band_sql(column: str, lo: _dt.time, hi: _dt.time, wrap: bool) -> str:
     lo_s = lo.hour * 3600 + lo.minute * 60 + lo.second
     hi_s = hi.hour * 3600 + hi.minute * 60 + hi.second
-    c = F.col(column)
     if (lo_s, lo.microsecond) <= (hi_s, hi.microsecond):
-        return c.between(lo_s, hi_s)
+        return f"({column} BETWEEN {lo_s} AND {hi_s})"
     if not wrap:
-        return F.lit(False)
-    return (c >= lo_s) | (c <= hi_s)
+        return "false"
+    return f"({column} >= {lo_s} OR {column} <= {hi_s})"
 
 
 def _band(trips: DataFrame, time_col: str, second_col: str, lo, hi, wrap: bool) -> Column:
     lo_t, hi_t = parse_time(lo), parse_time(hi)
-    cond = in_time_of_day(time_col, lo_t, hi_t, wrap)
+    cond = time_of_day_band_sql(time_col, lo_t, hi_t, wrap)
     if _has(trips, second_col):
-        cond = _seconds_band(second_col, lo_t, hi_t, wrap) & cond
-    return cond
+        cond = f"{_seconds_band_sql(second_col, lo_t, hi_t, wrap)} AND {cond}"
+    return F.expr(cond)
 
 
 def pickup_band(trips: DataFrame, lo, hi, wrap: bool = True) -> Column:
@@ -87,10 +77,10 @@ def dropoff_band(trips: DataFrame, lo, hi, wrap: bool = True) -> Column:
 
 
 def on_pickup_weekday(trips: DataFrame, weekday: int) -> Column:
-    cond = F.col(S.WEEKDAY) == weekday
+    cond = f"{S.WEEKDAY} = {int(weekday)}"
     if _has(trips, S.PICKUP_DATE):
-        cond = (weekday0(S.PICKUP_DATE) == weekday) & cond
-    return cond
+        cond = f"weekday({S.PICKUP_DATE}) = {int(weekday)} AND {cond}"
+    return F.expr(cond)
 
 
 def band_prefilter(trips: DataFrame, lo, hi, wrap: bool = True) -> Column:
@@ -103,5 +93,6 @@ def band_prefilter(trips: DataFrame, lo, hi, wrap: bool = True) -> Column:
     if not (_has(trips, S.PICKUP_SECOND) and _has(trips, S.DROPOFF_SECOND)):
         return F.lit(True)
     lo_t, hi_t = parse_time(lo), parse_time(hi)
-    return _seconds_band(S.DROPOFF_SECOND, lo_t, hi_t, wrap) | _seconds_band(S.PICKUP_SECOND, lo_t, hi_t, wrap)
-
+    return F.expr(
+        f"{_seconds_band_sql(S.DROPOFF_SECOND, lo_t, hi_t, wrap)} OR {_seconds_band_sql(S.PICKUP_SECOND, lo_t, hi_t, wrap)}"
+    )
