@@ -28,3 +28,8 @@ def mean_cents(col: Column | str) -> Column:
     """
     c = _col(col)
     return F.try_divide(F.sum(c).cast("double"), F.count(c).cast("double"))
+
+
+def mean_cents_sql(col: str) -> str:
+    """SQL text of :func:`mean_cents` over a column name."""
+    return f"try_divide(CAST(sum({col}) AS DOUBLE), CAST(count({col}) AS DOUBLE))"

@@ -42,6 +42,22 @@ def near_weight(
     return F.expr(f"CASE WHEN {_strictly_within_sql(col, ref, days, data_type)} THEN {int(near)} ELSE {int(far)} END")
 
 
+def tier_weight_sql(
+    col: str,
+    ref: _dt.datetime,
+    tiers: Sequence[tuple[float, float]] = TIERS,
+    default: float | None = 0.0,
+    data_type=None,
+) -> str:
+    """SQL text of :func:`tier_weight`."""
+    whens = " ".join(
+        f"WHEN {_strictly_within_sql(col, ref, days, data_type)} THEN CAST({float(weight)!r} AS DOUBLE)"
+        for days, weight in sorted(tiers)
+    )
+    other = "CAST(NULL AS DOUBLE)" if default is None else f"CAST({float(default)!r} AS DOUBLE)"
+    return f"CASE {whens} ELSE {other} END" if whens else other
+
+
 def tier_weight(
     col: str,
     ref: _dt.datetime,
@@ -54,9 +70,4 @@ def tier_weight(
     ``default=None`` gives NULL, which is what the original float UDF produced
     for rows outside every tier (they then drop out of means but not counts).
     """
-    whens = " ".join(
-        f"WHEN {_strictly_within_sql(col, ref, days, data_type)} THEN CAST({float(weight)!r} AS DOUBLE)"
-        for days, weight in sorted(tiers)
-    )
-    other = "CAST(NULL AS DOUBLE)" if default is None else f"CAST({float(default)!r} AS DOUBLE)"
-    return F.expr(f"CASE {whens} ELSE {other} END" if whens else other)
+    return F.expr(tier_weight_sql(col, ref, tiers, default, data_type))

@@ -10,10 +10,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def ranking_order_sql(metric: str, keys: Sequence[str]) -> list[str]:
+    return [f"{metric} DESC NULLS LAST", *[f"{k} ASC NULLS LAST" for k in keys]]
+
+
 def ranking_order(metric: str, keys: Sequence[str]) -> list[Column]:
     return [F.col(metric).desc_nulls_last(), *[F.col(k).asc_nulls_last() for k in keys]]
 
@@ -29,11 +33,11 @@ def top_k(
     """The ``k`` rows with the largest ``metric`` (NULLs last), ties by ``keys``.
 
     With ``with_rank`` a 0-based ``rank`` column comes first; it is numbered
-    over the k surviving rows only.
+    over the k surviving rows only (a window over at most k rows).
     """
-    order = ranking_order(metric, keys)
-    top = df.orderBy(*order).limit(k)
+    top = df.orderBy(*ranking_order(metric, keys)).limit(k)
     if not with_rank:
         return top
-    ranked = top.withColumn(rank_col, F.row_number().over(Window.orderBy(*order)) - 1)
-    return ranked.select(rank_col, *[c for c in top.columns])
+    order = ", ".join(ranking_order_sql(metric, keys))
+    rank = f"CAST(row_number() OVER (ORDER BY {order}) - 1 AS INT) AS {rank_col}"
+    return top.selectExpr(rank, *top.columns)

@@ -23,43 +23,49 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schema as S
-from ..functions.money import cents, mean_cents
+from ..functions.money import mean_cents_sql
 from ..functions.names import weekday_number
 from ..functions.time import band_before, band_occurrence_date, instant, minus_minutes, to_instant
-from ..functions.weights import COMPAT_TIERS, TIERS, tier_weight
+from ..functions.weights import COMPAT_TIERS, TIERS, tier_weight_sql
 from ..operators.taxis import free_taxis, taxi_state
 from ..operators.topk import top_k
 from .common import band_prefilter, dropoff_band, dropoff_window, on_pickup_weekday, pickup_band, pickup_window
 
 
-def _null(type_name: str) -> Column:
-    return F.lit(None).cast(type_name)
+def _benefit_rows(trips: DataFrame, influence_sql: str | None = None) -> DataFrame:
+    return trips.selectExpr(
+        f"{S.PICKUP_LAT_CELL} AS {S.AREA[0]}",
+        f"{S.PICKUP_LON_CELL} AS {S.AREA[1]}",
+        "1 AS es_viaje",
+        f"CAST({S.FARE} * 100 AS BIGINT) AS tarifa_c",
+        f"CAST({S.TIP} * 100 AS BIGINT) AS propina_c",
+        f"CAST({influence_sql or 'NULL'} AS DOUBLE) AS influencia_viaje",
+        "CAST(NULL AS INT) AS es_libre",
+        "CAST(NULL AS DOUBLE) AS influencia_taxi",
+    )
 
 
-def _benefit_rows(trips: DataFrame, influence: Column | None = None) -> DataFrame:
-    return trips.select(
-        F.col(S.PICKUP_LAT_CELL).alias(S.AREA[0]),
-        F.col(S.PICKUP_LON_CELL).alias(S.AREA[1]),
-        F.lit(1).alias("es_viaje"),
-        cents(S.FARE).alias("tarifa_c"),
-        cents(S.TIP).alias("propina_c"),
-        (influence if influence is not None else _null("double")).alias("influencia_viaje"),
-        _null("int").alias("es_libre"),
-        _null("double").alias("influencia_taxi"),
+def _free_rows(free: DataFrame, influence_sql: str | None = None) -> DataFrame:
+    return free.selectExpr(
+        f"{S.DROPOFF_LAT_CELL} AS {S.AREA[0]}",
+        f"{S.DROPOFF_LON_CELL} AS {S.AREA[1]}",
+        "CAST(NULL AS INT) AS es_viaje",
+        "CAST(NULL AS BIGINT) AS tarifa_c",
+        "CAST(NULL AS BIGINT) AS propina_c",
+        "CAST(NULL AS DOUBLE) AS influencia_viaje",
+        "1 AS es_libre",
+        f"CAST({influence_sql or 'NULL'} AS DOUBLE) AS influencia_taxi",
     )
 
 
-def _free_rows(free: DataFrame, influence: Column | None = None) -> DataFrame:
-    return free.select(
-        F.col(S.DROPOFF_LAT_CELL).alias(S.AREA[0]),
-        F.col(S.DROPOFF_LON_CELL).alias(S.AREA[1]),
-        _null("int").alias("es_viaje"),
-        _null("bigint").alias("tarifa_c"),
-        _null("bigint").alias("propina_c"),
-        _null("double").alias("influencia_viaje"),
-        F.lit(1).alias("es_libre"),
-        (influence if influence is not None else _null("double")).alias("influencia_taxi"),
-    )
+_PER_CELL_AGGS = (
+    "count(es_viaje) AS n_viajes",
+    f"{mean_cents_sql('tarifa_c')} AS media_tarifa",
+    f"{mean_cents_sql('propina_c')} AS media_propina",
+    "avg(influencia_viaje) AS influencia_viajes",
+    "count(es_libre) AS taxis_libres",
+    "avg(influencia_taxi) AS influencia_taxis",
+)
 
 
 def _per_cell(benefit_rows: DataFrame, free_rows: DataFrame) -> DataFrame:
@@ -67,15 +73,8 @@ def _per_cell(benefit_rows: DataFrame, free_rows: DataFrame) -> DataFrame:
     return (
         benefit_rows.unionByName(free_rows)
         .groupBy(*S.AREA)
-        .agg(
-            F.count("es_viaje").alias("n_viajes"),
-            mean_cents("tarifa_c").alias("media_tarifa"),
-            mean_cents("propina_c").alias("media_propina"),
-            F.avg("influencia_viaje").alias("influencia_viajes"),
-            F.count("es_libre").alias("taxis_libres"),
-            F.avg("influencia_taxi").alias("influencia_taxis"),
-        )
-        .where(F.col("n_viajes") > 0)
+        .agg(*[F.expr(a) for a in _PER_CELL_AGGS])
+        .where("n_viajes > 0")
     )
 
 
@@ -122,15 +121,12 @@ def profitable_areas(
     """
     state, benefit_trips = profitable_areas_components(trips, at, taxi_minutes, benefit_minutes, tiebreak)
     cells = _per_cell(_benefit_rows(benefit_trips), _free_rows(free_taxis(state)))
-    free = F.col("taxis_libres")
-    result = cells.select(
+    result = cells.selectExpr(
         *S.AREA,
-        (F.col("media_tarifa") + F.col("media_propina")).alias("beneficios"),
-        free.alias("taxis_libres"),
-        (
-            (F.col("media_tarifa") + F.col("media_propina"))
-            / F.when(free > 0, free + 1).otherwise(1).cast("double")
-        ).alias("beneficio"),
+        "media_tarifa + media_propina AS beneficios",
+        "taxis_libres",
+        "(media_tarifa + media_propina)"
+        " / CAST(CASE WHEN taxis_libres > 0 THEN taxis_libres + 1 ELSE 1 END AS DOUBLE) AS beneficio",
     )
     return top_k(result, "beneficio", S.AREA, k)
 
@@ -144,18 +140,17 @@ def seasonal_instant(mmdd: str, hhmm: str, year: int = 2013) -> _dt.datetime:
     return instant(f"{year}-{mmdd}", hhmm)
 
 
-def seasonal_area_components(
+def _seasonal_inputs(
     trips: DataFrame,
     weekday: str | int,
     mmdd: str,
     hhmm: str,
-    year: int = 2013,
-    taxi_minutes: float = 30,
-    benefit_minutes: float = 15,
-    compat: bool = False,
-    tiebreak: Sequence[str] = (),
-) -> tuple[DataFrame, DataFrame, Column]:
-    """(taxi state, benefit trips, influence column) for the seasonal query."""
+    year: int,
+    taxi_minutes: float,
+    benefit_minutes: float,
+    compat: bool,
+    tiebreak: Sequence[str],
+) -> tuple[DataFrame, DataFrame, str]:
     day = weekday_number(weekday, compat)
     ref = seasonal_instant(mmdd, hhmm, year)
     base = trips.where(on_pickup_weekday(trips, day))
@@ -173,7 +168,7 @@ def seasonal_area_components(
     taxi_rows = base.where(band_prefilter(trips, taxi_lo, taxi_hi, wrap))
     state = taxi_state(taxi_rows, down, up, occurrence=occurrence, tiebreak=tiebreak)
     benefit_trips = base.where(dropoff_band(trips, ben_lo, ben_hi, wrap))
-    influence = tier_weight(
+    influence = tier_weight_sql(
         S.DROPOFF_TIME,
         ref,
         COMPAT_TIERS if compat else TIERS,
@@ -183,6 +178,24 @@ def seasonal_area_components(
     return state, benefit_trips, influence
 
 
+def seasonal_area_components(
+    trips: DataFrame,
+    weekday: str | int,
+    mmdd: str,
+    hhmm: str,
+    year: int = 2013,
+    taxi_minutes: float = 30,
+    benefit_minutes: float = 15,
+    compat: bool = False,
+    tiebreak: Sequence[str] = (),
+) -> tuple[DataFrame, DataFrame, Column]:
+    """(taxi state, benefit trips, influence column) for the seasonal query."""
+    state, benefit_trips, influence = _seasonal_inputs(
+        trips, weekday, mmdd, hhmm, year, taxi_minutes, benefit_minutes, compat, tiebreak
+    )
+    return state, benefit_trips, F.expr(influence)
+
+
 def profitable_areas_seasonal(
     trips: DataFrame,
     weekday: str | int,
@@ -211,26 +224,21 @@ def profitable_areas_seasonal(
     Columns: rank, cuad_latitud, cuad_longitud, beneficios,
     proporcion_taxis_libres, beneficio.
     """
-    state, benefit_trips, influence = seasonal_area_components(
+    state, benefit_trips, influence = _seasonal_inputs(
         trips, weekday, mmdd, hhmm, year, taxi_minutes, benefit_minutes, compat, tiebreak
     )
-    cells = _per_cell(
-        _benefit_rows(benefit_trips, influence),
-        _free_rows(free_taxis(state), influence),
-    )
-    benefit = (F.col("media_tarifa") + F.col("media_propina")) * F.col("influencia_viajes")
+    cells = _per_cell(_benefit_rows(benefit_trips, influence), _free_rows(free_taxis(state), influence))
+    benefit = "(media_tarifa + media_propina) * influencia_viajes"
     # No free taxi in the cell: count 0 and mean NULL -> NULL, as after the original left join.
-    weighted = F.round(
-        F.when(F.col("taxis_libres") > 0, F.col("taxis_libres") * F.col("influencia_taxis"))
-    )
+    weighted = "round(CASE WHEN taxis_libres > 0 THEN taxis_libres * influencia_taxis END)"
     if compat:
-        profit = F.try_divide(benefit, weighted)
+        profit = f"try_divide({benefit}, {weighted})"
     else:
-        profit = benefit / (F.coalesce(weighted, F.lit(0.0)) + 1)
-    result = cells.select(
+        profit = f"{benefit} / (coalesce({weighted}, 0.0D) + 1)"
+    result = cells.selectExpr(
         *S.AREA,
-        benefit.alias("beneficios"),
-        weighted.alias("proporcion_taxis_libres"),
-        profit.alias("beneficio"),
+        f"{benefit} AS beneficios",
+        f"{weighted} AS proporcion_taxis_libres",
+        f"{profit} AS beneficio",
     )
     return top_k(result, "beneficio", S.AREA, k)
