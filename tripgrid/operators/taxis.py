@@ -42,9 +42,9 @@ def latest_per_key(
     return df.groupBy(*key).agg(last).select(*key, *[F.col(f"{_LAST}.{c}").alias(c) for c in fields])
 
 
-def _dropoff_struct(tiebreak: Sequence[str]) -> Column:
-    cols = [S.DROPOFF_TIME, *[c for c in tiebreak if c != S.MEDALLION], S.DROPOFF_LAT_CELL, S.DROPOFF_LON_CELL]
-    return F.struct(*[F.col(c) for c in cols])
+def _dropoff_struct_sql(tiebreak: Sequence[str]) -> str:
+    fields = [S.DROPOFF_TIME, *[c for c in tiebreak if c != S.MEDALLION], S.DROPOFF_LAT_CELL, S.DROPOFF_LON_CELL]
+    return "named_struct(" + ", ".join(f"'{c}', {c}" for c in fields) + ")"
 
 
 def taxi_state(
@@ -65,38 +65,42 @@ def taxi_state(
     ``taxi_ocupado`` (1 when the last pickup is strictly after the last
     drop-off, else 0). Taxis with no drop-off under ``down`` are absent.
     """
-    drop = _dropoff_struct(tiebreak)
-    pick = F.col(S.PICKUP_TIME)
-    pre = trips.where(down | up)
+    flags = {"_down": down, "_up": up}
+    if occurrence is not None:
+        flags.update({"_occ_down": occurrence[0], "_occ_up": occurrence[1]})
+    # The predicates are deterministic, so the filter below still reaches the scan.
+    pre = trips.withColumns(flags).where("_down OR _up")
+    drop = _dropoff_struct_sql(tiebreak)
     if occurrence is None:
         keys = [S.MEDALLION]
         grouped = pre.groupBy(S.MEDALLION).agg(
-            F.max(F.when(down, drop)).alias("d"),
-            F.max(F.when(up, pick)).alias("u"),
+            F.expr(f"max(CASE WHEN _down THEN {drop} END) AS d"),
+            F.expr(f"max(CASE WHEN _up THEN {S.PICKUP_TIME} END) AS u"),
         )
     else:
         # A trip can be the drop-off of one occurrence and the pickup of
         # another, so each row yields up to two events (Generate, no shuffle).
-        occ_down, occ_up = occurrence
-        never = F.lit(False)
-        events = F.array(
-            F.when(down, F.struct(occ_down.alias("o"), drop.alias("d"), F.when(never, pick).alias("u"))),
-            F.when(up, F.struct(occ_up.alias("o"), F.when(never, drop).alias("d"), pick.alias("u"))),
+        no_drop = f"CASE WHEN false THEN {drop} END"
+        no_pick = f"CASE WHEN false THEN {S.PICKUP_TIME} END"
+        events = (
+            "filter(array("
+            f"CASE WHEN _down THEN named_struct('o', _occ_down, 'd', {drop}, 'u', {no_pick}) END, "
+            f"CASE WHEN _up THEN named_struct('o', _occ_up, 'd', {no_drop}, 'u', {S.PICKUP_TIME}) END"
+            "), e -> e IS NOT NULL)"
         )
         keys = [S.MEDALLION, "ocurrencia"]
         grouped = (
-            pre.select(S.MEDALLION, F.explode(events).alias("e"))
-            .where(F.col("e").isNotNull())
+            pre.selectExpr(S.MEDALLION, f"explode({events}) AS e")
             .groupBy(S.MEDALLION, F.col("e.o").alias("ocurrencia"))
-            .agg(F.max("e.d").alias("d"), F.max("e.u").alias("u"))
+            .agg(F.expr("max(e.d) AS d"), F.expr("max(e.u) AS u"))
         )
-    return grouped.where(F.col("d").isNotNull()).select(
+    return grouped.where("d IS NOT NULL").selectExpr(
         *keys,
-        F.col(f"d.{S.DROPOFF_TIME}").alias(S.DROPOFF_TIME),
-        F.col(f"d.{S.DROPOFF_LAT_CELL}").alias(S.DROPOFF_LAT_CELL),
-        F.col(f"d.{S.DROPOFF_LON_CELL}").alias(S.DROPOFF_LON_CELL),
-        F.col("u").alias(S.PICKUP_TIME),
-        F.when(F.col("u") > F.col(f"d.{S.DROPOFF_TIME}"), 1).otherwise(0).alias("taxi_ocupado"),
+        f"d.{S.DROPOFF_TIME} AS {S.DROPOFF_TIME}",
+        f"d.{S.DROPOFF_LAT_CELL} AS {S.DROPOFF_LAT_CELL}",
+        f"d.{S.DROPOFF_LON_CELL} AS {S.DROPOFF_LON_CELL}",
+        f"u AS {S.PICKUP_TIME}",
+        f"CAST(CASE WHEN u > d.{S.DROPOFF_TIME} THEN 1 ELSE 0 END AS INT) AS taxi_ocupado",
     )
 
 
