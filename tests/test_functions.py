@@ -122,3 +122,11 @@ def test_names():
         month_number("brumario")
     assert weekday_number("funday", compat=True) == 0
     assert month_number("brumario", compat=True) == 1
+
+
+def test_name_columns(spark):
+    from tripgrid.functions import month_number_col, weekday_number_col
+
+    df = spark.createDataFrame([(" Miércoles ", "Marzo"), ("domingo", "diciembre"), ("x", "y")], "d string, m string")
+    got = [(r.d, r.m) for r in df.select(weekday_number_col("d").alias("d"), month_number_col("m").alias("m")).collect()]
+    assert got == [(2, 3), (6, 12), (None, None)]
