@@ -71,3 +71,21 @@ def test_frequent_routes_stream(spark, scratch):
     got = ranked.where(F.col(INSTANT) == F.lit(at).cast("timestamp_ntz")).drop(INSTANT).orderBy("rank").collect()
     batch = frequent_routes(read_trips(spark, path), at).collect()
     assert got == batch and len(got) > 0
+
+
+def test_process_stream_restarts_exactly_once(spark, scratch):
+    """A second run from the same checkpoint picks up only the new files."""
+    raw_dir = os.path.join(scratch, "raw")
+    out = os.path.join(scratch, "trips")
+    ckpt = os.path.join(scratch, "ckpt")
+    rows = _rows()
+    first, second = rows[:20], rows[20:]
+    raw_frame(spark, first).coalesce(1).write.option("timestampNTZFormat", S.TIME_FORMAT).csv(os.path.join(raw_dir, "a"))
+    process_stream(spark, raw_dir + "/*", out, checkpoint_location=ckpt, layout="flat").awaitTermination(120)
+    n_first = read_trips(spark, out).count()
+    raw_frame(spark, second).coalesce(1).write.option("timestampNTZFormat", S.TIME_FORMAT).csv(os.path.join(raw_dir, "b"))
+    process_stream(spark, raw_dir + "/*", out, checkpoint_location=ckpt, layout="flat").awaitTermination(120)
+    total = read_trips(spark, out)
+    expected = process_trips(raw_frame(spark, rows))
+    assert n_first == process_trips(raw_frame(spark, first)).count()
+    assert sorted(map(tuple, total.collect())) == sorted(map(tuple, expected.collect()))
