@@ -130,3 +130,18 @@ def test_name_columns(spark):
     df = spark.createDataFrame([(" Miércoles ", "Marzo"), ("domingo", "diciembre"), ("x", "y")], "d string, m string")
     got = [(r.d, r.m) for r in df.select(weekday_number_col("d").alias("d"), month_number_col("m").alias("m")).collect()]
     assert got == [(2, 3), (6, 12), (None, None)]
+
+
+def test_windows_closed_variants(spark):
+    from tripgrid.functions import in_window, in_window_at, ts_literal
+
+    lo, hi = ts("2013-01-01 09:30:00"), ts("2013-01-01 10:00:00")
+    times = ["2013-01-01 09:30:00", "2013-01-01 09:45:00", "2013-01-01 10:00:00"]
+    df = spark.createDataFrame([(ts(t),) for t in times], "t timestamp_ntz")
+    expected = {"both": [True, True, True], "right": [False, True, True], "left": [True, True, False], "neither": [False, True, False]}
+    for closed, want in expected.items():
+        a = [r.b for r in df.select(in_window("t", ts_literal(lo), ts_literal(hi), closed).alias("b")).collect()]
+        b = [r.b for r in df.select(in_window_at("t", lo, hi, closed).alias("b")).collect()]
+        assert a == b == want
+    with pytest.raises(ValueError):
+        in_window_at("t", lo, hi, "sideways")
