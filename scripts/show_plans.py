@@ -16,7 +16,8 @@ from tripgrid import catalog  # noqa: E402
 from tripgrid.plans.frequent_routes import frequent_routes, frequent_routes_seasonal  # noqa: E402
 from tripgrid.plans.profitable_areas import profitable_areas, profitable_areas_seasonal  # noqa: E402
 from tripgrid.session import local_session  # noqa: E402
-from tripgrid.sources.trips_io import read_trips, write_trips  # noqa: E402
+from tripgrid.operators.clean import process_trips  # noqa: E402
+from tripgrid.sources.trips_io import layout_frame, read_raw_trips, read_trips, write_trips  # noqa: E402
 
 
 def formatted(df) -> str:
@@ -35,7 +36,13 @@ def main() -> None:
     path = tempfile.mkdtemp(prefix="tripgrid-plans-") + "/trips"
     write_trips(catalog.trips(spark, sf_dir), path, layout="by_date")
     trips = read_trips(spark, path)
+    raw_csv = tempfile.mkdtemp(prefix="tripgrid-plans-") + "/raw"
+    catalog.raw_trips(spark, sf_dir).drop("k").write.option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(raw_csv)
     queries = [
+        (
+            "J1 clean + enrich, as handed to the by_date writer",
+            layout_frame(process_trips(read_raw_trips(spark, raw_csv)), "by_date"),
+        ),
         ("Q1 frequent routes at 2013-03-19 10:00", frequent_routes(trips, catalog.AT)),
         (
             "Q1S seasonal routes (January, Tuesday, 10:00)",
@@ -52,8 +59,8 @@ def main() -> None:
         "",
         "Generated by `scripts/show_plans.py` over the processed trips of "
         f"`{sf_dir}` stored with `write_trips(layout=\"by_date\")` (AQE on; the final adaptive plan "
-        "may coalesce partitions further). Look for `PartitionFilters`, `PushedFilters`, "
-        "`ReadSchema`, the `Exchange` count and `TakeOrderedAndProject`.",
+        "may coalesce partitions further). J1 reads the raw CSV log. Look for `PartitionFilters`, "
+        "`PushedFilters`, `ReadSchema`, the `Exchange` count and `TakeOrderedAndProject`.",
         "",
     ]
     for title, df in queries:

@@ -90,6 +90,20 @@ LAYOUTS = ("flat", "by_date")
 CLUSTERINGS = ("rebalance", "local")
 
 
+def layout_frame(df: DataFrame, layout: str = "flat", cluster: str = "rebalance") -> DataFrame:
+    """The frame :func:`write_trips` hands to the writer (see there for the options)."""
+    if layout not in LAYOUTS:
+        raise ValueError(f"layout must be one of {LAYOUTS}, got {layout!r}")
+    if cluster not in CLUSTERINGS:
+        raise ValueError(f"cluster must be one of {CLUSTERINGS}, got {cluster!r}")
+    if layout == "flat":
+        return df
+    out = with_layout_columns(df)
+    if cluster == "rebalance":
+        out = out.hint("rebalance", S.PICKUP_DATE, S.DROPOFF_DATE)
+    return out.sortWithinPartitions(S.PICKUP_DATE, S.DROPOFF_DATE, S.PICKUP_TIME)
+
+
 def write_trips(
     df: DataFrame,
     path: str,
@@ -126,16 +140,7 @@ def write_trips(
     ``table``: also register the output as a catalog table located at
     ``path`` (read it back with :func:`read_trips_table`).
     """
-    if layout not in LAYOUTS:
-        raise ValueError(f"layout must be one of {LAYOUTS}, got {layout!r}")
-    if cluster not in CLUSTERINGS:
-        raise ValueError(f"cluster must be one of {CLUSTERINGS}, got {cluster!r}")
-    writer_df = df
-    if layout == "by_date":
-        writer_df = with_layout_columns(df)
-        if cluster == "rebalance":
-            writer_df = writer_df.hint("rebalance", S.PICKUP_DATE, S.DROPOFF_DATE)
-        writer_df = writer_df.sortWithinPartitions(S.PICKUP_DATE, S.DROPOFF_DATE, S.PICKUP_TIME)
+    writer_df = layout_frame(df, layout, cluster)
     writer = writer_df.write.mode(mode).option("compression", compression)
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
