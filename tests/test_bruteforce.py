@@ -233,3 +233,29 @@ def test_seasonal_queries(spark, seed, around, hhmm):
         got = _areas(profitable_areas_seasonal(trips, "martes", "03-12", hhmm, compat=compat, tiebreak=(S.LICENSE,)))
         # compat: a band across midnight is empty, as in the original
         _same(got, bf_q2s(rows, 1, ref, compat), allow_empty=compat and hhmm < "00:30")
+
+
+@pytest.mark.parametrize("seed", [7, 8])
+def test_routes_at_every_instant(spark, seed):
+    """The streaming expansion (trip -> grid instants) equals Q1 at each instant."""
+    from pyspark.sql import functions as F
+
+    from tripgrid.streaming.routes_stream import INSTANT, rank_per_instant, route_counts_by_instant
+
+    rows = _random_trips(seed, n=120)
+    trips = _frame(spark, rows)
+    ranked = rank_per_instant(route_counts_by_instant(trips, 30, 5)).cache()
+    got = {}
+    for r in ranked.collect():
+        key = (r.cuad_longitud_subida, r.cuad_latitud_subida, r.cuad_longitud_bajada, r.cuad_latitud_bajada)
+        got.setdefault(r[INSTANT], []).append((r["rank"], key, r.viajes))
+    start = BASE + dt.timedelta(hours=8, minutes=55)
+    checked = 0
+    for day in (0, 1, 7):
+        for step in range(0, 26):
+            at = start + dt.timedelta(days=day, minutes=5 * step)
+            want = [(i, keys, n) for i, (keys, n) in enumerate(bf_q1(rows, at))]
+            assert sorted(got.get(at, [])) == want
+            checked += bool(want)
+    assert checked > 10
+    assert ranked.where(F.col("rank") >= 10).count() == 0
