@@ -8,7 +8,8 @@
    CSV-vs-Parquet ``count(*)`` of the raw log (J7).
 
 Each query runs once to warm up, then ``BENCH_REPEAT`` times; the median is
-reported. Prints one JSON line.
+reported. Spark's event log (in the run's scratch folder) gives the bytes each
+query reads from storage and writes to shuffle, per run. Prints one JSON line.
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
 BENCH_REPEAT (default 5).
@@ -16,6 +17,8 @@ BENCH_REPEAT (default 5).
 
 from __future__ import annotations
 
+import glob
+import io
 import json
 import os
 import re
@@ -35,6 +38,40 @@ from tripgrid.sources.trips_io import read_raw_trips, read_trips, write_trips  #
 from tripgrid.operators.clean import process_trips  # noqa: E402
 
 
+def _event_lines(event_dir: str):
+    """Lines of the Spark event log (zstd-compressed by default in Spark 4)."""
+    for path in sorted(glob.glob(f"{event_dir}/*/events_*") + glob.glob(f"{event_dir}/*.zstd")):
+        with open(path, "rb") as fh:
+            if path.endswith(".zstd"):
+                import zstandard
+
+                yield from io.TextIOWrapper(zstandard.ZstdDecompressor().stream_reader(fh), encoding="utf-8")
+            else:
+                yield from io.TextIOWrapper(fh, encoding="utf-8")
+
+
+def _bytes_per_group(event_dir: str) -> dict[str, dict[str, int]]:
+    """Input bytes read and shuffle bytes written by the tasks of each job group."""
+    stage_group: dict[int, str] = {}
+    totals: dict[str, dict[str, int]] = {}
+    for line in _event_lines(event_dir):
+        e = json.loads(line)
+        kind = e.get("Event")
+        if kind == "SparkListenerJobStart":
+            group = (e.get("Properties") or {}).get("spark.jobGroup.id")
+            if group:
+                for sid in e.get("Stage IDs", []):
+                    stage_group[sid] = group
+        elif kind == "SparkListenerTaskEnd":
+            group = stage_group.get(e.get("Stage ID"))
+            metrics = e.get("Task Metrics") or {}
+            if group:
+                t = totals.setdefault(group, {"input": 0, "shuffle": 0})
+                t["input"] += (metrics.get("Input Metrics") or {}).get("Bytes Read", 0)
+                t["shuffle"] += (metrics.get("Shuffle Write Metrics") or {}).get("Shuffle Bytes Written", 0)
+    return totals
+
+
 def _median_seconds(action, repeat: int) -> float:
     action()  # warm-up
     times = []
@@ -53,7 +90,11 @@ def main() -> None:
     sf = float(m.group(1)) if m else None
 
     work = tempfile.mkdtemp(prefix="tripgrid-bench-")
-    spark = local_session(cpus, shuffle_partitions=max(cpus, 8), checkpoint_dir=f"{work}/ckpt")
+    event_dir = f"{work}/events"
+    os.makedirs(event_dir)
+    spark = local_session(
+        cpus, shuffle_partitions=max(cpus, 8), checkpoint_dir=f"{work}/ckpt", event_log_dir=event_dir
+    )
 
     # Setup: the raw CSV log (the original pipeline's input).
     raw = raw_trips(spark, sf_dir).drop("k")
@@ -93,11 +134,20 @@ def main() -> None:
         # count(*) of the processed, date-partitioned table (many small files at this size).
         "count_processed_by_date": lambda: read_trips(spark, out_path).count(),
     }
-    timings = {name: round(_median_seconds(fn, repeat), 4) for name, fn in queries.items()}
+    timings = {}
+    for name, fn in queries.items():
+        spark.sparkContext.setJobGroup(name, name)
+        timings[name] = round(_median_seconds(fn, repeat), 4)
     timings["j1_process"] = round(t_process, 4)
+    table_bytes = sum(os.path.getsize(f) for f in glob.glob(f"{out_path}/*/*/*.parquet"))
 
     headline = [k for k in timings if k.startswith("q") and not k.endswith("_overhead")]
     total = round(sum(timings[k] for k in headline), 4)
+    spark.stop()  # flushes the event log
+    per_group = _bytes_per_group(event_dir)
+    runs = repeat + 1
+    read = {k: v["input"] // runs for k, v in per_group.items() if k.startswith("q")}
+    shuffled = {k: v["shuffle"] // runs for k, v in per_group.items() if k.startswith("q")}
     print(
         json.dumps(
             {
@@ -110,10 +160,12 @@ def main() -> None:
                 "rows_clean": n_clean,
                 "cpus": cpus,
                 "repeat": repeat,
+                "processed_table_bytes": table_bytes,
+                "input_bytes_per_run": read,
+                "shuffle_bytes_per_run": shuffled,
             }
         )
     )
-    spark.stop()
 
 
 if __name__ == "__main__":
