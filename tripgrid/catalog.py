@@ -44,6 +44,11 @@ AT = "2013-03-19 10:00"
 SEASON_MONTH, SEASON_WEEKDAY, SEASON_HHMM = "enero", "martes", "10:00"
 AREA_WEEKDAY, AREA_MMDD, AREA_HHMM = "martes", "03-19", "10:00"
 TIEBREAK = ("k", S.LICENSE)
+# A second parameter set: other weekday (Friday), months and times of day.
+AT_B = "2013-02-05 09:45"
+SEASON_B = ("marzo", "viernes", "09:50")
+AT_AREA_B = "2013-01-22 09:50"
+AREA_B = ("viernes", "02-15", "09:55")
 PREFIX_ROWS = 5000
 
 
@@ -221,6 +226,26 @@ def _q_profitable_areas_seasonal_compat(spark, sf_dir):
     )
 
 
+def _q_frequent_routes_b(spark, sf_dir):
+    return frequent_routes(trips(spark, sf_dir), AT_B)
+
+
+def _q_frequent_routes_seasonal_b(spark, sf_dir):
+    return frequent_routes_seasonal(trips(spark, sf_dir), *SEASON_B)
+
+
+def _q_profitable_areas_b(spark, sf_dir):
+    return profitable_areas(trips(spark, sf_dir), AT_AREA_B, tiebreak=TIEBREAK)
+
+
+def _q_profitable_areas_seasonal_b(spark, sf_dir):
+    return profitable_areas_seasonal(trips(spark, sf_dir), *AREA_B, tiebreak=TIEBREAK)
+
+
+def _q_profitable_areas_seasonal_b_compat(spark, sf_dir):
+    return profitable_areas_seasonal(trips(spark, sf_dir), *AREA_B, compat=True, tiebreak=TIEBREAK)
+
+
 def _q_result_line(spark, sf_dir):
     """The four result lines (elapsed time left out so they are deterministic)."""
     t = trips(spark, sf_dir)
@@ -313,6 +338,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "seasonal_area_benefit_split": _q_seasonal_area_benefit_split,
         "profitable_areas_seasonal": _q_profitable_areas_seasonal,
         "profitable_areas_seasonal_compat": _q_profitable_areas_seasonal_compat,
+        "frequent_routes_b": _q_frequent_routes_b,
+        "frequent_routes_seasonal_b": _q_frequent_routes_seasonal_b,
+        "profitable_areas_b": _q_profitable_areas_b,
+        "profitable_areas_seasonal_b": _q_profitable_areas_seasonal_b,
+        "profitable_areas_seasonal_b_compat": _q_profitable_areas_seasonal_b_compat,
         "result_line": _q_result_line,
         "roundtrip_parquet": _q_roundtrip_parquet,
         "roundtrip_csv": _q_roundtrip_csv,

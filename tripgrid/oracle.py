@@ -9,6 +9,8 @@ DuckDB reads bare decimals as DECIMAL, so grid arithmetic casts to DOUBLE;
 
 from __future__ import annotations
 
+import datetime as _dt
+
 # Raw trip log derived from lineitem (FIXTURES.md section 6) -> cleaned -> enriched.
 TRIPS_CTE = """
 li AS (
@@ -105,33 +107,50 @@ def _ranked(source: str, metric: str, keys: str, k: int = 10) -> str:
 
 # --- Q1 ---------------------------------------------------------------------
 
-Q1_ROUTES = f"""
-q1_routes AS (
+_D = _dt.datetime
+
+
+def _ts(t: _dt.datetime) -> str:
+    return f"TIMESTAMP '{t.isoformat(sep=' ')}'"
+
+
+def _tm(t: _dt.time) -> str:
+    return f"TIME '{t.isoformat()}'"
+
+
+def _q1(at: _dt.datetime = _D(2013, 3, 19, 10), p: str = "q1") -> str:
+    lo = at - _dt.timedelta(minutes=30)
+    return f"""
+{p}_routes AS (
   SELECT {ROUTE}, count(*) AS viajes FROM trips
-  WHERE hora_subida BETWEEN TIMESTAMP '2013-03-19 09:30:00' AND TIMESTAMP '2013-03-19 10:00:00'
-    AND hora_bajada BETWEEN TIMESTAMP '2013-03-19 09:30:00' AND TIMESTAMP '2013-03-19 10:00:00'
+  WHERE hora_subida BETWEEN {_ts(lo)} AND {_ts(at)}
+    AND hora_bajada BETWEEN {_ts(lo)} AND {_ts(at)}
   GROUP BY {ROUTE}
 ),
-q1 AS ({_ranked("q1_routes", "viajes", ROUTE)})"""
+{p} AS ({_ranked(f"{p}_routes", "viajes", ROUTE)})"""
+
+
+Q1_ROUTES = _q1()
 
 # --- Q1S --------------------------------------------------------------------
 
 
-def _q1s(compat: bool) -> str:
+def _q1s(compat: bool, ref: _dt.datetime = _D(2013, 1, 1, 10), weekday: int = 1, p: str | None = None) -> str:
+    lo, hi = (ref - _dt.timedelta(minutes=30)).time(), ref.time()
     band = (
         ""
         if compat
-        else "AND CAST(hora_subida AS TIME) BETWEEN TIME '09:30:00' AND TIME '10:00:00' "
-        "AND CAST(hora_bajada AS TIME) BETWEEN TIME '09:30:00' AND TIME '10:00:00'"
+        else f"AND CAST(hora_subida AS TIME) BETWEEN {_tm(lo)} AND {_tm(hi)} "
+        f"AND CAST(hora_bajada AS TIME) BETWEEN {_tm(lo)} AND {_tm(hi)}"
     )
-    name = "q1s_compat" if compat else "q1s"
+    name = p or ("q1s_compat" if compat else "q1s")
     return f"""
 {name}_routes AS (
   SELECT {ROUTE},
-    CAST(sum(CASE WHEN hora_subida > TIMESTAMP '2013-01-01 10:00:00' - INTERVAL 30 DAY
-                   AND hora_subida < TIMESTAMP '2013-01-01 10:00:00' + INTERVAL 30 DAY
+    CAST(sum(CASE WHEN hora_subida > {_ts(ref)} - INTERVAL 30 DAY
+                   AND hora_subida < {_ts(ref)} + INTERVAL 30 DAY
               THEN 2 ELSE 1 END) AS BIGINT) AS frecuencia
-  FROM trips WHERE dia_semana = 1 {band}
+  FROM trips WHERE dia_semana = {weekday} {band}
   GROUP BY {ROUTE}
 ),
 {name} AS ({_ranked(f"{name}_routes", "frecuencia", ROUTE)})"""
@@ -139,85 +158,87 @@ def _q1s(compat: bool) -> str:
 
 # --- Q2 ---------------------------------------------------------------------
 
-Q2_PARTS = """
-q2_down AS (
-  SELECT * FROM trips
-  WHERE hora_bajada > TIMESTAMP '2013-03-19 09:30:00' AND hora_bajada <= TIMESTAMP '2013-03-19 10:00:00'
+
+def _q2_parts(at: _dt.datetime = _D(2013, 3, 19, 10), p: str = "q2") -> str:
+    t30, t15 = _ts(at - _dt.timedelta(minutes=30)), _ts(at - _dt.timedelta(minutes=15))
+    t = _ts(at)
+    return f"""
+{p}_down AS (
+  SELECT * FROM trips WHERE hora_bajada > {t30} AND hora_bajada <= {t}
 ),
-q2_up AS (
-  SELECT * FROM trips
-  WHERE hora_subida > TIMESTAMP '2013-03-19 09:30:00' AND hora_subida <= TIMESTAMP '2013-03-19 10:00:00'
+{p}_up AS (
+  SELECT * FROM trips WHERE hora_subida > {t30} AND hora_subida <= {t}
 ),
-q2_last_down AS (
+{p}_last_down AS (
   SELECT medallon, hora_bajada, cuad_latitud_bajada, cuad_longitud_bajada FROM (
     SELECT *, row_number() OVER (PARTITION BY medallon ORDER BY hora_bajada DESC, k DESC, licencia DESC,
                                  cuad_latitud_bajada DESC, cuad_longitud_bajada DESC) AS rn
-    FROM q2_down) WHERE rn = 1
+    FROM {p}_down) WHERE rn = 1
 ),
-q2_last_up AS (
-  SELECT medallon AS taxi, max(hora_subida) AS hora_subida FROM q2_up GROUP BY medallon
+{p}_last_up AS (
+  SELECT medallon AS taxi, max(hora_subida) AS hora_subida FROM {p}_up GROUP BY medallon
 ),
-q2_state AS (
+{p}_state AS (
   SELECT d.medallon, d.hora_bajada, d.cuad_latitud_bajada, d.cuad_longitud_bajada, u.hora_subida,
          CAST(CASE WHEN u.hora_subida > d.hora_bajada THEN 1 ELSE 0 END AS INTEGER) AS taxi_ocupado,
-         CAST(CASE WHEN u.hora_subida < TIMESTAMP '2013-03-19 10:00:00' THEN 1 ELSE 0 END AS INTEGER) AS taxi_en_uso
-  FROM q2_last_down d LEFT JOIN q2_last_up u ON d.medallon = u.taxi
+         CAST(CASE WHEN u.hora_subida < {t} THEN 1 ELSE 0 END AS INTEGER) AS taxi_en_uso
+  FROM {p}_last_down d LEFT JOIN {p}_last_up u ON d.medallon = u.taxi
 ),
-q2_free AS (
+{p}_free AS (
   SELECT cuad_latitud_bajada, cuad_longitud_bajada, count(*) AS taxis_libres
-  FROM q2_state WHERE taxi_ocupado = 0 GROUP BY cuad_latitud_bajada, cuad_longitud_bajada
+  FROM {p}_state WHERE taxi_ocupado = 0 GROUP BY cuad_latitud_bajada, cuad_longitud_bajada
 ),
-q2_benefit AS (
+{p}_benefit AS (
   SELECT cuad_latitud_subida AS cuad_latitud, cuad_longitud_subida AS cuad_longitud,
     CAST(sum(CAST(tarifa * 100 AS BIGINT)) AS DOUBLE) / count(tarifa)
       + CAST(sum(CAST(propina * 100 AS BIGINT)) AS DOUBLE) / count(propina) AS beneficios
-  FROM trips
-  WHERE hora_bajada > TIMESTAMP '2013-03-19 09:45:00' AND hora_bajada <= TIMESTAMP '2013-03-19 10:00:00'
+  FROM trips WHERE hora_bajada > {t15} AND hora_bajada <= {t}
   GROUP BY cuad_latitud_subida, cuad_longitud_subida
 ),
-q2_profit AS (
+{p}_profit AS (
   SELECT b.cuad_latitud, b.cuad_longitud, b.beneficios,
     CAST(coalesce(f.taxis_libres, 0) AS BIGINT) AS taxis_libres,
     b.beneficios / CAST(CASE WHEN f.taxis_libres > 0 THEN f.taxis_libres + 1 ELSE 1 END AS DOUBLE) AS beneficio
-  FROM q2_benefit b LEFT JOIN q2_free f
+  FROM {p}_benefit b LEFT JOIN {p}_free f
     ON b.cuad_latitud = f.cuad_latitud_bajada AND b.cuad_longitud = f.cuad_longitud_bajada
 ),
-q2 AS ({ranked})""".replace("{ranked}", _ranked("q2_profit", "beneficio", "cuad_latitud, cuad_longitud"))
+{p} AS ({_ranked(f"{p}_profit", "beneficio", "cuad_latitud, cuad_longitud")})"""
 
 
-# --- Q2S --------------------------------------------------------------------
+Q2_PARTS = _q2_parts()
 
-_REF = "TIMESTAMP '2013-03-19 10:00:00'"
+# --- Q2S --------------------------------------------------------------------
 
 
-def _influence(col: str, compat: bool) -> str:
+def _influence(col: str, compat: bool, ref: _dt.datetime) -> str:
     tiers = [(7, "1.0"), (14, "0.75"), (21, "0.5")] + ([] if compat else [(28, "0.25")])
     whens = " ".join(
-        f"WHEN {col} > {_REF} - INTERVAL {d} DAY AND {col} < {_REF} + INTERVAL {d} DAY THEN CAST({w} AS DOUBLE)"
+        f"WHEN {col} > {_ts(ref)} - INTERVAL {d} DAY AND {col} < {_ts(ref)} + INTERVAL {d} DAY "
+        f"THEN CAST({w} AS DOUBLE)"
         for d, w in tiers
     )
     other = "CAST(NULL AS DOUBLE)" if compat else "CAST(0.0 AS DOUBLE)"
     return f"CASE {whens} ELSE {other} END"
 
 
-def _band(col: str, lo: str, hi: str) -> str:
-    return f"CAST({col} AS TIME) BETWEEN TIME '{lo}' AND TIME '{hi}'"
+def _band(col: str, lo: _dt.time, hi: _dt.time) -> str:
+    return f"CAST({col} AS TIME) BETWEEN {_tm(lo)} AND {_tm(hi)}"
 
 
-def _occurrence(col: str) -> str:
-    return (
-        f"CASE WHEN CAST({col} AS TIME) <= TIME '10:00:00' THEN CAST({col} AS DATE) "
-        f"ELSE CAST({col} AS DATE) + 1 END"
-    )
+def _occurrence(col: str, end: _dt.time) -> str:
+    return f"CASE WHEN CAST({col} AS TIME) <= {_tm(end)} THEN CAST({col} AS DATE) ELSE CAST({col} AS DATE) + 1 END"
 
 
-def _q2s(compat: bool) -> str:
-    p = "q2sc" if compat else "q2s"
-    occ_down = "" if compat else f", {_occurrence('hora_bajada')} AS occ"
-    occ_up = "" if compat else f", {_occurrence('hora_subida')} AS occ"
+def _q2s(compat: bool, ref: _dt.datetime = _D(2013, 3, 19, 10), weekday: int = 1, p: str | None = None) -> str:
+    """Seasonal areas; bands of this builder do not cross midnight (as in the registered queries)."""
+    p = p or ("q2sc" if compat else "q2s")
+    end = ref.time()
+    lo30 = (ref - _dt.timedelta(minutes=30)).time()
+    lo15 = (ref - _dt.timedelta(minutes=15)).time()
+    occ_down = "" if compat else f", {_occurrence('hora_bajada', end)} AS occ"
+    occ_up = "" if compat else f", {_occurrence('hora_subida', end)} AS occ"
     part = "medallon" if compat else "medallon, occ"
     join_on = "d.medallon = u.taxi" + ("" if compat else " AND d.occ = u.occ")
-    up_group = "medallon" if compat else "medallon, occ"
     up_select = "medallon AS taxi" + ("" if compat else ", occ")
     profit = (
         "b.beneficios / NULLIF(w.proporcion_taxis_libres, 0)"
@@ -226,10 +247,10 @@ def _q2s(compat: bool) -> str:
     )
     return f"""
 {p}_down AS (
-  SELECT *{occ_down} FROM trips WHERE dia_semana = 1 AND {_band('hora_bajada', '09:30:00', '10:00:00')}
+  SELECT *{occ_down} FROM trips WHERE dia_semana = {weekday} AND {_band('hora_bajada', lo30, end)}
 ),
 {p}_up AS (
-  SELECT *{occ_up} FROM trips WHERE dia_semana = 1 AND {_band('hora_subida', '09:30:00', '10:00:00')}
+  SELECT *{occ_up} FROM trips WHERE dia_semana = {weekday} AND {_band('hora_subida', lo30, end)}
 ),
 {p}_last_down AS (
   SELECT * FROM (
@@ -238,10 +259,10 @@ def _q2s(compat: bool) -> str:
     FROM {p}_down) WHERE rn = 1
 ),
 {p}_last_up AS (
-  SELECT {up_select}, max(hora_subida) AS hora_subida FROM {p}_up GROUP BY {up_group}
+  SELECT {up_select}, max(hora_subida) AS hora_subida FROM {p}_up GROUP BY {part}
 ),
 {p}_free AS (
-  SELECT d.cuad_latitud_bajada, d.cuad_longitud_bajada, {_influence('d.hora_bajada', compat)} AS influencia
+  SELECT d.cuad_latitud_bajada, d.cuad_longitud_bajada, {_influence('d.hora_bajada', compat, ref)} AS influencia
   FROM {p}_last_down d LEFT JOIN {p}_last_up u ON {join_on}
   WHERE NOT coalesce(u.hora_subida > d.hora_bajada, false)
 ),
@@ -254,16 +275,16 @@ def _q2s(compat: bool) -> str:
   SELECT cuad_latitud_subida AS cuad_latitud, cuad_longitud_subida AS cuad_longitud,
     (CAST(sum(CAST(tarifa * 100 AS BIGINT)) AS DOUBLE) / count(tarifa)
       + CAST(sum(CAST(propina * 100 AS BIGINT)) AS DOUBLE) / count(propina))
-      * avg({_influence('hora_bajada', compat)}) AS beneficios
-  FROM trips WHERE dia_semana = 1 AND {_band('hora_bajada', '09:45:00', '10:00:00')}
+      * avg({_influence('hora_bajada', compat, ref)}) AS beneficios
+  FROM trips WHERE dia_semana = {weekday} AND {_band('hora_bajada', lo15, end)}
   GROUP BY cuad_latitud_subida, cuad_longitud_subida
 ),
 {p}_benefit_split AS (
   SELECT cuad_latitud_subida AS cuad_latitud, cuad_longitud_subida AS cuad_longitud,
     CAST(sum(CAST(tarifa * 100 AS BIGINT)) AS DOUBLE) / count(tarifa)
       + CAST(sum(CAST(propina * 100 AS BIGINT)) AS DOUBLE) / count(propina) AS beneficios,
-    avg({_influence('hora_bajada', compat)}) AS influencia
-  FROM trips WHERE dia_semana = 1 AND {_band('hora_bajada', '09:45:00', '10:00:00')}
+    avg({_influence('hora_bajada', compat, ref)}) AS influencia
+  FROM trips WHERE dia_semana = {weekday} AND {_band('hora_bajada', lo15, end)}
   GROUP BY cuad_latitud_subida, cuad_longitud_subida
 ),
 {p}_profit AS (
@@ -416,6 +437,14 @@ SELECT medallon, hora_bajada, k, licencia, cuad_latitud_bajada, cuad_longitud_ba
     q["seasonal_area_benefit_split"] = _with(_q2s(False)) + "\nSELECT * FROM q2s_benefit_split"
     q["profitable_areas_seasonal"] = _with(_q2s(False)) + "\nSELECT * FROM q2s"
     q["profitable_areas_seasonal_compat"] = _with(_q2s(True)) + "\nSELECT * FROM q2sc"
+    # Second parameter set (see catalog.AT_B, SEASON_B, AT_AREA_B, AREA_B).
+    q["frequent_routes_b"] = _with(_q1(_D(2013, 2, 5, 9, 45), "q1b")) + "\nSELECT * FROM q1b"
+    q["frequent_routes_seasonal_b"] = _with(_q1s(False, _D(2013, 3, 1, 9, 50), 4, "q1sb")) + "\nSELECT * FROM q1sb"
+    q["profitable_areas_b"] = _with(_q2_parts(_D(2013, 1, 22, 9, 50), "q2b")) + "\nSELECT * FROM q2b"
+    q["profitable_areas_seasonal_b"] = _with(_q2s(False, _D(2013, 2, 15, 9, 55), 4, "q2sb")) + "\nSELECT * FROM q2sb"
+    q["profitable_areas_seasonal_b_compat"] = (
+        _with(_q2s(True, _D(2013, 2, 15, 9, 55), 4, "q2scb")) + "\nSELECT * FROM q2scb"
+    )
     q["result_line"] = _with(Q1_ROUTES, _q1s(False), Q2_PARTS, _q2s(False)) + "\n" + "\nUNION ALL\n".join(
         [
             _route_line("frequent_routes", "q1", "2013-03-19 09:30:00", "2013-03-19 10:00:00"),
