@@ -48,3 +48,22 @@ def test_hot_date_is_split_and_answers_match(spark, scratch):
         assert q(stored).collect() == q(flat).collect()
     top = frequent_routes(stored, "2013-01-08 10:00").first()
     assert top.viajes > 300
+
+
+def test_same_answers_without_aqe_and_other_shuffle_width(spark):
+    trips = trips_frame(spark, _skewed_rows())
+    queries = (
+        lambda t: frequent_routes(t, "2013-01-08 10:00"),
+        lambda t: frequent_routes_seasonal(t, "enero", "martes", "10:00"),
+        lambda t: profitable_areas(t, "2013-01-08 10:00", tiebreak=("licencia",)),
+        lambda t: profitable_areas_seasonal(t, "martes", "01-08", "10:00", tiebreak=("licencia",)),
+    )
+    baseline = [q(trips).collect() for q in queries]
+    old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", "23")
+        assert [q(trips).collect() for q in queries] == baseline
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
