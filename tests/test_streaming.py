@@ -83,8 +83,10 @@ def test_process_stream_restarts_exactly_once(spark, scratch):
     raw_frame(spark, first).coalesce(1).write.option("timestampNTZFormat", S.TIME_FORMAT).csv(os.path.join(raw_dir, "a"))
     process_stream(spark, raw_dir + "/*", out, checkpoint_location=ckpt, layout="flat").awaitTermination(120)
     n_first = read_trips(spark, out).count()
-    raw_frame(spark, second).coalesce(1).write.option("timestampNTZFormat", S.TIME_FORMAT).csv(os.path.join(raw_dir, "b"))
-    process_stream(spark, raw_dir + "/*", out, checkpoint_location=ckpt, layout="flat").awaitTermination(120)
+    raw_frame(spark, second).repartition(3).write.option("timestampNTZFormat", S.TIME_FORMAT).csv(os.path.join(raw_dir, "b"))
+    process_stream(
+        spark, raw_dir + "/*", out, checkpoint_location=ckpt, layout="flat", max_files_per_trigger=1
+    ).awaitTermination(120)
     total = read_trips(spark, out)
     expected = process_trips(raw_frame(spark, rows))
     assert n_first == process_trips(raw_frame(spark, first)).count()

@@ -40,14 +40,16 @@ def process_stream(
     available_now: bool = True,
     processing_time: str | None = None,
     compat: bool = False,
+    max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
     """Start the streaming job; returns the running query.
 
     ``available_now`` processes every file present and stops (the incremental
     batch mode); otherwise it keeps running with ``processing_time`` triggers.
     The checkpoint defaults to a fresh folder under ``spark.checkpoint.dir``.
+    ``max_files_per_trigger`` bounds each micro-batch when a backlog arrives.
     """
-    trips = process_trips(read_raw_stream(spark, raw_dir), compat=compat)
+    trips = process_trips(read_raw_stream(spark, raw_dir, max_files_per_trigger), compat=compat)
     writer_df = with_layout_columns(trips) if layout == "by_date" else trips
     writer = (
         writer_df.writeStream.format("parquet")
