@@ -62,19 +62,26 @@ def local_session(
 
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared checkpoint directory of this session, if any."""
-    jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no SparkContext, read the session conf
+        return spark.conf.get("spark.checkpoint.dir", None) or None
+    jdir = sc._jsc.sc().getCheckpointDir()
     if jdir.isDefined():
         return jdir.get()
-    conf = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    return conf or None
+    return sc.getConf().get("spark.checkpoint.dir", None) or None
 
 
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str | None:
     """Keep the configured checkpoint dir; set ``fallback`` only when none is set."""
     current = checkpoint_dir(spark)
     if current:
-        if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-            spark.sparkContext.setCheckpointDir(current)
+        try:
+            sc = spark.sparkContext
+        except Exception:  # Spark Connect: the server side owns the setting
+            return current
+        if not sc._jsc.sc().getCheckpointDir().isDefined():
+            sc.setCheckpointDir(current)
         return current
     if fallback is None:
         if not spark.sparkContext.master.startswith("local"):
