@@ -83,14 +83,18 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
         if not sc._jsc.sc().getCheckpointDir().isDefined():
             sc.setCheckpointDir(current)
         return current
+    try:
+        sc = spark.sparkContext
+    except Exception as exc:  # Spark Connect: set spark.checkpoint.dir on the server
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder for this session") from exc
     if fallback is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if not sc.master.startswith("local"):
             # A machine-local folder is not shared by executors on a cluster.
             raise RuntimeError("set spark.checkpoint.dir to a shared folder on this cluster")
         import tempfile
 
         fallback = tempfile.mkdtemp(prefix="tripgrid-ckpt-")
-    spark.sparkContext.setCheckpointDir(fallback)
+    sc.setCheckpointDir(fallback)
     return checkpoint_dir(spark)
 
 
