@@ -199,3 +199,14 @@ def test_size_ladder(spark, scratch):
     first = spark.read.parquet(out[0][1])
     expected = sorted(rows, key=lambda r: (r[2], r[1]))[:20]
     assert sorted(r.licencia for r in first.collect()) == sorted(r[1] for r in expected)
+
+
+def test_size_ladder_csv_reads_back_as_raw_log(spark, scratch):
+    from tripgrid.operators.sample import write_size_ladder
+
+    rows = [raw_row(licencia=f"L{i}", pickup=f"2013-01-02 09:{i:02d}:00", dropoff=f"2013-01-02 10:{i:02d}:00")
+            for i in range(40)]
+    out = write_size_ladder(raw_frame(spark, rows), os.path.join(scratch, "ladder_csv"), (S.PICKUP_TIME, S.LICENSE),
+                            fractions=((1, 4), (1, 1)))
+    back = read_raw_trips(spark, out[0][1])
+    assert back.count() == 10 and back.where(F.col(S.PICKUP_TIME).isNull()).count() == 0

@@ -25,6 +25,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..schema import TIME_FORMAT
+
 # Above this many rows the distributed path is used.
 TAKE_ORDERED_MAX_ROWS = 50_000
 
@@ -124,7 +126,14 @@ def write_size_ladder(
     written = []
     for n, prefix in size_ladder(df, order, fractions):
         path = f"{out_dir.rstrip('/')}/{n}"
-        prefix.write.mode(mode).format(fmt).save(path)
+        writer = prefix.write.mode(mode).format(fmt)
+        if fmt == "csv":
+            # Same headerless layout and time format as the raw log, so the
+            # prefixes read back with the raw-log reader.
+            writer = writer.option("header", "false").option("timestampFormat", TIME_FORMAT).option(
+                "timestampNTZFormat", TIME_FORMAT
+            )
+        writer.save(path)
         written.append((n, path))
     return written
 
