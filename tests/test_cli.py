@@ -33,3 +33,14 @@ def test_command_lines(spark, scratch, capsys):
     assert spark.read.parquet(timings).count() == 5
     printed = capsys.readouterr().out
     assert "rank=0" in printed and "elapsed" in printed
+
+
+def test_grid_and_scan_commands(spark, scratch, capsys):
+    out = os.path.join(scratch, "grid")
+    assert main(["grid", out], spark=spark) == 0
+    grid = spark.read.option("header", "true").csv(out)
+    assert grid.count() == 90_000 and grid.columns == ["X", "Y", "LATITUD", "LONGITUD"]
+    raw_csv = os.path.join(scratch, "raw")
+    raw_frame(spark, [raw_row(), raw_row(medallon="T9")]).write.option("timestampNTZFormat", S.TIME_FORMAT).csv(raw_csv)
+    assert main(["scan-benchmark", raw_csv, os.path.join(scratch, "scan")], spark=spark) == 0
+    assert "parquet" in capsys.readouterr().out
