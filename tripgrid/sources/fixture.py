@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from decimal import Decimal
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -120,8 +121,12 @@ def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     key = (spark.sparkContext.applicationId, sf_dir)
     path = _MATERIALIZED.get(key)
-    if path is None:
-        path = scratch_path(spark, "raw-trips")
-        raw_trips_derived(spark, sf_dir).write.parquet(path)
-        _MATERIALIZED[key] = path
+    if path is not None:
+        try:
+            return spark.read.parquet(path)
+        except AnalysisException:  # scratch folder cleaned up meanwhile: write it again
+            pass
+    path = scratch_path(spark, "raw-trips")
+    raw_trips_derived(spark, sf_dir).write.parquet(path)
+    _MATERIALIZED[key] = path
     return spark.read.parquet(path)
