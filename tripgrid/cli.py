@@ -1,4 +1,4 @@
-"""Command lines matching the original jobs (run with ``spark-submit`` or ``python -m tripgrid``).
+"""Command lines matching the original jobs (run as ``python -m tripgrid`` or, installed, ``tripgrid``).
 
     process              <raw_csv> <out_parquet> [--timings PATH] [--layout by_date|flat]
     frequent-routes      <parquet> <YYYY-MM-DD> <HH:MM>
@@ -12,7 +12,8 @@
 Query commands print the ranked rows and, with ``--results PATH``, append the
 original result line (with the elapsed seconds) to a text sink; with
 ``--timings PATH`` they also append a timing row. No master is set here:
-``spark-submit`` (or the environment) decides where the job runs.
+the launcher's configuration (``spark-defaults.conf``, ``--master`` of the
+environment) decides where the job runs.
 """
 
 from __future__ import annotations
