@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from ._common import table
 from .bpe import decode_documents, encode_documents
+from .chat import digests, format_conversations
+from .exact_dedup import exact_duplicates
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 
@@ -20,3 +22,21 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decode_documents(ids, path, pattern).select(
         "doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256")
     )
+
+
+def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of equal texts over all documents; the row with the largest doc_id stays."""
+    return exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and conversation -1 whose texts are control strings, formatted and read back."""
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.range(2).select(
+        F.lit(-1).cast("bigint").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(said).alias("text"),
+    )
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return digests(format_conversations(rows.unionByName(extra)))

@@ -7,13 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import queries as q
+from . import sql
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_byte_bpe": q.op1_byte_bpe,
+        "op5_chat_formatting": q.op5_chat_formatting,
+        "op8_exact_dedup": q.op8_exact_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op5_chat_formatting": sql.OP5,
+        "op8_exact_dedup": sql.OP8,
+    }
