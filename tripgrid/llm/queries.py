@@ -10,6 +10,7 @@ from ._common import table
 from .bpe import decode_documents, encode_documents
 from .chat import digests, format_conversations
 from .exact_dedup import exact_duplicates
+from .warc import read_archives, write_archives
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 
@@ -40,3 +41,11 @@ def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     return digests(format_conversations(rows.unionByName(extra)))
+
+
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as WARC records into archives and read back."""
+    manifest = write_archives(table(spark, sf_dir, "pages"))
+    return read_archives(manifest, with_payload=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )

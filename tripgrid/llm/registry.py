@@ -14,6 +14,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_byte_bpe": q.op1_byte_bpe,
         "op5_chat_formatting": q.op5_chat_formatting,
+        "op6_warc": q.op6_warc,
         "op8_exact_dedup": q.op8_exact_dedup,
     }
 
@@ -21,5 +22,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op5_chat_formatting": sql.OP5,
+        "op6_warc": sql.OP6,
         "op8_exact_dedup": sql.OP8,
     }

@@ -36,3 +36,17 @@ g as (select text, max(doc_id) as keep_id, count(*) as group_size from t group b
 select doc_id, keep_id, group_size, doc_id = keep_id as kept, sha256(text) as text_sha256
 from t join g using (text)
 """
+
+# Eight groups of five hex digits are 20 bits each, that is four base32 letters.
+OP6 = """
+with p as (select page_id, coalesce(html, '') as body, sha1(coalesce(html, '')) as sha from pages),
+g as (select body, count(*) as copies, max(page_id) as response_id from p group by body)
+select page_id,
+  cast(octet_length(encode(body)) as bigint) as payload_bytes,
+  array_to_string(list_transform(range(32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + ((cast('0x' || substr(sha, 1 + 5 * (k // 4), 5) as bigint) >> (15 - 5 * (k % 4))) & 31), 1)), '') as payload_digest,
+  case when copies > 1 and page_id is distinct from response_id and response_id is not null
+    then 'revisit' else 'response' end as record_type,
+  case when copies > 1 and page_id is distinct from response_id then response_id end as refers_to
+from p join g using (body)
+"""
