@@ -10,6 +10,7 @@ from ._common import table
 from .bpe import decode_documents, encode_documents
 from .chat import digests, format_conversations
 from .exact_dedup import exact_duplicates
+from .mixing import mixed_sizes
 from .warc import read_archives, write_archives
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -49,3 +50,8 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_archives(manifest, with_payload=False).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
     )
+
+
+def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a mix of all documents to the sources' target weights takes of each."""
+    return mixed_sizes(table(spark, sf_dir, "documents"))

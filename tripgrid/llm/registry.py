@@ -13,6 +13,7 @@ from . import sql
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_byte_bpe": q.op1_byte_bpe,
+        "op2_source_mixing": q.op2_source_mixing,
         "op5_chat_formatting": q.op5_chat_formatting,
         "op6_warc": q.op6_warc,
         "op8_exact_dedup": q.op8_exact_dedup,
