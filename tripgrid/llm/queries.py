@@ -10,6 +10,7 @@ from ._common import table
 from .bpe import decode_documents, encode_documents
 from .chat import digests, format_conversations
 from .exact_dedup import exact_duplicates
+from .jaccard import jaccard_components
 from .mixing import mixed_sizes
 from .warc import read_archives, write_archives
 
@@ -55,3 +56,8 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a mix of all documents to the sources' target weights takes of each."""
     return mixed_sizes(table(spark, sf_dir, "documents"))
+
+
+def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents: 5-word shingles, similarity 0.8."""
+    return jaccard_components(table(spark, sf_dir, "documents"))

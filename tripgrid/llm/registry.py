@@ -17,6 +17,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_chat_formatting": q.op5_chat_formatting,
         "op6_warc": q.op6_warc,
         "op8_exact_dedup": q.op8_exact_dedup,
+        "op10_ngram_jaccard": q.op10_ngram_jaccard,
     }
 
 
@@ -25,4 +26,5 @@ def oracle_sql() -> dict[str, str]:
         "op5_chat_formatting": sql.OP5,
         "op6_warc": sql.OP6,
         "op8_exact_dedup": sql.OP8,
+        "op10_ngram_jaccard": sql.OP10,
     }

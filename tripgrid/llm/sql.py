@@ -50,3 +50,23 @@ select page_id,
   case when copies > 1 and page_id is distinct from response_id then response_id end as refers_to
 from p join g using (body)
 """
+
+OP10 = r"""
+with recursive w as (
+  select doc_id, regexp_extract_all(lower_az, '[^\x20\x09-\x0D]+') as words
+  from (select doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as lower_az from documents)
+), s as (
+  select doc_id, case when len(words) = 0 then [] when len(words) < 5 then [array_to_string(words, ' ')]
+    else list_distinct(list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i+4], ' '))) end as shingles,
+    len(words) < 5 as short from w
+), t as (
+  select doc_id, short, len(shingles) as n, unnest(shingles) as token from s
+), links as (
+  select a.doc_id as x, b.doc_id as y from t a join t b on a.token = b.token and a.short = b.short
+  where a.doc_id <> b.doc_id group by 1, 2, a.n, b.n having 100 * count(*) >= 80 * (a.n + b.n - count(*))
+), reach as (
+  select doc_id, doc_id as other from s union select reach.doc_id, links.y from reach join links on links.x = reach.other
+)
+select s.doc_id, cast(len(shingles) as bigint) as n_shingles, (select min(other) from reach r where r.doc_id = s.doc_id) as component_id
+from s
+"""
