@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ._common import table
+from .ann import nearest_neighbours
 from .bpe import decode_documents, encode_documents
 from .chat import digests, format_conversations
 from .exact_dedup import exact_duplicates
@@ -61,3 +62,8 @@ def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents: 5-word shingles, similarity 0.8."""
     return jaccard_components(table(spark, sf_dir, "documents"))
+
+
+def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest vectors, by cosine, of every vector whose vec_id is divisible by 50."""
+    return nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, k=5)

@@ -16,6 +16,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_source_mixing": q.op2_source_mixing,
         "op5_chat_formatting": q.op5_chat_formatting,
         "op6_warc": q.op6_warc,
+        "op7_nearest_neighbours": q.op7_nearest_neighbours,
         "op8_exact_dedup": q.op8_exact_dedup,
         "op10_ngram_jaccard": q.op10_ngram_jaccard,
     }
