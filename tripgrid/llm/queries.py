@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ._common import table
@@ -13,6 +13,7 @@ from .chat import digests, format_conversations
 from .exact_dedup import exact_duplicates
 from .jaccard import jaccard_components
 from .mixing import mixed_sizes
+from .quality import fit, grades
 from .warc import read_archives, write_archives
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -67,3 +68,18 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five nearest vectors, by cosine, of every vector whose vec_id is divisible by 50."""
     return nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, k=5)
+
+
+# Grades of the labels: 0 poor, 1 good but toxic, 2 good.
+N_GRADES = 3
+
+
+def rated() -> Column:
+    return F.when(F.col("quality") == 0, 0).when(F.col("toxic") == 1, 1).when(F.col("toxic") == 0, 2)
+
+
+def op4_quality_grades(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected grade and tail probabilities of all documents, and whether they are kept."""
+    documents = table(spark, sf_dir, "documents")
+    model = fit(documents, table(spark, sf_dir, "labels"), rated(), N_GRADES)
+    return grades(documents, model).withColumn("kept", F.col("p_at_least_1") >= 0.5)

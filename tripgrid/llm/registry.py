@@ -14,6 +14,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_byte_bpe": q.op1_byte_bpe,
         "op2_source_mixing": q.op2_source_mixing,
+        "op4_quality_grades": q.op4_quality_grades,
         "op5_chat_formatting": q.op5_chat_formatting,
         "op6_warc": q.op6_warc,
         "op7_nearest_neighbours": q.op7_nearest_neighbours,
