@@ -14,6 +14,7 @@ from .exact_dedup import exact_duplicates
 from .jaccard import jaccard_components
 from .mixing import mixed_sizes
 from .quality import fit, grades
+from .urlfilter import host_of, judge_captures
 from .warc import read_archives, write_archives
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -83,3 +84,51 @@ def op4_quality_grades(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     model = fit(documents, table(spark, sf_dir, "labels"), rated(), N_GRADES)
     return grades(documents, model).withColumn("kept", F.col("p_at_least_1") >= 0.5)
+
+
+def fetched_pages(pages: DataFrame) -> DataFrame:
+    """Pages as captures: a fetch time within two years follows from the page id."""
+    seconds = F.pmod(F.col("page_id") * 7919, F.lit(730 * 86400))
+    return pages.select("page_id", "url", F.timestamp_seconds(F.lit(1704067200) + seconds).alias("fetched_at"))
+
+
+def list_changes(pages: DataFrame) -> DataFrame:
+    """Dated list changes derived from the hosts, parent domains and URLs of the pages."""
+
+    def number(c: str) -> Column:
+        return F.conv(F.substring(F.md5(F.col(c).cast("binary")), 1, 4), 16, 10).cast("bigint")
+
+    def change(rows: DataFrame, name: str, allows: bool, kind: str, day: Column, listed: bool) -> DataFrame:
+        at = F.timestamp_seconds(F.lit(1704067200) + day * 86400)
+        return rows.select(
+            F.lit(name).alias("list"), F.lit(allows).alias("allows"), F.lit(kind).alias("kind"), "key", at.alias("changed_at"), F.lit(listed).alias("listed")
+        )
+
+    x = F.col("x")
+    hosts = pages.select(host_of(F.col("url")).alias("host")).where("host <> ''").distinct()
+    spam = hosts.select(F.col("host").alias("key"), number("host").alias("x")).where("x % 5 < 2")
+    parents = hosts.select(F.substring_index("host", ".", -2).alias("key")).distinct().select("key", number("key").alias("x"))
+    first = F.regexp_extract("url", r"^[^:]*://[^/?#]*/([^/?#]+)", 1)
+    partners = pages.select(F.concat(host_of(F.col("url")), F.lit("/"), first).alias("key"), first.alias("first")).where("first <> ''")
+    partners = partners.select("key").distinct().select("key", number("key").alias("x")).where("x % 7 = 0")
+    whole = pages.select(F.concat(host_of(F.col("url")), F.regexp_extract("url", r"^[^:]*://[^/?#]*([^#]*)", 1)).alias("key"))
+    whole = whole.where("key <> ''").distinct().select("key", number("key").alias("x")).where("x % 50 = 0")
+    parts = [
+        change(spam, "spam", False, "domain", x % 700, True),
+        change(spam, "spam", False, "domain", x % 700 + 30 + x % 97, False),
+        change(spam.where("x % 3 = 0"), "spam", False, "domain", x % 700 + 200, True),
+        change(parents, "malware", False, "domain", x % 500, True),
+        change(parents, "malware", False, "domain", x % 500 + 60, False),
+        change(partners, "partners", True, "prefix", x % 300, True),
+        change(whole, "malware", False, "url", x % 400, True),
+    ]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page judged by the list entries that were active when it was fetched."""
+    pages = table(spark, sf_dir, "pages")
+    return judge_captures(fetched_pages(pages), list_changes(pages))

@@ -14,6 +14,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_byte_bpe": q.op1_byte_bpe,
         "op2_source_mixing": q.op2_source_mixing,
+        "op3_url_filter": q.op3_url_filter,
         "op4_quality_grades": q.op4_quality_grades,
         "op5_chat_formatting": q.op5_chat_formatting,
         "op6_warc": q.op6_warc,
@@ -25,6 +26,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op3_url_filter": sql.OP3,
         "op5_chat_formatting": sql.OP5,
         "op6_warc": sql.OP6,
         "op8_exact_dedup": sql.OP8,

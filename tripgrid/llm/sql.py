@@ -70,3 +70,47 @@ with recursive w as (
 select s.doc_id, cast(len(shingles) as bigint) as n_shingles, (select min(other) from reach r where r.doc_id = s.doc_id) as component_id
 from s
 """
+
+_NUMBER = "cast('0x' || substr(md5({0}), 1, 4) as bigint)"
+_DAY = "timestamp '2024-01-01' + to_seconds(({0}) * 86400)"
+
+OP3 = rf"""
+with parts as (
+  select page_id, url, timestamp '2024-01-01' + to_seconds((page_id * 7919) % 63072000) as ts,
+    regexp_extract(lower(url), '^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1) as host,
+    regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1) as path,
+    regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^#]*)', 1) as rest
+  from pages
+), spam as (select host as key, {_NUMBER.format('host')} as x from (select distinct host from parts where host <> '')),
+parents as (select key, {_NUMBER.format('key')} as x
+  from (select distinct array_to_string(string_split(host, '.')[-2:], '.') as key from parts where host <> '')),
+partners as (select key, {_NUMBER.format('key')} as x from (select distinct host || '/' || string_split(path, '/')[2] as key
+  from parts where path like '/_%' and string_split(path, '/')[2] <> '')),
+wholes as (select key, {_NUMBER.format('key')} as x from (select distinct host || rest as key from parts where host || rest <> '')),
+changes as (
+  select 'spam' as list, false as allows, 'domain' as kind, key, {_DAY.format('x % 700')} as ts, true as listed from spam where x % 5 < 2
+  union all select 'spam', false, 'domain', key, {_DAY.format('x % 700 + 30 + x % 97')}, false from spam where x % 5 < 2
+  union all select 'spam', false, 'domain', key, {_DAY.format('x % 700 + 200')}, true from spam where x % 5 < 2 and x % 3 = 0
+  union all select 'malware', false, 'domain', key, {_DAY.format('x % 500')}, true from parents
+  union all select 'malware', false, 'domain', key, {_DAY.format('x % 500 + 60')}, false from parents
+  union all select 'partners', true, 'prefix', key, {_DAY.format('x % 300')}, true from partners where x % 7 = 0
+  union all select 'malware', false, 'url', key, {_DAY.format('x % 400')}, true from wholes where x % 50 = 0
+), states as (select list, allows, kind, key, ts, max(listed) as listed from changes group by all),
+intervals as (select *, lead(ts) over (partition by list, allows, kind, key order by ts) as until from states),
+labels as (select page_id, ts, host, rest, string_split(host, '.') as l,
+  list_filter(string_split(path, '/'), lambda s: s <> '') as p from parts where host <> ''),
+keys as (
+  select page_id, ts, 0 as level, 'domain' as kind, array_to_string(l[i:], '.') as key from labels, unnest(range(1, len(l) + 1)) as u(i)
+  union all select page_id, ts, 1, 'prefix', host || '/' || array_to_string(p[1:i], '/') from labels, unnest(range(1, len(p) + 1)) as u(i)
+  union all select page_id, ts, 2, 'url', host || rest from labels
+), matches as (
+  select page_id, level, length(key) as chars, allows, list, kind, key,
+    row_number() over (partition by page_id order by level desc, length(key) desc, allows desc, list desc, kind desc, key desc) as nth,
+    count(*) over (partition by page_id) as n_matches
+  from keys join intervals using (kind, key)
+  where listed and intervals.ts <= keys.ts and (until is null or keys.ts < until)
+)
+select page_id, parts.ts as fetched_at, coalesce(not allows, false) as blocked, coalesce(n_matches, 0) as n_matches,
+  coalesce(list || ' ' || kind || ' ' || key, '') as decided_by
+from parts left join (select * from matches where nth = 1) m using (page_id)
+"""
