@@ -21,19 +21,17 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.pandas.types import to_arrow_schema
 
-from ._common import bounded_batches
+from ._common import BATCH_BYTES
 
 # Entries a worker keeps of each memo; a full memo is emptied, which bounds its memory.
 PIECE_MEMO = 500_000
-PAIR_MEMO = 1_000_000
+PAIR_MEMO = 500_000
 
 
 def read_ranks(path: str) -> bytes:
@@ -61,7 +59,7 @@ class _Memo(dict):
 
 
 class Encoder:
-    """Encodes and decodes with one vocabulary, exactly as rank-ordered merging does."""
+    """Encodes with one vocabulary, exactly as rank-ordered merging does."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str) -> None:
         import ahocorasick
@@ -167,6 +165,13 @@ class Encoder:
         """Token ids as little-endian unsigned 32-bit integers."""
         return b"".join(map(self.pieces.__getitem__, self.split(text)))
 
+
+class Decoder:
+    """Bytes of token ids."""
+
+    def __init__(self, ranks: dict[bytes, int]) -> None:
+        self.token_bytes = {i: t for t, i in ranks.items()}
+
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.token_bytes.__getitem__, memoryview(ids).cast("I")))
 
@@ -184,31 +189,28 @@ def encoder(content: bytes, pattern: str) -> Encoder:
 
 
 def encode_documents(
-    df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text"
+    df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", keep: Sequence[str] = ()
 ) -> DataFrame:
-    """``(id, n_tokens, ids)``: ids as binary, little-endian unsigned 32-bit integers.
+    """``(id, *keep, n_tokens, ids)``: ids as binary, little-endian unsigned 32-bit integers.
 
     The vocabulary (a file of fixed size, about 1 MB) is broadcast.
     """
     shared = df.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
-    source = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-
-    schema = to_arrow_schema(
-        T.StructType([source.schema["id"], T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType())])
-    )
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    source = df.select(F.col(id_col).alias("id"), *keep, text.alias("to_encode"))
+    n = 1 + len(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(shared.value, pattern)
-
-        def rows():
-            for batch in batches:
-                for i, text in zip(batch.column(0), batch.column(1), strict=True):
-                    ids = enc.encode(text.as_py() or "")
-                    yield len(ids), (i.as_py(), len(ids) // 4, ids)
-
-        return bounded_batches(rows(), schema)
-
-    out = source.mapInArrow(run, f"id {source.schema['id'].dataType.simpleString()}, n_tokens bigint, ids binary")
+        encode = encoder(shared.value, pattern).encode
+        for batch in batches:
+            at = 0
+            for ids in _groups(encode(text.as_py()) for text in batch.column(n)):
+                columns = [c.slice(at, len(ids)) for c in batch.columns[:n]]
+                columns += [pa.array([len(i) // 4 for i in ids], pa.int64()), pa.array(ids, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names[:n], "n_tokens", "ids"])
+                at += len(ids)
+
+    out = source.mapInArrow(run, f"{_fields(source, n)}, n_tokens bigint, ids binary")
     return out.withColumnRenamed("id", id_col)
 
 
@@ -218,15 +220,34 @@ def decode_documents(df: DataFrame, ranks_path: str, pattern: str, ids_col: str
     Null ids decode to an empty value.
     """
     shared = df.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
-    keep = [c for c in df.columns if c not in (ids_col, "decoded")]
-    source = df.select(*keep, ids_col)
+    kept = [F.col(c) for c in df.columns if c not in (ids_col, "decoded")]
+    source = df.select(*kept, F.col(ids_col).alias("to_decode"))
+    n = len(kept)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(shared.value, pattern)
+        decode = Decoder(parse_ranks(shared.value)).decode
         for batch in batches:
-            decoded = pa.array([enc.decode(x.as_py() or b"") for x in batch.column(len(keep))], type=pa.binary())
-            names = [batch.schema.field(k).name for k in range(len(keep))]
-            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(len(keep))), decoded], names=[*names, "decoded"])
-
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:-1])
-    return source.mapInArrow(run, f"{fields}{', ' * bool(fields)}decoded binary")
+            at = 0
+            for values in _groups(decode(ids.as_py() or b"") for ids in batch.column(n)):
+                columns = [c.slice(at, len(values)) for c in batch.columns[:n]]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(values, pa.binary())], names=[*batch.schema.names[:n], "decoded"])
+                at += len(values)
+
+    return source.mapInArrow(run, ", ".join(x for x in (_fields(source, n), "decoded binary") if x))
+
+
+def _fields(df: DataFrame, n: int) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields[:n])
+
+
+def _groups(values: Iterable[bytes]) -> Iterator[list[bytes]]:
+    """Runs of values that together hold about BATCH_BYTES."""
+    group, size = [], 0
+    for value in values:
+        group.append(value)
+        size += len(value)
+        if size >= BATCH_BYTES:
+            yield group
+            group, size = [], 0
+    if group:
+        yield group

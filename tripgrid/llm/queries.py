@@ -12,6 +12,7 @@ from .bpe import decode_documents, encode_documents
 from .chat import digests, format_conversations
 from .exact_dedup import exact_duplicates
 from .jaccard import jaccard_components
+from .licences import sample_paragraphs, scan_licences, train
 from .mixing import mixed_sizes
 from .quality import fit, grades
 from .urlfilter import host_of, judge_captures
@@ -132,3 +133,10 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page judged by the list entries that were active when it was fetched."""
     pages = table(spark, sf_dir, "pages")
     return judge_captures(fetched_pages(pages), list_changes(pages))
+
+
+def op9_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence notices in all documents: paragraphs, notices found and confirmed, families."""
+    documents = table(spark, sf_dir, "documents")
+    found = scan_licences(documents, train(sample_paragraphs(documents)))
+    return found.withColumn("families", F.array_join("families", ", "))

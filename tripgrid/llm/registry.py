@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
+
 from . import queries as q
 from . import sql
 
@@ -20,7 +22,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_warc": q.op6_warc,
         "op7_nearest_neighbours": q.op7_nearest_neighbours,
         "op8_exact_dedup": q.op8_exact_dedup,
+        "op9_licences": q.op9_licences,
         "op10_ngram_jaccard": q.op10_ngram_jaccard,
+        "pipeline": corpus_pipeline.run,
     }
 
 
