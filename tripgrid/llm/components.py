@@ -1,30 +1,33 @@
 """Connected components of an edge table by alternating large-star and small-star rounds.
 
-Each round is two aggregations and two joins over the edges; the edges of a
-round are stored, so a lost executor costs one round at most. Components and
-links stay distributed; the driver sees one count and one checksum a round.
+A round is one aggregation and join, and one window over a node's smaller
+neighbours; its edges are stored, so a lost executor costs one round at most.
+Hubs are always a component's least nodes, whose many neighbours meet in a
+join that can be split. Components and links stay distributed; the driver sees
+one count and one checksum a round.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ._common import materialize
 
 
-def _star(edges: DataFrame) -> DataFrame:
-    """Link every larger neighbour of a node to the node's least neighbour (itself included)."""
+def _large_star(edges: DataFrame) -> DataFrame:
+    """Link every larger neighbour of a node to the least of the node and its neighbours."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("least"))
-    return both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("least").alias("b")).distinct()
+    return both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("least").alias("b"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Link a node and its smaller neighbours to the least of these; edges have a > b."""
-    least = edges.groupBy("a").agg(F.min("b").alias("least"))
-    others = edges.join(least, "a").where("b <> least").select(F.col("b").alias("a"), F.col("least").alias("b"))
-    return others.unionByName(least.select("a", F.col("least").alias("b"))).distinct()
+    # One exchange by a serves the deduplication and the window.
+    dealt = edges.repartition("a").dropDuplicates(["a", "b"])
+    marked = dealt.withColumn("least", F.min("b").over(Window.partitionBy("a")))
+    return marked.select(F.when(F.col("b") == F.col("least"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("least").alias("b"))
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -37,6 +40,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
         if found == state:
             break
         state = found
-        edges = materialize(_small_star(_star(edges)), "stars")
+        edges = materialize(_small_star(_large_star(edges)), "stars")
+    edges = edges.distinct()
     roots = edges.select(F.col("b").alias("node")).distinct().withColumn("component", F.col("node"))
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots)

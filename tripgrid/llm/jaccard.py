@@ -201,7 +201,7 @@ _EDGES = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
 def _candidates(units: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """``(a, b)``: a spanning forest of every unit's possible pairs."""
+    """``(a, b)``: links that connect what a unit's possible pairs connect."""
     rows = units.join(classes.select("rid", "n", "bits"), "rid").select("unit", "rid", "n", "bits")
     dealt = rows.repartition(parallelism(units.sparkSession), "unit").sortWithinPartitions("unit", "n", "rid")
 
@@ -210,30 +210,36 @@ def _candidates(units: DataFrame, classes: DataFrame, percent: int) -> DataFrame
             unit, rid, n = (c.to_numpy() for c in columns[:3])
             bits = [np.frombuffer(x.as_buffer(), dtype=np.uint64) for chunk in columns[3].chunks for x in chunk]
             signatures = Signatures(n, bits, percent)
-            a, b = signatures.small_pairs(unit)
-            found = [(rid[a], rid[b])]
-            starts = np.flatnonzero(np.append(True, unit[1:] != unit[:-1]))
-            for s, e in zip(starts.tolist(), np.append(starts[1:], len(unit)).tolist(), strict=True):
-                if e - s > LEAF:
-                    forest, rows_of = Forest(e - s), np.arange(s, e)
-                    for x, y in signatures.tree_pairs(rows_of):
-                        for p, q in _joining(forest, x - s, y - s):
-                            found.append((rid[[s + p]], rid[[s + q]]))
-            x, y = (np.concatenate([f[k] for f in found]) for k in (0, 1))
-            yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], schema=_EDGES)
+            yield _stars(unit, rid, signatures)
 
     return dealt.mapInArrow(run, "a bigint, b bigint")
 
 
-def _joining(forest: Forest, x: np.ndarray, y: np.ndarray, verify=None) -> Iterator[tuple[int, int]]:
-    """The pairs that connect two components, each of them verified if asked for."""
+def _join(forest: Forest, x: np.ndarray, y: np.ndarray, verify) -> None:
+    """Connect the pairs that are still apart, each of them verified if asked for."""
     for start in range(0, len(x), 4096):
         a, b = x[start : start + 4096], y[start : start + 4096]
         apart = forest.apart(a, b)
         for p, q in zip(a[apart].tolist(), b[apart].tolist(), strict=True):
             if forest.label[p] != forest.label[q] and (verify is None or verify(p, q)):
                 forest.join(p, q)
-                yield p, q
+
+
+def _stars(unit: np.ndarray, rid: np.ndarray, signatures: Signatures, verify=None) -> pa.RecordBatch:
+    """Edges from every row to the first of its component, for all units of a slab."""
+    small = Forest(len(unit))
+    _join(small, *signatures.small_pairs(unit), verify)
+    starts = np.flatnonzero(np.append(True, unit[1:] != unit[:-1])) if len(unit) else np.empty(0, dtype=np.int64)
+    labels = small.label
+    for s, e in zip(starts.tolist(), np.append(starts[1:], len(unit)).tolist(), strict=True):
+        if e - s > LEAF:
+            forest = Forest(e - s)
+            of_rows = None if verify is None else (lambda p, q, s=s: verify(s + p, s + q))
+            for x, y in signatures.tree_pairs(np.arange(s, e)):
+                _join(forest, x - s, y - s, of_rows)
+            labels[s:e] = s + forest.label
+    moved = np.flatnonzero(labels != np.arange(len(unit)))
+    return pa.RecordBatch.from_arrays([pa.array(rid[moved]), pa.array(rid[labels[moved]])], schema=_EDGES)
 
 
 def _cluster_blocks(clusters: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -252,7 +258,7 @@ def _cluster_blocks(clusters: DataFrame, classes: DataFrame, percent: int) -> Da
 
 
 def _verified(df: DataFrame, text_col: str, words: int, members: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """``(a, b)``: a spanning forest of every unit's links, verified on the token sets."""
+    """``(a, b)``: links that connect what a unit's links, verified on the token sets, connect."""
     keyed = members.join(classes.select("rid", "key"), "rid")
     halves = [F.conv(F.substring(F.hex("key"), k, 15), 16, 10).cast("bigint") for k in (1, 17)]
     filtered = df.sparkSession.sparkContext.broadcast(bloom.build(keyed, *halves))
@@ -285,16 +291,7 @@ def _verified(df: DataFrame, text_col: str, words: int, members: DataFrame, clas
                 return 100 * shared >= percent * (len(tokens[p]) + len(tokens[q]) - shared)
 
             signatures = Signatures(n, [bitmap(t) for t in tokens], percent)
-            forest = Forest(len(unit))
-            links = list(_joining(forest, *signatures.small_pairs(unit), verify=similar))
-            starts = np.flatnonzero(np.append(True, unit[1:] != unit[:-1]))
-            for s, e in zip(starts.tolist(), np.append(starts[1:], len(unit)).tolist(), strict=True):
-                if e - s > LEAF:
-                    for x, y in signatures.tree_pairs(np.arange(s, e)):
-                        links.extend(_joining(forest, x, y, verify=similar))
-            x = rid[np.array([p for p, _ in links], dtype=np.int64)]
-            y = rid[np.array([q for _, q in links], dtype=np.int64)]
-            yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], schema=_EDGES)
+            yield _stars(unit, rid, signatures, similar)
 
     return dealt.mapInArrow(verify_units, "a bigint, b bigint")
 
