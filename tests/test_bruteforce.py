@@ -89,7 +89,8 @@ def bf_q1s(rows, ref, hhmm, weekday):
     lo = (dt.datetime.combine(dt.date(2000, 1, 2), end) - dt.timedelta(minutes=30)).time()
     counts = defaultdict(int)
     for m, lic, s, e, pc, dc, f, t in rows:
-        if s.weekday() != weekday or not (_in_band(s, lo, end) and _in_band(e, lo, end)):
+        day = s.date() + dt.timedelta(days=1) if lo > end and _tod(s) >= lo else s.date()
+        if day.weekday() != weekday or not (_in_band(s, lo, end) and _in_band(e, lo, end)):
             continue
         w = 2 if abs((s - ref).total_seconds()) < 30 * 86400 else 1
         counts[(pc[0], pc[1], dc[0], dc[1])] += w
@@ -148,15 +149,17 @@ def bf_q2s(rows, weekday, ref, compat):
             return None
         return t.date() if _tod(t) <= end else t.date() + dt.timedelta(days=1)
 
+    def on_day(pickup, event):
+        # across midnight the event's band occurrence decides, else the pickup
+        return (occ(event) if wrap and lo30 > end else pickup).weekday() == weekday
+
     down = defaultdict(list)
     last_up = {}
     for r in rows:
         m, lic, s, e = r[:4]
-        if s.weekday() != weekday:
-            continue
-        if _in_band(e, lo30, end, wrap):
+        if _in_band(e, lo30, end, wrap) and on_day(s, e):
             down[(m, occ(e))].append(r)
-        if _in_band(s, lo30, end, wrap):
+        if _in_band(s, lo30, end, wrap) and on_day(s, s):
             key = (m, occ(s))
             last_up[key] = max(last_up.get(key, s), s)
     free = defaultdict(list)
@@ -166,7 +169,7 @@ def bf_q2s(rows, weekday, ref, compat):
             free[(last[5][1], last[5][0])].append(_tier(last[3], ref, compat))
     ben = defaultdict(list)
     for m, lic, s, e, pc, dc, f, t in rows:
-        if s.weekday() == weekday and _in_band(e, lo15, end, wrap):
+        if on_day(s, e) and _in_band(e, lo15, end, wrap):
             ben[(pc[1], pc[0])].append((f, t, _tier(e, ref, compat)))
 
     def mean(xs):

@@ -78,5 +78,6 @@ def test_clean_report(spark):
         "fail_moved": 1,
         "fail_payment": 1,
         "fail_box": 0,
+        "fail_grid": 0,
         "n_clean": 1,
     }

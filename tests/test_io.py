@@ -61,6 +61,8 @@ def test_process_job_and_layouts(spark, scratch):
     timings = os.path.join(scratch, "timings")
     secs = run_process(spark, csv, out, timing_path=timings)
     assert secs > 0
+    summary = performance_summary(read_timings(spark, timings)).first()
+    assert summary.filas == 9 and summary.velocidad > 0 and summary.eficiencia > 0 and summary.etiqueta == csv
     stored = read_trips(spark, out)
     assert set(S.LAYOUT_COLUMNS) <= set(stored.columns)
     assert stored.count() == 9
@@ -115,9 +117,14 @@ def test_timing_and_summary(spark, scratch):
 
 
 def test_scan_benchmark(spark, scratch):
-    raw = raw_frame(spark, [raw_row(), raw_row(medallon="x")])
-    out = {r.formato: r for r in scan_benchmark(spark, raw, os.path.join(scratch, "scan")).collect()}
-    assert out["csv"].filas == out["parquet"].filas == 2
+    csv, twin, timings = (os.path.join(scratch, x) for x in ("csv", "twin", "timings"))
+    raw_frame(spark, [raw_row(), raw_row(medallon="x")]).write.option("timestampNTZFormat", S.TIME_FORMAT).csv(csv)
+    for _ in range(2):  # the second run finds the twin
+        out = {r.formato: r for r in scan_benchmark(spark, csv, twin, timing_path=timings).collect()}
+        assert out["csv"].filas == out["parquet"].filas == 2
+    summary = performance_summary(read_timings(spark, timings)).collect()
+    assert {(r.trabajo, r.ejecuciones) for r in summary} == {("conteo_csv", 2), ("conteo_parquet", 2)}
+    assert all(r.velocidad and r.eficiencia for r in summary)
 
 
 def test_grid_cells(spark):
@@ -130,20 +137,36 @@ def test_grid_cells(spark):
     assert g.select("X", "Y").distinct().count() == 90_000
 
 
-def test_prefix_sample_paths_agree(spark):
+def test_prefix_sample(spark):
     rows = [
-        raw_row(medallon=f"T{i % 13}", licencia=f"L{i}", pickup=f"2013-01-01 09:{i % 60:02d}:00",
-                dropoff="2013-01-01 10:59:00")
+        raw_row(medallon=f"T{i % 13}", licencia=f"L{i}", pickup=f"2013-01-{1 + i % 3:02d} 09:{i % 7:02d}:00",
+                dropoff="2013-01-09 10:59:00")
         for i in range(300)
-    ]
+    ] + [raw_row(licencia=f"N{i}", pickup=None) for i in range(5)]
     df = raw_frame(spark, rows)
     order = (S.PICKUP_TIME, S.MEDALLION, S.LICENSE)
-    small = prefix_sample(df, 137, order).collect()
-    big = prefix_sample(df, 137, order, num_partitions=5, take_ordered_max=0).collect()
-    key = lambda r: (r.hora_subida, r.medallon, r.licencia)
-    assert sorted(small, key=key) == sorted(big, key=key)
-    assert len(big) == 137
-    assert prefix_sample(df, 1000, order, num_partitions=5, take_ordered_max=0).count() == 300
+    key = lambda r: (r[2] is None, r[2] or 0, r[0], r[1])
+    ordered = sorted(rows, key=key)
+    for n in (0, 1, 14, 15, 137, 299, 300, 303, 305, 1000):
+        got = prefix_sample(df, n, order).collect()
+        assert sorted(((r[0], r[1], r[2]) for r in got), key=lambda r: (r[2] is None, r[2] or 0, r)) == [
+            (r[0], r[1], r[2]) for r in ordered[:n]
+        ], n
+    assert prefix_sample(df.limit(0), 5, order).count() == 0
+
+
+def test_ladder_summary(spark):
+    from tripgrid.operators.sample import ladder_summary, size_ladder
+
+    rows = [raw_row(licencia=f"L{i}", pickup=f"2013-01-01 09:{i // 9:02d}:00") for i in range(100)]
+    rows += [raw_row(licencia=f"N{i}", pickup=None) for i in range(4)]
+    df = raw_frame(spark, rows)
+    sizes = [0, 1, 9, 10, 95, 102, 104]
+    out = {r.tamano: r for r in ladder_summary(df, (S.PICKUP_TIME, S.LICENSE), sizes=sizes).collect()}
+    for n in sizes:
+        assert out[n].filas == n
+        assert out[n].max_subida == max((r[2] for r in rows[:n] if r[2]), default=None)
+    assert [(n, p.count()) for n, p in size_ladder(df, (S.PICKUP_TIME, S.LICENSE), sizes=sizes)] == [(n, n) for n in sizes]
 
 
 def test_legacy_ltz_table_gives_same_answers(spark, scratch):

@@ -3,6 +3,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from conftest import raw_row, trips_frame
+from tripgrid.plans.profitable_areas import profitable_areas_seasonal
 from tripgrid import schema as S
 from tripgrid.operators.routes import route_counts
 from tripgrid.operators.topk import top_k
@@ -62,7 +63,7 @@ def test_q1s_weights_band_and_compat(spark):
 
 def test_q1s_band_across_midnight(spark):
     rows = [
-        raw_row(pickup="2013-01-01 23:50:00", dropoff="2013-01-01 23:58:00"),
+        raw_row(pickup="2013-01-07 23:50:00", dropoff="2013-01-07 23:58:00"),
         raw_row(pickup="2013-01-08 00:01:00", dropoff="2013-01-08 00:09:00"),
         raw_row(pickup="2013-01-08 00:11:00", dropoff="2013-01-08 00:14:00"),
     ]
@@ -76,3 +77,16 @@ def test_partition_invariance(spark):
     a = frequent_routes(t, "2013-01-01 10:00").collect()
     b = frequent_routes(t.repartition(7, S.MEDALLION), "2013-01-01 10:00").collect()
     assert a == b
+
+
+def test_seasonal_band_across_midnight_belongs_to_the_day_it_ends(spark):
+    rows = [
+        raw_row(pickup="2013-03-04 23:50:00", dropoff="2013-03-05 00:05:00", pickup_cell=(10, 11)),  # Monday to Tuesday
+        raw_row(pickup="2013-03-05 23:50:00", dropoff="2013-03-06 00:05:00", pickup_cell=(12, 13)),  # Tuesday to Wednesday
+        raw_row(pickup="2013-03-05 00:01:00", dropoff="2013-03-05 00:10:00", pickup_cell=(14, 15)),
+    ]
+    trips = trips_frame(spark, rows)
+    got = frequent_routes_seasonal(trips, "marzo", "martes", "00:15").collect()
+    assert {(r.cuad_longitud_subida, r.cuad_latitud_subida) for r in got} == {(10, 11), (14, 15)}
+    areas = profitable_areas_seasonal(trips, "martes", "03-05", "00:15").collect()
+    assert {(r.cuad_longitud, r.cuad_latitud) for r in areas} == {(10, 11), (14, 15)}

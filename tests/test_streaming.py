@@ -91,3 +91,13 @@ def test_process_stream_restarts_exactly_once(spark, scratch):
     expected = process_trips(raw_frame(spark, rows))
     assert n_first == process_trips(raw_frame(spark, first)).count()
     assert sorted(map(tuple, total.collect())) == sorted(map(tuple, expected.collect()))
+
+
+def test_process_stream_called_again_without_a_checkpoint(spark, scratch):
+    """The checkpoint belongs to the output: 5 rows, then 7 new ones, are 12."""
+    raw_dir, out = os.path.join(scratch, "raw"), os.path.join(scratch, "trips")
+    rows = [raw_row(licencia=f"L{i}", pickup=f"2013-01-02 09:{i:02d}:00", dropoff=f"2013-01-02 10:{i:02d}:00") for i in range(12)]
+    for name, part in (("a", rows[:5]), ("b", rows[5:])):
+        raw_frame(spark, part).coalesce(1).write.option("timestampNTZFormat", S.TIME_FORMAT).csv(os.path.join(raw_dir, name))
+        process_stream(spark, raw_dir + "/*", out).awaitTermination(120)
+    assert sorted(r.licencia for r in read_trips(spark, out).collect()) == sorted(r[1] for r in rows)

@@ -14,10 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import schema as S
-from .functions.grid import cell_corner_lat, cell_corner_lon
 from .functions.time import band_before, in_time_of_day, ts_literal
 from .operators.benefit import area_benefit, seasonal_area_benefit
 from .operators.clean import clean_report, process_trips
+from .operators.grid import grid_cells
 from .operators.routes import route_counts
 from .operators.sample import ladder_summary, prefix_sample
 from .operators.taxis import (
@@ -27,6 +27,7 @@ from .operators.taxis import (
     weighted_free_taxis,
     with_in_use_flag,
 )
+from .plans.benchmark import run_process, scan_benchmark
 from .plans.frequent_routes import frequent_routes, frequent_routes_seasonal
 from .plans.profitable_areas import (
     profitable_areas,
@@ -111,15 +112,51 @@ def _q_trip_cells(spark, sf_dir):
     return trips(spark, sf_dir).select("k", *S.DERIVED_COLUMNS)
 
 
+def _q_clean_report_compat(spark, sf_dir):
+    return clean_report(raw_trips(spark, sf_dir), compat=True)
+
+
 def _q_grid_cells(spark, sf_dir):
-    """Grid dimension rows (X, Y, NW corner) of every cell a trip starts or ends in."""
-    t = trips(spark, sf_dir)
-    used = (
-        t.select(F.col(S.PICKUP_LON_CELL).alias("X"), F.col(S.PICKUP_LAT_CELL).alias("Y"))
-        .unionByName(t.select(F.col(S.DROPOFF_LON_CELL).alias("X"), F.col(S.DROPOFF_LAT_CELL).alias("Y")))
-        .distinct()
+    """The grid dimension with the trips that start in each cell."""
+    counts = trips(spark, sf_dir).groupBy(S.PICKUP_LON_CELL, S.PICKUP_LAT_CELL).agg(F.count(F.lit(1)).alias("n"))
+    here = (F.col("X") == F.col(S.PICKUP_LON_CELL)) & (F.col("Y") == F.col(S.PICKUP_LAT_CELL))
+    return grid_cells(spark).join(counts, here, "left").select(
+        "X", "Y", "LATITUD", "LONGITUD", F.coalesce("n", F.lit(0).cast("bigint")).alias("viajes")
     )
-    return used.select("X", "Y", cell_corner_lat("Y").alias("LATITUD"), cell_corner_lon("X").alias("LONGITUD"))
+
+
+def _raw_csv(spark, sf_dir):
+    """The raw log as the headerless CSV that the original job reads."""
+    path = scratch_path(spark, "raw-csv")
+    raw_trips(spark, sf_dir).drop("k").write.option("timestampNTZFormat", S.TIME_FORMAT).csv(path)
+    return path
+
+
+def _q_process_csv(spark, sf_dir):
+    """The whole job: raw CSV -> cleaned and enriched table -> read back."""
+    path = scratch_path(spark, "processed")
+    run_process(spark, _raw_csv(spark, sf_dir), path)
+    return read_trips(spark, path).select(
+        S.MEDALLION,
+        S.LICENSE,
+        S.PICKUP_TIME,
+        S.DROPOFF_TIME,
+        S.DURATION,
+        _unscaled(S.PICKUP_LON).alias("lon_subida_e14"),
+        _unscaled(S.DROPOFF_LAT).alias("lat_bajada_e14"),
+        S.PAYMENT,
+        (F.col(S.FARE) * 100).cast("bigint").alias("tarifa_c"),
+        (F.col(S.TIP) * 100).cast("bigint").alias("propina_c"),
+        (F.col(S.TOTAL) * 100).cast("bigint").alias("total_c"),
+        *S.DERIVED_COLUMNS,
+    )
+
+
+def _q_prefix_sample_large(spark, sf_dir):
+    """Nine tenths of the log."""
+    raw = raw_trips(spark, sf_dir)
+    n = raw.count() * 9 // 10
+    return prefix_sample(raw, n, order=(S.PICKUP_TIME, "k", S.MEDALLION, S.LICENSE)).select("k", S.MEDALLION, S.PICKUP_TIME)
 
 
 def _q_prefix_sample(spark, sf_dir):
@@ -131,7 +168,7 @@ def _q_prefix_sample(spark, sf_dir):
 def _q_size_ladder(spark, sf_dir):
     """The 13 prefix sizes of the time-ordered raw log, their rows and last pickup."""
     raw = raw_trips(spark, sf_dir)
-    return ladder_summary(raw, order=(S.PICKUP_TIME, "k", S.MEDALLION, S.LICENSE), time_col=S.PICKUP_TIME)
+    return ladder_summary(raw, order=(S.PICKUP_TIME, "k", S.MEDALLION, S.LICENSE))
 
 
 def _q_frequent_routes(spark, sf_dir):
@@ -307,9 +344,30 @@ def _q_roundtrip_csv(spark, sf_dir):
 
 
 def _q_scan_benchmark(spark, sf_dir):
-    from .plans.benchmark import scan_benchmark
+    """Rows counted in the raw CSV and in its Parquet twin; the times go to the timing log."""
+    scratch = scratch_path(spark, "scan")
+    found = scan_benchmark(spark, _raw_csv(spark, sf_dir), f"{scratch}/parquet", timing_path=f"{scratch}/timings")
+    return found.select("formato", "filas")
+
+
+MIDNIGHT_ROUTES = ("marzo", "martes", "00:15")
+MIDNIGHT_AREAS = ("martes", "03-01", "00:15")
+
+
+def _q_routes_midnight(spark, sf_dir):
+    return frequent_routes_seasonal(trips(spark, sf_dir), *MIDNIGHT_ROUTES)
+
+
+def _q_routes_midnight_compat(spark, sf_dir):
+    return frequent_routes_seasonal(trips(spark, sf_dir), *MIDNIGHT_ROUTES, compat=True)
+
+
+def _q_areas_midnight(spark, sf_dir):
+    return profitable_areas_seasonal(trips(spark, sf_dir), *MIDNIGHT_AREAS, tiebreak=TIEBREAK)
+
 
-    return scan_benchmark(spark, raw_trips(spark, sf_dir), scratch_path(spark, "scan"))
+def _q_areas_midnight_compat(spark, sf_dir):
+    return profitable_areas_seasonal(trips(spark, sf_dir), *MIDNIGHT_AREAS, compat=True, tiebreak=TIEBREAK)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -317,10 +375,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "raw_trips_profile": _q_raw_profile,
         "clean_trips": _q_clean_trips,
         "clean_report": _q_clean_report,
+        "clean_report_compat": _q_clean_report_compat,
         "clean_report_any_differs": _q_clean_report_any_differs,
         "trip_cells": _q_trip_cells,
         "grid_cells": _q_grid_cells,
+        "process_csv": _q_process_csv,
         "prefix_sample": _q_prefix_sample,
+        "prefix_sample_large": _q_prefix_sample_large,
         "size_ladder": _q_size_ladder,
         "frequent_routes": _q_frequent_routes,
         "route_counts": _q_route_counts,
@@ -343,6 +404,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "profitable_areas_b": _q_profitable_areas_b,
         "profitable_areas_seasonal_b": _q_profitable_areas_seasonal_b,
         "profitable_areas_seasonal_b_compat": _q_profitable_areas_seasonal_b_compat,
+        "frequent_routes_seasonal_midnight": _q_routes_midnight,
+        "frequent_routes_seasonal_midnight_compat": _q_routes_midnight_compat,
+        "profitable_areas_seasonal_midnight": _q_areas_midnight,
+        "profitable_areas_seasonal_midnight_compat": _q_areas_midnight_compat,
         "result_line": _q_result_line,
         "roundtrip_parquet": _q_roundtrip_parquet,
         "roundtrip_csv": _q_roundtrip_csv,

@@ -32,7 +32,7 @@ from .plans.frequent_routes import frequent_routes, frequent_routes_seasonal
 from .plans.profitable_areas import profitable_areas, profitable_areas_seasonal, seasonal_instant
 from .plans.result_line import area_line, route_line
 from .session import SQL_CONF, STATIC_CONF
-from .sources.trips_io import append_timing, read_raw_trips, read_timings, read_trips, write_result_line
+from .sources.trips_io import append_timing, read_timings, read_trips, session_cores, write_result_line
 
 
 def _session() -> SparkSession:
@@ -56,7 +56,9 @@ def _finish(spark, args, ranked, line_fn, name, start, end, t0) -> None:
         fetched = spark.createDataFrame(rows, ranked.schema)
         write_result_line(line_fn(fetched, name, start, end, elapsed), args.results)
     if args.timings:
-        append_timing(spark, args.timings, name, elapsed, label=args.parquet)
+        append_timing(
+            spark, args.timings, name, elapsed, read_trips(spark, args.parquet).count(), session_cores(spark), args.parquet
+        )
 
 
 def _frequent_routes(spark, args) -> None:
@@ -106,7 +108,7 @@ def _grid(spark, args) -> None:
 
 
 def _scan_benchmark(spark, args) -> None:
-    scan_benchmark(spark, read_raw_trips(spark, args.raw_csv), args.scratch).show(truncate=False)
+    scan_benchmark(spark, args.raw_csv, f"{args.scratch.rstrip('/')}/parquet").show(truncate=False)
 
 
 def _summary(spark, args) -> None:

@@ -173,6 +173,10 @@ def band_before(end: str | _dt.time, minutes: float) -> tuple[_dt.time, _dt.time
     return start, end_t
 
 
+def crosses_midnight(lo: str | _dt.time, hi: str | _dt.time) -> bool:
+    return time_to_micros(parse_time(lo)) > time_to_micros(parse_time(hi))
+
+
 def band_occurrence_date(col: str, end: str | _dt.time) -> Column:
     """Date on which the band occurrence that contains ``col`` ends.
 

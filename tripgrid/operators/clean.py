@@ -96,6 +96,13 @@ def cleaning_rules(moved_mode: str = "both_differ") -> dict[str, Column]:
     }
 
 
+def grid_rule() -> Column:
+    """Both trip ends in a cell of 1..300 (the far box edges fall into cell 301)."""
+    return in_grid(
+        lat_cell(S.PICKUP_LAT), lon_cell(S.PICKUP_LON), lat_cell(S.DROPOFF_LAT), lon_cell(S.DROPOFF_LON), size=GRID_SIZE
+    )
+
+
 def cleaning_rule(moved_mode: str = "both_differ") -> Column:
     cond = F.lit(True)
     for rule in cleaning_rules(moved_mode).values():
@@ -149,15 +156,18 @@ def process_trips(
     return enrich(clean_trips(raw, moved_mode, extra), compat=compat)
 
 
-def clean_report(raw: DataFrame, moved_mode: str = "both_differ") -> DataFrame:
-    """One row: raw count, rows failing each rule (a row may fail several), clean count.
+def clean_report(raw: DataFrame, moved_mode: str = "both_differ", compat: bool = False) -> DataFrame:
+    """One row: raw count, rows failing each rule (a row may fail several), rows the job writes.
 
+    ``n_clean`` is the row count of ``process_trips`` with the same options:
+    the rule ``grid`` decides too, unless ``compat`` keeps the far box edge.
     One pass, one global aggregate (partial per task, final over one row per task).
     """
-    rules = cleaning_rules(moved_mode)
+    rules = cleaning_rules(moved_mode) | {"grid": grid_rule()}
+    kept = cleaning_rule(moved_mode) if compat else cleaning_rule(moved_mode) & rules["grid"]
     aggs = [F.count(F.lit(1)).alias("n_raw")]
     for name, rule in rules.items():
         # A NULL comparison removes the row in WHERE, so it counts as a failure.
         aggs.append(F.count_if(~F.coalesce(rule, F.lit(False))).alias(f"fail_{name}"))
-    aggs.append(F.count_if(F.coalesce(cleaning_rule(moved_mode), F.lit(False))).alias("n_clean"))
+    aggs.append(F.count_if(F.coalesce(kept, F.lit(False))).alias("n_clean"))
     return raw.agg(*aggs)

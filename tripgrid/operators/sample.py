@@ -1,35 +1,22 @@
-"""First ``n`` rows of a table in a given order, and the size ladder of the benchmarks.
-
-Small ``n``: ``orderBy().limit(n)`` = ``TakeOrderedAndProject`` (a per-task
-top-n, then one merge of ``n x tasks`` rows).
-
-Large ``n`` (a tenth of a 100 TB log, say): that merge would funnel
-``n x tasks`` rows into one task, so instead :func:`with_position` numbers
-every row with its global position:
-  1. range-partition on the order keys and sort inside each partition
-     (tie columns in the key split a hot timestamp over several partitions);
-  2. number rows inside each partition (``monotonically_increasing_id`` keeps
-     the partition index in its upper bits) and cut lineage with a reliable
-     checkpoint, so every later use sees the same rows and numbers;
-  3. count rows per partition (one row per partition), turn the counts into
-     start offsets, broadcast them (their size is the partition count) and add
-     ``offset + row index``.
-No step moves more than one partition's rows through one task, and a whole
-ladder of prefixes costs one sort.
+"""First ``n`` rows of a time-ordered table, and the size ladder of the benchmarks.
+
+One plan for every ``n``, without sorting the table: rows are counted per day
+of the first order column (a row per day), then per second of the days in which
+a prefix ends (at most 86,400 rows each). All rows before a prefix's last
+second belong to it; only the rows of that one second are put in order. Any
+number of prefixes share the counts.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schema import TIME_FORMAT
 
-# Above this many rows the distributed path is used.
-TAKE_ORDERED_MAX_ROWS = 50_000
-
 # The prefix sizes of the original size ladder, as fractions of
 # the whole log (1/1000, 1/500, 1/50, 1/10 ... 9/10, all).
 LADDER_FRACTIONS = (
@@ -48,53 +35,82 @@ LADDER_FRACTIONS = (
     (1, 1),
 )
 
-POSITION = "posicion"
-_PART_SHIFT = 33  # monotonically_increasing_id = partition index << 33 | row index
 
+@dataclass(frozen=True)
+class Cutoff:
+    """A prefix: all rows before ``second``, and the first ``ties`` rows of it.
 
-def with_position(df: DataFrame, order: Sequence[str], num_partitions: int | None = None) -> DataFrame:
-    """``df`` plus ``posicion``: the 0-based global position of each row in ``order``.
-
-    Include enough tie columns in ``order`` to make it total, or positions
-    among equal keys are arbitrary.
+    ``second`` is None where the prefix ends among the rows without a time,
+    which come last; ``everything`` tells that it holds the whole table.
     """
+
+    size: int
+    second: object
+    ties: int
+    everything: bool = False
+
+
+def _second(order: Sequence[str]) -> Column:
+    return F.date_trunc("second", F.col(order[0]).cast("timestamp_ntz")).cast("timestamp_ntz")
+
+
+def _ends(counts: list[tuple[object, int]], sizes: Sequence[int]) -> dict[int, tuple[object, int]]:
+    """For each size the key in which the prefix ends and the rows it takes of it."""
+    out, before = {}, 0
+    for key, n in sorted(counts, key=lambda x: (x[0] is None, x[0])):
+        for size in sizes:
+            if before < size <= before + n:
+                out[size] = (key, size - before)
+        before += n
+    return out
+
+
+def prefix_cutoffs(df: DataFrame, sizes: Sequence[int] | None, order: Sequence[str], fractions=()) -> list[Cutoff]:
+    """Where the prefixes of the given sizes (or fractions of the rows) end."""
+    day = F.to_date(F.col(order[0]))
+    days = [tuple(r) for r in df.groupBy(day.alias("day")).agg(F.count(F.lit(1))).collect()]  # a row per day
+    total = sum(n for _, n in days)
+    sizes = list(sizes) if sizes is not None else ladder_sizes(total, fractions)
+    in_days = _ends(days, sizes)
+    ending = sorted({d for d, _ in in_days.values() if d is not None})
+    seconds: dict[object, list[tuple[object, int]]] = {}
+    if ending:
+        counted = df.where(day.isin(ending)).groupBy(day.alias("day"), _second(order).alias("second")).agg(F.count(F.lit(1)).alias("n"))
+        for r in counted.toLocalIterator():  # at most 86,400 rows for each prefix
+            seconds.setdefault(r.day, []).append((r.second, r.n))
+    out = []
+    for size in sizes:
+        if size >= total or size <= 0:
+            out.append(Cutoff(size, None, 0, everything=size > 0))
+            continue
+        last_day, of_day = in_days[size]
+        second, ties = (None, of_day) if last_day is None else _ends(seconds[last_day], [of_day])[of_day]
+        out.append(Cutoff(size, second, ties))
+    return out
+
+
+def _prefix(df: DataFrame, cutoff: Cutoff, order: Sequence[str]) -> DataFrame:
+    if cutoff.everything:
+        return df
+    if cutoff.size <= 0:
+        return df.limit(0)
     keys = [F.col(c).asc_nulls_last() for c in order]
-    cols = df.columns
-    ranged = (
-        df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys)
-    )
-    numbered = ranged.sortWithinPartitions(*keys).withColumn("_rid", F.monotonically_increasing_id())
-    # Reliable checkpoint (spark.checkpoint.dir): ids and partition contents are fixed from here on.
-    numbered = numbered.checkpoint(eager=True)
-    part = F.shiftright("_rid", _PART_SHIFT).alias("_part")
-    counts = numbered.groupBy(part).agg(F.count(F.lit(1)).alias("_n"))
-    offsets = counts.select(
-        "_part",
-        F.coalesce(
-            F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)),
-            F.lit(0),
-        ).alias("_offset"),
-    )
-    # One row per partition of `numbered`: a size bound known before the join.
-    joined = numbered.join(F.broadcast(offsets), F.shiftright("_rid", _PART_SHIFT) == F.col("_part"))
-    position = F.col("_offset") + (F.col("_rid") - (F.col("_part") * F.lit(1 << _PART_SHIFT)))
-    return joined.select(*cols, position.alias(POSITION))
+    second = _second(order)
+    if cutoff.second is None:
+        before, last = second.isNotNull(), second.isNull()
+    else:
+        end = F.lit(cutoff.second).cast("timestamp_ntz")
+        before, last = second < end, second == end
+    return df.where(before).unionByName(df.where(last).orderBy(*keys).limit(cutoff.ties))
 
 
-def prefix_sample(
-    df: DataFrame,
-    n: int,
-    order: Sequence[str],
-    num_partitions: int | None = None,
-    take_ordered_max: int = TAKE_ORDERED_MAX_ROWS,
-) -> DataFrame:
-    """The first ``n`` rows of ``df`` ordered by ``order`` (ascending)."""
-    if n <= 0:
-        return df.limit(0)
-    if n <= take_ordered_max:
-        return df.orderBy(*[F.col(c).asc_nulls_last() for c in order]).limit(n)
-    positioned = with_position(df, order, num_partitions)
-    return positioned.where(F.col(POSITION) < n).drop(POSITION)
+def prefix_sample(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
+    """The first ``n`` rows of ``df`` ordered by ``order`` (ascending, nulls last).
+
+    ``order`` begins with a timestamp; include enough tie columns to make it
+    total, or the choice among equal rows is arbitrary.
+    """
+    return _prefix(df, prefix_cutoffs(df, [n], order)[0], order)
 
 
 def ladder_sizes(total: int, fractions: Sequence[tuple[int, int]] = LADDER_FRACTIONS) -> list[int]:
@@ -106,12 +122,10 @@ def size_ladder(
     df: DataFrame,
     order: Sequence[str],
     fractions: Sequence[tuple[int, int]] = LADDER_FRACTIONS,
-    num_partitions: int | None = None,
+    sizes: Sequence[int] | None = None,
 ) -> list[tuple[int, DataFrame]]:
-    """``[(size, prefix)]`` for every ladder fraction, from one sort of ``df``."""
-    positioned = with_position(df, order, num_partitions)
-    total = positioned.count()
-    return [(n, positioned.where(F.col(POSITION) < n).drop(POSITION)) for n in ladder_sizes(total, fractions)]
+    """``[(size, prefix)]`` for every ladder fraction, or for the given ``sizes``."""
+    return [(c.size, _prefix(df, c, order)) for c in prefix_cutoffs(df, sizes, order, fractions)]
 
 
 def write_size_ladder(
@@ -121,10 +135,11 @@ def write_size_ladder(
     fractions: Sequence[tuple[int, int]] = LADDER_FRACTIONS,
     fmt: str = "csv",
     mode: str = "errorifexists",
+    sizes: Sequence[int] | None = None,
 ) -> list[tuple[int, str]]:
     """Write every prefix to ``{out_dir}/{size}`` (CSV by default, as the original logs)."""
     written = []
-    for n, prefix in size_ladder(df, order, fractions):
+    for n, prefix in size_ladder(df, order, fractions, sizes):
         path = f"{out_dir.rstrip('/')}/{n}"
         writer = prefix.write.mode(mode).format(fmt)
         if fmt == "csv":
@@ -141,17 +156,34 @@ def write_size_ladder(
 def ladder_summary(
     df: DataFrame,
     order: Sequence[str],
-    time_col: str,
     fractions: Sequence[tuple[int, int]] = LADDER_FRACTIONS,
-    num_partitions: int | None = None,
+    sizes: Sequence[int] | None = None,
 ) -> DataFrame:
-    """One row per ladder size: (tamano, filas, max time of the prefix), in one pass."""
-    positioned = with_position(df, order, num_partitions)
-    sizes = ladder_sizes(positioned.count(), fractions)
-    pos = F.col(POSITION)
+    """One row per ladder size: (tamano, filas, time of the prefix's last row), from one aggregate."""
+    time_col = order[0]
+    cutoffs = prefix_cutoffs(df, sizes, order, fractions)
+    second = _second(order)
+    ends = sorted({c.second for c in cutoffs if c.second is not None})
+    # Rows of the last seconds are numbered in order; all others only counted.
+    numbered = df.withColumn("_second", second)
+    last = numbered.where(F.col("_second").isin(ends)).withColumn(
+        "_nth", F.row_number().over(Window.partitionBy("_second").orderBy(*[F.col(c).asc_nulls_last() for c in order]))
+    )
+    rest = numbered.where(~F.coalesce(F.col("_second").isin(ends), F.lit(False))).withColumn("_nth", F.lit(0))
+    rows = (last.unionByName(rest) if ends else rest).select(time_col, "_second", "_nth")
     aggs = []
-    for i, n in enumerate(sizes):
-        aggs += [F.count_if(pos < n).alias(f"f{i}"), F.max(F.when(pos < n, F.col(time_col))).alias(f"t{i}")]
-    wide = positioned.agg(*aggs)
-    rows = ", ".join(f"{n}L, f{i}, t{i}" for i, n in enumerate(sizes))
-    return wide.selectExpr(f"stack({len(sizes)}, {rows}) AS (tamano, filas, max_subida)")
+    for i, c in enumerate(cutoffs):
+        if c.everything:
+            inside = F.lit(True)
+        elif c.size <= 0:
+            inside = F.lit(False)
+        elif c.second is None:
+            inside = F.col("_second").isNotNull()
+        else:
+            end = F.lit(c.second).cast("timestamp_ntz")
+            inside = (F.col("_second") < end) | ((F.col("_second") == end) & (F.col("_nth") <= c.ties))
+        n_null = c.ties if not c.everything and c.size > 0 and c.second is None else 0
+        aggs += [(F.count_if(F.coalesce(inside, F.lit(False))) + n_null).alias(f"f{i}"), F.max(F.when(inside, F.col(time_col))).alias(f"t{i}")]
+    wide = rows.agg(*aggs)
+    stacked = ", ".join(f"{c.size}L, f{i}, t{i}" for i, c in enumerate(cutoffs))
+    return wide.selectExpr(f"stack({len(cutoffs)}, {stacked}) AS (tamano, filas, max_subida)")

@@ -18,40 +18,63 @@ li AS (
          l_suppkey, l_partkey
   FROM lineitem
 ),
+wide AS (SELECT *, (k // 11) % 5 = 0 AS w FROM li),
 gen AS (
   SELECT *,
-    150 + least((k // 13) % 5, (k // 37) % 5, (k // 483) % 5) AS ca,
-    155 + least((k // 17) % 5, (k // 41) % 5, (k // 699) % 5) AS cb,
-    150 + least((k // 29) % 5, (k // 43) % 5, (k // 1249) % 5) AS cc,
-    155 + least((k // 31) % 5, (k // 47) % 5, (k // 1459) % 5) AS cd,
-    ((k // 8) % 84) * 86400 + 33300 + (k // 672) % 3600 AS start_s,
+    CASE WHEN w THEN (k // 13) % 300 + 1 ELSE 150 + least((k // 13) % 5, (k // 37) % 5, (k // 483) % 5) END AS ca,
+    CASE WHEN w THEN (k // 17) % 300 + 1 ELSE 155 + least((k // 17) % 5, (k // 41) % 5, (k // 699) % 5) END AS cb,
+    CASE WHEN w THEN (k // 29) % 300 + 1 ELSE 150 + least((k // 29) % 5, (k // 43) % 5, (k // 1249) % 5) END AS cc,
+    CASE WHEN w THEN (k // 31) % 300 + 1 ELSE 155 + least((k // 31) % 5, (k // 47) % 5, (k // 1459) % 5) END AS cd,
+    ((k // 8) % 84) * 86400
+      + CASE WHEN (k // 5) % 4 = 0 THEN (k // 672) % 86400 ELSE 33300 + (k // 672) % 3600 END AS start_s,
     CAST((k // 7) % 900 AS INTEGER) AS dur,
     250 + (k // 19) % 5000 AS fare_c,
     (k // 23) % 1000 AS tip_c
-  FROM li
+  FROM wide
 ),
 raw AS (
   SELECT
-    CASE WHEN k % 97 = 0 THEN '' ELSE 'T' || CAST(l_suppkey AS VARCHAR) END AS medallon,
-    'L' || CAST(l_partkey AS VARCHAR) AS licencia,
+    CASE WHEN k % 97 = 0 THEN '' WHEN k % 89 <> 0 THEN 'T' || CAST(l_suppkey AS VARCHAR) END AS medallon,
+    CASE WHEN k % 83 = 0 THEN '' ELSE 'L' || CAST(l_partkey AS VARCHAR) END AS licencia,
     TIMESTAMP '2013-01-01 00:00:00' + to_seconds(start_s) AS hora_subida,
-    TIMESTAMP '2013-01-01 00:00:00' + to_seconds(start_s + dur) AS hora_bajada,
+    CASE WHEN k % 103 <> 0 THEN TIMESTAMP '2013-01-01 00:00:00' + to_seconds(start_s + dur) END AS hora_bajada,
     dur AS duracion_viaje_seg,
     CASE WHEN k % 53 = 0 THEN CAST(0 AS DECIMAL(18,14))
+         WHEN k % 61 = 0 THEN CAST(-73.120778 AS DECIMAL(18,14))
          ELSE CAST(-74.916578 + (CAST(ca AS DECIMAL(20,0)) - 0.5) * 0.005986 AS DECIMAL(18,14)) END
       AS longitud_subida,
-    CAST(41.477182778 - (CAST(cb AS DECIMAL(20,0)) - 0.5) * 0.004491556 AS DECIMAL(18,14)) AS latitud_subida,
-    CAST(-74.916578 + (CAST(cc AS DECIMAL(20,0)) - 0.5) * 0.005986 AS DECIMAL(18,14)) AS longitud_bajada,
-    CAST(41.477182778 - (CAST(cd AS DECIMAL(20,0)) - 0.5) * 0.004491556 AS DECIMAL(18,14)) AS latitud_bajada,
-    CASE WHEN k % 10 = 0 THEN 'UNK' WHEN k % 10 < 5 THEN 'CSH' ELSE 'CRD' END AS tipo_pago,
+    CASE WHEN k % 71 = 0 THEN CAST(40.129715978 AS DECIMAL(18,14))
+         ELSE CAST(41.477182778 - (CAST(cb AS DECIMAL(20,0)) - 0.5) * 0.004491556 AS DECIMAL(18,14)) END
+      AS latitud_subida,
+    CASE WHEN k % 73 = 0 THEN CAST(-74.916578 AS DECIMAL(18,14))
+         ELSE CAST(-74.916578 + (CAST(cc AS DECIMAL(20,0)) - 0.5) * 0.005986 AS DECIMAL(18,14)) END
+      AS longitud_bajada,
+    CASE WHEN k % 67 = 0 THEN CAST(41.477182778 AS DECIMAL(18,14))
+         ELSE CAST(41.477182778 - (CAST(cd AS DECIMAL(20,0)) - 0.5) * 0.004491556 AS DECIMAL(18,14)) END
+      AS latitud_bajada,
+    CASE WHEN k % 79 = 0 THEN NULL WHEN k % 10 = 0 THEN 'UNK' WHEN k % 10 < 5 THEN 'CSH' ELSE 'CRD' END AS tipo_pago,
     CAST(CAST(fare_c AS DECIMAL(18,0)) / 100 AS DECIMAL(10,2)) AS tarifa,
     CAST(CAST(tip_c AS DECIMAL(18,0)) / 100 AS DECIMAL(10,2)) AS propina,
-    CAST(CAST(fare_c + tip_c AS DECIMAL(18,0)) / 100 AS DECIMAL(10,2)) AS cantidad_total,
+    CAST(CAST(CASE WHEN k % 101 = 0 THEN 0 ELSE fare_c + tip_c END AS DECIMAL(18,0)) / 100 AS DECIMAL(10,2)) AS cantidad_total,
     k
   FROM gen
 ),
+placed AS (
+  SELECT *,
+    CAST(floor((CAST(41.477182778 AS DOUBLE) - CAST(latitud_subida AS DOUBLE)) / CAST(0.004491556 AS DOUBLE)) AS BIGINT) + 1
+      AS cuad_latitud_subida,
+    CAST(floor(abs(CAST(-74.916578 AS DOUBLE) - CAST(longitud_subida AS DOUBLE)) / CAST(0.005986 AS DOUBLE)) AS BIGINT) + 1
+      AS cuad_longitud_subida,
+    CAST(floor((CAST(41.477182778 AS DOUBLE) - CAST(latitud_bajada AS DOUBLE)) / CAST(0.004491556 AS DOUBLE)) AS BIGINT) + 1
+      AS cuad_latitud_bajada,
+    CAST(floor(abs(CAST(-74.916578 AS DOUBLE) - CAST(longitud_bajada AS DOUBLE)) / CAST(0.005986 AS DOUBLE)) AS BIGINT) + 1
+      AS cuad_longitud_bajada
+  FROM raw
+),
 checks AS (
   SELECT *,
+    coalesce(cuad_latitud_subida BETWEEN 1 AND 300 AND cuad_longitud_subida BETWEEN 1 AND 300
+      AND cuad_latitud_bajada BETWEEN 1 AND 300 AND cuad_longitud_bajada BETWEEN 1 AND 300, false) AS ok_grid,
     coalesce(medallon <> '' AND licencia <> '', false) AS ok_ids,
     coalesce(hora_subida <> hora_bajada, false) AS ok_times,
     coalesce(duracion_viaje_seg > 0 AND cantidad_total > 0, false) AS ok_positive,
@@ -66,20 +89,13 @@ checks AS (
       AND CAST(longitud_bajada AS DOUBLE) <= CAST(-73.120778 AS DOUBLE)
       AND CAST(latitud_bajada AS DOUBLE) >= CAST(40.129715978 AS DOUBLE)
       AND CAST(latitud_bajada AS DOUBLE) <= CAST(41.477182778 AS DOUBLE), false) AS ok_box
-  FROM raw
+  FROM placed
 ),
 cells AS (
   SELECT medallon, licencia, hora_subida, hora_bajada, duracion_viaje_seg,
     longitud_subida, latitud_subida, longitud_bajada, latitud_bajada, tipo_pago,
     tarifa, propina, cantidad_total, k,
-    CAST(floor((CAST(41.477182778 AS DOUBLE) - CAST(latitud_subida AS DOUBLE)) / CAST(0.004491556 AS DOUBLE)) AS BIGINT) + 1
-      AS cuad_latitud_subida,
-    CAST(floor(abs(CAST(-74.916578 AS DOUBLE) - CAST(longitud_subida AS DOUBLE)) / CAST(0.005986 AS DOUBLE)) AS BIGINT) + 1
-      AS cuad_longitud_subida,
-    CAST(floor((CAST(41.477182778 AS DOUBLE) - CAST(latitud_bajada AS DOUBLE)) / CAST(0.004491556 AS DOUBLE)) AS BIGINT) + 1
-      AS cuad_latitud_bajada,
-    CAST(floor(abs(CAST(-74.916578 AS DOUBLE) - CAST(longitud_bajada AS DOUBLE)) / CAST(0.005986 AS DOUBLE)) AS BIGINT) + 1
-      AS cuad_longitud_bajada,
+    cuad_latitud_subida, cuad_longitud_subida, cuad_latitud_bajada, cuad_longitud_bajada,
     CAST(isodow(hora_subida) - 1 AS INTEGER) AS dia_semana
   FROM checks
   WHERE ok_ids AND ok_times AND ok_positive AND ok_moved AND ok_payment AND ok_box
@@ -132,17 +148,24 @@ def _q1(at: _dt.datetime = _D(2013, 3, 19, 10), p: str = "q1") -> str:
 
 Q1_ROUTES = _q1()
 
+def _band(col: str, lo: _dt.time, hi: _dt.time, wrap: bool = False) -> str:
+    if wrap and lo > hi:
+        return f"(CAST({col} AS TIME) >= {_tm(lo)} OR CAST({col} AS TIME) <= {_tm(hi)})"
+    return f"CAST({col} AS TIME) BETWEEN {_tm(lo)} AND {_tm(hi)}"
+
+
+def _day(col: str, lo: _dt.time, hi: _dt.time, compat: bool) -> str:
+    """Weekday of an event: of its pickup, or of the date on which a band across midnight ends."""
+    return "dia_semana" if compat or lo <= hi else f"isodow({_occurrence(col, hi)}) - 1"
+
+
 # --- Q1S --------------------------------------------------------------------
 
 
 def _q1s(compat: bool, ref: _dt.datetime = _D(2013, 1, 1, 10), weekday: int = 1, p: str | None = None) -> str:
     lo, hi = (ref - _dt.timedelta(minutes=30)).time(), ref.time()
-    band = (
-        ""
-        if compat
-        else f"AND CAST(hora_subida AS TIME) BETWEEN {_tm(lo)} AND {_tm(hi)} "
-        f"AND CAST(hora_bajada AS TIME) BETWEEN {_tm(lo)} AND {_tm(hi)}"
-    )
+    band = "" if compat else f"AND {_band('hora_subida', lo, hi, True)} AND {_band('hora_bajada', lo, hi, True)} "
+    day = _day("hora_subida", lo, hi, compat)
     name = p or ("q1s_compat" if compat else "q1s")
     return f"""
 {name}_routes AS (
@@ -150,7 +173,7 @@ def _q1s(compat: bool, ref: _dt.datetime = _D(2013, 1, 1, 10), weekday: int = 1,
     CAST(sum(CASE WHEN hora_subida > {_ts(ref)} - INTERVAL 30 DAY
                    AND hora_subida < {_ts(ref)} + INTERVAL 30 DAY
               THEN 2 ELSE 1 END) AS BIGINT) AS frecuencia
-  FROM trips WHERE dia_semana = {weekday} {band}
+  FROM trips WHERE {day} = {weekday} {band}
   GROUP BY {ROUTE}
 ),
 {name} AS ({_ranked(f"{name}_routes", "frecuencia", ROUTE)})"""
@@ -221,8 +244,6 @@ def _influence(col: str, compat: bool, ref: _dt.datetime) -> str:
     return f"CASE {whens} ELSE {other} END"
 
 
-def _band(col: str, lo: _dt.time, hi: _dt.time) -> str:
-    return f"CAST({col} AS TIME) BETWEEN {_tm(lo)} AND {_tm(hi)}"
 
 
 def _occurrence(col: str, end: _dt.time) -> str:
@@ -230,7 +251,7 @@ def _occurrence(col: str, end: _dt.time) -> str:
 
 
 def _q2s(compat: bool, ref: _dt.datetime = _D(2013, 3, 19, 10), weekday: int = 1, p: str | None = None) -> str:
-    """Seasonal areas; bands of this builder do not cross midnight (as in the registered queries)."""
+    """Seasonal areas."""
     p = p or ("q2sc" if compat else "q2s")
     end = ref.time()
     lo30 = (ref - _dt.timedelta(minutes=30)).time()
@@ -240,6 +261,8 @@ def _q2s(compat: bool, ref: _dt.datetime = _D(2013, 3, 19, 10), weekday: int = 1
     part = "medallon" if compat else "medallon, occ"
     join_on = "d.medallon = u.taxi" + ("" if compat else " AND d.occ = u.occ")
     up_select = "medallon AS taxi" + ("" if compat else ", occ")
+    day_down, day_up = _day("hora_bajada", lo30, end, compat), _day("hora_subida", lo30, end, compat)
+    wrap = not compat
     profit = (
         "b.beneficios / NULLIF(w.proporcion_taxis_libres, 0)"
         if compat
@@ -247,10 +270,10 @@ def _q2s(compat: bool, ref: _dt.datetime = _D(2013, 3, 19, 10), weekday: int = 1
     )
     return f"""
 {p}_down AS (
-  SELECT *{occ_down} FROM trips WHERE dia_semana = {weekday} AND {_band('hora_bajada', lo30, end)}
+  SELECT *{occ_down} FROM trips WHERE {day_down} = {weekday} AND {_band('hora_bajada', lo30, end, wrap)}
 ),
 {p}_up AS (
-  SELECT *{occ_up} FROM trips WHERE dia_semana = {weekday} AND {_band('hora_subida', lo30, end)}
+  SELECT *{occ_up} FROM trips WHERE {day_up} = {weekday} AND {_band('hora_subida', lo30, end, wrap)}
 ),
 {p}_last_down AS (
   SELECT * FROM (
@@ -276,7 +299,7 @@ def _q2s(compat: bool, ref: _dt.datetime = _D(2013, 3, 19, 10), weekday: int = 1
     (CAST(sum(CAST(tarifa * 100 AS BIGINT)) AS DOUBLE) / count(tarifa)
       + CAST(sum(CAST(propina * 100 AS BIGINT)) AS DOUBLE) / count(propina))
       * avg({_influence('hora_bajada', compat, ref)}) AS beneficios
-  FROM trips WHERE dia_semana = {weekday} AND {_band('hora_bajada', lo15, end)}
+  FROM trips WHERE {day_down} = {weekday} AND {_band('hora_bajada', lo15, end, wrap)}
   GROUP BY cuad_latitud_subida, cuad_longitud_subida
 ),
 {p}_benefit_split AS (
@@ -284,7 +307,7 @@ def _q2s(compat: bool, ref: _dt.datetime = _D(2013, 3, 19, 10), weekday: int = 1
     CAST(sum(CAST(tarifa * 100 AS BIGINT)) AS DOUBLE) / count(tarifa)
       + CAST(sum(CAST(propina * 100 AS BIGINT)) AS DOUBLE) / count(propina) AS beneficios,
     avg({_influence('hora_bajada', compat, ref)}) AS influencia
-  FROM trips WHERE dia_semana = {weekday} AND {_band('hora_bajada', lo15, end)}
+  FROM trips WHERE {day_down} = {weekday} AND {_band('hora_bajada', lo15, end, wrap)}
   GROUP BY cuad_latitud_subida, cuad_longitud_subida
 ),
 {p}_profit AS (
@@ -349,8 +372,10 @@ SELECT count(*) AS n_raw,
   count(*) FILTER (WHERE NOT ok_moved) AS fail_moved,
   count(*) FILTER (WHERE NOT ok_payment) AS fail_payment,
   count(*) FILTER (WHERE NOT ok_box) AS fail_box,
-  count(*) FILTER (WHERE ok_ids AND ok_times AND ok_positive AND ok_moved AND ok_payment AND ok_box) AS n_clean
+  count(*) FILTER (WHERE NOT ok_grid) AS fail_grid,
+  count(*) FILTER (WHERE ok_ids AND ok_times AND ok_positive AND ok_moved AND ok_payment AND ok_box AND ok_grid) AS n_clean
 FROM checks"""
+    q["clean_report_compat"] = q["clean_report"].replace(" AND ok_grid) AS n_clean", ") AS n_clean")
     q["clean_report_any_differs"] = _with() + """
 , loose AS (
   SELECT *, coalesce(longitud_subida <> longitud_bajada OR latitud_subida <> latitud_bajada, false) AS ok_moved_any
@@ -363,7 +388,9 @@ SELECT count(*) AS n_raw,
   count(*) FILTER (WHERE NOT ok_moved_any) AS fail_moved,
   count(*) FILTER (WHERE NOT ok_payment) AS fail_payment,
   count(*) FILTER (WHERE NOT ok_box) AS fail_box,
-  count(*) FILTER (WHERE ok_ids AND ok_times AND ok_positive AND ok_moved_any AND ok_payment AND ok_box) AS n_clean
+  count(*) FILTER (WHERE NOT ok_grid) AS fail_grid,
+  count(*) FILTER (WHERE ok_ids AND ok_times AND ok_positive AND ok_moved_any AND ok_payment AND ok_box AND ok_grid)
+    AS n_clean
 FROM loose"""
     q["trip_cells"] = _with() + """
 SELECT k, cuad_latitud_subida, cuad_longitud_subida, cuad_latitud_bajada, cuad_longitud_bajada, dia_semana
@@ -371,12 +398,22 @@ FROM trips"""
     q["grid_cells"] = _with() + """
 SELECT X, Y,
   CAST(41.477182778 AS DOUBLE) - CAST(Y - 1 AS DOUBLE) * CAST(0.004491556 AS DOUBLE) AS LATITUD,
-  CAST(-74.916578 AS DOUBLE) + CAST(X - 1 AS DOUBLE) * CAST(0.005986 AS DOUBLE) AS LONGITUD
-FROM (
-  SELECT cuad_longitud_subida AS X, cuad_latitud_subida AS Y FROM trips
-  UNION
-  SELECT cuad_longitud_bajada AS X, cuad_latitud_bajada AS Y FROM trips
-)"""
+  CAST(-74.916578 AS DOUBLE) + CAST(X - 1 AS DOUBLE) * CAST(0.005986 AS DOUBLE) AS LONGITUD,
+  (SELECT count(*) FROM trips WHERE cuad_longitud_subida = X AND cuad_latitud_subida = Y) AS viajes
+FROM range(1, 301) AS a(X), range(1, 301) AS b(Y)"""
+    q["process_csv"] = _with() + """
+SELECT medallon, licencia, hora_subida, hora_bajada, duracion_viaje_seg,
+  CAST(longitud_subida * 100000000000000 AS BIGINT) AS lon_subida_e14,
+  CAST(latitud_bajada * 100000000000000 AS BIGINT) AS lat_bajada_e14, tipo_pago,
+  CAST(tarifa * 100 AS BIGINT) AS tarifa_c, CAST(propina * 100 AS BIGINT) AS propina_c,
+  CAST(cantidad_total * 100 AS BIGINT) AS total_c,
+  cuad_latitud_subida, cuad_longitud_subida, cuad_latitud_bajada, cuad_longitud_bajada, dia_semana
+FROM trips"""
+    q["scan_benchmark"] = _with() + """
+SELECT formato, (SELECT count(*) FROM raw) AS filas FROM (VALUES ('csv'), ('parquet')) AS f(formato)"""
+    q["prefix_sample_large"] = _with() + """
+SELECT k, medallon, hora_subida FROM raw
+ORDER BY hora_subida, k, medallon, licencia LIMIT (SELECT count(*) * 9 // 10 FROM raw)"""
     q["prefix_sample"] = _with() + """
 SELECT k, medallon, hora_subida, hora_bajada, tipo_pago FROM raw
 ORDER BY hora_subida, k, medallon, licencia LIMIT 5000"""
@@ -445,6 +482,11 @@ SELECT medallon, hora_bajada, k, licencia, cuad_latitud_bajada, cuad_longitud_ba
     q["profitable_areas_seasonal_b_compat"] = (
         _with(_q2s(True, _D(2013, 2, 15, 9, 55), 4, "q2scb")) + "\nSELECT * FROM q2scb"
     )
+    midnight = _D(2013, 3, 1, 0, 15), 1
+    q["frequent_routes_seasonal_midnight"] = _with(_q1s(False, *midnight, "m")) + "\nSELECT * FROM m"
+    q["frequent_routes_seasonal_midnight_compat"] = _with(_q1s(True, *midnight, "m")) + "\nSELECT * FROM m"
+    q["profitable_areas_seasonal_midnight"] = _with(_q2s(False, *midnight, "m")) + "\nSELECT * FROM m"
+    q["profitable_areas_seasonal_midnight_compat"] = _with(_q2s(True, *midnight, "m")) + "\nSELECT * FROM m"
     q["result_line"] = _with(Q1_ROUTES, _q1s(False), Q2_PARTS, _q2s(False)) + "\n" + "\nUNION ALL\n".join(
         [
             _route_line("frequent_routes", "q1", "2013-03-19 09:30:00", "2013-03-19 10:00:00"),

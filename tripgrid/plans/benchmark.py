@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import time
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .. import schema as S
 from ..operators.clean import process_trips
-from ..sources.trips_io import append_timing, read_raw_trips, write_trips
+from ..sources.trips_io import append_timing, read_raw_trips, session_cores, write_trips
 
 SCAN_SCHEMA = T.StructType(
     [
@@ -29,18 +31,23 @@ def run_process(
     mode: str = "errorifexists",
     layout: str = "by_date",
     compat: bool = False,
+    label: str | None = None,
 ) -> float:
-    """Clean + enrich + store one raw CSV log; returns (and optionally logs) the seconds taken."""
+    """Clean + enrich + store one raw CSV log; returns (and optionally logs) the seconds taken.
+
+    The log gets the raw rows read (counted while they pass), the session's
+    cores and ``label``, the input path unless given, so that runs over one
+    input group.
+    """
     start = time.perf_counter()
-    write_trips(
-        process_trips(read_raw_trips(spark, csv_path), compat=compat),
-        out_path,
-        mode=mode,
-        layout=layout,
-    )
+    counted = Observation("procesamiento")
+    raw = read_raw_trips(spark, csv_path).observe(counted, F.count(F.lit(1)).alias("filas"))
+    write_trips(process_trips(raw, compat=compat), out_path, mode=mode, layout=layout)
     seconds = time.perf_counter() - start
     if timing_path:
-        append_timing(spark, timing_path, "procesamiento", seconds, label=out_path)
+        append_timing(
+            spark, timing_path, "procesamiento", seconds, counted.get["filas"], session_cores(spark), label or csv_path
+        )
     return seconds
 
 
@@ -50,24 +57,26 @@ def _timed_count(df: DataFrame) -> tuple[int, float]:
     return n, time.perf_counter() - start
 
 
-def scan_benchmark(spark: SparkSession, raw: DataFrame, path: str) -> DataFrame:
-    """Write ``raw`` once as CSV and once as Snappy Parquet under ``path``,
-    then time a full ``count(*)`` of each.
+def scan_benchmark(
+    spark: SparkSession, csv_path: str, parquet_path: str, schema: T.StructType = S.RAW_SCHEMA, timing_path: str | None = None
+) -> DataFrame:
+    """Time a full ``count(*)`` of a raw CSV log and of its Snappy Parquet twin.
 
-    Returns rows (formato, filas, segundos, filas_por_segundo).
+    The given files are counted as they are; the twin is written first if
+    there is none. Returns rows (formato, filas, segundos, filas_por_segundo);
+    ``timing_path`` also gets them as timing rows.
     """
-    csv_path, parquet_path = f"{path}/csv", f"{path}/parquet"
-    raw.write.mode("overwrite").option("header", "false").option(
-        "timestampNTZFormat", "yyyy-MM-dd HH:mm:ss"
-    ).csv(csv_path)
-    raw.write.mode("overwrite").option("compression", "snappy").parquet(parquet_path)
+    try:
+        twin = spark.read.parquet(parquet_path)
+    except AnalysisException:
+        read_raw_trips(spark, csv_path, schema=schema).write.option("compression", "snappy").parquet(parquet_path)
+        twin = spark.read.parquet(parquet_path)
     rows = []
-    for fmt, df in (
-        ("csv", read_raw_trips(spark, csv_path, schema=raw.schema)),
-        ("parquet", spark.read.parquet(parquet_path)),
-    ):
+    for fmt, df in (("csv", read_raw_trips(spark, csv_path, schema=schema)), ("parquet", twin)):
         n, secs = _timed_count(df)
         rows.append((fmt, n, secs, n / secs if secs > 0 else None))
+        if timing_path:
+            append_timing(spark, timing_path, f"conteo_{fmt}", secs, n, session_cores(spark), csv_path)
     return spark.createDataFrame(rows, SCAN_SCHEMA)
 
 

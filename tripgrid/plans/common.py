@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schema as S
-from ..functions.time import parse_time, time_of_day_band_sql, window_sql
+from ..functions.time import band_occurrence_date, crosses_midnight, parse_time, time_of_day_band_sql, window_sql
 
 # Predicates are assembled as SQL text and parsed once (see functions.time).
 
@@ -83,6 +83,22 @@ def on_pickup_weekday(trips: DataFrame, weekday: int) -> Column:
     return F.expr(cond)
 
 
+def on_band_weekday(trips: DataFrame, weekday: int, lo, hi, time_col: str) -> Column:
+    """The band occurrence that holds ``time_col`` falls on ``weekday``.
+
+    Inside a day this is the pickup's weekday. Of a band across midnight the
+    evening part belongs to the next day, when the band ends; the pickup or
+    drop-off date is then that day or the one before, which prunes dates.
+    """
+    if not crosses_midnight(lo, hi):
+        return on_pickup_weekday(trips, weekday)
+    cond = F.weekday(band_occurrence_date(time_col, hi)) == int(weekday)
+    date_col = S.PICKUP_DATE if time_col == S.PICKUP_TIME else S.DROPOFF_DATE
+    if _has(trips, date_col):
+        cond = F.expr(f"weekday({date_col}) IN ({int(weekday)}, {(int(weekday) - 1) % 7})") & cond
+    return cond
+
+
 def band_prefilter(trips: DataFrame, lo, hi, wrap: bool = True) -> Column:
     """Pushable superset of "pickup OR drop-off time of day in the band".
 

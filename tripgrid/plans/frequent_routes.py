@@ -16,7 +16,7 @@ from ..functions.time import band_before, minus_minutes, parse_time, to_instant
 from ..functions.weights import NEAR_DAYS, near_weight
 from ..operators.routes import route_counts, weighted_route_counts
 from ..operators.topk import top_k
-from .common import dropoff_band, dropoff_window, on_pickup_weekday, pickup_band, pickup_window
+from .common import dropoff_band, dropoff_window, on_band_weekday, on_pickup_weekday, pickup_band, pickup_window
 
 
 def routes_in_window(trips: DataFrame, at: str | _dt.datetime, minutes: float = 30) -> DataFrame:
@@ -50,14 +50,16 @@ def seasonal_route_trips(
 ) -> DataFrame:
     """Trips on the pickup weekday whose pickup and drop-off times of day are in the band.
 
+    A band across midnight belongs to the weekday on which it ends.
+
     ``compat`` reproduces the original program, which computed the two band
     flags but never filtered on them, so every trip of the weekday counts.
     """
     day = weekday_number(weekday, compat)
-    out = trips.where(on_pickup_weekday(trips, day))
     if compat:
-        return out
+        return trips.where(on_pickup_weekday(trips, day))
     lo_t, hi_t = band_before(hhmm, minutes)
+    out = trips.where(on_band_weekday(trips, day, lo_t, hi_t, S.PICKUP_TIME))
     return out.where(pickup_band(trips, lo_t, hi_t) & dropoff_band(trips, lo_t, hi_t))
 
 

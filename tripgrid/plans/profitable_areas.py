@@ -25,11 +25,11 @@ from pyspark.sql import functions as F
 from .. import schema as S
 from ..functions.money import mean_cents_sql
 from ..functions.names import weekday_number
-from ..functions.time import band_before, band_occurrence_date, instant, minus_minutes, to_instant
+from ..functions.time import band_before, band_occurrence_date, crosses_midnight, instant, minus_minutes, to_instant
 from ..functions.weights import COMPAT_TIERS, TIERS, tier_weight_sql
 from ..operators.taxis import free_taxis, taxi_state
 from ..operators.topk import top_k
-from .common import band_prefilter, dropoff_band, dropoff_window, on_pickup_weekday, pickup_band, pickup_window
+from .common import band_prefilter, dropoff_band, dropoff_window, on_band_weekday, on_pickup_weekday, pickup_band, pickup_window
 
 
 def _benefit_rows(trips: DataFrame, influence_sql: str | None = None) -> DataFrame:
@@ -153,7 +153,6 @@ def _seasonal_inputs(
 ) -> tuple[DataFrame, DataFrame, str]:
     day = weekday_number(weekday, compat)
     ref = seasonal_instant(mmdd, hhmm, year)
-    base = trips.where(on_pickup_weekday(trips, day))
     taxi_lo, taxi_hi = band_before(hhmm, taxi_minutes)
     ben_lo, ben_hi = band_before(hhmm, benefit_minutes)
     wrap = not compat
@@ -165,9 +164,16 @@ def _seasonal_inputs(
             band_occurrence_date(S.DROPOFF_TIME, taxi_hi),
             band_occurrence_date(S.PICKUP_TIME, taxi_hi),
         )
+    if wrap and crosses_midnight(taxi_lo, taxi_hi):
+        # Each event belongs to the weekday of its own band occurrence.
+        ended = on_band_weekday(trips, day, taxi_lo, taxi_hi, S.DROPOFF_TIME)
+        down, up = down & ended, up & on_band_weekday(trips, day, taxi_lo, taxi_hi, S.PICKUP_TIME)
+        base, benefit_base = trips, trips.where(ended)
+    else:
+        base = benefit_base = trips.where(on_pickup_weekday(trips, day))
     taxi_rows = base.where(band_prefilter(trips, taxi_lo, taxi_hi, wrap))
     state = taxi_state(taxi_rows, down, up, occurrence=occurrence, tiebreak=tiebreak)
-    benefit_trips = base.where(dropoff_band(trips, ben_lo, ben_hi, wrap))
+    benefit_trips = benefit_base.where(dropoff_band(trips, ben_lo, ben_hi, wrap))
     influence = tier_weight_sql(
         S.DROPOFF_TIME,
         ref,
@@ -215,7 +221,8 @@ def profitable_areas_seasonal(
     ``weighted_free = round(free count x mean influence of free taxis)`` and
     ``benefit = (mean fare + mean tip) x mean influence of benefit trips``.
 
-    Default: taxi state per (taxi, band occurrence date), bands wrap midnight,
+    Default: taxi state per (taxi, band occurrence date), bands wrap midnight
+    (and then belong to the weekday on which they end),
     four tiers with 0 outside, ``profit = benefit / (coalesce(weighted_free, 0) + 1)``.
     ``compat`` reproduces the original: state over all dates at once, no
     wrap, three tiers with NULL outside, ``profit = benefit / weighted_free``

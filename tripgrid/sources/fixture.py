@@ -11,12 +11,10 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schema as S
-from ..session import scratch_path
 
 # Fixed values of the fixture (FIXTURES.md section 6): start instant, first
 # second of the day (09:15:00), grid origin and cell steps of the coordinates.
@@ -27,6 +25,8 @@ _ORIGIN_LON = Decimal("-74.916578")
 _ORIGIN_LAT = Decimal("41.477182778")
 _LON_STEP = Decimal("0.005986")
 _LAT_STEP = Decimal("0.004491556")
+_FAR_LON = Decimal("-73.120778")
+_FAR_LAT = Decimal("40.129715978")
 _HALF = Decimal("0.5")
 _CENT = Decimal("0.01")
 
@@ -39,17 +39,19 @@ def raw_trips_from_lineitem(lineitem: DataFrame) -> DataFrame:
         # Exact integer division (floor(k / n) in double would round for large k).
         return F.expr(f"k div {n}")
 
+    wide = d(11) % 5 == 0
+
     def cell(base: int, a: int, b: int, c: int) -> Column:
-        return F.lit(base) + F.least(d(a) % 5, d(b) % 5, d(c) % 5)
+        # Most trips in 5 x 5 cells, so that cells hold several; a fifth all over the grid.
+        return F.when(wide, d(a) % 300 + 1).otherwise(F.lit(base) + F.least(d(a) % 5, d(b) % 5, d(c) % 5))
+
+    def coord(origin: Decimal, step: Decimal, cell_col: Column, sign: int) -> Column:
+        # Exact decimal arithmetic: the centre of the cell.
+        centre = (cell_col.cast("decimal(20,0)") - F.lit(_HALF)) * F.lit(sign * step)
+        return (F.lit(origin) + centre).cast("decimal(18,14)")
 
-    def coord(origin: Decimal, step: Decimal, base: int, cell_col: Column, sign: int) -> Column:
-        # A cell number takes only the five values base..base+4, so the exact
-        # coordinate origin +/- (cell - 0.5) * step is looked up among five
-        # decimal literals: no per-row decimal arithmetic (the cleaning filter
-        # re-evaluates it several times).
-        values = [(origin + sign * (Decimal(c) - _HALF) * step).quantize(Decimal("1e-14")) for c in range(base, base + 5)]
-        table = F.array(*[F.lit(v).cast("decimal(18,14)") for v in values])
-        return F.element_at(table, (cell_col - (base - 1)).cast("int"))
+    def at_edge(every: int, edge: Decimal, otherwise: Column) -> Column:
+        return F.when(k % every == 0, F.lit(edge).cast("decimal(18,14)")).otherwise(otherwise)
 
     with_k = lineitem.select(
         (
@@ -61,13 +63,14 @@ def raw_trips_from_lineitem(lineitem: DataFrame) -> DataFrame:
         "l_suppkey",
         "l_partkey",
     )
+    second = F.when(d(5) % 4 == 0, d(672) % _DAY_SECONDS).otherwise(_FIRST_SECOND + d(672) % 3600)
     cells = with_k.select(
         "*",
         cell(150, 13, 37, 483).alias("_a"),
         cell(155, 17, 41, 699).alias("_b"),
         cell(150, 29, 43, 1249).alias("_c"),
         cell(155, 31, 47, 1459).alias("_d"),
-        (d(8) % 84 * _DAY_SECONDS + _FIRST_SECOND + d(672) % 3600).alias("_start"),
+        (d(8) % 84 * _DAY_SECONDS + second).alias("_start"),
         (d(7) % 900).cast("int").alias("_dur"),
         (250 + d(19) % 5000).alias("_fare"),
         (d(23) % 1000).alias("_tip"),
@@ -75,26 +78,29 @@ def raw_trips_from_lineitem(lineitem: DataFrame) -> DataFrame:
     epoch = F.lit(_EPOCH).cast("timestamp_ntz")
     pickup = F.timestamp_add("SECOND", F.col("_start"), epoch)
     money = lambda c: (c.cast("decimal(20,0)") * F.lit(_CENT)).cast("decimal(10,2)")
+    pickup_lon = at_edge(61, _FAR_LON, coord(_ORIGIN_LON, _LON_STEP, F.col("_a"), +1))
     return cells.select(
-        F.when(k % 97 == 0, F.lit("")).otherwise(F.concat(F.lit("T"), F.col("l_suppkey").cast("string"))).alias(S.MEDALLION),
-        F.concat(F.lit("L"), F.col("l_partkey").cast("string")).alias(S.LICENSE),
+        F.when(k % 97 == 0, F.lit(""))
+        .when(k % 89 != 0, F.concat(F.lit("T"), F.col("l_suppkey").cast("string")))
+        .alias(S.MEDALLION),
+        F.when(k % 83 == 0, F.lit("")).otherwise(F.concat(F.lit("L"), F.col("l_partkey").cast("string"))).alias(S.LICENSE),
         pickup.alias(S.PICKUP_TIME),
-        F.timestamp_add("SECOND", F.col("_dur"), pickup).alias(S.DROPOFF_TIME),
+        F.when(k % 103 != 0, F.timestamp_add("SECOND", F.col("_dur"), pickup)).alias(S.DROPOFF_TIME),
         F.col("_dur").alias(S.DURATION),
         F.lit(Decimal("1.00")).cast("decimal(10,2)").alias(S.DISTANCE),
-        F.when(k % 53 == 0, F.lit(0).cast("decimal(18,14)"))
-        .otherwise(coord(_ORIGIN_LON, _LON_STEP, 150, F.col("_a"), +1))
-        .alias(S.PICKUP_LON),
-        coord(_ORIGIN_LAT, _LAT_STEP, 155, F.col("_b"), -1).alias(S.PICKUP_LAT),
-        coord(_ORIGIN_LON, _LON_STEP, 150, F.col("_c"), +1).alias(S.DROPOFF_LON),
-        coord(_ORIGIN_LAT, _LAT_STEP, 155, F.col("_d"), -1).alias(S.DROPOFF_LAT),
-        F.when(k % 10 == 0, F.lit("UNK")).when(k % 10 < 5, F.lit("CSH")).otherwise(F.lit("CRD")).alias(S.PAYMENT),
+        F.when(k % 53 == 0, F.lit(0).cast("decimal(18,14)")).otherwise(pickup_lon).alias(S.PICKUP_LON),
+        at_edge(71, _FAR_LAT, coord(_ORIGIN_LAT, _LAT_STEP, F.col("_b"), -1)).alias(S.PICKUP_LAT),
+        at_edge(73, _ORIGIN_LON, coord(_ORIGIN_LON, _LON_STEP, F.col("_c"), +1)).alias(S.DROPOFF_LON),
+        at_edge(67, _ORIGIN_LAT, coord(_ORIGIN_LAT, _LAT_STEP, F.col("_d"), -1)).alias(S.DROPOFF_LAT),
+        F.when(k % 79 != 0, F.when(k % 10 == 0, F.lit("UNK")).when(k % 10 < 5, F.lit("CSH")).otherwise(F.lit("CRD"))).alias(
+            S.PAYMENT
+        ),
         money(F.col("_fare")).alias(S.FARE),
         F.lit(Decimal("0.50")).cast("decimal(10,2)").alias(S.SURCHARGE),
         F.lit(Decimal("0.50")).cast("decimal(10,2)").alias(S.TAX),
         money(F.col("_tip")).alias(S.TIP),
         F.lit(Decimal("0.00")).cast("decimal(10,2)").alias(S.TOLLS),
-        money(F.col("_fare") + F.col("_tip")).alias(S.TOTAL),
+        money(F.when(k % 101 == 0, F.lit(0).cast("bigint")).otherwise(F.col("_fare") + F.col("_tip"))).alias(S.TOTAL),
         k,
     )
 
@@ -103,30 +109,6 @@ def read_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/lineitem.parquet")
 
 
-def raw_trips_derived(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw trip log derived from ``{sf_dir}/lineitem.parquet`` (lazy, not materialized)."""
-    return raw_trips_from_lineitem(read_lineitem(spark, sf_dir))
-
-
-_MATERIALIZED: dict[tuple[str, str], str] = {}
-
-
 def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The derived raw log, written once per application as Parquet and read back.
-
-    A real raw log is a file whose columns are values; the derived one is a
-    stack of expressions that Catalyst would inline into every cleaning
-    predicate pushed below it. Writing it once (under ``spark.checkpoint.dir``)
-    makes every query scan materialized columns, as it would on real input.
-    """
-    key = (spark.sparkContext.applicationId, sf_dir)
-    path = _MATERIALIZED.get(key)
-    if path is not None:
-        try:
-            return spark.read.parquet(path)
-        except AnalysisException:  # scratch folder cleaned up meanwhile: write it again
-            pass
-    path = scratch_path(spark, "raw-trips")
-    raw_trips_derived(spark, sf_dir).write.parquet(path)
-    _MATERIALIZED[key] = path
-    return spark.read.parquet(path)
+    """Raw trip log derived from ``{sf_dir}/lineitem.parquet`` (lazy: every query derives it from the table)."""
+    return raw_trips_from_lineitem(read_lineitem(spark, sf_dir))

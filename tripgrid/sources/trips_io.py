@@ -197,6 +197,11 @@ TIMING_SCHEMA = T.StructType(
 )
 
 
+def session_cores(spark: SparkSession) -> int:
+    """Cores that the session's tasks can use at once."""
+    return spark.sparkContext.defaultParallelism
+
+
 def timing_rows(
     spark: SparkSession,
     job: str,

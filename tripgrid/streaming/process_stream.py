@@ -14,7 +14,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from .. import schema as S
 from ..operators.clean import process_trips
-from ..session import scratch_path
 from ..sources.trips_io import with_layout_columns
 
 
@@ -46,7 +45,9 @@ def process_stream(
 
     ``available_now`` processes every file present and stops (the incremental
     batch mode); otherwise it keeps running with ``processing_time`` triggers.
-    The checkpoint defaults to a fresh folder under ``spark.checkpoint.dir``.
+    The checkpoint belongs to the output: by default it is ``_checkpoint`` inside
+    ``out_path`` (hidden from readers), so a later call with the same output
+    goes on where the last one ended.
     ``max_files_per_trigger`` bounds each micro-batch when a backlog arrives.
     """
     trips = process_trips(read_raw_stream(spark, raw_dir, max_files_per_trigger), compat=compat)
@@ -54,7 +55,7 @@ def process_stream(
     writer = (
         writer_df.writeStream.format("parquet")
         .option("path", out_path)
-        .option("checkpointLocation", checkpoint_location or scratch_path(spark, "process-stream"))
+        .option("checkpointLocation", checkpoint_location or f"{out_path.rstrip('/')}/_checkpoint")
         .option("compression", "snappy")
         .outputMode("append")
     )
