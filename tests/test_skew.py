@@ -67,3 +67,31 @@ def test_same_answers_without_aqe_and_other_shuffle_width(spark):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_band_on_a_hot_date_opens_few_files(spark, scratch):
+    """Files of a busy date cover few quarter hours each."""
+    from pyspark.sql import functions as F
+
+    from tripgrid import schema as S
+
+    rows = [
+        raw_row(licencia=f"L{i}", pickup=f"2013-01-08 {i % 24:02d}:{(i // 24) % 60:02d}:00",
+                dropoff=f"2013-01-08 {i % 24:02d}:{(i // 24) % 60:02d}:30")
+        for i in range(24 * 60 * 4)
+    ]
+    path = os.path.join(scratch, "busy")
+    old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1k")
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    try:
+        write_trips(trips_frame(spark, rows).repartition(8), path, layout="by_date")
+    finally:
+        for key, value in old.items():
+            spark.conf.set(key, value)
+    seconds = read_trips(spark, path).groupBy(F.input_file_name().alias("file")).agg(
+        F.collect_set(F.floor(F.col(S.PICKUP_SECOND) / 900)).alias("slots"))
+    files = [set(r.slots) for r in seconds.collect()]
+    assert len(files) > 50
+    band = {36, 37}  # 09:00 to 09:30
+    assert sum(bool(f & band) for f in files) <= len(files) / 10

@@ -370,6 +370,37 @@ def _q_areas_midnight_compat(spark, sf_dir):
     return profitable_areas_seasonal(trips(spark, sf_dir), *MIDNIGHT_AREAS, compat=True, tiebreak=TIEBREAK)
 
 
+def _stored(spark, sf_dir):
+    """The processed table in the date layout, so that the pruning predicates take part."""
+    path = scratch_path(spark, "stored")
+    write_trips(trips(spark, sf_dir), path, layout="by_date")
+    return read_trips(spark, path)
+
+
+def _q_stored_frequent_routes(spark, sf_dir):
+    return frequent_routes(_stored(spark, sf_dir), AT)
+
+
+def _q_stored_frequent_routes_seasonal(spark, sf_dir):
+    return frequent_routes_seasonal(_stored(spark, sf_dir), SEASON_MONTH, SEASON_WEEKDAY, SEASON_HHMM)
+
+
+def _q_stored_profitable_areas(spark, sf_dir):
+    return profitable_areas(_stored(spark, sf_dir), AT, tiebreak=TIEBREAK)
+
+
+def _q_stored_profitable_areas_seasonal(spark, sf_dir):
+    return profitable_areas_seasonal(_stored(spark, sf_dir), AREA_WEEKDAY, AREA_MMDD, AREA_HHMM, tiebreak=TIEBREAK)
+
+
+def _q_stored_routes_midnight(spark, sf_dir):
+    return frequent_routes_seasonal(_stored(spark, sf_dir), *MIDNIGHT_ROUTES)
+
+
+def _q_stored_areas_midnight(spark, sf_dir):
+    return profitable_areas_seasonal(_stored(spark, sf_dir), *MIDNIGHT_AREAS, tiebreak=TIEBREAK)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "raw_trips_profile": _q_raw_profile,
@@ -408,6 +439,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "frequent_routes_seasonal_midnight_compat": _q_routes_midnight_compat,
         "profitable_areas_seasonal_midnight": _q_areas_midnight,
         "profitable_areas_seasonal_midnight_compat": _q_areas_midnight_compat,
+        "stored_frequent_routes": _q_stored_frequent_routes,
+        "stored_frequent_routes_seasonal": _q_stored_frequent_routes_seasonal,
+        "stored_profitable_areas": _q_stored_profitable_areas,
+        "stored_profitable_areas_seasonal": _q_stored_profitable_areas_seasonal,
+        "stored_frequent_routes_seasonal_midnight": _q_stored_routes_midnight,
+        "stored_profitable_areas_seasonal_midnight": _q_stored_areas_midnight,
         "result_line": _q_result_line,
         "roundtrip_parquet": _q_roundtrip_parquet,
         "roundtrip_csv": _q_roundtrip_csv,

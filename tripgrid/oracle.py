@@ -487,6 +487,15 @@ SELECT medallon, hora_bajada, k, licencia, cuad_latitud_bajada, cuad_longitud_ba
     q["frequent_routes_seasonal_midnight_compat"] = _with(_q1s(True, *midnight, "m")) + "\nSELECT * FROM m"
     q["profitable_areas_seasonal_midnight"] = _with(_q2s(False, *midnight, "m")) + "\nSELECT * FROM m"
     q["profitable_areas_seasonal_midnight_compat"] = _with(_q2s(True, *midnight, "m")) + "\nSELECT * FROM m"
+    for name in (
+        "frequent_routes",
+        "frequent_routes_seasonal",
+        "profitable_areas",
+        "profitable_areas_seasonal",
+        "frequent_routes_seasonal_midnight",
+        "profitable_areas_seasonal_midnight",
+    ):
+        q[f"stored_{name}"] = q[name]
     q["result_line"] = _with(Q1_ROUTES, _q1s(False), Q2_PARTS, _q2s(False)) + "\n" + "\nUNION ALL\n".join(
         [
             _route_line("frequent_routes", "q1", "2013-03-19 09:30:00", "2013-03-19 10:00:00"),

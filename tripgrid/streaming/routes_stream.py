@@ -77,26 +77,16 @@ def route_counts_by_instant(
     return counts.select(F.col(INSTANT).cast("timestamp_ntz").alias(INSTANT), *S.ROUTE, "viajes")
 
 
-def rank_per_instant(counts: DataFrame, k: int = 10, buckets: int = 64) -> DataFrame:
+def rank_per_instant(counts: DataFrame, k: int = 10) -> DataFrame:
     """Top ``k`` routes of every instant (rank 0..k-1, ties by route keys).
 
-    Exact two-stage top-k: first within (instant, hash bucket of the route),
-    then over the at most ``buckets x k`` survivors of each instant, so no
-    task ever ranks all routes of a busy instant.
+    The filter on the row number becomes a partial and a final group limit:
+    each task hands on at most ``k`` routes of an instant, so no task ever
+    ranks all routes of a busy one.
     """
-    order = ranking_order("viajes", S.ROUTE)
-    bucket = F.pmod(F.xxhash64(*S.ROUTE), F.lit(buckets))
-    first = (
-        counts.withColumn("_b", bucket)
-        .withColumn("_r", F.row_number().over(Window.partitionBy(INSTANT, "_b").orderBy(*order)))
-        .where(F.col("_r") <= k)
-    )
-    w = Window.partitionBy(INSTANT).orderBy(*order)
-    return (
-        first.withColumn("rank", F.row_number().over(w) - 1)
-        .where(F.col("rank") < k)
-        .select(INSTANT, "rank", *S.ROUTE, "viajes")
-    )
+    w = Window.partitionBy(INSTANT).orderBy(*ranking_order("viajes", S.ROUTE))
+    ranked = counts.withColumn("_nth", F.row_number().over(w)).where(F.col("_nth") <= k)
+    return ranked.select(INSTANT, (F.col("_nth") - 1).alias("rank"), *S.ROUTE, "viajes")
 
 
 def frequent_routes_stream(
