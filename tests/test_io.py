@@ -233,3 +233,16 @@ def test_size_ladder_csv_reads_back_as_raw_log(spark, scratch):
                             fractions=((1, 4), (1, 1)))
     back = read_raw_trips(spark, out[0][1])
     assert back.count() == 10 and back.where(F.col(S.PICKUP_TIME).isNull()).count() == 0
+
+
+def test_scratch_is_one_folder_per_application(spark):
+    from tripgrid.session import clear_scratch, scratch_path
+
+    one, other = scratch_path(spark, "a"), scratch_path(spark, "a")
+    assert one != other and spark.sparkContext.applicationId in one
+    spark.range(3).write.parquet(one)
+    assert spark.read.parquet(one).count() == 3
+    clear_scratch(spark)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(one)
+    clear_scratch(spark)  # nothing left: no error

@@ -98,9 +98,20 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     return checkpoint_dir(spark)
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared checkpoint directory."""
+def _scratch_root(spark: SparkSession) -> str:
     base = checkpoint_dir(spark)
     if not base:
         raise RuntimeError("no spark.checkpoint.dir configured; call ensure_checkpoint_dir first")
-    return f"{base.rstrip('/')}/tripgrid-{name}-{uuid.uuid4().hex}"
+    return f"{base.rstrip('/')}/tripgrid-{spark.sparkContext.applicationId}"
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh path in this application's scratch folder, under the shared checkpoint directory."""
+    return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete this application's scratch folder; frames that read from it must not be used afterwards."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
