@@ -32,7 +32,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._common import materialize
+from ._common import materialize, parallelism
 
 BLOCK_WORDS = 256
 SHARD_SLOTS = 4096
@@ -45,6 +45,8 @@ ORDER_BUCKETS = 1024
 SHARD_GROUP = 1024
 GUIDE_CELLS = 4096
 ROUNDS = 40
+# Slots that a task permutes, about.
+TASK_SLOTS = 1 << 18
 
 WORD = r"[^\x20\x09-\x0D]+"
 WORD_AND_SPACE = r"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*"
@@ -149,6 +151,8 @@ def drawn_slots(sources: DataFrame, shard_slots: int, seed: int) -> DataFrame:
     within = Window.partitionBy("sid", "shard_group").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     start = F.col("group_start") + F.coalesce(F.sum("n").over(within), F.lit(0))
     placed = grouped.join(totals, ["sid", "shard_group"]).withColumn("start", start)
+    # A count is a small row that becomes many slots: deal by slots, not by bytes.
+    placed = placed.repartition(max(parallelism(spark), total // TASK_SLOTS + 1), "sid", "shard")
     numbered = placed.select("shard", "sid", F.explode(F.expr("sequence(start, start + n - 1)")).alias("slot"))
 
     # Surplus draws of one source become the missing draws of another, both in order.
