@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripgrid.llm._common import materialize, table
-from tripgrid.llm.bpe import decode_documents, encode_documents
+from tripgrid.llm.bpe import encode_documents
 from tripgrid.llm.exact_dedup import drop_exact_duplicates
 from tripgrid.llm.jaccard import drop_near_duplicates
 from tripgrid.llm.mixing import mix_documents
@@ -49,11 +49,8 @@ def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every row, checked by decoding: ``round_trip`` tells that the text came back."""
     path, pattern = public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN
     sized = docs.select("doc_id", "text", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
-    ids = encode_documents(sized, path, pattern, keep=("text_sha256",))
-    decoded = decode_documents(ids.withColumn("kept_ids", F.col("ids")), path, pattern)
-    return decoded.select(
-        "doc_id", "n_tokens", F.col("kept_ids").alias("ids"), (F.sha2("decoded", 256) == F.col("text_sha256")).alias("round_trip")
-    )
+    ids = encode_documents(sized, path, pattern, keep=("text_sha256",), decode=True)
+    return ids.select("doc_id", "n_tokens", "ids", (F.sha2("decoded", 256) == F.col("text_sha256")).alias("round_trip"))
 
 
 STAGES = [

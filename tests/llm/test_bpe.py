@@ -59,6 +59,8 @@ def test_frames(spark, both):
     out = bpe.decode_documents(bpe.encode_documents(df, PATH, P.PATTERN), PATH, P.PATTERN).collect()
     assert sorted((r.doc_id or 0, bytes(r.decoded)) for r in out) == sorted((i or 0, (t or "").encode()) for i, t in texts)
     assert {r.doc_id: r.n_tokens for r in out}[1] == 0
+    both_ways = bpe.encode_documents(df, PATH, P.PATTERN, decode=True).collect()
+    assert sorted((r.doc_id or 0, bytes(r.decoded)) for r in both_ways) == sorted((i or 0, (t or "").encode()) for i, t in texts)
     ids = bpe.encode_documents(df.where("doc_id = 3"), PATH, P.PATTERN).collect()
     assert {hashlib.sha256(r.ids).hexdigest() for r in ids} == {hashlib.sha256(both[2]("same")).hexdigest()}
     assert bpe.encode_documents(df.where("false"), PATH, P.PATTERN).count() == 0

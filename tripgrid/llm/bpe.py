@@ -30,8 +30,8 @@ from pyspark.sql import functions as F
 from ._common import BATCH_BYTES
 
 # Entries a worker keeps of each memo; a full memo is emptied, which bounds its memory.
-PIECE_MEMO = 500_000
-PAIR_MEMO = 500_000
+PIECE_MEMO = 150_000
+PAIR_MEMO = 200_000
 
 
 def read_ranks(path: str) -> bytes:
@@ -189,28 +189,41 @@ def encoder(content: bytes, pattern: str) -> Encoder:
 
 
 def encode_documents(
-    df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", keep: Sequence[str] = ()
+    df: DataFrame,
+    ranks_path: str,
+    pattern: str,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    keep: Sequence[str] = (),
+    decode: bool = False,
 ) -> DataFrame:
     """``(id, *keep, n_tokens, ids)``: ids as binary, little-endian unsigned 32-bit integers.
 
-    The vocabulary (a file of fixed size, about 1 MB) is broadcast.
+    With ``decode`` there is also ``decoded``, the bytes that the ids decode
+    to, made by the same worker, which saves a second one for each task. The
+    vocabulary (a file of fixed size, about 1 MB) is broadcast.
     """
     shared = df.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     source = df.select(F.col(id_col).alias("id"), *keep, text.alias("to_encode"))
     n = 1 + len(keep)
+    added = ["n_tokens", "ids", *["decoded"] * decode]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(shared.value, pattern).encode
+        enc = encoder(shared.value, pattern)
+        back = Decoder(enc.ranks).decode if decode else None
         for batch in batches:
             at = 0
-            for ids in _groups(encode(text.as_py()) for text in batch.column(n)):
+            for ids in _groups(enc.encode(text.as_py()) for text in batch.column(n)):
                 columns = [c.slice(at, len(ids)) for c in batch.columns[:n]]
                 columns += [pa.array([len(i) // 4 for i in ids], pa.int64()), pa.array(ids, pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names[:n], "n_tokens", "ids"])
+                if back:
+                    columns.append(pa.array(map(back, ids), pa.binary()))
+                yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names[:n], *added])
                 at += len(ids)
 
-    out = source.mapInArrow(run, f"{_fields(source, n)}, n_tokens bigint, ids binary")
+    types = {"n_tokens": "bigint", "ids": "binary", "decoded": "binary"}
+    out = source.mapInArrow(run, ", ".join([_fields(source, n), *(f"{c} {types[c]}" for c in added)]))
     return out.withColumnRenamed("id", id_col)
 
 

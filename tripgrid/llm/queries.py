@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ._common import table
 from .ann import nearest_neighbours
-from .bpe import decode_documents, encode_documents
+from .bpe import encode_documents
 from .chat import digests, format_conversations
 from .exact_dedup import exact_duplicates
 from .jaccard import jaccard_components
@@ -24,10 +24,9 @@ VOCABULARY = "byte_bpe_50k.tiktoken"
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every document's token ids and of the bytes they decode to."""
     path, pattern = public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN
-    ids = encode_documents(table(spark, sf_dir, "documents"), path, pattern)
-    ids = ids.withColumn("ids_sha256", F.sha2("ids", 256))
-    return decode_documents(ids, path, pattern).select(
-        "doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256")
+    ids = encode_documents(table(spark, sf_dir, "documents"), path, pattern, decode=True)
+    return ids.select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
     )
 
 
