@@ -46,7 +46,7 @@ PERCENT = 80
 UNIT = 2048
 SKETCH_CELLS = 1 << 18
 # Rows worked off at once when sorted partitions are streamed.
-SLAB_ROWS = 20_000
+SLAB_ROWS = 8_000
 
 
 def _key(tokens: np.ndarray) -> bytes:
