@@ -90,11 +90,12 @@ def judge_captures(
 
     keys = rows.where("at is not null").select("row_no", "at", slot(F.col("at")).alias("slot"), F.explode(capture_keys(F.col("url"))).alias("k"))
     keys = keys.select("row_no", "at", "slot", F.col("k.kind").alias("kind"), F.col("k.key").alias("key"))
-    # Open intervals reach as far as captures do: one row with the last fetch time.
-    last = rows.agg(F.max("at").alias("last_at"))
-    entries = validity_intervals(changes).join(F.broadcast(last), F.col("valid_from") <= F.col("last_at"))
-    until = F.least(F.coalesce("valid_until", "last_at"), "last_at")
-    entries = entries.withColumn("slot", F.explode(F.sequence(slot(F.col("valid_from")), slot(until)))).drop("last_at")
+    # Open intervals reach as far as captures do.
+    last = rows.agg(F.max(F.unix_micros("at"))).head()[0]
+    last_at = F.timestamp_micros(F.lit(last).cast("bigint"))
+    entries = validity_intervals(changes).where(F.col("valid_from") <= last_at)
+    until = F.least(F.coalesce(F.col("valid_until"), last_at), last_at)
+    entries = entries.withColumn("slot", F.explode(F.sequence(slot(F.col("valid_from")), slot(until))))
     entries = entries.select("list", "allows", F.col("kind").alias("e_kind"), F.col("key").alias("e_key"), "valid_from", "valid_until", F.col("slot").alias("e_slot"))
     active = (F.col("valid_from") <= F.col("at")) & (F.col("valid_until").isNull() | (F.col("at") < F.col("valid_until")))
     same = (F.col("kind") == F.col("e_kind")) & (F.col("key") == F.col("e_key")) & (F.col("slot") == F.col("e_slot"))
