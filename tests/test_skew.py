@@ -85,7 +85,7 @@ def test_band_on_a_hot_date_opens_few_files(spark, scratch):
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1k")
     spark.conf.set("spark.sql.shuffle.partitions", "200")
     try:
-        write_trips(trips_frame(spark, rows).repartition(8), path, layout="by_date")
+        write_trips(trips_frame(spark, rows).repartition(8), path, layout="by_date", cluster="slots")
     finally:
         for key, value in old.items():
             spark.conf.set(key, value)

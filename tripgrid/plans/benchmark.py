@@ -32,6 +32,7 @@ def run_process(
     layout: str = "by_date",
     compat: bool = False,
     label: str | None = None,
+    cluster: str = "rebalance",
 ) -> float:
     """Clean + enrich + store one raw CSV log; returns (and optionally logs) the seconds taken.
 
@@ -42,7 +43,7 @@ def run_process(
     start = time.perf_counter()
     counted = Observation("procesamiento")
     raw = read_raw_trips(spark, csv_path).observe(counted, F.count(F.lit(1)).alias("filas"))
-    write_trips(process_trips(raw, compat=compat), out_path, mode=mode, layout=layout)
+    write_trips(process_trips(raw, compat=compat), out_path, mode=mode, layout=layout, cluster=cluster)
     seconds = time.perf_counter() - start
     if timing_path:
         append_timing(

@@ -90,7 +90,7 @@ def _second_of_day(c: str):
 SLOT_SECONDS = 900
 
 LAYOUTS = ("flat", "by_date")
-CLUSTERINGS = ("rebalance", "local")
+CLUSTERINGS = ("rebalance", "slots", "local")
 
 
 def layout_frame(df: DataFrame, layout: str = "flat", cluster: str = "rebalance") -> DataFrame:
@@ -103,6 +103,8 @@ def layout_frame(df: DataFrame, layout: str = "flat", cluster: str = "rebalance"
         return df
     out = with_layout_columns(df)
     if cluster == "rebalance":
+        out = out.hint("rebalance", S.PICKUP_DATE, S.DROPOFF_DATE)
+    if cluster == "slots":
         slot = F.floor(F.col(S.PICKUP_SECOND) / SLOT_SECONDS)
         out = out.withColumn("_slot", slot).hint("rebalance", S.PICKUP_DATE, S.DROPOFF_DATE, "_slot").drop("_slot")
     return out.sortWithinPartitions(S.PICKUP_DATE, S.DROPOFF_DATE, S.PICKUP_TIME)
@@ -130,12 +132,15 @@ def write_trips(
 
     ``cluster`` (``by_date`` only) chooses how rows reach the writers:
 
-    * ``rebalance`` (default): a ``REBALANCE`` on the two dates and the
-      quarter hour of the pickup — one hash exchange without a sampling pass,
-      in which a busy date spreads over its 96 slots, so each of its files
-      covers few of them and a time-of-day band opens few files. Adaptive
-      execution splits a slot that is still too large and merges small ones,
-      so every task writes files of reasonable size whatever the input order;
+    * ``rebalance`` (default): a ``REBALANCE`` on the two date keys — one
+      hash exchange without a sampling pass; adaptive execution splits a
+      skewed date over several tasks and merges small ones, so every task
+      writes a few files of reasonable size whatever the input order;
+    * ``slots``: the same on the two dates and the quarter hour of the pickup,
+      for loads whose dates fill many files: a date spreads over its 96 slots,
+      each of its files covers few of them, and a time-of-day band opens few
+      files. On a small load it would write many small files, as every task
+      holds slots of most dates;
     * ``local``: no exchange, each task sorts its own rows. For inputs that
       are already in time order (a time-sorted log), where each input split
       covers a short time span.
