@@ -1,5 +1,7 @@
 """The licence classifier on documents it was not trained on."""
 
+import textwrap
+
 from tripgrid.llm import licences
 
 DOCS = "/root/testdata/sf0.1/documents.parquet"
@@ -42,3 +44,31 @@ def test_variants_unknowns_and_odd_rows(spark):
     assert {r.doc_id: r.n_paragraphs for r in out}[1] == 3 and {r.doc_id: r.n_paragraphs for r in out}[6] == 0
     assert licences.scan_licences(df.where("false"), model).count() == 0
     assert licences.train([]).scan(b"Released under the MIT License.") == (1, [(0, True)])
+
+
+def wrapped(text, width, mark=""):
+    return "\n".join(mark + line for line in textwrap.wrap(text, width))
+
+
+def confirmed(model, text):
+    return [licences.FAMILIES[f] for f, sure in model.scan(text.encode())[1] if sure]
+
+
+PLAIN = ["Some plain words about nothing.", "The work of others is free.", "A day at the sea with all of us and the dog."] * 40
+
+
+def test_wrapped_notices_and_headings():
+    model = licences.train(PLAIN)
+    for family, templates in licences.TEMPLATES.items():
+        for template in templates:
+            for width in (40, 60, 72):
+                for mark in ("", "# ", " * "):
+                    text = "int x;\n\n" + wrapped(f"Copyright 2020 by the authors. {template} and so on.", width, mark) + "\n\nint y;"
+                    assert confirmed(model, text) == [family], text
+    gpl = "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by"
+    assert confirmed(model, gpl) == ["GPL"]
+    for family, headings in licences.HEADINGS.items():
+        for heading in headings:
+            assert confirmed(model, f"a\n\n   {heading.upper()}\n\nb") == [family]
+    assert confirmed(model, "They teach the GNU General Public License and other licences to all students of law.") == []
+    assert confirmed(model, "Permission is hereby granted,\n\nfree of charge\n\nto any person\n\nobtaining a copy") == []  # blank lines part

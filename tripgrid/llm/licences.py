@@ -1,21 +1,26 @@
 """Licence scan by a trained paragraph classifier (operator 9).
 
-A paragraph (a line of the text) is a sparse vector of hashed word 1-, 2- and
-3-grams. A multinomial logistic regression tells licence families and an
-unknown class apart. It is trained on variants of the templates (words
+A piece of text is a sparse vector of hashed word 1-, 2- and 3-grams. A
+multinomial logistic regression tells licence families and an unknown class
+apart. Pieces are the paragraphs (lines of the text) and, as notices are often
+wrapped, overlapping windows of words over every run of several lines without
+a blank one between. It is trained on variants of the templates (words
 dropped, other versions, other text around them) and on a bounded sample of
 the corpus's own paragraphs: those unlike every template are examples of the
 unknown class. The scores are calibrated on a part of these rows held out from
-the fit (a temperature and an offset of the unknown class). A paragraph that
-the classifier gives to a family is confirmed by comparison with the family's
-templates: enough of a template's word bigrams must occur in it.
+the fit (a temperature and an offset of the unknown class). A piece that the
+classifier gives to a family is confirmed by comparison with the family's
+templates: enough of a template's word bigrams must occur in it. A paragraph
+is also confirmed if it is little but the heading of a licence. Of pieces whose
+matched words overlap, the one with most matched bigrams is the notice.
 
 Only n-grams of the templates have weights, so scanning looks up every n-gram
 of every whole text, and the model is small and of fixed size.
 
 Defined results: a null or empty text has no paragraphs; blank lines are no
-paragraphs; repeated paragraphs count each; a paragraph has the family of the
-highest probability, ties going to the first in ``FAMILIES``; an empty table
+paragraphs; repeated notices count each, a wrapped one once; a piece has the
+family of the highest probability, ties going to the first in ``FAMILIES``; an
+empty table
 gives an empty result; null ids and repeated rows are scanned like others;
 other columns are not read.
 """
@@ -47,7 +52,10 @@ TEMPLATES = {
         "This work is licensed under the GNU General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License",
     ),
-    "LGPL": ("This library is licensed under the GNU Lesser General Public License, version 2.1.",),
+    "LGPL": (
+        "This library is licensed under the GNU Lesser General Public License, version 2.1.",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License",
+    ),
     "BSD": (
         "Licensed under the BSD 3-Clause License.",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
@@ -57,6 +65,18 @@ TEMPLATES = {
     "CC BY-NC": ("Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
     "CC BY-SA": ("Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
 }
+# Headings of licence texts, which stand in a line of their own.
+HEADINGS = {
+    "MIT": ("MIT License", "The MIT License (MIT)"),
+    "Apache": ("Apache License", "Apache License, Version 2.0"),
+    "GPL": ("GNU General Public License", "GNU General Public License, version 3"),
+    "LGPL": ("GNU Lesser General Public License", "GNU Lesser General Public License, version 2.1"),
+    "BSD": ("BSD 3-Clause License", "The BSD License"),
+    "MPL": ("Mozilla Public License", "Mozilla Public License, version 2.0"),
+    "CC BY": ("Creative Commons Attribution 4.0 International",),
+    "CC BY-NC": ("Creative Commons Attribution-NonCommercial 4.0 International",),
+    "CC BY-SA": ("Creative Commons Attribution-ShareAlike 4.0 International",),
+}
 FAMILIES = tuple(TEMPLATES)
 UNKNOWN = len(FAMILIES)
 
@@ -77,6 +97,8 @@ SAMPLE_ROWS = 2000
 SAMPLE_WORDS = 200
 PENALTY = 1e-3
 CONFIRM = 0.6
+# Words of the windows and the step between them; any 25 words in a row lie in a window.
+WINDOWS = ((12, 4), (32, 8))
 SEED = 9
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -87,11 +109,11 @@ _TABLE = np.random.Generator(np.random.PCG64(SEED)).integers(0, 1 << 64, size=64
 _FACTOR = np.random.Generator(np.random.PCG64(SEED + 1)).integers(0, 1 << 64, size=8, dtype=np.uint64) | np.uint64(1)
 
 
-def paragraph_grams(data: bytes | pa.Buffer) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray]:
-    """Hashes of the word n-grams of a text and the paragraph each is in, for n = 1, 2, 3, and words per paragraph.
+def text_words(data: bytes | pa.Buffer) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """Hashes of the words of a text, the paragraph and the block each is in, and the number of paragraphs.
 
-    Paragraphs are lines with at least one character that is not blank; numbers
-    in them count from 0. N-grams do not run across lines.
+    Paragraphs are lines with at least one character that is not blank; blocks
+    are runs of them without a blank line between. Numbers count from 0.
     """
     codes = np.frombuffer(data, dtype=np.uint8)
     newline = codes == 10
@@ -101,24 +123,52 @@ def paragraph_grams(data: bytes | pa.Buffer) -> tuple[list[np.ndarray], list[np.
     inside = _WORD[codes]
     starts = np.flatnonzero(inside & np.append(True, ~inside[:-1])) if len(codes) else np.empty(0, dtype=np.int64)
     if not len(starts):
-        none = [np.empty(0, dtype=np.uint64)] * NGRAMS
-        return none, [np.empty(0, dtype=np.int64)] * NGRAMS, np.zeros(len(lines), dtype=np.int64)
+        return np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64), len(lines)
     at = np.flatnonzero(inside)
     heads = np.searchsorted(at, starts)
     lengths = np.diff(np.append(heads, len(at)))
     place = np.arange(len(at)) - np.repeat(heads, lengths)
     words = mix(np.add.reduceat(_TABLE[(place % 64) * 256 + _LOWER[codes[at]]], heads) + lengths.astype(np.uint64))
     paragraph = np.searchsorted(lines, line[starts])
+    block = np.cumsum(np.append(False, np.diff(lines) > 1))
+    return words, paragraph, block[paragraph], len(lines)
+
+
+def word_grams(words: np.ndarray, block: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Hashes of the n-grams of words and the word each starts at, for n = 1, 2, 3; none runs across blocks."""
     grams, places = [], []
     for n in range(1, NGRAMS + 1):
         m = max(0, len(words) - n + 1)
         value = np.full(m, np.uint64(n))
         for k in range(n):
             value += words[k : k + m] * _FACTOR[k + n]
-        same = paragraph[:m] == paragraph[n - 1 : n - 1 + m]
+        same = np.flatnonzero(block[:m] == block[n - 1 : n - 1 + m])
         grams.append(mix(value)[same])
-        places.append(paragraph[:m][same])
-    return grams, places, np.bincount(paragraph, minlength=len(lines))
+        places.append(same)
+    return grams, places
+
+
+def text_grams(text: str) -> list[np.ndarray]:
+    """Hashes of the n-grams of a text taken as one line."""
+    words, _, _, _ = text_words(text.encode())
+    return word_grams(words, np.zeros(len(words), dtype=np.int64))[0]
+
+
+def pieces(paragraph: np.ndarray, block: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+    """First word and end of the paragraphs and then of the windows, and the number of the former."""
+    n = len(paragraph)
+    starts = np.flatnonzero(np.append(True, paragraph[1:] != paragraph[:-1]))
+    ends = np.append(starts[1:], n)
+    heads = np.flatnonzero(np.append(True, block[1:] != block[:-1]))
+    sizes = np.diff(np.append(heads, n))
+    place, left = np.arange(n) - np.repeat(heads, sizes), np.repeat(heads + sizes, sizes) - np.arange(n)
+    several = np.repeat(paragraph[heads] != paragraph[heads + sizes - 1], sizes)
+    firsts, lasts = [starts], [ends]
+    for size, step in WINDOWS:
+        first = np.flatnonzero(several & (place % step == 0) & ((place == 0) | (left > size - step)))
+        firsts.append(first)
+        lasts.append(first + np.minimum(size, left[first]))
+    return np.concatenate(firsts), np.concatenate(lasts), len(starts)
 
 
 @dataclass
@@ -128,36 +178,64 @@ class Model:
     bias: np.ndarray
     scale: float
     templates: list[tuple[int, np.ndarray]]  # family, sorted bigram hashes
-
-    def _features(self, data) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray], list[np.ndarray]]:
-        grams, places, words = paragraph_grams(data)
-        slot = self.slots[(np.concatenate(grams) >> np.uint64(64 - BITS)).astype(np.int64)]
-        place = np.concatenate(places)
-        hit = slot >= 0
-        return slot[hit], place[hit], words, grams, places
-
-    def probabilities(self, data) -> tuple[np.ndarray, np.ndarray]:
-        """Class probabilities of each paragraph of a text, and which of them have any known n-gram."""
-        slot, place, words, _, _ = self._features(data)
-        scores = np.zeros((len(words), UNKNOWN + 1))
-        np.add.at(scores, place, self.weights[slot])
-        scores = self.scale * scores / np.sqrt(np.maximum(words, 1))[:, None] + self.bias
-        return _softmax(scores), np.bincount(place, minlength=len(words)) > 0
+    headings: list[tuple[int, np.ndarray]]
+
+    def slot(self, grams: np.ndarray) -> np.ndarray:
+        return self.slots[(grams >> np.uint64(64 - BITS)).astype(np.int64)]
+
+    def probabilities(self, grams, places, first: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Class probabilities of pieces of a text, and which of them have any known n-gram."""
+        scores = np.zeros((len(first), UNKNOWN + 1))
+        touched = np.zeros(len(first), dtype=bool)
+        for n, (gram, place) in enumerate(zip(grams, places, strict=True), start=1):
+            slot = self.slot(gram)
+            at, slot = place[slot >= 0], slot[slot >= 0]
+            sums = np.concatenate([np.zeros((1, UNKNOWN + 1)), np.cumsum(self.weights[slot], axis=0)])
+            low = np.searchsorted(at, first)
+            high = np.maximum(low, np.searchsorted(at, end - n + 1))
+            scores += sums[high] - sums[low]
+            touched |= high > low
+        scores = self.scale * scores / np.sqrt(np.maximum(end - first, 1))[:, None] + self.bias
+        return _softmax(scores), touched
 
     def scan(self, data) -> tuple[int, list[tuple[int, bool]]]:
-        """Number of paragraphs, and (family, confirmed) of each that is no unknown."""
-        p, touched = self.probabilities(data)
+        """Number of paragraphs, and (family, confirmed) of each notice in the text."""
+        words, paragraph, block, n_paragraphs = text_words(data)
+        if not len(words):
+            return n_paragraphs, []
+        grams, places = word_grams(words, block)
+        first, end, n_lines = pieces(paragraph, block)
+        p, touched = self.probabilities(grams, places, first, end)
         best = p.argmax(axis=1)
-        named = np.flatnonzero(touched & (best != UNKNOWN))
-        if not len(named):
-            return len(p), []
-        grams, places, _ = paragraph_grams(data)
         found = []
-        for k in named.tolist():
-            bigrams = grams[1][places[1] == k]
-            shares = [np.isin(t, bigrams).mean() for f, t in self.templates if f == best[k]]
-            found.append((int(best[k]), max(shares) >= CONFIRM))
-        return len(p), found
+        for k in np.flatnonzero(touched & (best != UNKNOWN)).tolist():
+            a, b = int(first[k]), int(end[k])
+            low, high = np.searchsorted(places[1], [a, b - 1])
+            sure, matched, span = self._match(int(best[k]), grams[1][low:high], places[1][low:high], k < n_lines)
+            found.append((not sure, -matched, b - a, -p[k, best[k]], span or (a, b), int(best[k]), sure))
+        notices: list[tuple[int, bool]] = []
+        taken: list[tuple[int, int]] = []
+        for *_, (a, b), family, sure in sorted(found):
+            if all(b <= c or d <= a for c, d in taken):
+                taken.append((a, b))
+                notices.append((family, sure))
+        return n_paragraphs, notices
+
+    def _match(self, family: int, bigrams: np.ndarray, at: np.ndarray, line: bool) -> tuple[bool, int, tuple[int, int] | None]:
+        """Whether a piece is confirmed, how many bigrams it shares with the best template, and where from and to."""
+        sure, best, span = False, 0, None
+        for known in (self.templates, self.headings) if line else (self.templates,):
+            for f, t in known:
+                if f != family:
+                    continue
+                shared = np.isin(t, bigrams)
+                enough = shared.mean() >= CONFIRM
+                if known is self.headings:
+                    enough &= np.isin(bigrams, t).sum() >= CONFIRM * len(bigrams)
+                if (enough, shared.sum()) > (sure, best):
+                    where = at[np.isin(bigrams, t)]
+                    sure, best, span = bool(enough), int(shared.sum()), (int(where[0]), int(where[-1]) + 2)
+        return sure, best, span
 
 
 def _softmax(scores: np.ndarray) -> np.ndarray:
@@ -165,15 +243,15 @@ def _softmax(scores: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
-def _template_bigrams() -> list[tuple[int, np.ndarray]]:
-    return [(f, np.unique(paragraph_grams(t.encode())[0][1])) for f, name in enumerate(FAMILIES) for t in TEMPLATES[name]]
+def _bigrams(texts: dict[str, tuple[str, ...]]) -> list[tuple[int, np.ndarray]]:
+    return [(f, np.unique(text_grams(t)[1])) for f, name in enumerate(FAMILIES) for t in texts[name]]
 
 
 def _variants(rng: np.random.Generator, fillers: list[str]) -> list[tuple[str, int]]:
     """Training texts made of the templates, and of pieces too small to name a family."""
     out = []
     for f, name in enumerate(FAMILIES):
-        for template in TEMPLATES[name]:
+        for template in (*TEMPLATES[name], *HEADINGS[name]):
             words = template.split()
             for _ in range(VARIANTS):
                 kept = [w for w in words if rng.random() > 0.08]
@@ -200,27 +278,28 @@ def train(paragraphs: list[str]) -> Model:
     from .quality import _minimize
 
     rng = np.random.Generator(np.random.PCG64(SEED))
-    templates = _template_bigrams()
+    templates = _bigrams(TEMPLATES)
     known = np.unique(np.concatenate([t for _, t in templates]))
 
     def unlike(text: str) -> bool:
-        bigrams = paragraph_grams(text.encode())[0][1]
+        bigrams = text_grams(text)[1]
         return all(np.isin(t, bigrams).mean() < 0.2 for _, t in templates) if np.isin(bigrams, known).any() else True
 
     plain = [p for p in paragraphs if unlike(p)]
     rows = _variants(rng, plain) + [(p, UNKNOWN) for p in plain]
     rows = [rows[i] for i in rng.permutation(len(rows))]
-    grams = np.concatenate([g for name in FAMILIES for t in TEMPLATES[name] for g in paragraph_grams(t.encode())[0]])
+    grams = np.concatenate([g for name in FAMILIES for t in (*TEMPLATES[name], *HEADINGS[name]) for g in text_grams(t)])
     slots = np.full(1 << BITS, -1, dtype=np.int32)
     buckets = np.unique(grams >> np.uint64(64 - BITS)).astype(np.int64)
     slots[buckets] = np.arange(len(buckets))
     n_classes = UNKNOWN + 1
-    model = Model(slots, np.zeros((len(buckets), n_classes)), np.zeros(n_classes), 1.0, templates)
+    model = Model(slots, np.zeros((len(buckets), n_classes)), np.zeros(n_classes), 1.0, templates, _bigrams(HEADINGS))
 
     x = np.zeros((len(rows), len(buckets)))
     for i, (text, _) in enumerate(rows):
-        slot, _, words, _, _ = model._features(text.replace("\n", " ").encode())
-        np.add.at(x[i], slot, 1 / np.sqrt(max(1, words.sum())))
+        grams = text_grams(text)
+        slot = model.slot(np.concatenate(grams))
+        np.add.at(x[i], slot[slot >= 0], 1 / np.sqrt(max(1, len(grams[0]))))
     y = np.array([label for _, label in rows])
     fitted = np.arange(len(rows)) % 4 != 0
 
