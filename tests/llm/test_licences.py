@@ -72,3 +72,15 @@ def test_wrapped_notices_and_headings():
             assert confirmed(model, f"a\n\n   {heading.upper()}\n\nb") == [family]
     assert confirmed(model, "They teach the GNU General Public License and other licences to all students of law.") == []
     assert confirmed(model, "Permission is hereby granted,\n\nfree of charge\n\nto any person\n\nobtaining a copy") == []  # blank lines part
+
+
+def test_notices_within_long_lines():
+    model = licences.train(PLAIN)
+    plain = " ".join(PLAIN).split()
+    for family, templates in licences.TEMPLATES.items():
+        for k, template in enumerate(templates):
+            before, after = " ".join(plain[: 700 + k]), " ".join((plain * 6)[:4300])
+            assert confirmed(model, f"{before} {template} {after}") == [family], template
+    both = f"{' '.join(plain)} Released under the MIT License. {' '.join(plain)} Licensed under CC BY-SA 4.0. {' '.join(plain)}"
+    assert sorted(confirmed(model, both)) == ["CC BY-SA", "MIT"]
+    assert model.scan(" ".join(plain * 6).encode()) == (1, [])

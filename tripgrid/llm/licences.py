@@ -2,12 +2,12 @@
 
 A piece of text is a sparse vector of hashed word 1-, 2- and 3-grams. A
 multinomial logistic regression tells licence families and an unknown class
-apart. Pieces are the paragraphs (lines of the text) and, as notices are often
-wrapped, overlapping windows of words over every run of several lines without
-a blank one between. It is trained on variants of the templates (words
+apart. Pieces are overlapping windows of words over every run of lines without
+a blank one between, as notices are often wrapped or stand within long lines,
+and the paragraphs (lines of the text) that are no longer than a window. It is trained on variants of the templates (words
 dropped, other versions, other text around them) and on a bounded sample of
-the corpus's own paragraphs: those unlike every template are examples of the
-unknown class. The scores are calibrated on a part of these rows held out from
+the corpus's own paragraphs: their windows unlike every template are examples
+of the unknown class. The scores are calibrated on a part of these rows held out from
 the fit (a temperature and an offset of the unknown class). A piece that the
 classifier gives to a family is confirmed by comparison with the family's
 templates: enough of a template's word bigrams must occur in it. A paragraph
@@ -155,17 +155,18 @@ def text_grams(text: str) -> list[np.ndarray]:
 
 
 def pieces(paragraph: np.ndarray, block: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
-    """First word and end of the paragraphs and then of the windows, and the number of the former."""
+    """First word and end of the paragraphs that fit in a window, then of the windows, and the number of the former."""
     n = len(paragraph)
     starts = np.flatnonzero(np.append(True, paragraph[1:] != paragraph[:-1]))
     ends = np.append(starts[1:], n)
+    fits = ends - starts <= WINDOWS[-1][0]
+    starts, ends = starts[fits], ends[fits]
     heads = np.flatnonzero(np.append(True, block[1:] != block[:-1]))
     sizes = np.diff(np.append(heads, n))
     place, left = np.arange(n) - np.repeat(heads, sizes), np.repeat(heads + sizes, sizes) - np.arange(n)
-    several = np.repeat(paragraph[heads] != paragraph[heads + sizes - 1], sizes)
     firsts, lasts = [starts], [ends]
     for size, step in WINDOWS:
-        first = np.flatnonzero(several & (place % step == 0) & ((place == 0) | (left > size - step)))
+        first = np.flatnonzero((place % step == 0) & ((place == 0) | (left > size - step)))
         firsts.append(first)
         lasts.append(first + np.minimum(size, left[first]))
     return np.concatenate(firsts), np.concatenate(lasts), len(starts)
@@ -266,6 +267,12 @@ def _variants(rng: np.random.Generator, fillers: list[str]) -> list[tuple[str, i
     return out + [(d, UNKNOWN) for d in DISTRACTORS for _ in range(VARIANTS // 3)]
 
 
+def _cut(text: str) -> list[str]:
+    """A text in pieces of a window's words, one after the other."""
+    words, size = text.split(), WINDOWS[-1][0]
+    return [" ".join(words[i : i + size]) for i in range(0, len(words), size)]
+
+
 def sample_paragraphs(df: DataFrame, text_col: str = "text") -> list[str]:
     """At most SAMPLE_ROWS paragraphs of at most SAMPLE_WORDS words, of documents that a hash picks."""
     lines = df.where(F.pmod(F.xxhash64(F.col(text_col)), F.lit(16)) == 0).select(F.explode(F.split(F.col(text_col), "\n")).alias("line"))
@@ -285,7 +292,7 @@ def train(paragraphs: list[str]) -> Model:
         bigrams = text_grams(text)[1]
         return all(np.isin(t, bigrams).mean() < 0.2 for _, t in templates) if np.isin(bigrams, known).any() else True
 
-    plain = [p for p in paragraphs if unlike(p)]
+    plain = [w for p in paragraphs for w in _cut(p) if unlike(w)]
     rows = _variants(rng, plain) + [(p, UNKNOWN) for p in plain]
     rows = [rows[i] for i in rng.permutation(len(rows))]
     grams = np.concatenate([g for name in FAMILIES for t in (*TEMPLATES[name], *HEADINGS[name]) for g in text_grams(t)])
