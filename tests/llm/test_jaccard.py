@@ -77,6 +77,28 @@ def test_one_row_of_each_component_stays(spark):
     assert sorted(r.doc_id for r in out.collect()) == sorted({c for _, _, c in brute_force(rows)})
 
 
+def test_null_and_repeated_ids_stay_apart(spark):
+    rows = corpus(4)
+    near = [r for r in rows if r[0] is not None and r[0] < 1000]
+    rows += [(None, "another lonely text that has no id at all"), (None, None), (None, "")]
+    rows += [(i, f"unrelated text number {i} under an id that is not its own") for i, _ in near[::3]]
+    rows += [(i, t + " more") for i, t in near[::5]] + [(None, t) for _, t in near[::7]]
+    label = list(range(len(rows)))
+    sets = [shingles(t) for _, t in rows]
+    for i in range(len(rows)):
+        for j in range(i):
+            if sets[i] and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+                label = [label[j] if x == label[i] else x for x in label]
+    stay = {}
+    for k in sorted(range(len(rows)), key=lambda k: (rows[k][0] is None, rows[k][0] or 0, k)):
+        stay.setdefault(label[k], k)
+    schema = "doc_id bigint, text string, row_no string, who int, component_id string, row int"
+    df = spark.createDataFrame([(*r, "clash", 1, "clash", k) for k, r in enumerate(rows)], schema)
+    out = jaccard.drop_near_duplicates(df)
+    assert out.columns == df.columns
+    assert sorted(r.row for r in out.collect()) == sorted(stay.values())
+
+
 def test_empty_table(spark):
     assert jaccard.jaccard_components(frame(spark, corpus()).where("false")).count() == 0
 

@@ -328,11 +328,17 @@ def jaccard_components(
 def drop_near_duplicates(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT
 ) -> DataFrame:
-    """The rows of ``df`` (all columns) that stay: of each component those with its least id.
+    """The rows of ``df`` (all columns) that stay: one of each component, that of its least id.
 
-    Rows that repeat the id that stays all stay; drop exact copies first.
+    Null ids come last, and of rows with the same id the one stored first
+    stays. Rows are told apart by their number, so null and repeated ids
+    are no reason to drop or keep another row.
     """
-    found = jaccard_components(df, id_col, text_col, words, percent)
-    dropped = found.where(~F.col("component_id").eqNullSafe(F.col(id_col))).select(F.col(id_col).alias("drop_id")).distinct()
-    rows = df.select(F.struct("*").alias("row"), F.col(id_col).alias("id"))
-    return rows.join(dropped, F.col("id").eqNullSafe(F.col("drop_id")), "left_anti").select("row.*")
+    number = "row_no"
+    while number.lower() in (c.lower() for c in df.columns):
+        number += "_"
+    rows = materialize(df.withColumn(number, F.monotonically_increasing_id()), "numbered")
+    who = F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("id"), F.col(number).alias("row_no"))
+    found = jaccard_components(rows.select(who.alias("who"), F.col(text_col).alias("text")), "who", "text", words, percent)
+    dropped = found.where("component_id.row_no != who.row_no").select(F.col("who.row_no").alias(number))
+    return rows.join(dropped, number, "left_anti").drop(number)
