@@ -11,15 +11,18 @@ probabilities follow, and a tail probability selects the documents.
 The weights are fitted by L-BFGS on a bounded sample of the labelled rows
 (``max_rows``, chosen by a hash of the id; about that many, labels beyond it
 are not used). Features of the sample are stored; each step's loss and gradient
-is a Spark job over them, whose tasks (``FIT_TASKS`` at most) return one vector of
-fixed length each. Scoring reads every document whole.
+is a Spark job over them: ``FIT_TASKS`` tasks make a partial sum each, one adds
+them up in the order of the tasks, and one vector over the features that occur
+in the sample comes back. Nothing a step sends outlives it. Scoring reads every
+document whole; its tasks carry the weights that are not zero.
 
 Defined results: a null or empty text has no features and gets the grade the
 thresholds alone give; rows with a null label or id are not used for fitting,
 of several labels for an id the lowest counts; without any label the grades
 are equally likely a priori; rows are scored on their own, so repeated rows
-agree and null ids are kept; an empty table gives an empty result; other
-columns pass through ``select_documents`` and are not read by ``grades``.
+agree and null ids are kept; an empty table gives an empty result; labels of
+which none is sampled raise an error, as an untrained model would keep every
+document; other columns pass through ``select_documents`` and are not read by ``grades``.
 """
 
 from __future__ import annotations
@@ -29,6 +32,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -88,6 +92,16 @@ class Model:
     weights: np.ndarray
     thresholds: np.ndarray
 
+    def __getstate__(self) -> tuple:
+        """What tasks are sent: the weights that are not zero."""
+        numbers = np.flatnonzero(self.weights).astype(np.int32)
+        return len(self.weights), numbers, self.weights[numbers], self.thresholds
+
+    def __setstate__(self, state: tuple) -> None:
+        width, numbers, weights, self.thresholds = state
+        self.weights = np.zeros(width)
+        self.weights[numbers] = weights
+
     def tails(self, scores: np.ndarray) -> np.ndarray:
         """``P(grade >= k)`` for k = 1 .. grades - 1, a column each."""
         return _sigmoid(scores[:, None] - self.thresholds)
@@ -118,9 +132,11 @@ def training_rows(df: DataFrame, labels: DataFrame, grade: Column, max_rows: int
     """Stored ``(grade, numbers, values)`` of about ``max_rows`` labelled documents at most."""
     graded = labels.select(F.col(id_col).alias("of_id"), grade.cast("int").alias("grade")).where("of_id is not null and grade is not null")
     graded = graded.groupBy("of_id").agg(F.min("grade").alias("grade"))
-    share = max_rows / max(1, max_rows, graded.count())
-    parts = 1 << 20
-    sample = graded.where(F.pmod(F.xxhash64("of_id"), F.lit(parts)) < int(share * parts))
+    sample = graded
+    n_graded = graded.count()
+    if n_graded > max_rows:
+        # The whole hash is compared, so the share is never rounded to nothing.
+        sample = graded.where(F.xxhash64("of_id") < F.lit(-(1 << 63) + (max_rows << 64) // n_graded))
     # The sample has a bounded number of rows of two numbers each.
     texts = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary").alias("data"))
     texts = texts.join(F.broadcast(sample), F.col("id") == F.col("of_id")).select("grade", "data")
@@ -139,10 +155,13 @@ def training_rows(df: DataFrame, labels: DataFrame, grade: Column, max_rows: int
     return materialize(found.repartition(FIT_TASKS), "graded")
 
 
-def _summed(rows: DataFrame, one) -> np.ndarray:
-    """Sum over tasks of the vectors that ``one(grades, row, numbers, values)`` makes of their rows."""
+_TOTAL = pa.schema([("task", pa.int32()), ("total", pa.binary())])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _summed(rows: DataFrame, one) -> np.ndarray | None:
+    """Sum of the vectors that ``one(grades, row, numbers, values)`` makes of the rows of each task; None without rows."""
+
+    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = 0
         for batch in batches:
             if batch.num_rows:
@@ -151,10 +170,17 @@ def _summed(rows: DataFrame, one) -> np.ndarray:
                 row = np.repeat(np.arange(len(grades)), lengths)
                 total = total + one(grades, row, batch.column(1).flatten().to_numpy(), batch.column(2).flatten().to_numpy())
         if not np.isscalar(total):
-            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()])], names=["total"])
+            yield pa.RecordBatch.from_pydict({"task": [TaskContext.get().partitionId()], "total": [total.tobytes()]}, schema=_TOTAL)
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = sorted((t, v) for b in batches for t, v in zip(*(c.to_pylist() for c in b.columns), strict=True))
+        if parts:
+            total = np.sum([np.frombuffer(v) for _, v in parts], axis=0)
+            yield pa.RecordBatch.from_pydict({"task": [0], "total": [total.tobytes()]}, schema=_TOTAL)
 
-    parts = rows.coalesce(FIT_TASKS).mapInArrow(run, "total binary").collect()  # a vector of fixed length per task
-    return sum((np.frombuffer(p.total) for p in parts), start=np.zeros(1))
+    parts = rows.coalesce(FIT_TASKS).mapInArrow(part, "task int, total binary")
+    found = parts.repartition(1).mapInArrow(whole, "task int, total binary").collect()  # FIT_TASKS vectors in, one out
+    return np.frombuffer(found[0].total) if found else None
 
 
 def fit(
@@ -168,32 +194,41 @@ def fit(
         return np.concatenate([np.bincount(grades, minlength=n_grades), np.bincount(numbers, minlength=WIDTH)]).astype(float)
 
     counts = _summed(rows, counted)
-    counts = counts if len(counts) > 1 else np.zeros(n_grades + WIDTH)
+    if counts is None:
+        if labels.where(F.col(id_col).isNotNull() & grade.isNotNull()).join(df, id_col, "left_semi").take(1):
+            raise ValueError("there are labelled documents, but none is in the training sample")
+        counts = np.zeros(n_grades + WIDTH)
     of_grade = counts[:n_grades] + 1
-    scale = np.sqrt(counts[n_grades:] / max(1.0, counts[:n_grades].sum()))
+    # Only features of the sample have weights; the others cannot be learnt and stay zero.
+    known = np.flatnonzero(counts[n_grades:])
+    scale = np.sqrt(counts[n_grades:][known] / max(1.0, counts[:n_grades].sum()))
+    width = len(known)
     below = np.cumsum(of_grade)[:-1] / of_grade.sum()
     start = np.log(below / (1 - below))
-    x = np.concatenate([np.zeros(WIDTH), start[:1], np.log(np.diff(start))])
+    x = np.concatenate([np.zeros(width), start[:1], np.log(np.diff(start))])
 
     def evaluate(x: np.ndarray) -> tuple[float, np.ndarray]:
-        shared = context.broadcast((x[:WIDTH] * scale, _ordered(x[WIDTH:])))
+        shared = context.broadcast((known.astype(np.int32), x[:width] * scale, _ordered(x[width:])))
 
         def part(grades, row, numbers, values):
-            weights, thresholds = shared.value
-            scores = np.bincount(row, weights=values * weights[numbers], minlength=len(grades))
+            known, weights, thresholds = shared.value
+            place = np.searchsorted(known, numbers)
+            scores = np.bincount(row, weights=values * weights[place], minlength=len(grades))
             loss, by_score, by_threshold = _loss(grades, scores, thresholds)
-            return np.concatenate([[loss], np.bincount(numbers, weights=values * by_score[row], minlength=WIDTH), by_threshold])
+            return np.concatenate([[loss], np.bincount(place, weights=values * by_score[row], minlength=len(known)), by_threshold])
 
         total = _summed(rows, part)
-        shared.unpersist()
-        w, raw = x[:WIDTH], x[WIDTH:]
-        by_threshold = total[1 + WIDTH :]
+        shared.destroy()
+        w, raw = x[:width], x[width:]
+        by_threshold = total[1 + width :]
         by_raw = np.append(by_threshold.sum(), [by_threshold[k:].sum() * np.exp(raw[k]) for k in range(1, len(raw))])
-        return total[0] + PENALTY / 2 * float(w @ w), np.concatenate([total[1 : 1 + WIDTH] * scale + PENALTY * w, by_raw])
+        return total[0] + PENALTY / 2 * float(w @ w), np.concatenate([total[1 : 1 + width] * scale + PENALTY * w, by_raw])
 
     if counts[:n_grades].sum():
         x = _minimize(evaluate, x)
-    return Model(x[:WIDTH] * scale, _ordered(x[WIDTH:]))
+    weights = np.zeros(WIDTH)
+    weights[known] = x[:width] * scale
+    return Model(weights, _ordered(x[width:]))
 
 
 def _minimize(evaluate, x: np.ndarray) -> np.ndarray:
@@ -228,13 +263,11 @@ def _minimize(evaluate, x: np.ndarray) -> np.ndarray:
 
 def _scored(df: DataFrame, model: Model, keep: list[str], data: str) -> DataFrame:
     """``keep`` columns, ``expected_grade`` and ``p_at_least_1`` ... from the binary column ``data``."""
-    shared = df.sparkSession.sparkContext.broadcast(model)
     n, levels = len(keep), len(model.thresholds)
     source = df.select(*keep, data)
     added = ["expected_grade", *(f"p_at_least_{k}" for k in range(1, levels + 1))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
         for batch in batches:
             scores = np.zeros(batch.num_rows)
             for i, text in enumerate(batch.column(n)):
@@ -257,11 +290,9 @@ def grades(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
 def select_documents(df: DataFrame, model: Model, level: int = 1, least: float = 0.5, text_col: str = "text") -> DataFrame:
     """The rows of ``df`` (all columns) whose grade is at least ``level`` with probability ``least``."""
-    shared = df.sparkSession.sparkContext.broadcast(model)
     at = df.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
         for batch in batches:
             scores = np.zeros(batch.num_rows)
             for i, text in enumerate(batch.column(at).cast(pa.binary())):
