@@ -49,15 +49,21 @@ def test_near_copies_ties_and_unusable_vectors(spark):
     found = {}
     for r in sorted(out, key=lambda r: r["rank"]):
         found.setdefault(r.query_id, []).append((r.vec_id, r.score))
-    assert [i for i, _ in found[0]] == [1, 2, 3, 4, 5]
-    assert [i for i, _ in found[50]] == [0, 1, 2, 3, 4]
+    assert [i for i, _ in found[0]] == [0, 0, 1, 1, 2, 2, 3, 3, 4, 4]  # two rows ask, each finds the other
+    assert [i for i, _ in found[50]] == [0, 0, 1, 2, 3]
     assert all(abs(s - 1) < 1e-12 for _, s in found[50])
-    assert [i for i, _ in found[300]] == [i for _, i in brute_force(good, 300, 5)]
+    assert [i for i, _ in found[300]] == [i for _, i in brute_force([*good, (0, base.tolist())], 300, 5)]
     # fewer candidates than asked for: all of them
     assert [(i, round(s, 12)) for i, s in found[2000]] == [(2001, 1.0), (2002, 0.8)]
     assert not {1000, 1050, 1100, 1150, 1200, 1250} & set(found)
 
 
+def test_rows_of_one_id_are_all_candidates(spark):
+    df = frame(spark, [(0, [1.0, 0.0]), (7, [1.0, 0.01]), (7, [-1.0, 0.0]), (8, [0.5, 0.5])])
+    out = ann.nearest_neighbours(df, F.col("id") == 0, k=2).orderBy("rank").collect()
+    assert [r.vec_id for r in out] == [7, 8] and out[0].score > 0.9999
+
+
 def test_empty_tables(spark):
     df = frame(spark, [(1, [1.0, 2.0]), (2, [2.0, 1.0])])
     assert ann.nearest_neighbours(df.where("false"), F.col("id") % 50 == 0).count() == 0

@@ -3,6 +3,9 @@
 import hashlib
 import itertools
 
+import pytest
+from pyspark.sql import functions as F
+
 from tripgrid.llm import chat
 
 ROWS = [
@@ -18,6 +21,11 @@ ROWS = [
     (3, 0, "assis\ntant", "<<SYS>><</SYS>><s>"),
     (4, 0, "user", "x" * 200_000),
     (4, 1, "assistant", "y" * 200_000),
+    # Unequal texts of one turn that their escapes would put the other way round.
+    (5, 1, "assistant", "<|x"),
+    (5, 1, "assistant", "<a"),
+    (5, 2, "assistant", "[Z"),
+    (5, 2, "assistant", "[INST]"),
 ]
 SCHEMA = "conv_id bigint, turn bigint, role string, text string, formatted string, mask int, turns string"
 
@@ -60,5 +68,14 @@ def test_mask_marks_the_texts_and_blocks_merge(spark):
             assert "".join(loss) == "é🙂<|>\\\\|"
 
 
+def test_ties_are_in_text_order_and_a_wrong_mask_is_an_error(spark):
+    out = chat.format_conversations(frame(spark).where("conv_id = 5"))
+    turns = [t.text for t in chat.parse_conversations(out).first().turns]
+    assert turns == ["<a", "<|x", "[INST]", "[Z"]
+    moved = out.withColumn("mask", F.transform("mask", lambda m: m.withField("gap", m["gap"] + 1)))
+    with pytest.raises(Exception, match="does not fit"):
+        chat.digests(moved).collect()
+
+
 def test_empty_table(spark):
     assert chat.digests(chat.format_conversations(frame(spark).where("false"))).count() == 0

@@ -46,6 +46,17 @@ def test_variants_unknowns_and_odd_rows(spark):
     assert licences.train([]).scan(b"Released under the MIT License.") == (1, [(0, True)])
 
 
+def test_sample_does_not_depend_on_order_or_partitions_and_is_bounded(spark):
+    df = spark.read.parquet(DOCS).select("doc_id", "text")
+    odd = spark.createDataFrame([(-1, "x" * 3_000_000), (-2, None), (-3, "\n".join(["one line again and again"] * 5000))], "doc_id bigint, text string")
+    df = df.unionByName(odd)
+    one = licences.sample_paragraphs(df)
+    assert one == licences.sample_paragraphs(df.orderBy("text").repartition(13))
+    assert len(one) == len(set(one)) == licences.SAMPLE_ROWS
+    assert max(map(len, one)) <= licences.SAMPLE_CHARS
+    assert licences.sample_paragraphs(df.where("false")) == []
+
+
 def wrapped(text, width, mark=""):
     return "\n".join(mark + line for line in textwrap.wrap(text, width))
 

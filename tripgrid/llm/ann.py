@@ -17,9 +17,10 @@ block's index is in memory, queries stream past it in batches. The blocks'
 best k are merged by an ordinary ranking.
 
 Defined results: a vector that is null, empty, zero or holds a null or a
-non-finite component takes no part, nor does a row with a null id; of rows
-with the same id only the least vector counts; vectors are compared with those
-of the same length only; ties go to the smaller id; an empty table, or one
+non-finite component takes no part, nor does a row with a null id; every other
+row counts, also rows with the same id or the same vector: each is a candidate
+of all rows but itself, and each that asks gets its own ranks; vectors are
+compared with those of the same length only; ties go to the smaller id; an empty table, or one
 without queries, gives an empty result; other columns are not read.
 """
 
@@ -65,8 +66,8 @@ def _radii() -> np.ndarray:
 class Index:
     """The sorted projections of one block."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray) -> None:
-        self.ids = ids
+    def __init__(self, rows: np.ndarray, ids: np.ndarray, vectors: np.ndarray) -> None:
+        self.rows, self.ids = rows, ids
         # A power of two leaves every product exact and keeps squares in range.
         self.vectors = vectors / np.exp2(np.floor(np.log2(np.abs(vectors).max(axis=1, keepdims=True))))
         self.norms = np.sqrt((self.vectors * self.vectors).sum(axis=1))
@@ -77,23 +78,23 @@ class Index:
         self.sorted = np.take_along_axis(projected, self.order.T, axis=0).T.copy()
         self.threshold, self.radii = _threshold(), _radii()
 
-    def search(self, ids: np.ndarray, queries: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """``(query id, ids, cosines)`` of the best k found for each query, best first."""
+    def search(self, rows: np.ndarray, queries: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """``(ids, cosines)`` of the best k found for each query, best first."""
         scaled = queries / np.exp2(np.floor(np.log2(np.abs(queries).max(axis=1, keepdims=True))))
         norms = np.sqrt((scaled * scaled).sum(axis=1))
         centres = (scaled / norms[:, None]) @ self.directions
         reach = HALF_WINDOW * self.radii
         low = np.stack([np.searchsorted(s, (c[:, None] - reach).ravel(), side="left") for s, c in zip(self.sorted, centres.T, strict=True)])
         high = np.stack([np.searchsorted(s, (c[:, None] + reach).ravel(), side="right") for s, c in zip(self.sorted, centres.T, strict=True)])
-        shape = (PROJECTIONS, len(ids), len(reach))
+        shape = (PROJECTIONS, len(rows), len(reach))
         low, high = low.reshape(shape), high.reshape(shape)
-        for q in range(len(ids)):
-            yield int(ids[q]), *self._search_one(ids[q], scaled[q], norms[q], low[:, q], high[:, q], k)
+        for q in range(len(rows)):
+            yield self._search_one(rows[q], scaled[q], norms[q], low[:, q], high[:, q], k)
 
     def _search_one(self, own, query, norm, low, high, k):
         n = len(self.ids)
         collisions = np.zeros(n, dtype=np.int64)
-        open_ = self.ids != own  # not yet verified; the query itself never is
+        open_ = self.rows != own  # not yet verified; the query itself never is
         found_ids, found = np.empty(0, dtype=np.int64), np.empty(0)
         left, right = low[:, 0], low[:, 0]
         for t, radius in enumerate(self.radii):
@@ -116,16 +117,16 @@ class Index:
         return found_ids, found
 
 
-_FOUND = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
+_FOUND = pa.schema([("query_row", pa.int64()), ("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
 
 
 def _search_blocks(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, index = None, None
-        gathered: list[tuple[np.ndarray, np.ndarray]] = []
+        gathered: list[tuple[np.ndarray, ...]] = []
         for batch in batches:
-            dim, number, role, ids = (c.to_numpy() for c in batch.columns[:4])
-            vectors = batch.column(4)
+            dim, number, role, row, ids = (c.to_numpy() for c in batch.columns[:5])
+            vectors = batch.column(5)
             starts = np.flatnonzero(np.append(True, (dim[1:] != dim[:-1]) | (number[1:] != number[:-1]) | (role[1:] != role[:-1])))
             for s, e in zip(starts.tolist(), [*starts[1:].tolist(), len(dim)], strict=True):
                 if e == s:
@@ -134,17 +135,19 @@ def _search_blocks(k: int):
                 if (dim[s], number[s]) != block:
                     block, index, gathered = (dim[s], number[s]), None, []
                 if role[s] == 0:
-                    gathered.append((ids[s:e], rows))
+                    gathered.append((row[s:e], ids[s:e], rows))
                     continue
                 if not gathered and index is None:
                     continue  # queries of a block without vectors
                 if index is None:
-                    index = Index(*(np.concatenate([g[i] for g in gathered]) for i in (0, 1)))
+                    index = Index(*(np.concatenate([g[i] for g in gathered]) for i in range(3)))
                     gathered = []
                 for a in range(0, e - s, QUERY_BATCH):
                     out: list[tuple] = []
-                    for query, found_ids, found in index.search(ids[s:e][a : a + QUERY_BATCH], rows[a : a + QUERY_BATCH], k):
-                        out.extend((query, i, c) for i, c in zip(found_ids.tolist(), found.tolist(), strict=True))
+                    asking = range(s + a, min(e, s + a + QUERY_BATCH))
+                    answers = index.search(row[asking], rows[a : a + QUERY_BATCH], k)
+                    for q, (found_ids, found) in zip(asking, answers, strict=True):
+                        out.extend((row[q], ids[q], i, c) for i, c in zip(found_ids.tolist(), found.tolist(), strict=True))
                     if out:
                         yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out, strict=True)], schema=_FOUND)
 
@@ -164,14 +167,15 @@ def nearest_neighbours(df: DataFrame, is_query: Column, k: int = 5, id_col: str
         & F.exists("vector", lambda x: x != 0)
     )
     rows = df.select(F.col(id_col).cast("bigint").alias("id"), vector.alias("vector")).where(usable)
-    rows = materialize(rows.groupBy("id").agg(F.min("vector").alias("vector")), "vectors")
+    # Rows are told apart by a number that is stored before it is used.
+    rows = materialize(rows.withColumn("row", F.monotonically_increasing_id()), "vectors")
     blocks = max(1, math.ceil(rows.count() / BLOCK_ROWS))
-    columns = [F.size("vector").alias("dim"), "block", "role", "id", "vector"]
-    placed = rows.select("*", F.pmod(F.xxhash64("id"), F.lit(blocks)).alias("block"), F.lit(0).alias("role"))
+    columns = [F.size("vector").alias("dim"), "block", "role", "row", "id", "vector"]
+    placed = rows.select("*", F.pmod(F.xxhash64("row"), F.lit(blocks)).alias("block"), F.lit(0).alias("role"))
     asked = rows.where(is_query).select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint"))).alias("block"), F.lit(1).alias("role"))
     together = placed.select(*columns).unionByName(asked.select(*columns))
     # One partition for each block and length, give or take hash collisions.
-    dealt = together.repartition(max(2 * blocks, 1), "dim", "block").sortWithinPartitions("dim", "block", "role", "id")
-    found = dealt.mapInArrow(_search_blocks(k), "query_id bigint, vec_id bigint, score double")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
+    dealt = together.repartition(max(2 * blocks, 1), "dim", "block").sortWithinPartitions("dim", "block", "role", "row")
+    found = dealt.mapInArrow(_search_blocks(k), "query_row bigint, query_id bigint, vec_id bigint, score double")
+    rank = F.row_number().over(Window.partitionBy("query_row").orderBy(F.col("score").desc(), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -56,11 +56,16 @@ def format_conversations(
         F.col(conv_col).alias("conv"),
         F.struct(
             F.col(turn_col).alias("turn"),
-            escape(F.coalesce(F.col(role_col).cast("string"), empty)).alias("role"),
-            escape(F.coalesce(F.col(text_col).cast("string"), empty)).alias("text"),
+            F.coalesce(F.col(role_col).cast("string"), empty).alias("role"),
+            F.coalesce(F.col(text_col).cast("string"), empty).alias("text"),
         ).alias("turn"),
     )
-    sorted_turns = turns.groupBy("conv").agg(F.array_sort(F.collect_list("turn")).alias("turns"))
+    # Turns are put in order as they were said; escapes would order ties otherwise.
+    ordered = turns.groupBy("conv").agg(F.array_sort(F.collect_list("turn")).alias("turns"))
+    sorted_turns = ordered.select(
+        "conv",
+        F.transform("turns", lambda t: F.struct(escape(t["role"]).alias("role"), escape(t["text"]).alias("text"))).alias("turns"),
+    )
     # Positions where the role changes; the size is appended as the last border.
     borders = sorted_turns.withColumn(
         "borders",
@@ -97,7 +102,7 @@ def format_conversations(
             lambda t, i: F.struct(
                 F.when(i == 0, head).otherwise(len(PART)).cast("bigint").alias("gap"),
                 F.length(t).cast("bigint").alias("chars"),
-                (block["role"] == LOSS_ROLE).alias("loss"),
+                (block["role"] == escape(F.lit(LOSS_ROLE))).alias("loss"),
             ),
         )
 
@@ -108,37 +113,58 @@ def format_conversations(
     )
 
 
-def parse_conversations(df: DataFrame, formatted_col: str = "formatted") -> DataFrame:
-    """``df`` with ``turns``: the ``(role, text)`` structs read back from the formatted string."""
-    blocks = F.slice(F.split(formatted_col, r"<\|im_start\|>"), F.lit(2), F.size(F.split(formatted_col, r"<\|im_start\|>")))
+def _parts(formatted: Column) -> Column:
+    """The parts of a formatted string as they stand in it: gap before the text, its characters, role and text, escaped."""
+    split = F.split(formatted, r"<\|im_start\|>")
+    blocks = F.slice(split, F.lit(2), F.size(split))
 
-    def turns_of(block: Column) -> Column:
+    def parts_of(block: Column, k: Column) -> Column:
         role = F.substring_index(block, SEP, 1)
         body = F.substr(block, F.length(role) + len(SEP) + 1, F.length(block) - F.length(role) - len(SEP) - len(END))
+        head = F.length(role) + len(START) + len(SEP) + F.when(k == 0, 0).otherwise(len(END))
         return F.transform(
             F.split(body, r"<\|im_part\|>"),
-            lambda p: F.struct(unescape(role).alias("role"), unescape(p).alias("text")),
+            lambda p, i: F.struct(
+                F.when(i == 0, head).otherwise(len(PART)).cast("bigint").alias("gap"),
+                F.length(p).cast("bigint").alias("chars"),
+                role.alias("role"),
+                p.alias("text"),
+            ),
         )
 
-    return df.withColumn("turns", F.flatten(F.transform(blocks, turns_of)))
+    return F.flatten(F.transform(blocks, parts_of))
+
+
+def parse_conversations(df: DataFrame, formatted_col: str = "formatted") -> DataFrame:
+    """``df`` with ``turns``: the ``(role, text)`` structs read back from the formatted string."""
+    turn = lambda p: F.struct(unescape(p["role"]).alias("role"), unescape(p["text"]).alias("text"))
+    return df.withColumn("turns", F.transform(_parts(F.col(formatted_col)), turn))
 
 
 def digests(df: DataFrame, conv_col: str = "conv_id") -> DataFrame:
-    """What the formatted conversations hold, read back from them and their masks."""
-    parsed = parse_conversations(df).withColumn(
-        "loss_text",
-        F.array_join(
-            F.transform(
-                F.filter(F.arrays_zip("turns", "mask"), lambda x: x["mask"]["loss"]), lambda x: x["turns"]["text"]
-            ),
-            "",
-        ),
+    """What the formatted conversations hold, read back from them and their masks.
+
+    The text under the loss is what lies in the string at the mask's spans: each
+    span of the mask must be that of a part of the string, or an error is raised.
+    """
+    span = lambda x: F.struct(x["gap"].alias("gap"), x["chars"].alias("chars"))
+    placed = df.withColumn("parts", _parts(F.col("formatted")))
+    agree = F.transform("parts", span) == F.transform("mask", span)
+    under = F.transform(
+        F.filter(F.arrays_zip("parts", "mask"), lambda x: x["mask"]["loss"]), lambda x: unescape(x["parts"]["text"])
+    )
+    error = F.raise_error(F.lit("the loss mask does not fit the formatted text"))
+    read = placed.select(
+        conv_col,
+        "formatted",
+        "parts",
+        F.when(agree, F.array_join(under, "")).otherwise(error.cast("string")).alias("loss_text"),
     )
-    joined = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
-    return parsed.select(
+    said = F.transform("parts", lambda p: F.concat(unescape(p["role"]), F.lit("\n"), unescape(p["text"]), F.lit("\n")))
+    return read.select(
         conv_col,
-        F.size("turns").cast("bigint").alias("n_turns"),
-        F.sha2(joined, 256).alias("turns_sha256"),
+        F.size("parts").cast("bigint").alias("n_turns"),
+        F.sha2(F.array_join(said, ""), 256).alias("turns_sha256"),
         F.length("loss_text").cast("bigint").alias("loss_chars"),
         F.sha2("loss_text", 256).alias("loss_sha256"),
         F.length("formatted").cast("bigint").alias("formatted_chars"),
