@@ -69,5 +69,5 @@ def test_odd_documents(spark, monkeypatch):
 
 def test_registered_queries():
     names = [n for n in __spark_entry__.queries() if n.startswith("op") or n == "pipeline"]
-    assert names == [*(f"{n}" for n in registry.queries())] and len(names) == 11
+    assert names == [*(f"{n}" for n in registry.queries())] and len(names) == 14
     assert set(registry.oracle_sql()) <= set(names)

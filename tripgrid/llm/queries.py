@@ -12,8 +12,11 @@ from .bpe import encode_documents
 from .chat import digests, format_conversations
 from .exact_dedup import exact_duplicates
 from .jaccard import jaccard_components
+from .lexical import ranked_search
 from .licences import sample_paragraphs, scan_licences, train
 from .mixing import mixed_sizes
+from .packing import document_pieces, pack_pieces
+from .phrases import collocations
 from .quality import fit, grades
 from .urlfilter import host_of, judge_captures
 from .warc import read_archives, write_archives
@@ -139,3 +142,28 @@ def op9_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     found = scan_licences(documents, train(sample_paragraphs(documents)))
     return found.withColumn("families", F.array_join("families", ", "))
+
+
+TOKENIZER = "byte_bpe_50k.json"
+END_ID = 2
+
+
+def tokenizer_json() -> str:
+    with open(public_tokenizers.path(TOKENIZER), encoding="utf-8") as file:
+        return file.read()
+
+
+def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pieces of all documents and their places in sequences of at most 1024 tokens."""
+    pieces = document_pieces(table(spark, sf_dir, "documents"), tokenizer_json(), public_tokenizers.PATTERN, END_ID, with_ids=False)
+    return pack_pieces(pieces).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 highest-scoring documents for every benchmark item."""
+    return ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2000 best phrases of two to four words of each language, over all documents."""
+    return collocations(table(spark, sf_dir, "documents"))

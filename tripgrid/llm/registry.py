@@ -24,6 +24,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_exact_dedup": q.op8_exact_dedup,
         "op9_licences": q.op9_licences,
         "op10_ngram_jaccard": q.op10_ngram_jaccard,
+        "op11_best_fit_packing": q.op11_best_fit_packing,
+        "op12_lexical_search": q.op12_lexical_search,
+        "op13_collocations": q.op13_collocations,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -35,4 +38,6 @@ def oracle_sql() -> dict[str, str]:
         "op6_warc": sql.OP6,
         "op8_exact_dedup": sql.OP8,
         "op10_ngram_jaccard": sql.OP10,
+        "op12_lexical_search": sql.OP12,
+        "op13_collocations": sql.OP13,
     }

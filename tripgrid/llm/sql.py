@@ -114,3 +114,53 @@ select page_id, parts.ts as fetched_at, coalesce(not allows, false) as blocked,
   coalesce(list || ' ' || kind || ' ' || key, '') as decided_by
 from parts left join (select * from matches where nth = 1) m using (page_id)
 """
+
+OP12 = r"""
+with d as (
+  select row_number() over () as rid, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as terms
+  from documents
+), i as (
+  select row_number() over () as iid, item_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as terms
+  from benchmark
+), s as (select count(*) as big_n, cast(sum(len(terms)) as bigint) as big_l from d where len(terms) > 0),
+tf as (select rid, term, count(*) as tf from (select rid, unnest(terms) as term from d) group by all),
+w as (select term, cast(floor(1000 * ln((2 * big_n + 2) / (2 * count(*) + 1))) as bigint) as w from tf, s group by term, big_n),
+impact as (select rid, doc_id, term, (1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * len(terms) * big_n) // big_l)) as impact
+  from tf join d using (rid), s),
+q as (select distinct iid, item_id, term from (select iid, item_id, unnest(terms) as term from i)),
+scored as (select iid, item_id, rid, doc_id, cast(sum(w * impact) as bigint) as score
+  from q join w using (term) join impact using (term) group by all having sum(w * impact) > 0)
+select item_id, cast(rank as int) as rank, doc_id, score from (
+  select *, row_number() over (partition by iid order by score desc, doc_id nulls last) as rank from scored) where rank <= 50
+"""
+
+OP13 = r"""
+with w as (
+  select lang, regexp_extract_all(piece, '[^\x20\x09]+') as words from (
+    select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece
+    from documents)
+), grams as (
+  select lang, m, unnest(list_transform(range(1, len(words) - m + 2), lambda i: array_to_string(words[i:i + m - 1], ' '))) as phrase
+  from w, (values (1), (2), (3), (4)) as sizes(m)
+), f as (select lang, m, phrase, count(*) as f from grams group by all having count(*) >= 30),
+total as (select lang, count(*) as n from grams where m = 1 group by lang),
+cuts as (
+  select lang, m, phrase, f as a, k, array_to_string(string_split(phrase, ' ')[1:k], ' ') as left_part,
+    array_to_string(string_split(phrase, ' ')[k + 1:], ' ') as right_part
+  from f, (values (1), (2), (3)) as places(k) where m >= 2 and k < m
+), scored as (
+  select c.lang, c.m, c.phrase, a, x.f as l, y.f as r, k, cast(cast(2000000 as hugeint) * a // (x.f + y.f) as bigint) as score
+  from cuts c join f x on x.lang = c.lang and x.phrase = left_part join f y on y.lang = c.lang and y.phrase = right_part
+), best as (select * from scored qualify row_number() over (partition by lang, phrase order by score, k) = 1),
+inside as (
+  select lang, array_to_string(string_split(phrase, ' ')[i:i + s - 1], ' ') as phrase, max(f) as longer
+  from f, (values (1), (2), (3)) as places(i), (values (2), (3)) as sizes(s) where m >= 3 and s < m and i + s - 1 <= m group by all
+)
+select b.lang, row_number() over (partition by b.lang order by score desc, a desc, b.phrase) as rank, b.phrase, a, l, r, n, score
+from best b join total using (lang) left join inside i on i.lang = b.lang and i.phrase = b.phrase
+where longer is null or 100 * longer < 80 * a
+qualify row_number() over (partition by b.lang order by score desc, a desc, b.phrase) <= 2000
+"""
