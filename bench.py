@@ -152,7 +152,7 @@ def main() -> None:
         timings[name] = round(_median_seconds(fn, repeat), 4)
     timings["j1_process"] = round(t_process, 4)
     timings["j1_process_flat"] = round(j1["flat"], 4)
-    table_bytes = sum(os.path.getsize(f) for f in glob.glob(f"{out_path}/*/*/*.parquet"))
+    table_bytes = sum(os.path.getsize(f) for f in glob.glob(f"{out_path}/fecha_*/*/*.parquet"))
 
     headline = [k for k in timings if k.startswith("q") and not k.endswith("_overhead")]
     total = round(sum(timings[k] for k in headline), 4)

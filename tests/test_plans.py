@@ -48,8 +48,9 @@ def test_plan_shape(spark, stored, name):
     assert len(re.findall(r"Exchange hashpartitioning", plan)) <= max_exchanges
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert "TakeOrderedAndProject" in plan
+    assert "SortAggregate" not in plan and "ObjectHashAggregate" not in plan
     scans = [line for line in plan.splitlines() if "FileScan parquet" in line]
-    assert scans
+    assert len(scans) == 1
     for scan in scans:
         assert "PartitionFilters: [" in scan and "PartitionFilters: []" not in scan
         assert "PushedFilters: [" in scan and "PushedFilters: []" not in scan

@@ -5,17 +5,13 @@ import pytest
 from conftest import raw_row, trips_frame
 from tripgrid import schema as S
 from tripgrid.operators.taxis import free_taxis, latest_per_key, taxi_state
-from tripgrid.plans.profitable_areas import (
-    profitable_areas,
-    profitable_areas_components,
-    profitable_areas_seasonal,
-)
+from tripgrid.plans.profitable_areas import instant_query, profitable_areas, profitable_areas_seasonal, seasonal_query
 
 AT = "2013-01-01 10:00"
 
 
 def _state(spark, rows):
-    state, _ = profitable_areas_components(trips_frame(spark, rows), AT)
+    state = instant_query(trips_frame(spark, rows), AT).state()
     return {r[S.MEDALLION]: r for r in state.collect()}
 
 
@@ -138,12 +134,10 @@ def test_q2s_state_per_date_vs_whole_year(spark):
         raw_row(medallon="t", pickup="2013-03-19 09:45:00", dropoff="2013-03-19 10:30:00", dropoff_cell=(151, 156)),
     ]
     t = trips_frame(spark, rows)
-    from tripgrid.plans.profitable_areas import seasonal_area_components
-
-    state, _, _ = seasonal_area_components(t, "martes", "03-19", "10:00")
+    state = seasonal_query(t, "martes", "03-19", "10:00").state()
     per_day = sorted((str(r.ocurrencia), r.taxi_ocupado) for r in state.collect())
     assert per_day == [("2013-03-12", 0), ("2013-03-19", 1)]
-    state_c, _, _ = seasonal_area_components(t, "martes", "03-19", "10:00", compat=True)
+    state_c = seasonal_query(t, "martes", "03-19", "10:00", compat=True).state()
     whole = [(r.taxi_ocupado) for r in state_c.collect()]
     assert whole == [1]
 
@@ -155,7 +149,7 @@ def test_free_taxis_le_distinct_taxis(spark):
         for i in range(40)
     ]
     t = trips_frame(spark, rows)
-    state, _ = profitable_areas_components(t, AT)
+    state = instant_query(t, AT).state()
     assert free_taxis(state).count() <= t.select(S.MEDALLION).distinct().count()
 
 
@@ -176,9 +170,8 @@ def test_in_use_flag_and_split_benefit(spark):
     from pyspark.sql import functions as F
 
     from tripgrid.functions.time import ts_literal
-    from tripgrid.operators.benefit import seasonal_area_benefit
+    from tripgrid.operators.areas import seasonal_area_benefit
     from tripgrid.operators.taxis import with_in_use_flag
-    from tripgrid.plans.profitable_areas import seasonal_area_components
 
     s = _state(spark, [
         raw_row(medallon="early", pickup="2013-01-01 09:35:00", dropoff="2013-01-01 09:45:00"),
@@ -190,8 +183,45 @@ def test_in_use_flag_and_split_benefit(spark):
     assert flags == {"early": 1, "late": 0}
 
     t = trips_frame(spark, _seasonal_rows())
-    _, benefit_trips, influence = seasonal_area_components(t, "martes", "03-19", "10:00")
-    split = seasonal_area_benefit(benefit_trips, influence, split=True).where(F.col("cuad_latitud") == 155).first()
-    joined = seasonal_area_benefit(benefit_trips, influence).where(F.col("cuad_latitud") == 155).first()
+    cells = seasonal_query(t, "martes", "03-19", "10:00").cells()
+    split = seasonal_area_benefit(cells, split=True).where(F.col("cuad_latitud") == 155).first()
+    joined = seasonal_area_benefit(cells).where(F.col("cuad_latitud") == 155).first()
     assert (split.beneficios, split.influencia) == (2000.0, 0.5)
     assert joined.beneficios == split.beneficios * split.influencia
+
+
+def test_packed_and_struct_maximum_agree(spark):
+    """The last drop-off packed into a long is the struct's maximum: fractions of seconds, ties, NULL cells, midnight."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    from tripgrid.operators.areas import taxi_state as state_of
+
+    rng = random.Random(4)
+    rows = [
+        (f"T{rng.randint(0, 9)}", f"2013-01-01 {rng.choice(['23:50', '23:59', '00:05'])}:{rng.randint(0, 3):02d}.{rng.choice([0, 1, 999999]):06d}",
+         rng.choice([None, 0, 1, 150, 300, 4094]), rng.choice([None, 1, 155, 301]))
+        for _ in range(400)
+    ]
+    df = spark.createDataFrame(rows, f"{S.MEDALLION} string, t string, {S.DROPOFF_LAT_CELL} bigint, {S.DROPOFF_LON_CELL} bigint")
+    df = df.selectExpr("*", f"CAST(t AS TIMESTAMP_NTZ) AS {S.DROPOFF_TIME}", f"CAST(t AS TIMESTAMP_NTZ) AS {S.PICKUP_TIME}",
+                       *[f"CAST(NULL AS BIGINT) AS {c}" for c in S.PICKUP_CELL], f"CAST(1 AS DECIMAL(10,2)) AS {S.FARE}", f"CAST(1 AS DECIMAL(10,2)) AS {S.TIP}")
+    occurrence = (F.to_date(S.DROPOFF_TIME), F.to_date(S.PICKUP_TIME))
+    for kind in (df, df.withColumns({c: F.col(c).cast("timestamp") for c in (S.DROPOFF_TIME, S.PICKUP_TIME)})):
+        dtype = kind.schema[S.DROPOFF_TIME].dataType.simpleString()
+        args = (kind, F.lit(True), F.col(S.PICKUP_TIME) < F.lit("2013-01-01 12:00").cast(dtype), occurrence)
+        packed = state_of(*args, base=lambda occ: f"CAST(date_sub({occ}, 1) AS {dtype})")
+        plan = packed._jdf.queryExecution().executedPlan().toString()
+        assert "SortAggregate" not in plan and "HashAggregate" in plan
+        assert sorted(map(str, packed.collect())) == sorted(map(str, state_of(*args).collect()))
+    with pytest.raises(Exception, match="no cell of the grid"):
+        state_of(df.withColumn(S.DROPOFF_LAT_CELL, F.lit(5000).cast("bigint")), F.lit(True), F.lit(False), base=lambda occ: "TIMESTAMP_NTZ '2013-01-01'").collect()
+
+
+def test_amounts_in_currency_units(spark):
+    from tripgrid.plans.profitable_areas import currency_units
+
+    ranked = profitable_areas(trips_frame(spark, [raw_row(pickup="2013-01-01 09:40:00", dropoff="2013-01-01 09:50:00", fare="7.00", tip="0.50")]), AT)
+    r = currency_units(ranked).first()
+    assert (r.beneficios, r.beneficio, r.taxis_libres) == (7.5, 7.5, 0)

@@ -69,9 +69,9 @@ def test_same_answers_without_aqe_and_other_shuffle_width(spark):
             spark.conf.set(k, v)
 
 
-def test_band_on_a_hot_date_opens_few_files(spark, scratch):
-    """Files of a busy date cover few quarter hours each."""
-    from pyspark.sql import functions as F
+def test_busy_date_is_cut_by_the_time_of_day_and_small_dates_stay_whole(spark, scratch):
+    """With default options a half-hour band opens few files of a busy date."""
+    from tripgrid.sources.trip_store import TripStore, in_band_sql
 
     from tripgrid import schema as S
 
@@ -80,18 +80,22 @@ def test_band_on_a_hot_date_opens_few_files(spark, scratch):
                 dropoff=f"2013-01-08 {i % 24:02d}:{(i // 24) % 60:02d}:30")
         for i in range(24 * 60 * 4)
     ]
+    small = [raw_row(licencia=f"S{d}-{i}", pickup=f"2013-02-{d:02d} {i:02d}:10:00", dropoff=f"2013-02-{d:02d} {i:02d}:20:00") for d in range(1, 29) for i in range(24)]
     path = os.path.join(scratch, "busy")
     old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.shuffle.partitions")}
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1k")
-    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(160 * 100))  # about 100 rows a file
+    spark.conf.set("spark.sql.shuffle.partitions", "50")
     try:
-        write_trips(trips_frame(spark, rows).repartition(8), path, layout="by_date", cluster="slots")
+        write_trips(trips_frame(spark, rows + small).repartition(8), path, layout="by_date")
     finally:
         for key, value in old.items():
             spark.conf.set(key, value)
-    seconds = read_trips(spark, path).groupBy(F.input_file_name().alias("file")).agg(
-        F.collect_set(F.floor(F.col(S.PICKUP_SECOND) / 900)).alias("slots"))
-    files = [set(r.slots) for r in seconds.collect()]
-    assert len(files) > 50
-    band = {36, 37}  # 09:00 to 09:30
-    assert sum(bool(f & band) for f in files) <= len(files) / 10
+    store = TripStore(spark, path)
+    busy = "to_date(min_hora_subida) = DATE '2013-01-08'"
+    n_busy = store.files(busy).count()
+    assert n_busy >= 40
+    assert 1 <= store.files(f"{busy} AND {in_band_sql(S.PICKUP_TIME, '09:05', '09:35')}").count() <= n_busy / 10
+    per_date = store.files(f"NOT ({busy})").groupBy("min_hora_subida").count()
+    assert per_date.count() == 28 and per_date.agg({"count": "max"}).first()[0] == 1
+    hours = spark.read.parquet(path).where("fecha_subida = DATE '2013-01-08'").count()
+    assert hours == len(rows)

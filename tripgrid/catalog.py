@@ -15,29 +15,25 @@ from pyspark.sql import functions as F
 
 from . import schema as S
 from .functions.time import band_before, in_time_of_day, ts_literal
-from .operators.benefit import area_benefit, seasonal_area_benefit
-from .operators.clean import clean_report, process_trips
+from .operators.areas import area_benefit, free_taxis_per_cell, seasonal_area_benefit, weighted_free_taxis
+from .operators.clean import clean_report, malformed_report, process_trips
 from .operators.grid import grid_cells
 from .operators.routes import route_counts
 from .operators.sample import ladder_summary, prefix_sample
-from .operators.taxis import (
-    free_taxis,
-    free_taxis_per_cell,
-    latest_per_key,
-    weighted_free_taxis,
-    with_in_use_flag,
-)
+from .operators.taxis import latest_per_key, with_in_use_flag
 from .plans.benchmark import run_process, scan_benchmark
 from .plans.frequent_routes import frequent_routes, frequent_routes_seasonal
-from .plans.profitable_areas import (
-    profitable_areas,
-    profitable_areas_components,
-    profitable_areas_seasonal,
-    seasonal_area_components,
-)
+from .plans.profitable_areas import instant_query, profitable_areas, profitable_areas_seasonal, seasonal_query
 from .plans.result_line import route_line, area_line
+from .plans.seasonal_rollup import (
+    frequent_routes_seasonal_from_rollup,
+    read_route_rollup,
+    route_rollup,
+    write_route_rollup,
+)
 from .sources.fixture import raw_trips
-from .sources.trips_io import read_trips, read_trips_csv, write_trips, write_trips_csv
+from .sources.trip_store import compact_trips
+from .sources.trips_io import open_trips, read_raw_trips, read_trips, read_trips_csv, write_trips, write_trips_csv
 from .session import scratch_path
 
 # Query parameters of the checks (a Tuesday; see FIXTURES.md section 6).
@@ -51,6 +47,10 @@ SEASON_B = ("marzo", "viernes", "09:50")
 AT_AREA_B = "2013-01-22 09:50"
 AREA_B = ("viernes", "02-15", "09:55")
 PREFIX_ROWS = 5000
+# Few enough rows that the last second, or the rows without a time, are divided by counts.
+PREFIX_BOUND = 50
+# Few enough rows a file that the busy dates are cut into pieces of the day.
+STORED_ROWS = 2000
 
 
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -132,6 +132,124 @@ def _raw_csv(spark, sf_dir):
     return path
 
 
+# Text that no reader understands, in one record of so many, by field.
+BROKEN = {211: (S.DURATION, "x"), 223: (S.DROPOFF_TIME, "sin hora"), 233: (S.FARE, "12.x")}
+SHORT, LONG = 227, 229
+
+
+def _broken_csv(spark, sf_dir):
+    """The raw log as CSV with unreadable fields, and records of too few and too many fields."""
+    raw = raw_trips(spark, sf_dir)
+    texts = []
+    for f in S.RAW_SCHEMA.fields:
+        text = F.date_format(f.name, S.TIME_FORMAT) if f.name in (S.PICKUP_TIME, S.DROPOFF_TIME) else F.col(f.name).cast("string")
+        for every, (name, broken) in BROKEN.items():
+            if name == f.name:
+                text = F.when(F.col("k") % every == 0, F.lit(broken)).otherwise(text)
+        texts.append(F.coalesce(text, F.lit("")))
+    line = F.when(F.col("k") % SHORT == 0, F.concat_ws(",", *texts[:-1])).otherwise(F.concat_ws(",", *texts))
+    line = F.when(F.col("k") % LONG == 0, F.concat(line, F.lit(",sobra,sobra"))).otherwise(line)
+    path = scratch_path(spark, "broken-csv")
+    raw.select(line.alias("value")).write.text(path)
+    return path
+
+
+def _q_quarantine_report(spark, sf_dir):
+    """Raw records = stored + rejected by the rules + malformed."""
+    return clean_report(read_raw_trips(spark, _broken_csv(spark, sf_dir), rescue=True))
+
+
+def _q_quarantine_fields(spark, sf_dir):
+    """What is wrong with the malformed records that the job put aside."""
+    out, aside = scratch_path(spark, "processed"), scratch_path(spark, "quarantine")
+    run_process(spark, _broken_csv(spark, sf_dir), out, quarantine_path=aside)
+    return malformed_report(spark.read.parquet(aside))
+
+
+def _q_quarantine_process(spark, sf_dir):
+    """The table that the job stores of the log with malformed records."""
+    out, aside = scratch_path(spark, "processed"), scratch_path(spark, "quarantine")
+    run_process(spark, _broken_csv(spark, sf_dir), out, quarantine_path=aside)
+    columns = [c for c in S.PROCESSED_COLUMNS if c not in (S.PICKUP_LON, S.PICKUP_LAT, S.DROPOFF_LON, S.DROPOFF_LAT, S.FARE, S.TIP, S.TOTAL)]
+    return open_trips(spark, out).frame().select(*columns, (F.col(S.FARE) * 100).cast("bigint").alias("tarifa_c"))
+
+
+def _rolled_up(spark, sf_dir, *season):
+    """Seasonal routes from the stored rollup and the stored trips."""
+    path = scratch_path(spark, "rollup")
+    log = _stored(spark, sf_dir)
+    write_route_rollup(log.frame(), path)
+    return frequent_routes_seasonal_from_rollup(read_route_rollup(spark, path), log, *season)
+
+
+def _q_rollup_routes(spark, sf_dir):
+    return _rolled_up(spark, sf_dir, SEASON_MONTH, SEASON_WEEKDAY, SEASON_HHMM)
+
+
+def _q_rollup_routes_b(spark, sf_dir):
+    return _rolled_up(spark, sf_dir, *SEASON_B)
+
+
+def _q_rollup_routes_midnight(spark, sf_dir):
+    return _rolled_up(spark, sf_dir, *MIDNIGHT_ROUTES)
+
+
+def _q_route_rollup(spark, sf_dir):
+    return route_rollup(trips(spark, sf_dir))
+
+
+def _q_file_index(spark, sf_dir):
+    """Rows that the file index counts, by pickup date."""
+    files = _stored(spark, sf_dir).files()
+    return files.groupBy(F.to_date("min_hora_subida").alias(S.PICKUP_DATE)).agg(
+        F.sum("filas").alias("viajes"), F.min("min_hora_subida").alias("primera"), F.max("max_hora_bajada").alias("ultima")
+    )
+
+
+def _q_compacted(spark, sf_dir):
+    """A table loaded in two parts, compacted, read by its index."""
+    path = scratch_path(spark, "parts")
+    t = trips(spark, sf_dir)
+    for part in range(2):
+        write_trips(t.where(F.col("k") % 2 == part), path, mode="append", layout="by_date", rows_per_file=5000)
+    return _roundtrip_summary(compact_trips(spark, path, rows_per_file=20_000).frame())
+
+
+def _q_areas_packed(spark, sf_dir):
+    """Ties of the last drop-off go to the greatest cell: times and cells in one long."""
+    return profitable_areas(trips(spark, sf_dir), AT)
+
+
+def _q_areas_seasonal_packed(spark, sf_dir):
+    return profitable_areas_seasonal(trips(spark, sf_dir), AREA_WEEKDAY, AREA_MMDD, AREA_HHMM)
+
+
+def _q_areas_midnight_packed(spark, sf_dir):
+    return profitable_areas_seasonal(_stored(spark, sf_dir), *MIDNIGHT_AREAS)
+
+
+def _q_prefix_null_tail(spark, sf_dir):
+    """A prefix that ends among rows without a time, a third of the log and more."""
+    raw = raw_trips(spark, sf_dir).withColumn(S.PICKUP_TIME, F.when(F.col("k") % 5 > 1, F.col(S.PICKUP_TIME)))
+    n = raw.count() * 9 // 10
+    found = select_prefix(raw, n, (S.PICKUP_TIME, "k", S.MEDALLION, S.LICENSE))
+    return found.select("k", S.MEDALLION, S.PICKUP_TIME)
+
+
+def _q_prefix_hot_second(spark, sf_dir):
+    """A prefix that ends in a second with a third of the log."""
+    hot = F.lit("2013-01-05 08:00:00").cast("timestamp_ntz")
+    raw = raw_trips(spark, sf_dir).withColumn(S.PICKUP_TIME, F.when(F.col("k") % 3 == 0, hot).otherwise(F.col(S.PICKUP_TIME)))
+    n = raw.count() // 4
+    found = select_prefix(raw, n, (S.PICKUP_TIME, S.PAYMENT, S.LICENSE, "k", S.MEDALLION))
+    return found.select("k", S.MEDALLION, S.PICKUP_TIME)
+
+
+def select_prefix(raw, n, order):
+    """``prefix_sample`` that puts at most ``PREFIX_BOUND`` rows in order."""
+    return prefix_sample(raw, n, order, bound=PREFIX_BOUND)
+
+
 def _q_process_csv(spark, sf_dir):
     """The whole job: raw CSV -> cleaned and enriched table -> read back."""
     path = scratch_path(spark, "processed")
@@ -211,44 +329,40 @@ def _q_last_dropoff_per_taxi(spark, sf_dir):
     )
 
 
+def _instant(spark, sf_dir):
+    return instant_query(trips(spark, sf_dir), AT, tiebreak=TIEBREAK)
+
+
 def _q_taxi_state(spark, sf_dir):
-    state, _ = profitable_areas_components(trips(spark, sf_dir), AT, tiebreak=TIEBREAK)
-    return with_in_use_flag(state, ts_literal(AT))
+    return with_in_use_flag(_instant(spark, sf_dir).state(), ts_literal(AT))
 
 
 def _q_free_taxis_per_cell(spark, sf_dir):
-    state, _ = profitable_areas_components(trips(spark, sf_dir), AT, tiebreak=TIEBREAK)
-    return free_taxis_per_cell(free_taxis(state))
+    return free_taxis_per_cell(_instant(spark, sf_dir).cells())
 
 
 def _q_area_benefit(spark, sf_dir):
-    _, benefit_trips = profitable_areas_components(trips(spark, sf_dir), AT, tiebreak=TIEBREAK)
-    return area_benefit(benefit_trips)
+    return area_benefit(_instant(spark, sf_dir).cells())
 
 
 def _q_profitable_areas(spark, sf_dir):
     return profitable_areas(trips(spark, sf_dir), AT, tiebreak=TIEBREAK)
 
 
-def _seasonal_parts(spark, sf_dir, compat=False):
-    return seasonal_area_components(
-        trips(spark, sf_dir), AREA_WEEKDAY, AREA_MMDD, AREA_HHMM, compat=compat, tiebreak=TIEBREAK
-    )
+def _seasonal_cells(spark, sf_dir):
+    return seasonal_query(trips(spark, sf_dir), AREA_WEEKDAY, AREA_MMDD, AREA_HHMM, tiebreak=TIEBREAK).cells()
 
 
 def _q_weighted_free_taxis(spark, sf_dir):
-    state, _, influence = _seasonal_parts(spark, sf_dir)
-    return weighted_free_taxis(free_taxis(state), influence)
+    return weighted_free_taxis(_seasonal_cells(spark, sf_dir))
 
 
 def _q_seasonal_area_benefit(spark, sf_dir):
-    _, benefit_trips, influence = _seasonal_parts(spark, sf_dir)
-    return seasonal_area_benefit(benefit_trips, influence)
+    return seasonal_area_benefit(_seasonal_cells(spark, sf_dir))
 
 
 def _q_seasonal_area_benefit_split(spark, sf_dir):
-    _, benefit_trips, influence = _seasonal_parts(spark, sf_dir)
-    return seasonal_area_benefit(benefit_trips, influence, split=True)
+    return seasonal_area_benefit(_seasonal_cells(spark, sf_dir), split=True)
 
 
 def _q_profitable_areas_seasonal(spark, sf_dir):
@@ -371,10 +485,10 @@ def _q_areas_midnight_compat(spark, sf_dir):
 
 
 def _stored(spark, sf_dir):
-    """The processed table in the date layout, so that the pruning predicates take part."""
+    """The processed table in the date layout, read through its file index."""
     path = scratch_path(spark, "stored")
-    write_trips(trips(spark, sf_dir), path, layout="by_date")
-    return read_trips(spark, path)
+    write_trips(trips(spark, sf_dir), path, layout="by_date", rows_per_file=STORED_ROWS)
+    return open_trips(spark, path)
 
 
 def _q_stored_frequent_routes(spark, sf_dir):
@@ -445,6 +559,20 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stored_profitable_areas_seasonal": _q_stored_profitable_areas_seasonal,
         "stored_frequent_routes_seasonal_midnight": _q_stored_routes_midnight,
         "stored_profitable_areas_seasonal_midnight": _q_stored_areas_midnight,
+        "file_index": _q_file_index,
+        "compacted_trips": _q_compacted,
+        "profitable_areas_packed": _q_areas_packed,
+        "profitable_areas_seasonal_packed": _q_areas_seasonal_packed,
+        "stored_profitable_areas_seasonal_midnight_packed": _q_areas_midnight_packed,
+        "route_rollup": _q_route_rollup,
+        "rollup_frequent_routes_seasonal": _q_rollup_routes,
+        "rollup_frequent_routes_seasonal_b": _q_rollup_routes_b,
+        "rollup_frequent_routes_seasonal_midnight": _q_rollup_routes_midnight,
+        "quarantine_report": _q_quarantine_report,
+        "quarantine_fields": _q_quarantine_fields,
+        "quarantine_process": _q_quarantine_process,
+        "prefix_null_tail": _q_prefix_null_tail,
+        "prefix_hot_second": _q_prefix_hot_second,
         "result_line": _q_result_line,
         "roundtrip_parquet": _q_roundtrip_parquet,
         "roundtrip_csv": _q_roundtrip_csv,

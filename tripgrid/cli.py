@@ -1,6 +1,7 @@
 """Command lines matching the original jobs (run as ``python -m tripgrid`` or, installed, ``tripgrid``).
 
-    process              <raw_csv> <out_parquet> [--timings PATH] [--layout by_date|flat]
+    process              <raw_csv> <out_parquet> [--timings PATH] [--layout by_date|flat] [--cluster counts|rebalance|local]
+                         [--quarantine PATH]
     frequent-routes      <parquet> <YYYY-MM-DD> <HH:MM>
     frequent-routes-day  <parquet> <month name> <weekday name> <HH:MM> [--year 2013]
     profitable-areas     <parquet> <YYYY-MM-DD> <HH:MM>
@@ -29,10 +30,10 @@ from .functions.time import band_before, instant, minus_minutes, parse_time
 from .operators.grid import grid_cells
 from .plans.benchmark import performance_summary, run_process, scan_benchmark
 from .plans.frequent_routes import frequent_routes, frequent_routes_seasonal
-from .plans.profitable_areas import profitable_areas, profitable_areas_seasonal, seasonal_instant
+from .plans.profitable_areas import AMOUNTS, profitable_areas, profitable_areas_seasonal, seasonal_instant
 from .plans.result_line import area_line, route_line
 from .session import SQL_CONF, STATIC_CONF
-from .sources.trips_io import append_timing, read_timings, read_trips, session_cores, write_result_line
+from .sources.trips_io import CLUSTERINGS, append_timing, open_trips, read_timings, read_trips, session_cores, write_result_line
 
 
 def _session() -> SparkSession:
@@ -49,7 +50,8 @@ def _finish(spark, args, ranked, line_fn, name, start, end, t0) -> None:
     rows = ranked.collect()  # at most k rows
     elapsed = time.perf_counter() - t0
     for r in rows:
-        print(", ".join(f"{k}={v}" for k, v in r.asDict().items()))
+        # Amounts are printed in currency units; the result line has none.
+        print(", ".join(f"{k}={v / 100 if k in AMOUNTS and v is not None else v}" for k, v in r.asDict().items()))
     print(f"elapsed {elapsed:.3f}s")
     if args.results:
         # Format from the k rows already fetched instead of running the query again.
@@ -64,14 +66,14 @@ def _finish(spark, args, ranked, line_fn, name, start, end, t0) -> None:
 def _frequent_routes(spark, args) -> None:
     t0 = time.perf_counter()
     at = instant(args.date, args.hhmm)
-    ranked = frequent_routes(read_trips(spark, args.parquet), at, args.minutes, args.k)
+    ranked = frequent_routes(open_trips(spark, args.parquet), at, args.minutes, args.k)
     _finish(spark, args, ranked, route_line, "frequent_routes", minus_minutes(at, args.minutes), at, t0)
 
 
 def _frequent_routes_day(spark, args) -> None:
     t0 = time.perf_counter()
     ranked = frequent_routes_seasonal(
-        read_trips(spark, args.parquet), args.month, args.weekday, args.hhmm,
+        open_trips(spark, args.parquet), args.month, args.weekday, args.hhmm,
         year=args.year, minutes=args.minutes, k=args.k, compat=args.compat,
     )
     lo, hi = band_before(parse_time(args.hhmm), args.minutes)
@@ -81,7 +83,7 @@ def _frequent_routes_day(spark, args) -> None:
 def _profitable_areas(spark, args) -> None:
     t0 = time.perf_counter()
     at = instant(args.date, args.hhmm)
-    ranked = profitable_areas(read_trips(spark, args.parquet), at, k=args.k)
+    ranked = profitable_areas(open_trips(spark, args.parquet), at, k=args.k)
     _finish(spark, args, ranked, area_line, "profitable_areas", minus_minutes(at, 30), at, t0)
 
 
@@ -89,7 +91,7 @@ def _profitable_areas_day(spark, args) -> None:
     t0 = time.perf_counter()
     ref = seasonal_instant(args.mmdd, args.hhmm, args.year)
     ranked = profitable_areas_seasonal(
-        read_trips(spark, args.parquet), args.weekday, args.mmdd, args.hhmm,
+        open_trips(spark, args.parquet), args.weekday, args.mmdd, args.hhmm,
         year=args.year, k=args.k, compat=args.compat,
     )
     _finish(spark, args, ranked, area_line, "profitable_areas_day", ref - _dt.timedelta(minutes=30), ref, t0)
@@ -98,7 +100,7 @@ def _profitable_areas_day(spark, args) -> None:
 def _process(spark, args) -> None:
     seconds = run_process(
         spark, args.raw_csv, args.out, timing_path=args.timings, mode=args.mode,
-        layout=args.layout, compat=args.compat,
+        layout=args.layout, compat=args.compat, cluster=args.cluster, quarantine_path=args.quarantine,
     )
     print(f"processed in {seconds:.3f}s")
 
@@ -145,6 +147,8 @@ def build_parser() -> argparse.ArgumentParser:
     q.add_argument("out")
     q.add_argument("--timings")
     q.add_argument("--layout", default="by_date", choices=["by_date", "flat"])
+    q.add_argument("--quarantine", help="Parquet folder for malformed records")
+    q.add_argument("--cluster", default="counts", choices=CLUSTERINGS)
     q.add_argument("--mode", default="errorifexists")
     q.add_argument("--compat", action="store_true")
     q.set_defaults(fn=_process)

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schema as S
 from ..functions.grid import (
@@ -110,10 +111,40 @@ def cleaning_rule(moved_mode: str = "both_differ") -> Column:
     return cond
 
 
+def well_formed(raw: DataFrame) -> Column:
+    """Records that fit the schema; all of them where the log was read without a rescue column."""
+    return F.col(S.RESCUE).isNull() if S.RESCUE in raw.columns else F.lit(True)
+
+
+WRONG_COUNT = "numero_de_campos"
+
+
+def quarantine(raw: DataFrame, schema: T.StructType = S.RAW_SCHEMA) -> DataFrame:
+    """Malformed records of a log read with ``rescue``: the line, and ``campos``, what is wrong with it.
+
+    ``campos`` names the fields whose text is not empty and was not understood,
+    and ``numero_de_campos`` where the record has too few or too many fields
+    (told from the commas of records without quotes).
+    """
+    texts = T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema.fields])
+    text = F.from_csv(F.col(S.RESCUE), texts.simpleString()[len("struct<") : -1].replace(":", " "))
+    bad = [F.when((F.coalesce(F.col(f"_text.{c}"), F.lit("")) != "") & F.col(c).isNull(), F.lit(c)) for c in texts.names]
+    commas = F.length(S.RESCUE) - F.length(F.replace(F.col(S.RESCUE), F.lit(","), F.lit("")))
+    bad.append(F.when(~F.contains(F.col(S.RESCUE), F.lit('"')) & (commas != len(texts) - 1), F.lit(WRONG_COUNT)))
+    rows = raw.where(F.col(S.RESCUE).isNotNull()).withColumn("_text", text)
+    return rows.select(S.RESCUE, F.array_compact(F.array(*bad)).alias("campos"))
+
+
+def malformed_report(quarantined: DataFrame) -> DataFrame:
+    """Malformed records by what is wrong with them (a record may count for several): campo, registros."""
+    return quarantined.select(F.explode("campos").alias("campo")).groupBy("campo").agg(F.count(F.lit(1)).alias("registros"))
+
+
 def clean_trips(
     raw: DataFrame, moved_mode: str = "both_differ", extra: Sequence[str] = ()
 ) -> DataFrame:
-    """Rows passing every rule, projected to the 13 kept columns (+ ``extra``)."""
+    """Rows passing every rule, projected to the 13 kept columns (+ ``extra``); malformed records are left out."""
+    raw = raw.where(well_formed(raw)) if S.RESCUE in raw.columns else raw
     return raw.where(cleaning_rule(moved_mode)).select(*S.KEPT_COLUMNS, *extra)
 
 
@@ -161,13 +192,18 @@ def clean_report(raw: DataFrame, moved_mode: str = "both_differ", compat: bool =
 
     ``n_clean`` is the row count of ``process_trips`` with the same options:
     the rule ``grid`` decides too, unless ``compat`` keeps the far box edge.
+    For a log read with ``rescue`` there are two more counts, and the failures
+    are those of well-formed records: ``n_raw = n_malformed + n_rejected + n_clean``.
     One pass, one global aggregate (partial per task, final over one row per task).
     """
     rules = cleaning_rules(moved_mode) | {"grid": grid_rule()}
     kept = cleaning_rule(moved_mode) if compat else cleaning_rule(moved_mode) & rules["grid"]
+    kept, fits = F.coalesce(kept, F.lit(False)), well_formed(raw)
     aggs = [F.count(F.lit(1)).alias("n_raw")]
+    if S.RESCUE in raw.columns:
+        aggs += [F.count_if(~fits).alias("n_malformed"), F.count_if(fits & ~kept).alias("n_rejected")]
     for name, rule in rules.items():
         # A NULL comparison removes the row in WHERE, so it counts as a failure.
-        aggs.append(F.count_if(~F.coalesce(rule, F.lit(False))).alias(f"fail_{name}"))
-    aggs.append(F.count_if(F.coalesce(kept, F.lit(False))).alias("n_clean"))
+        aggs.append(F.count_if(fits & ~F.coalesce(rule, F.lit(False))).alias(f"fail_{name}"))
+    aggs.append(F.count_if(fits & kept).alias("n_clean"))
     return raw.agg(*aggs)

@@ -3,8 +3,10 @@
 One plan for every ``n``, without sorting the table: rows are counted per day
 of the first order column (a row per day), then per second of the days in which
 a prefix ends (at most 86,400 rows each). All rows before a prefix's last
-second belong to it; only the rows of that one second are put in order. Any
-number of prefixes share the counts.
+second belong to it; the rows of that one second, or those without a time, are
+divided further by counts over the order columns (``select``), so a busy second
+or a long tail of missing times is never put in order whole. Any number of
+prefixes share the counts.
 """
 
 from __future__ import annotations
@@ -16,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schema import TIME_FORMAT
+from .select import Selection, select_first
 
 # The prefix sizes of the original size ladder, as fractions of
 # the whole log (1/1000, 1/500, 1/50, 1/10 ... 9/10, all).
@@ -38,7 +41,7 @@ LADDER_FRACTIONS = (
 
 @dataclass(frozen=True)
 class Cutoff:
-    """A prefix: all rows before ``second``, and the first ``ties`` rows of it.
+    """A prefix: all rows before ``second``, and the first ``ties`` of its ``rows`` rows.
 
     ``second`` is None where the prefix ends among the rows without a time,
     which come last; ``everything`` tells that it holds the whole table.
@@ -48,19 +51,20 @@ class Cutoff:
     second: object
     ties: int
     everything: bool = False
+    rows: int = 0
 
 
 def _second(order: Sequence[str]) -> Column:
     return F.date_trunc("second", F.col(order[0]).cast("timestamp_ntz")).cast("timestamp_ntz")
 
 
-def _ends(counts: list[tuple[object, int]], sizes: Sequence[int]) -> dict[int, tuple[object, int]]:
-    """For each size the key in which the prefix ends and the rows it takes of it."""
+def _ends(counts: list[tuple[object, int]], sizes: Sequence[int]) -> dict[int, tuple[object, int, int]]:
+    """For each size the key in which the prefix ends, the rows it takes of it, and the key's rows."""
     out, before = {}, 0
     for key, n in sorted(counts, key=lambda x: (x[0] is None, x[0])):
         for size in sizes:
             if before < size <= before + n:
-                out[size] = (key, size - before)
+                out[size] = (key, size - before, n)
         before += n
     return out
 
@@ -72,7 +76,7 @@ def prefix_cutoffs(df: DataFrame, sizes: Sequence[int] | None, order: Sequence[s
     total = sum(n for _, n in days)
     sizes = list(sizes) if sizes is not None else ladder_sizes(total, fractions)
     in_days = _ends(days, sizes)
-    ending = sorted({d for d, _ in in_days.values() if d is not None})
+    ending = sorted({d for d, _, _ in in_days.values() if d is not None})
     seconds: dict[object, list[tuple[object, int]]] = {}
     if ending:
         counted = df.where(day.isin(ending)).groupBy(day.alias("day"), _second(order).alias("second")).agg(F.count(F.lit(1)).alias("n"))
@@ -83,34 +87,43 @@ def prefix_cutoffs(df: DataFrame, sizes: Sequence[int] | None, order: Sequence[s
         if size >= total or size <= 0:
             out.append(Cutoff(size, None, 0, everything=size > 0))
             continue
-        last_day, of_day = in_days[size]
-        second, ties = (None, of_day) if last_day is None else _ends(seconds[last_day], [of_day])[of_day]
-        out.append(Cutoff(size, second, ties))
+        last_day, of_day, n_day = in_days[size]
+        second, ties, rows = (None, of_day, n_day) if last_day is None else _ends(seconds[last_day], [of_day])[of_day]
+        out.append(Cutoff(size, second, ties, rows=rows))
     return out
 
 
-def _prefix(df: DataFrame, cutoff: Cutoff, order: Sequence[str]) -> DataFrame:
+def _parts(cutoff: Cutoff, second: Column) -> tuple[Column, Column]:
+    """The rows before a prefix's last second, and the rows of that second (or without a time)."""
+    if cutoff.second is None:
+        return second.isNotNull(), second.isNull()
+    end = F.lit(cutoff.second).cast("timestamp_ntz")
+    return second < end, second == end
+
+
+def _selection(df: DataFrame, cutoff: Cutoff, order: Sequence[str], bound: int | None = None) -> Selection:
+    """What a prefix takes of the table."""
     if cutoff.everything:
-        return df
+        return Selection(whole=[F.lit(True)])
     if cutoff.size <= 0:
-        return df.limit(0)
-    keys = [F.col(c).asc_nulls_last() for c in order]
-    second = _second(order)
-    if cutoff.second is None:
-        before, last = second.isNotNull(), second.isNull()
-    else:
-        end = F.lit(cutoff.second).cast("timestamp_ntz")
-        before, last = second < end, second == end
-    return df.where(before).unionByName(df.where(last).orderBy(*keys).limit(cutoff.ties))
+        return Selection()
+    before, last = _parts(cutoff, _second(order))
+    found = select_first(df, cutoff.ties, order, last, bound, cutoff.rows)
+    return Selection([before, *found.whole], found.last, found.rest, found.n_last)
+
+
+def _prefix(df: DataFrame, cutoff: Cutoff, order: Sequence[str], bound: int | None = None) -> DataFrame:
+    return _selection(df, cutoff, order, bound).rows(df, order)
 
 
-def prefix_sample(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
+def prefix_sample(df: DataFrame, n: int, order: Sequence[str], bound: int | None = None) -> DataFrame:
     """The first ``n`` rows of ``df`` ordered by ``order`` (ascending, nulls last).
 
     ``order`` begins with a timestamp; include enough tie columns to make it
-    total, or the choice among equal rows is arbitrary.
+    total, or the choice among equal rows is arbitrary. At most ``bound`` rows
+    (``select.BOUND``) are put in order, see ``select``.
     """
-    return _prefix(df, prefix_cutoffs(df, [n], order)[0], order)
+    return _prefix(df, prefix_cutoffs(df, [n], order)[0], order, bound)
 
 
 def ladder_sizes(total: int, fractions: Sequence[tuple[int, int]] = LADDER_FRACTIONS) -> list[int]:
@@ -159,31 +172,25 @@ def ladder_summary(
     fractions: Sequence[tuple[int, int]] = LADDER_FRACTIONS,
     sizes: Sequence[int] | None = None,
 ) -> DataFrame:
-    """One row per ladder size: (tamano, filas, time of the prefix's last row), from one aggregate."""
+    """One row per ladder size: (tamano, filas, time of the prefix's last row)."""
     time_col = order[0]
     cutoffs = prefix_cutoffs(df, sizes, order, fractions)
-    second = _second(order)
-    ends = sorted({c.second for c in cutoffs if c.second is not None})
-    # Rows of the last seconds are numbered in order; all others only counted.
-    numbered = df.withColumn("_second", second)
-    last = numbered.where(F.col("_second").isin(ends)).withColumn(
-        "_nth", F.row_number().over(Window.partitionBy("_second").orderBy(*[F.col(c).asc_nulls_last() for c in order]))
-    )
-    rest = numbered.where(~F.coalesce(F.col("_second").isin(ends), F.lit(False))).withColumn("_nth", F.lit(0))
-    rows = (last.unionByName(rest) if ends else rest).select(time_col, "_second", "_nth")
-    aggs = []
+    aggs, ends = [], []
     for i, c in enumerate(cutoffs):
-        if c.everything:
-            inside = F.lit(True)
-        elif c.size <= 0:
-            inside = F.lit(False)
-        elif c.second is None:
-            inside = F.col("_second").isNotNull()
-        else:
-            end = F.lit(c.second).cast("timestamp_ntz")
-            inside = (F.col("_second") < end) | ((F.col("_second") == end) & (F.col("_nth") <= c.ties))
-        n_null = c.ties if not c.everything and c.size > 0 and c.second is None else 0
-        aggs += [(F.count_if(F.coalesce(inside, F.lit(False))) + n_null).alias(f"f{i}"), F.max(F.when(inside, F.col(time_col))).alias(f"t{i}")]
-    wide = rows.agg(*aggs)
-    stacked = ", ".join(f"{c.size}L, f{i}, t{i}" for i, c in enumerate(cutoffs))
-    return wide.selectExpr(f"stack({len(cutoffs)}, {stacked}) AS (tamano, filas, max_subida)")
+        chosen = _selection(df, c, order)
+        inside = F.lit(False)
+        for condition in chosen.whole:
+            inside = inside | F.coalesce(condition, F.lit(False))
+        aggs += [F.count_if(inside).alias(f"f{i}"), F.max(F.when(inside, F.col(time_col))).alias(f"t{i}")]
+        if chosen.last is not None and chosen.rest:
+            ends.append(F.when(chosen.last, F.struct(F.lit(i).alias("i"), F.lit(chosen.rest).alias("rest"))))
+    stacked = ", ".join(f"{i}, {c.size}L, f{i}, t{i}" for i, c in enumerate(cutoffs))
+    counted = df.agg(*aggs).selectExpr(f"stack({len(cutoffs)}, {stacked}) AS (i, tamano, n, t)")
+    if ends:
+        # The few rows at each prefix's end are put in order; a prefix takes the first of them.
+        at_end = df.select(*order, F.explode(F.array(*ends)).alias("end")).where("end IS NOT NULL")
+        nth = F.row_number().over(Window.partitionBy("end.i").orderBy(*[F.col(c).asc_nulls_last() for c in order]))
+        taken = at_end.withColumn("nth", nth).where("nth <= end.rest").groupBy(F.col("end.i").alias("i"))
+        taken = taken.agg(F.lit(None).cast("bigint").alias("tamano"), F.count(F.lit(1)).alias("n"), F.max(time_col).alias("t"))
+        counted = counted.unionByName(taken)
+    return counted.groupBy("i").agg(F.max("tamano").alias("tamano"), F.sum("n").alias("filas"), F.max("t").alias("max_subida")).drop("i")

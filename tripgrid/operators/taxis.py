@@ -3,14 +3,10 @@
 A taxi is free at the end of a window when it has a drop-off in the drop-off
 window and no pickup strictly later than its last drop-off in the pickup
 window. The original computed this with two global sorts, two
-``dropDuplicates`` and a self join; here it is one aggregation keyed by taxi:
-
-* "latest row per key" is ``max(struct(time, tie-breaks..., payload...))``:
-  deterministic, and combined map-side, so a taxi with a huge number of trips
-  never lands whole in one task;
-* the pickup side only needs ``max(pickup time)``;
-* both sides come from one scan and meet in the same aggregate, so the join
-  disappears and only one exchange (hash on the taxi key) remains.
+``dropDuplicates`` and a self join; ``areas.taxi_state`` is one aggregation
+keyed by taxi. ``latest_per_key`` is the general form of "latest row per key":
+``max(struct(time, tie-breaks..., payload...))``, deterministic and combined
+map-side, so a taxi with a huge number of trips never lands whole in one task.
 """
 
 from __future__ import annotations
@@ -21,6 +17,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schema as S
+from .areas import taxi_state
+
+__all__ = ["free_taxis", "latest_per_key", "taxi_state", "with_in_use_flag"]
 
 _LAST = "_last"
 
@@ -42,69 +41,6 @@ def latest_per_key(
     return df.groupBy(*key).agg(last).select(*key, *[F.col(f"{_LAST}.{c}").alias(c) for c in fields])
 
 
-def _dropoff_struct_sql(tiebreak: Sequence[str]) -> str:
-    fields = [S.DROPOFF_TIME, *[c for c in tiebreak if c != S.MEDALLION], S.DROPOFF_LAT_CELL, S.DROPOFF_LON_CELL]
-    return "named_struct(" + ", ".join(f"'{c}', {c}" for c in fields) + ")"
-
-
-def taxi_state(
-    trips: DataFrame,
-    down: Column,
-    up: Column,
-    occurrence: tuple[Column, Column] | None = None,
-    tiebreak: Sequence[str] = (),
-) -> DataFrame:
-    """Per taxi: last drop-off (time and cell) under ``down``, last pickup under ``up``.
-
-    ``occurrence`` = (key of a drop-off row, key of a pickup row) splits each
-    taxi's history into separate occurrences (one per date in the seasonal
-    query); without it the whole input is one occurrence.
-
-    Output: ``medallon``, [``ocurrencia``], ``hora_bajada``, ``cuad_latitud_bajada``,
-    ``cuad_longitud_bajada``, ``hora_subida`` (last pickup, NULL if none),
-    ``taxi_ocupado`` (1 when the last pickup is strictly after the last
-    drop-off, else 0). Taxis with no drop-off under ``down`` are absent.
-    """
-    flags = {"_down": down, "_up": up}
-    if occurrence is not None:
-        flags.update({"_occ_down": occurrence[0], "_occ_up": occurrence[1]})
-    # The predicates are deterministic, so the filter below still reaches the scan.
-    pre = trips.withColumns(flags).where("_down OR _up")
-    drop = _dropoff_struct_sql(tiebreak)
-    if occurrence is None:
-        keys = [S.MEDALLION]
-        grouped = pre.groupBy(S.MEDALLION).agg(
-            F.expr(f"max(CASE WHEN _down THEN {drop} END) AS d"),
-            F.expr(f"max(CASE WHEN _up THEN {S.PICKUP_TIME} END) AS u"),
-        )
-    else:
-        # A trip can be the drop-off of one occurrence and the pickup of
-        # another, so each row yields up to two events (Generate, no shuffle).
-        no_drop = f"CASE WHEN false THEN {drop} END"
-        no_pick = f"CASE WHEN false THEN {S.PICKUP_TIME} END"
-        # Plain explode + null filter (no higher-order function) keeps the Generate in codegen.
-        events = (
-            "array("
-            f"CASE WHEN _down THEN named_struct('o', _occ_down, 'd', {drop}, 'u', {no_pick}) END, "
-            f"CASE WHEN _up THEN named_struct('o', _occ_up, 'd', {no_drop}, 'u', {S.PICKUP_TIME}) END)"
-        )
-        keys = [S.MEDALLION, "ocurrencia"]
-        grouped = (
-            pre.selectExpr(S.MEDALLION, f"explode({events}) AS e")
-            .where("e IS NOT NULL")
-            .groupBy(S.MEDALLION, F.col("e.o").alias("ocurrencia"))
-            .agg(F.expr("max(e.d) AS d"), F.expr("max(e.u) AS u"))
-        )
-    return grouped.where("d IS NOT NULL").selectExpr(
-        *keys,
-        f"d.{S.DROPOFF_TIME} AS {S.DROPOFF_TIME}",
-        f"d.{S.DROPOFF_LAT_CELL} AS {S.DROPOFF_LAT_CELL}",
-        f"d.{S.DROPOFF_LON_CELL} AS {S.DROPOFF_LON_CELL}",
-        f"u AS {S.PICKUP_TIME}",
-        f"CAST(CASE WHEN u > d.{S.DROPOFF_TIME} THEN 1 ELSE 0 END AS INT) AS taxi_ocupado",
-    )
-
-
 def with_in_use_flag(state: DataFrame, at: Column) -> DataFrame:
     """Add ``taxi_en_uso``: 1 when the taxi's last pickup is strictly before ``at``.
 
@@ -118,24 +54,3 @@ def with_in_use_flag(state: DataFrame, at: Column) -> DataFrame:
 def free_taxis(state: DataFrame) -> DataFrame:
     """Taxis (or taxi occurrences) that are not occupied."""
     return state.where(F.col("taxi_ocupado") == 0)
-
-
-def free_taxis_per_cell(free: DataFrame) -> DataFrame:
-    """Free taxis per drop-off cell (``taxis_libres``)."""
-    return free.groupBy(*S.DROPOFF_CELL).agg(F.count(F.lit(1)).alias("taxis_libres"))
-
-
-def weighted_free_taxis(free: DataFrame, influence: Column) -> DataFrame:
-    """Per drop-off cell: ``round(count x mean(influence))``.
-
-    NULL influences are left out of the mean but not of the count, as in the
-    original; a cell whose influences are all NULL gets NULL.
-    """
-    return (
-        free.groupBy(*S.DROPOFF_CELL)
-        .agg(F.count(F.lit(1)).alias("taxis_libres"), F.avg(influence).alias("influencia"))
-        .withColumn(
-            "proporcion_taxis_libres",
-            F.round(F.col("taxis_libres") * F.col("influencia")),
-        )
-    )

@@ -514,4 +514,61 @@ SELECT count(*) AS n, CAST(sum(k) AS BIGINT) AS sum_k,
 FROM trips"""
     q["roundtrip_parquet"] = _with() + summary
     q["roundtrip_csv"] = _with() + summary
+    q["compacted_trips"] = _with() + summary
+    q["file_index"] = _with() + """
+SELECT CAST(hora_subida AS DATE) AS fecha_subida, count(*) AS viajes, min(hora_subida) AS primera, max(hora_bajada) AS ultima
+FROM trips GROUP BY CAST(hora_subida AS DATE)"""
+    # Without tie-break columns the last drop-off's ties go to the greatest cell.
+    for name, source in (
+        ("profitable_areas_packed", "profitable_areas"),
+        ("profitable_areas_seasonal_packed", "profitable_areas_seasonal"),
+        ("stored_profitable_areas_seasonal_midnight_packed", "profitable_areas_seasonal_midnight"),
+    ):
+        q[name] = q[source].replace("hora_bajada DESC, k DESC, licencia DESC,", "hora_bajada DESC,")
+    q["route_rollup"] = _with() + f"""
+SELECT CAST(hora_subida AS DATE) AS fecha,
+  CAST((hour(hora_subida) * 3600 + minute(hora_subida) * 60 + second(hora_subida)) // 900 AS INTEGER) AS franja_subida,
+  CAST((hour(hora_bajada) * 3600 + minute(hora_bajada) * 60 + second(hora_bajada)) // 900 AS INTEGER) AS franja_bajada,
+  {ROUTE}, count(*) AS viajes, CAST(isodow(hora_subida) - 1 AS INTEGER) AS dia_semana
+FROM trips GROUP BY ALL"""
+    q["rollup_frequent_routes_seasonal"] = q["frequent_routes_seasonal"]
+    q["rollup_frequent_routes_seasonal_b"] = q["frequent_routes_seasonal_b"]
+    q["rollup_frequent_routes_seasonal_midnight"] = q["frequent_routes_seasonal_midnight"]
+    # Records with a field that cannot be read, or with too few or too many fields.
+    broken = "(k % 211 = 0 OR k % 223 = 0 OR k % 233 = 0 OR k % 227 = 0 OR k % 229 = 0)"
+    good = "ok_ids AND ok_times AND ok_positive AND ok_moved AND ok_payment AND ok_box AND ok_grid"
+    fails = ",\n  ".join(
+        f"count(*) FILTER (WHERE NOT {broken} AND NOT ok_{rule}) AS fail_{rule}"
+        for rule in ("ids", "times", "positive", "moved", "payment", "box", "grid")
+    )
+    q["quarantine_report"] = _with() + f"""
+SELECT count(*) AS n_raw,
+  count(*) FILTER (WHERE {broken}) AS n_malformed,
+  count(*) FILTER (WHERE NOT {broken} AND NOT ({good})) AS n_rejected,
+  {fails},
+  count(*) FILTER (WHERE NOT {broken} AND {good}) AS n_clean
+FROM checks"""
+    q["quarantine_fields"] = _with() + """
+SELECT campo, count(*) AS registros FROM (
+  SELECT 'duracion_viaje_seg' AS campo FROM raw WHERE k % 211 = 0
+  UNION ALL SELECT 'hora_bajada' FROM raw WHERE k % 223 = 0
+  UNION ALL SELECT 'tarifa' FROM raw WHERE k % 233 = 0
+  UNION ALL SELECT 'numero_de_campos' FROM raw WHERE k % 227 = 0 OR k % 229 = 0
+  UNION ALL SELECT 'cantidad_total' FROM raw WHERE k % 227 = 0 AND k % 229 = 0
+) GROUP BY campo"""
+    q["quarantine_process"] = _with() + f"""
+SELECT medallon, licencia, hora_subida, hora_bajada, duracion_viaje_seg, tipo_pago,
+  cuad_latitud_subida, cuad_longitud_subida, cuad_latitud_bajada, cuad_longitud_bajada, dia_semana,
+  CAST(tarifa * 100 AS BIGINT) AS tarifa_c
+FROM trips WHERE NOT {broken}"""
+    q["prefix_null_tail"] = _with() + """
+, holed AS (SELECT k, medallon, licencia, CASE WHEN k % 5 > 1 THEN hora_subida END AS hora_subida FROM raw)
+SELECT k, medallon, hora_subida FROM holed
+ORDER BY hora_subida, k, medallon, licencia LIMIT (SELECT count(*) * 9 // 10 FROM raw)"""
+    q["prefix_hot_second"] = _with() + """
+, hot AS (
+  SELECT k, medallon, licencia, tipo_pago,
+    CASE WHEN k % 3 = 0 THEN TIMESTAMP '2013-01-05 08:00:00' ELSE hora_subida END AS hora_subida FROM raw)
+SELECT k, medallon, hora_subida FROM hot
+ORDER BY hora_subida, tipo_pago, licencia, k, medallon LIMIT (SELECT count(*) // 4 FROM raw)"""
     return q

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schema as S
-from ..operators.clean import process_trips
+from ..operators.clean import process_trips, quarantine, well_formed
 from ..sources.trips_io import append_timing, read_raw_trips, session_cores, write_trips
 
 SCAN_SCHEMA = T.StructType(
@@ -32,18 +32,26 @@ def run_process(
     layout: str = "by_date",
     compat: bool = False,
     label: str | None = None,
-    cluster: str = "rebalance",
+    cluster: str = "counts",
+    quarantine_path: str | None = None,
 ) -> float:
     """Clean + enrich + store one raw CSV log; returns (and optionally logs) the seconds taken.
 
+    ``quarantine_path`` gets the malformed records (line and wrong fields, as
+    Parquet); without it they are cleaned as rows with NULL fields. They are
+    counted while the log is read, and looked up only if there are any.
+
     The log gets the raw rows read (counted while they pass), the session's
     cores and ``label``, the input path unless given, so that runs over one
     input group.
     """
     start = time.perf_counter()
     counted = Observation("procesamiento")
-    raw = read_raw_trips(spark, csv_path).observe(counted, F.count(F.lit(1)).alias("filas"))
-    write_trips(process_trips(raw, compat=compat), out_path, mode=mode, layout=layout, cluster=cluster)
+    raw = read_raw_trips(spark, csv_path, rescue=quarantine_path is not None)
+    seen = raw.observe(counted, F.count(F.lit(1)).alias("filas"), F.count_if(~well_formed(raw)).alias("malos"))
+    write_trips(process_trips(seen, compat=compat), out_path, mode=mode, layout=layout, cluster=cluster)
+    if quarantine_path and counted.get["malos"]:
+        quarantine(raw).write.mode(mode).parquet(quarantine_path)
     seconds = time.perf_counter() - start
     if timing_path:
         append_timing(

@@ -99,16 +99,17 @@ def on_band_weekday(trips: DataFrame, weekday: int, lo, hi, time_col: str) -> Co
     return cond
 
 
-def band_prefilter(trips: DataFrame, lo, hi, wrap: bool = True) -> Column:
-    """Pushable superset of "pickup OR drop-off time of day in the band".
+def band_prefilter(trips: DataFrame, bands: dict[str, list[tuple]], wrap: bool = True) -> Column:
+    """Pushable superset of "a time of day in one of its bands" (``bands`` by time column).
 
     Spark pushes an OR to Parquet only when both sides are pushable, so the
     coarse second-of-day ranges are offered as their own conjunct. TRUE
     without the layout columns.
     """
-    if not (_has(trips, S.PICKUP_SECOND) and _has(trips, S.DROPOFF_SECOND)):
+    seconds = {S.PICKUP_TIME: S.PICKUP_SECOND, S.DROPOFF_TIME: S.DROPOFF_SECOND}
+    if not all(_has(trips, seconds[c]) for c in bands):
         return F.lit(True)
-    lo_t, hi_t = parse_time(lo), parse_time(hi)
-    return F.expr(
-        f"{_seconds_band_sql(S.DROPOFF_SECOND, lo_t, hi_t, wrap)} OR {_seconds_band_sql(S.PICKUP_SECOND, lo_t, hi_t, wrap)}"
-    )
+    ranges = [
+        _seconds_band_sql(seconds[c], parse_time(lo), parse_time(hi), wrap) for c, of_column in bands.items() for lo, hi in of_column
+    ]
+    return F.expr(" OR ".join(ranges))

@@ -12,22 +12,24 @@ from pyspark.sql import DataFrame
 
 from .. import schema as S
 from ..functions.names import month_number, weekday_number
-from ..functions.time import band_before, minus_minutes, parse_time, to_instant
+from ..functions.time import band_before, crosses_midnight, minus_minutes, parse_time, to_instant
 from ..functions.weights import NEAR_DAYS, near_weight
 from ..operators.routes import route_counts, weighted_route_counts
 from ..operators.topk import top_k
+from ..sources.trip_store import Trips, in_band_sql, in_window_sql, on_weekday_sql, stored
 from .common import dropoff_band, dropoff_window, on_band_weekday, on_pickup_weekday, pickup_band, pickup_window
 
 
-def routes_in_window(trips: DataFrame, at: str | _dt.datetime, minutes: float = 30) -> DataFrame:
+def routes_in_window(trips: Trips, at: str | _dt.datetime, minutes: float = 30) -> DataFrame:
     """Trips that both start and end in the closed window ``[at - minutes, at]``."""
     hi = to_instant(at)
     lo = minus_minutes(hi, minutes)
+    trips = stored(trips, f"{in_window_sql(S.PICKUP_TIME, lo, hi)} AND {in_window_sql(S.DROPOFF_TIME, lo, hi)}")
     return trips.where(pickup_window(trips, lo, hi, "both") & dropoff_window(trips, lo, hi, "both"))
 
 
 def frequent_routes(
-    trips: DataFrame, at: str | _dt.datetime, minutes: float = 30, k: int = 10
+    trips: Trips, at: str | _dt.datetime, minutes: float = 30, k: int = 10
 ) -> DataFrame:
     """Top ``k`` routes by trips started and finished in ``[at - minutes, at]``.
 
@@ -42,7 +44,7 @@ def seasonal_reference(year: int, month: str | int, hhmm: str, compat: bool = Fa
 
 
 def seasonal_route_trips(
-    trips: DataFrame,
+    trips: Trips,
     weekday: str | int,
     hhmm: str,
     minutes: float = 30,
@@ -57,14 +59,17 @@ def seasonal_route_trips(
     """
     day = weekday_number(weekday, compat)
     if compat:
+        trips = stored(trips, on_weekday_sql(S.PICKUP_TIME, day))
         return trips.where(on_pickup_weekday(trips, day))
     lo_t, hi_t = band_before(hhmm, minutes)
+    touched = [in_band_sql(c, lo_t, hi_t) for c in (S.PICKUP_TIME, S.DROPOFF_TIME)]
+    trips = stored(trips, " AND ".join([*touched, on_weekday_sql(S.PICKUP_TIME, day, crosses_midnight(lo_t, hi_t))]))
     out = trips.where(on_band_weekday(trips, day, lo_t, hi_t, S.PICKUP_TIME))
     return out.where(pickup_band(trips, lo_t, hi_t) & dropoff_band(trips, lo_t, hi_t))
 
 
 def frequent_routes_seasonal(
-    trips: DataFrame,
+    trips: Trips,
     month: str | int,
     weekday: str | int,
     hhmm: str,

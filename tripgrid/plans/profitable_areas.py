@@ -2,80 +2,69 @@
 
 profit(cell) = benefit(cell) / divisor(free taxis in cell)
 
-Plan (both variants): two filtered scans of the same table.
-  1. taxi branch: one aggregate keyed by taxi (``taxi_state``) -> free taxis,
-     projected to their drop-off cell;
-  2. benefit branch: trips that ended in the benefit window, projected to
-     their pickup cell and fare/tip cents.
-The two branches are unioned and aggregated once by cell, which replaces the
-original's cell-level left join: a cell with benefit rows and no free taxi
-gets count 0 (the join's NULL). Cells are bounded by the 300 x 300 grid, so
-the final aggregate is at most 90,000 rows whatever the input size.
-Shuffles: taxi key, cell key. Top-k is per task.
+Both read the trips once: ``operators.areas`` makes tagged events of them, one
+aggregate reduces these by taxi and by cell, a second one puts a cell's free
+taxis and benefit together. A cell with benefit and no free taxi has count 0
+(what a left join would give as NULL). Cells are bounded by the 300 x 300 grid,
+so the last aggregate is at most 90,000 rows whatever the input. Top-k is per task.
+
+Money is in cents; ``currency_units`` turns the two amounts into currency.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schema as S
-from ..functions.money import mean_cents_sql
 from ..functions.names import weekday_number
-from ..functions.time import band_before, band_occurrence_date, crosses_midnight, instant, minus_minutes, to_instant
-from ..functions.weights import COMPAT_TIERS, TIERS, tier_weight_sql
-from ..operators.taxis import free_taxis, taxi_state
+from ..functions.time import band_before, band_occurrence_date, crosses_midnight, instant, minus_minutes, to_instant, ts_sql
+from ..functions.weights import COMPAT_TIERS, TIERS, tier_weight
+from ..operators.areas import (
+    BENEFIT_SQL,
+    SEASONAL_BENEFIT_SQL,
+    WEIGHTED_FREE_SQL,
+    Base,
+    area_cells,
+    packable,
+    taxi_state,
+    with_benefit,
+)
 from ..operators.topk import top_k
+from ..sources.trip_store import Trips, in_band_sql, in_window_sql, on_weekday_sql, stored
 from .common import band_prefilter, dropoff_band, dropoff_window, on_band_weekday, on_pickup_weekday, pickup_band, pickup_window
 
+# Amounts of the results, in cents.
+AMOUNTS = ("beneficios", "beneficio")
 
-def _benefit_rows(trips: DataFrame, influence_sql: str | None = None) -> DataFrame:
-    return trips.selectExpr(
-        f"{S.PICKUP_LAT_CELL} AS {S.AREA[0]}",
-        f"{S.PICKUP_LON_CELL} AS {S.AREA[1]}",
-        "1 AS es_viaje",
-        f"CAST({S.FARE} * 100 AS BIGINT) AS tarifa_c",
-        f"CAST({S.TIP} * 100 AS BIGINT) AS propina_c",
-        f"CAST({influence_sql or 'NULL'} AS DOUBLE) AS influencia_viaje",
-        "CAST(NULL AS INT) AS es_libre",
-        "CAST(NULL AS DOUBLE) AS influencia_taxi",
-    )
 
+def currency_units(ranked: DataFrame) -> DataFrame:
+    """The amounts of a result in currency units, as the original printed them."""
+    return ranked.withColumns({c: F.col(c) / 100 for c in AMOUNTS if c in ranked.columns})
 
-def _free_rows(free: DataFrame, influence_sql: str | None = None) -> DataFrame:
-    return free.selectExpr(
-        f"{S.DROPOFF_LAT_CELL} AS {S.AREA[0]}",
-        f"{S.DROPOFF_LON_CELL} AS {S.AREA[1]}",
-        "CAST(NULL AS INT) AS es_viaje",
-        "CAST(NULL AS BIGINT) AS tarifa_c",
-        "CAST(NULL AS BIGINT) AS propina_c",
-        "CAST(NULL AS DOUBLE) AS influencia_viaje",
-        "1 AS es_libre",
-        f"CAST({influence_sql or 'NULL'} AS DOUBLE) AS influencia_taxi",
-    )
 
+@dataclass(frozen=True)
+class AreaQuery:
+    """Trips of a query and what each of them counts as (arguments of ``area_cells``)."""
 
-_PER_CELL_AGGS = (
-    "count(es_viaje) AS n_viajes",
-    f"{mean_cents_sql('tarifa_c')} AS media_tarifa",
-    f"{mean_cents_sql('propina_c')} AS media_propina",
-    "avg(influencia_viaje) AS influencia_viajes",
-    "count(es_libre) AS taxis_libres",
-    "avg(influencia_taxi) AS influencia_taxis",
-)
+    trips: DataFrame
+    down: Column
+    up: Column
+    benefit: Column
+    occurrence: tuple[Column, Column] | None = None
+    influence: Column | None = None
+    tiebreak: Sequence[str] = ()
+    base: Base | None = None
 
+    def cells(self) -> DataFrame:
+        return area_cells(self.trips, self.down, self.up, self.benefit, self.occurrence, self.influence, self.tiebreak, self.base)
 
-def _per_cell(benefit_rows: DataFrame, free_rows: DataFrame) -> DataFrame:
-    """One aggregate by cell over both branches; only cells with benefit rows survive."""
-    return (
-        benefit_rows.unionByName(free_rows)
-        .groupBy(*S.AREA)
-        .agg(*[F.expr(a) for a in _PER_CELL_AGGS])
-        .where("n_viajes > 0")
-    )
+    def state(self) -> DataFrame:
+        return taxi_state(self.trips, self.down, self.up, self.occurrence, self.tiebreak, self.base)
 
 
 # ---------------------------------------------------------------------------
@@ -83,26 +72,32 @@ def _per_cell(benefit_rows: DataFrame, free_rows: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 
-def profitable_areas_components(
-    trips: DataFrame,
+def instant_query(
+    trips: Trips,
     at: str | _dt.datetime,
     taxi_minutes: float = 30,
     benefit_minutes: float = 15,
     tiebreak: Sequence[str] = (),
-) -> tuple[DataFrame, DataFrame]:
-    """(taxi state, benefit trips) for the instant query."""
+) -> AreaQuery:
+    """Taxis and benefit trips of the instant query."""
     t = to_instant(at)
     t_taxi = minus_minutes(t, taxi_minutes)
     t_benefit = minus_minutes(t, benefit_minutes)
-    down = dropoff_window(trips, t_taxi, t, "right")
-    up = pickup_window(trips, t_taxi, t, "right")
-    state = taxi_state(trips, down, up, tiebreak=tiebreak)
-    benefit_trips = trips.where(dropoff_window(trips, t_benefit, t, "right"))
-    return state, benefit_trips
+    first = min(t_taxi, t_benefit)
+    trips = stored(trips, f"{in_window_sql(S.DROPOFF_TIME, first, t)} OR {in_window_sql(S.PICKUP_TIME, t_taxi, t)}")
+    base = ts_sql(t_taxi, trips.schema[S.DROPOFF_TIME].dataType)
+    return AreaQuery(
+        trips,
+        down=dropoff_window(trips, t_taxi, t, "right"),
+        up=pickup_window(trips, t_taxi, t, "right"),
+        benefit=dropoff_window(trips, t_benefit, t, "right"),
+        tiebreak=tiebreak,
+        base=(lambda occurrence: base) if packable(taxi_minutes) else None,
+    )
 
 
 def profitable_areas(
-    trips: DataFrame,
+    trips: Trips,
     at: str | _dt.datetime,
     taxi_minutes: float = 30,
     benefit_minutes: float = 15,
@@ -119,14 +114,12 @@ def profitable_areas(
     Columns: rank, cuad_latitud, cuad_longitud, beneficios (cents),
     taxis_libres, beneficio (cents per divisor).
     """
-    state, benefit_trips = profitable_areas_components(trips, at, taxi_minutes, benefit_minutes, tiebreak)
-    cells = _per_cell(_benefit_rows(benefit_trips), _free_rows(free_taxis(state)))
-    result = cells.selectExpr(
+    cells = instant_query(trips, at, taxi_minutes, benefit_minutes, tiebreak).cells()
+    result = with_benefit(cells).selectExpr(
         *S.AREA,
-        "media_tarifa + media_propina AS beneficios",
+        f"{BENEFIT_SQL} AS beneficios",
         "taxis_libres",
-        "(media_tarifa + media_propina)"
-        " / CAST(CASE WHEN taxis_libres > 0 THEN taxis_libres + 1 ELSE 1 END AS DOUBLE) AS beneficio",
+        f"({BENEFIT_SQL}) / CAST(CASE WHEN taxis_libres > 0 THEN taxis_libres + 1 ELSE 1 END AS DOUBLE) AS beneficio",
     )
     return top_k(result, "beneficio", S.AREA, k)
 
@@ -140,70 +133,55 @@ def seasonal_instant(mmdd: str, hhmm: str, year: int = 2013) -> _dt.datetime:
     return instant(f"{year}-{mmdd}", hhmm)
 
 
-def _seasonal_inputs(
-    trips: DataFrame,
+def seasonal_query(
+    trips: Trips,
     weekday: str | int,
     mmdd: str,
     hhmm: str,
-    year: int,
-    taxi_minutes: float,
-    benefit_minutes: float,
-    compat: bool,
-    tiebreak: Sequence[str],
-) -> tuple[DataFrame, DataFrame, str]:
+    year: int = 2013,
+    taxi_minutes: float = 30,
+    benefit_minutes: float = 15,
+    compat: bool = False,
+    tiebreak: Sequence[str] = (),
+) -> AreaQuery:
+    """Taxis, benefit trips and influence of the seasonal query."""
     day = weekday_number(weekday, compat)
     ref = seasonal_instant(mmdd, hhmm, year)
     taxi_lo, taxi_hi = band_before(hhmm, taxi_minutes)
     ben_lo, ben_hi = band_before(hhmm, benefit_minutes)
     wrap = not compat
+    midnight = wrap and crosses_midnight(taxi_lo, taxi_hi)
+    bands = {S.DROPOFF_TIME: [(taxi_lo, taxi_hi), (ben_lo, ben_hi)], S.PICKUP_TIME: [(taxi_lo, taxi_hi)]}
+    touched = " OR ".join(in_band_sql(c, lo, hi, wrap) for c, of_column in bands.items() for lo, hi in of_column)
+    # Of a band across midnight, an event's date is that weekday or the one before.
+    days = f"{on_weekday_sql(S.DROPOFF_TIME, day, True)} OR {on_weekday_sql(S.PICKUP_TIME, day, True)}" if midnight else on_weekday_sql(S.PICKUP_TIME, day)
+    trips = stored(trips, f"({touched}) AND ({days})")
     down = dropoff_band(trips, taxi_lo, taxi_hi, wrap)
     up = pickup_band(trips, taxi_lo, taxi_hi, wrap)
+    benefit = dropoff_band(trips, ben_lo, ben_hi, wrap)
     occurrence = None
     if not compat:
         occurrence = (
             band_occurrence_date(S.DROPOFF_TIME, taxi_hi),
             band_occurrence_date(S.PICKUP_TIME, taxi_hi),
         )
-    if wrap and crosses_midnight(taxi_lo, taxi_hi):
+    rows = trips.where(band_prefilter(trips, bands, wrap))
+    if midnight:
         # Each event belongs to the weekday of its own band occurrence.
         ended = on_band_weekday(trips, day, taxi_lo, taxi_hi, S.DROPOFF_TIME)
-        down, up = down & ended, up & on_band_weekday(trips, day, taxi_lo, taxi_hi, S.PICKUP_TIME)
-        base, benefit_base = trips, trips.where(ended)
+        down, benefit = down & ended, benefit & ended
+        up = up & on_band_weekday(trips, day, taxi_lo, taxi_hi, S.PICKUP_TIME)
     else:
-        base = benefit_base = trips.where(on_pickup_weekday(trips, day))
-    taxi_rows = base.where(band_prefilter(trips, taxi_lo, taxi_hi, wrap))
-    state = taxi_state(taxi_rows, down, up, occurrence=occurrence, tiebreak=tiebreak)
-    benefit_trips = benefit_base.where(dropoff_band(trips, ben_lo, ben_hi, wrap))
-    influence = tier_weight_sql(
-        S.DROPOFF_TIME,
-        ref,
-        COMPAT_TIERS if compat else TIERS,
-        None if compat else 0.0,
-        trips.schema[S.DROPOFF_TIME].dataType,
-    )
-    return state, benefit_trips, influence
-
-
-def seasonal_area_components(
-    trips: DataFrame,
-    weekday: str | int,
-    mmdd: str,
-    hhmm: str,
-    year: int = 2013,
-    taxi_minutes: float = 30,
-    benefit_minutes: float = 15,
-    compat: bool = False,
-    tiebreak: Sequence[str] = (),
-) -> tuple[DataFrame, DataFrame, Column]:
-    """(taxi state, benefit trips, influence column) for the seasonal query."""
-    state, benefit_trips, influence = _seasonal_inputs(
-        trips, weekday, mmdd, hhmm, year, taxi_minutes, benefit_minutes, compat, tiebreak
-    )
-    return state, benefit_trips, F.expr(influence)
+        rows = rows.where(on_pickup_weekday(trips, day))
+    data_type = trips.schema[S.DROPOFF_TIME].dataType
+    influence = tier_weight(S.DROPOFF_TIME, ref, COMPAT_TIERS if compat else TIERS, None if compat else 0.0, data_type)
+    # An occurrence ends on its date and starts on the day before at the earliest.
+    base = None if compat else (lambda key: f"CAST(date_sub({key}, 1) AS {data_type.simpleString().upper()})")
+    return AreaQuery(rows, down, up, benefit, occurrence, influence, tiebreak, base)
 
 
 def profitable_areas_seasonal(
-    trips: DataFrame,
+    trips: Trips,
     weekday: str | int,
     mmdd: str,
     hhmm: str,
@@ -231,21 +209,15 @@ def profitable_areas_seasonal(
     Columns: rank, cuad_latitud, cuad_longitud, beneficios,
     proporcion_taxis_libres, beneficio.
     """
-    state, benefit_trips, influence = _seasonal_inputs(
-        trips, weekday, mmdd, hhmm, year, taxi_minutes, benefit_minutes, compat, tiebreak
-    )
-    cells = _per_cell(_benefit_rows(benefit_trips, influence), _free_rows(free_taxis(state), influence))
-    benefit = "(media_tarifa + media_propina) * influencia_viajes"
-    # No free taxi in the cell: count 0 and mean NULL -> NULL, as after the original left join.
-    weighted = "round(CASE WHEN taxis_libres > 0 THEN taxis_libres * influencia_taxis END)"
+    cells = seasonal_query(trips, weekday, mmdd, hhmm, year, taxi_minutes, benefit_minutes, compat, tiebreak).cells()
     if compat:
-        profit = f"try_divide({benefit}, {weighted})"
+        profit = f"try_divide({SEASONAL_BENEFIT_SQL}, {WEIGHTED_FREE_SQL})"
     else:
-        profit = f"{benefit} / (coalesce({weighted}, 0.0D) + 1)"
-    result = cells.selectExpr(
+        profit = f"{SEASONAL_BENEFIT_SQL} / (coalesce({WEIGHTED_FREE_SQL}, 0.0D) + 1)"
+    result = with_benefit(cells).selectExpr(
         *S.AREA,
-        f"{benefit} AS beneficios",
-        f"{weighted} AS proporcion_taxis_libres",
+        f"{SEASONAL_BENEFIT_SQL} AS beneficios",
+        f"{WEIGHTED_FREE_SQL} AS proporcion_taxis_libres",
         f"{profit} AS beneficio",
     )
     return top_k(result, "beneficio", S.AREA, k)

@@ -45,6 +45,9 @@ PICKUP_SECOND = "segundo_subida"
 DROPOFF_SECOND = "segundo_bajada"
 LAYOUT_COLUMNS = (PICKUP_DATE, DROPOFF_DATE, PICKUP_SECOND, DROPOFF_SECOND)
 
+# Raw reads with a rescue column: the line of a record that does not fit the schema.
+RESCUE = "registro_malo"
+
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 _MONEY = T.DecimalType(10, 2)

@@ -110,8 +110,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of ``path``, and the class of its paths."""
+    jvm = spark.sparkContext._jvm
+    hadoop_path = jvm.org.apache.hadoop.fs.Path
+    return hadoop_path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop_path
+
+
+def delete_paths(spark: SparkSession, paths: list[str]) -> None:
+    """Delete scratch folders that nothing reads any more."""
+    for path in paths:
+        fs, hadoop_path = file_system(spark, path)
+        fs.delete(hadoop_path(path), True)
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Delete this application's scratch folder; frames that read from it must not be used afterwards."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    delete_paths(spark, [_scratch_root(spark)])

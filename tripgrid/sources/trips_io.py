@@ -2,8 +2,9 @@
 
 * raw log: headerless CSV read with the declared schema (never inferred);
 * processed table: Snappy Parquet. The ``by_date`` layout partitions by
-  pickup and drop-off date and writes files sorted by pickup time, so
-  time-window queries prune directories and skip row groups by their min/max
+  pickup and drop-off date and writes files sorted by pickup time, a busy date
+  cut into pieces of the day, with an index of the files (``trip_store``), so
+  time-window queries open few files and skip row groups by their min/max
   statistics;
 * processed rows as CSV;
 * result lines and timing rows, appended.
@@ -16,11 +17,14 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schema as S
+from ..session import checkpoint_dir, delete_paths, ensure_checkpoint_dir, file_system, scratch_path
+from .trip_store import Trips, TripStore, index_trips
 
 
 def read_raw_trips(
@@ -28,20 +32,30 @@ def read_raw_trips(
     path: str | Sequence[str],
     schema: T.StructType = S.RAW_SCHEMA,
     mode: str = "PERMISSIVE",
+    rescue: bool = False,
 ) -> DataFrame:
     """Headerless CSV with the declared raw schema.
 
     Empty or unparsable fields become NULL (``PERMISSIVE``), which the
-    cleaning rules then remove.
+    cleaning rules then remove. With ``rescue`` a further column, ``RESCUE``,
+    holds the whole line of every record that has an unparsable field or
+    another number of fields, and NULL for the others; ``clean_trips`` leaves
+    such records out and ``quarantine`` gives them back.
     """
-    return (
-        spark.read.schema(schema)
-        .option("header", "false")
+    reader = (
+        spark.read.option("header", "false")
         .option("timestampFormat", S.TIME_FORMAT)
         .option("timestampNTZFormat", S.TIME_FORMAT)
         .option("mode", mode)
-        .csv(path)
     )
+    if not rescue:
+        return reader.schema(schema).csv(path)
+    with_line = T.StructType([*schema.fields, T.StructField(S.RESCUE, T.StringType(), True)])
+    raw = reader.option("columnNameOfCorruptRecord", S.RESCUE).schema(with_line).csv(path)
+    # Spark parses the columns that a query reads. Every field takes part here (the
+    # comparison always holds), so what is malformed does not depend on the query.
+    every_field = F.xxhash64(*schema.names) >= F.lit(-(1 << 63))
+    return raw.withColumn(S.RESCUE, F.when(every_field, F.col(S.RESCUE)))
 
 
 def register_trips(df: DataFrame, name: str = "unprocessed") -> DataFrame:
@@ -53,14 +67,21 @@ def register_trips(df: DataFrame, name: str = "unprocessed") -> DataFrame:
 def read_trips(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """Processed Parquet table by path (layout columns included when present).
 
-    A path-based read lists every file of the table before partition
-    pruning; for very large tables register it in a catalog
-    (``write_trips(table=...)``) and use :func:`read_trips_table`.
+    This lists every file of the table; :func:`open_trips` opens those that a
+    query needs.
     """
     paths = [path] if isinstance(path, str) else list(path)
     return spark.read.parquet(*paths)
 
 
+def open_trips(spark: SparkSession, path: str) -> Trips:
+    """The table at ``path`` for the queries: by its file index if it has one, else as a frame."""
+    try:
+        return TripStore(spark, path)
+    except FileNotFoundError:
+        return read_trips(spark, path)
+
+
 def read_trips_table(spark: SparkSession, table: str) -> DataFrame:
     """Processed trips from a catalog table.
 
@@ -86,15 +107,68 @@ def _second_of_day(c: str):
     return (F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c)).cast("int")
 
 
-# Width of the pickup-time slots that keep a file's time span short.
+# Width of the pickup-time slots in which a date's rows are counted.
 SLOT_SECONDS = 900
+# Bytes of a row in a shuffle, about; files hold what fits in one shuffle partition.
+ROW_BYTES = 160
 
 LAYOUTS = ("flat", "by_date")
-CLUSTERINGS = ("rebalance", "slots", "local")
+CLUSTERINGS = ("counts", "rebalance", "local")
+_ADVISORY = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+
+
+def _slot():
+    return F.floor(F.col(S.PICKUP_SECOND) / SLOT_SECONDS).cast("int")
+
+
+def rows_per_piece(spark: SparkSession) -> int:
+    """Rows of a file unless a caller says otherwise: what fits in a shuffle partition of the advised size."""
+    size = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(_ADVISORY, "64m"))
+    return max(1, int(size) // ROW_BYTES)
 
 
-def layout_frame(df: DataFrame, layout: str = "flat", cluster: str = "rebalance") -> DataFrame:
-    """The frame :func:`write_trips` hands to the writer (see there for the options)."""
+def date_pieces(trips: DataFrame, rows_per_file: int) -> DataFrame:
+    """``(fecha_subida, _slot, _pieza)`` of the dates with more rows than a file holds.
+
+    A date's quarter hours are counted; the running count cuts the day into
+    pieces of about ``rows_per_file`` rows. Other dates are not listed: they
+    stay in one piece. The result has at most 96 rows for each such date.
+    """
+    counted = trips.groupBy(S.PICKUP_DATE, _slot().alias("_slot")).agg(F.count(F.lit(1)).alias("n"))
+    day = Window.partitionBy(S.PICKUP_DATE)  # at most 96 rows
+    running = F.sum("n").over(day.orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1))
+    cut = counted.withColumns({"_total": F.sum("n").over(day), "_before": F.coalesce(running, F.lit(0).cast("bigint"))})
+    piece = F.floor(F.col("_before") / rows_per_file).cast("int")
+    return cut.where(F.col("_total") > rows_per_file).select(S.PICKUP_DATE, "_slot", piece.alias("_pieza"))
+
+
+def _with_pieces(trips: DataFrame, rows_per_file: int, scratch: list[str]) -> DataFrame:
+    spark = trips.sparkSession
+    if checkpoint_dir(spark) or spark.sparkContext.master.startswith("local"):
+        # Cleaned rows are stored first, so a raw log is parsed once and the counts read one date and one time column.
+        ensure_checkpoint_dir(spark)
+        path = scratch_path(spark, "load")
+        scratch.append(path)
+        trips.write.parquet(path)
+        trips = spark.read.schema(trips.schema).parquet(path)
+    pieces = date_pieces(trips, rows_per_file)
+    if checkpoint_dir(spark):
+        path = scratch_path(spark, "pieces")
+        scratch.append(path)
+        pieces.write.parquet(path)  # its size is known from here on: Spark broadcasts it only if it is small
+        pieces = spark.read.schema(pieces.schema).parquet(path)
+    if pieces.isEmpty():
+        return trips.withColumn("_pieza", F.lit(None).cast("int"))
+    return trips.withColumn("_slot", _slot()).join(pieces, [S.PICKUP_DATE, "_slot"], "left").drop("_slot")
+
+
+def layout_frame(
+    df: DataFrame, layout: str = "flat", cluster: str = "counts", rows_per_file: int | None = None, scratch: list[str] | None = None
+) -> DataFrame:
+    """The frame :func:`write_trips` hands to the writer (see there for the options).
+
+    ``scratch`` gets the folders that the frame reads from and its writer deletes.
+    """
     if layout not in LAYOUTS:
         raise ValueError(f"layout must be one of {LAYOUTS}, got {layout!r}")
     if cluster not in CLUSTERINGS:
@@ -102,11 +176,12 @@ def layout_frame(df: DataFrame, layout: str = "flat", cluster: str = "rebalance"
     if layout == "flat":
         return df
     out = with_layout_columns(df)
+    columns = out.columns
     if cluster == "rebalance":
         out = out.hint("rebalance", S.PICKUP_DATE, S.DROPOFF_DATE)
-    if cluster == "slots":
-        slot = F.floor(F.col(S.PICKUP_SECOND) / SLOT_SECONDS)
-        out = out.withColumn("_slot", slot).hint("rebalance", S.PICKUP_DATE, S.DROPOFF_DATE, "_slot").drop("_slot")
+    if cluster == "counts":
+        pieces = _with_pieces(out, rows_per_file or rows_per_piece(df.sparkSession), [] if scratch is None else scratch)
+        out = pieces.hint("rebalance", S.PICKUP_DATE, S.DROPOFF_DATE, "_pieza").select(*columns)
     return out.sortWithinPartitions(S.PICKUP_DATE, S.DROPOFF_DATE, S.PICKUP_TIME)
 
 
@@ -116,9 +191,11 @@ def write_trips(
     mode: str = "errorifexists",
     layout: str = "flat",
     compression: str = "snappy",
-    cluster: str = "rebalance",
+    cluster: str = "counts",
     max_records_per_file: int | None = None,
     table: str | None = None,
+    rows_per_file: int | None = None,
+    index: bool | None = None,
 ) -> None:
     """Write processed trips as Parquet.
 
@@ -128,30 +205,34 @@ def write_trips(
     ``fecha_subida=.../fecha_bajada=...`` directories, each file sorted by
     pickup time (tight row-group statistics for time filters). Nearly every
     trip ends on its start date or the next, so a date has one or two
-    drop-off sub-directories.
+    drop-off sub-directories. ``index`` (on for this layout) adds the file
+    index that :func:`open_trips` reads.
 
     ``cluster`` (``by_date`` only) chooses how rows reach the writers:
 
-    * ``rebalance`` (default): a ``REBALANCE`` on the two date keys — one
-      hash exchange without a sampling pass; adaptive execution splits a
-      skewed date over several tasks and merges small ones, so every task
-      writes a few files of reasonable size whatever the input order;
-    * ``slots``: the same on the two dates and the quarter hour of the pickup,
-      for loads whose dates fill many files: a date spreads over its 96 slots,
-      each of its files covers few of them, and a time-of-day band opens few
-      files. On a small load it would write many small files, as every task
-      holds slots of most dates;
+    * ``counts`` (default): the rows of every date and quarter hour are counted
+      first; a date with more than ``rows_per_file`` rows is cut into pieces of
+      the day, so each of its files covers a short time and a time-of-day band
+      opens few; any other date stays whole, however many dates there are. A
+      ``REBALANCE`` on (dates, piece) is the one exchange of the rows; adaptive
+      execution merges small pieces into one task;
+    * ``rebalance``: the same on the two dates alone, without counting; the
+      files of a busy date each span the day;
     * ``local``: no exchange, each task sorts its own rows. For inputs that
       are already in time order (a time-sorted log), where each input split
       covers a short time span.
 
-    File size follows ``spark.sql.adaptive.advisoryPartitionSizeInBytes``
-    (raise it to the target file size for large loads).
+    ``rows_per_file`` follows ``spark.sql.adaptive.advisoryPartitionSizeInBytes``
+    unless given (raise either to the target file size for large loads).
 
     ``table``: also register the output as a catalog table located at
     ``path`` (read it back with :func:`read_trips_table`).
     """
-    writer_df = layout_frame(df, layout, cluster)
+    if mode in ("error", "errorifexists") and _exists(df.sparkSession, path):
+        # Before the counting, not after it.
+        raise AnalysisException(f"[PATH_ALREADY_EXISTS] {path} exists already; choose another mode or path")
+    scratch: list[str] = []
+    writer_df = layout_frame(df, layout, cluster, rows_per_file, scratch)
     writer = writer_df.write.mode(mode).option("compression", compression)
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
@@ -161,6 +242,14 @@ def write_trips(
         writer.format("parquet").option("path", path).saveAsTable(table)
     else:
         writer.parquet(path)
+    delete_paths(df.sparkSession, scratch)
+    if layout == "by_date" if index is None else index:
+        index_trips(df.sparkSession, path)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    fs, hadoop_path = file_system(spark, path)
+    return fs.exists(hadoop_path(path))
 
 
 def write_trips_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
