@@ -17,7 +17,7 @@ from tripgrid.plans.frequent_routes import frequent_routes, frequent_routes_seas
 from tripgrid.plans.profitable_areas import profitable_areas, profitable_areas_seasonal  # noqa: E402
 from tripgrid.session import local_session  # noqa: E402
 from tripgrid.operators.clean import process_trips  # noqa: E402
-from tripgrid.sources.trips_io import layout_frame, read_raw_trips, read_trips, write_trips  # noqa: E402
+from tripgrid.sources.trips_io import layout_frame, open_trips, read_raw_trips, write_trips  # noqa: E402
 
 
 def formatted(df) -> str:
@@ -35,7 +35,7 @@ def main() -> None:
     spark.conf.set("spark.sql.maxMetadataStringLength", "100000")
     path = tempfile.mkdtemp(prefix="tripgrid-plans-") + "/trips"
     write_trips(catalog.trips(spark, sf_dir), path, layout="by_date")
-    trips = read_trips(spark, path)
+    trips = open_trips(spark, path)
     raw_csv = tempfile.mkdtemp(prefix="tripgrid-plans-") + "/raw"
     catalog.raw_trips(spark, sf_dir).drop("k").write.option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(raw_csv)
     queries = [

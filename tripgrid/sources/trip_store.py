@@ -104,6 +104,11 @@ def _generations(spark: SparkSession, path: str) -> list[tuple[int, bool]]:
     return sorted(found)
 
 
+# Indexes kept in the driver, by application, table and generation: of at most so many files and tables.
+_KEPT: dict[tuple[str, str, int], DataFrame | None] = {}
+_KEPT_FILES, _KEPT_TABLES = 20_000, 8
+
+
 class TripStore:
     """One generation of a stored, indexed trip table; queries take it in place of a frame."""
 
@@ -120,16 +125,34 @@ class TripStore:
         """All rows of this generation's index, replaced files too."""
         return self.spark.read.schema(INDEX_SCHEMA).parquet(f"{self.path}/{INDEX_FOLDER}/v={self.generation}")
 
+    def _kept(self) -> DataFrame:
+        """The index for lookups: a small one stays in the driver, so that a lookup needs no job.
+
+        A generation never changes, so what is kept cannot get old.
+        """
+        key = (self.spark.sparkContext.applicationId, self.path, self.generation)
+        if key not in _KEPT:
+            some = self.index()._jdf.limit(_KEPT_FILES + 1).collectAsList()
+            local = None
+            if some.size() <= _KEPT_FILES:
+                session = self.spark._jsparkSession
+                local = DataFrame(session.createDataFrame(some, self.index()._jdf.schema()), self.spark)
+            while len(_KEPT) >= _KEPT_TABLES:
+                _KEPT.pop(next(iter(_KEPT)))
+            _KEPT[key] = local
+        found = _KEPT[key]
+        return self.index() if found is None else found
+
     def files(self, where: str = "true") -> DataFrame:
         """Files of the table that can hold rows of ``where``, SQL over the index."""
-        return self.index().where(f"vigente AND ({where})")
+        return self._kept().where(f"vigente AND ({where})")
 
     def frame(self, where: str = "true") -> DataFrame:
         """The trips of those files; a query still applies its own conditions to the rows."""
         found = self.files(where).select("archivo", "esquema").collect()
         if found:
             return read_files(self.spark, self.path, [r.archivo for r in found], _schema(found[0].esquema))
-        any_row = self.index().select("esquema").first()
+        any_row = self._kept().select("esquema").first()
         return self.spark.createDataFrame([], _schema(any_row.esquema) if any_row else S.PROCESSED_SCHEMA)
 
 
