@@ -41,10 +41,10 @@ from ._common import materialize
 
 MOST_WORDS = 4
 LEAST = 30
-SLAB_BYTES = 4 << 20
+SLAB_BYTES = 1 << 20
 # Entries that a task holds before it hands them on.
-TALLY = 1 << 22
-TEXTS = 400_000
+TALLY = 1 << 21
+TEXTS = 200_000
 FILTER_BITS = 1 << 26
 
 # Two primes below 2^31 and bases below them.
