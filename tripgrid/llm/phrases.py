@@ -44,8 +44,8 @@ LEAST = 30
 SLAB_BYTES = 1 << 20
 # Entries that a task holds before it hands them on.
 TALLY = 1 << 21
-TEXTS = 200_000
-FILTER_BITS = 1 << 26
+TEXTS = 500_000
+FILTER_BITS = 1 << 27
 
 # Two primes below 2^31 and bases below them.
 PRIMES = ((1 << 31) - 1, (1 << 31) - 19)
@@ -157,9 +157,16 @@ def _slabs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, Words]]:
             yield lang, Words(b"\n".join(parts))
 
 
+# A key's two bits in the filter: from the one prime's digits, and from the other's.
+_SHIFTS = (0, 33)
+
+
 def _passing(keys: np.ndarray, bits: np.ndarray) -> np.ndarray:
-    spot = keys & np.uint64(FILTER_BITS - 1)
-    return (bits[spot >> np.uint64(6)] >> (spot & np.uint64(63))) & np.uint64(1) == 1
+    passing = np.ones(len(keys), dtype=bool)
+    for shift in _SHIFTS:
+        spot = (keys >> np.uint64(shift)) & np.uint64(FILTER_BITS - 1)
+        passing &= (bits[spot >> np.uint64(6)] >> (spot & np.uint64(63))) & np.uint64(1) == 1
+    return passing
 
 
 def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -229,10 +236,10 @@ def _common(texts: DataFrame, orders: tuple[int, ...], bits: np.ndarray | None,
 
 
 def _filter(keys: DataFrame) -> np.ndarray:
-    """Bits of the keys' low digits; of fixed size whatever the input."""
-    spot = F.col("key").bitwiseAND(F.lit(FILTER_BITS - 1))
+    """Two bits for each key; of fixed size whatever the input."""
+    spots = [F.shiftrightunsigned("key", shift).bitwiseAND(F.lit(FILTER_BITS - 1).cast("bigint")) for shift in _SHIFTS]
     words = (
-        keys.select(spot.alias("spot"))
+        keys.select(F.explode(F.array(*spots)).alias("spot"))
         .groupBy(F.shiftright("spot", 6).alias("word"))
         .agg(F.bit_or(F.expr("shiftleft(1L, cast(spot & 63 as int))")).alias("bits"))
         .toArrow()  # at most FILTER_BITS / 64 rows
