@@ -128,18 +128,20 @@ def rows_per_piece(spark: SparkSession) -> int:
 
 
 def date_pieces(trips: DataFrame, rows_per_file: int) -> DataFrame:
-    """``(fecha_subida, _slot, _pieza)`` of the dates with more rows than a file holds.
+    """``(fecha_subida, _slot, _pieza, _partes)`` of the dates with more rows than a file holds.
 
     A date's quarter hours are counted; the running count cuts the day into
-    pieces of about ``rows_per_file`` rows. Other dates are not listed: they
-    stay in one piece. The result has at most 96 rows for each such date.
+    pieces of about ``rows_per_file`` rows; a quarter hour with more rows than
+    that is dealt to several parts. Other dates are not listed: they stay in
+    one piece. The result has at most 96 rows for each such date.
     """
     counted = trips.groupBy(S.PICKUP_DATE, _slot().alias("_slot")).agg(F.count(F.lit(1)).alias("n"))
     day = Window.partitionBy(S.PICKUP_DATE)  # at most 96 rows
     running = F.sum("n").over(day.orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1))
     cut = counted.withColumns({"_total": F.sum("n").over(day), "_before": F.coalesce(running, F.lit(0).cast("bigint"))})
     piece = F.floor(F.col("_before") / rows_per_file).cast("int")
-    return cut.where(F.col("_total") > rows_per_file).select(S.PICKUP_DATE, "_slot", piece.alias("_pieza"))
+    parts = F.ceil(F.col("n") / rows_per_file).cast("int")
+    return cut.where(F.col("_total") > rows_per_file).select(S.PICKUP_DATE, "_slot", piece.alias("_pieza"), parts.alias("_partes"))
 
 
 def _with_pieces(trips: DataFrame, rows_per_file: int, scratch: list[str]) -> DataFrame:
@@ -157,9 +159,14 @@ def _with_pieces(trips: DataFrame, rows_per_file: int, scratch: list[str]) -> Da
         scratch.append(path)
         pieces.write.parquet(path)  # its size is known from here on: Spark broadcasts it only if it is small
         pieces = spark.read.schema(pieces.schema).parquet(path)
-    if pieces.isEmpty():
-        return trips.withColumn("_pieza", F.lit(None).cast("int"))
-    return trips.withColumn("_slot", _slot()).join(pieces, [S.PICKUP_DATE, "_slot"], "left").drop("_slot")
+    n_pieces = pieces.agg(F.count_distinct(S.PICKUP_DATE, "_pieza") + F.coalesce(F.sum(F.col("_partes") - 1), F.lit(0))).first()[0]
+    if not n_pieces:
+        return trips.hint("rebalance", S.PICKUP_DATE, S.DROPOFF_DATE)
+    part = F.pmod(F.xxhash64(S.MEDALLION, S.LICENSE, S.PICKUP_TIME, S.DROPOFF_TIME), F.col("_partes"))
+    cut = trips.withColumn("_slot", _slot()).join(pieces, [S.PICKUP_DATE, "_slot"], "left").withColumn("_parte", part)
+    # A number of partitions of its own, so that small pieces are not merged into files that span the day.
+    width = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * n_pieces)
+    return cut.repartition(width, S.PICKUP_DATE, S.DROPOFF_DATE, "_pieza", "_parte")
 
 
 def layout_frame(
@@ -180,8 +187,7 @@ def layout_frame(
     if cluster == "rebalance":
         out = out.hint("rebalance", S.PICKUP_DATE, S.DROPOFF_DATE)
     if cluster == "counts":
-        pieces = _with_pieces(out, rows_per_file or rows_per_piece(df.sparkSession), [] if scratch is None else scratch)
-        out = pieces.hint("rebalance", S.PICKUP_DATE, S.DROPOFF_DATE, "_pieza").select(*columns)
+        out = _with_pieces(out, rows_per_file or rows_per_piece(df.sparkSession), [] if scratch is None else scratch).select(*columns)
     return out.sortWithinPartitions(S.PICKUP_DATE, S.DROPOFF_DATE, S.PICKUP_TIME)
 
 
@@ -213,9 +219,9 @@ def write_trips(
     * ``counts`` (default): the rows of every date and quarter hour are counted
       first; a date with more than ``rows_per_file`` rows is cut into pieces of
       the day, so each of its files covers a short time and a time-of-day band
-      opens few; any other date stays whole, however many dates there are. A
-      ``REBALANCE`` on (dates, piece) is the one exchange of the rows; adaptive
-      execution merges small pieces into one task;
+      opens few; any other date stays whole, however many dates there are. One
+      exchange by (dates, piece) moves the rows, of twice as many partitions as
+      there are pieces; a load without busy dates is rebalanced as below;
     * ``rebalance``: the same on the two dates alone, without counting; the
       files of a busy date each span the day;
     * ``local``: no exchange, each task sorts its own rows. For inputs that
