@@ -44,7 +44,7 @@ LEAST = 30
 SLAB_BYTES = 1 << 20
 # Entries that a task holds before it hands them on.
 TALLY = 1 << 21
-TEXTS = 500_000
+TEXTS = 1_000_000
 FILTER_BITS = 1 << 27
 
 # Two primes below 2^31 and bases below them.
@@ -207,7 +207,9 @@ class Tally:
 def _common(texts: DataFrame, orders: tuple[int, ...], bits: np.ndarray | None, least: int, name: str) -> DataFrame:
     """Stored keys of the n-grams of ``orders`` words that occur ``least`` times in a language.
 
-    Only those count whose parts pass ``bits``: words of pairs, pairs of longer ones.
+    Only those count whose parts pass ``bits``: words of pairs, pairs of longer
+    ones. With the longer ones come the words of frequent pairs: no other word
+    is a part of a phrase.
     """
     shared = texts.sparkSession.sparkContext.broadcast(bits)
     part = 1 if orders[0] == 2 else 2
@@ -220,6 +222,9 @@ def _common(texts: DataFrame, orders: tuple[int, ...], bits: np.ndarray | None,
                 fit = np.zeros(words.n, dtype=bool)
                 firsts = words.firsts(part)
                 fit[firsts] = _passing(words.keys(firsts, part), bits)
+            if part == 2:
+                pairs = np.flatnonzero(fit)
+                tally.add(lang, words.keys(np.union1d(pairs, pairs + 1), 1))
             for order in orders:
                 firsts = words.firsts(order)
                 for k in range(order - part + 1 if fit is not None else 0):
@@ -303,7 +308,7 @@ def _verified(texts: DataFrame, bits: np.ndarray, least: int) -> tuple[DataFrame
 
 
 def frequent_phrases(df: DataFrame, least: int = LEAST, lang_col: str = "lang", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """``(lang, phrase, words, f)`` of all phrases of 1 to 4 words that occur ``least`` times, and ``(lang, n)``."""
+    """``(lang, phrase, words, f)`` of the phrases of 2 to 4 words that occur ``least`` times and of their words, and ``(lang, n)``."""
     texts = df.select(
         F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"),
         F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary").alias("data"),
@@ -311,7 +316,7 @@ def frequent_phrases(df: DataFrame, least: int = LEAST, lang_col: str = "lang",
     words = _common(texts, (1,), None, least, "words")
     pairs = _common(texts, (2,), _filter(words), least, "pairs")
     longer = _common(texts, (3, 4), _filter(pairs), least, "longer")
-    return _verified(texts, _filter(words.unionByName(pairs).unionByName(longer)), least)
+    return _verified(texts, _filter(pairs.unionByName(longer)), least)
 
 
 def collocations(df: DataFrame, least: int = LEAST, most: int = 2000, lang_col: str = "lang", text_col: str = "text") -> DataFrame:
