@@ -55,10 +55,16 @@ def test_ids_equal_the_library(tokenizer, monkeypatch):
     encoder = packing.Encoder(tokenizer_json(), P.PATTERN)
     rng = random.Random(1)
     letters = [chr(c) for c in range(0x20, 0x3000) if chr(c).isprintable()]
-    made = ["".join(rng.choice([" ", " a", "é", "\n", "'s", "7", rng.choice(letters), rng.choice(letters)]) for _ in range(400)) for _ in range(200)]
+    made = ["".join(rng.choice([" ", " a", "é", "\n", "'s", "7", " ab, ", "\u00a0", "\u3000", "\t ", rng.choice(letters), rng.choice(letters)]) for _ in range(400)) for _ in range(200)]
+    parts = ["a", "é", "'s", "'re", "7", ",", "\n", ".\n\nB", "\u00a0", "ñ-", *letters]
+    # Words of any characters between single blanks, white space inside them too.
+    words = ["x".join(rng.choices(parts, k=rng.randint(1, 4))).strip() or "w" for _ in range(4000)]
+    made += [" ".join(rng.choices(words, k=60)) for _ in range(100)] + [" " + " ".join(rng.choices(words, k=60)) for _ in range(20)]
+    latin = [chr(c) for c in range(0x250)]
+    made += ["".join(rng.choices([" ", "a", "é", *latin], k=300)) for _ in range(300)]
     for text in [t for t in ODD if t is not None] + made:
         assert encoder(text) == b"".join(i.to_bytes(4, "little") for i in tokenizer.encode(text, add_special_tokens=False).ids)
-    assert encoder.memo_bytes < packing.MEMO_BYTES
+    assert encoder.size < packing.MEMO_BYTES and len(encoder.memo) > 100
 
 
 def test_memo_starts_anew_when_full(tokenizer, monkeypatch):
@@ -67,7 +73,7 @@ def test_memo_starts_anew_when_full(tokenizer, monkeypatch):
     for k in range(20):
         text = " ".join(f"word{k}x{j} letters{chr(97 + j)}{chr(97 + k)}" for j in range(20))
         assert len(encoder(text)) == 4 * len(tokenizer.encode(text, add_special_tokens=False).ids)
-        assert len(encoder.memo) < 200
+        assert len(encoder.memo) < 200 and len(encoder.older) < 200
 
 
 def test_cut():

@@ -14,10 +14,10 @@ shard.
 
 Ids are those of the ``tokenizers`` library for the whole text, special tokens'
 strings being ordinary text. A byte-level tokenizer works on each match of its
-splitting pattern separately, so a worker keeps the ids of the matches it has
-met (``MEMO_BYTES`` at most, then it starts anew) and asks the library for the
-others. Texts longer than ``CHUNK`` characters are split where a letter, a blank
-and a letter meet, which is a border of matches anyway.
+splitting pattern separately, so a worker keeps the ids of the matches it has met
+(``MEMO_BYTES`` at most; the older half is forgotten first) and asks the library's
+model for the others. Texts longer than ``CHUNK`` characters are split where a
+letter, a blank and a letter meet, which is a border of matches anyway.
 
 Defined results: a null text is empty and so holds the end mark alone; rows with
 a null or repeated id are documents of their own; equal lengths are told apart
@@ -28,15 +28,15 @@ blank is one match and must fit in a worker.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterable, Iterator
 
-import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
 from ._common import bounded_batches, materialize
 
@@ -45,11 +45,21 @@ SHARD_PIECES = 8192
 OPEN = 1024
 WAVE = 2048
 CHUNK = 1 << 19
-MEMO_BYTES = 96 << 20
+MEMO_BYTES = 64 << 20
 # A longer match is encoded each time; its ids are not kept.
 MEMO_CHARS = 64
 # What an entry of the memo takes beside its characters and ids.
-MEMO_ENTRY = 180
+MEMO_ENTRY = 200
+
+
+# A splitting pattern in the terms of Python's own, faster engine. Both split alike where no character
+# beyond Latin letters, no number that is not a digit and no control character counted as blank occurs.
+_LATIN = {
+    r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+": re.compile(
+        r"'(?:s|t|re|ve|m|ll|d)| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+"
+    )
+}
+_NOT_LATIN = re.compile("[\x1c-\x1f\u00b2\u00b3\u00b9\u00bc-\u00be\u0250-\U0010ffff]")
 
 
 class Encoder:
@@ -57,11 +67,16 @@ class Encoder:
 
     def __init__(self, tokenizer_json: str, pattern: str) -> None:
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
-        self.tokenizer.encode_special_tokens = True
+        self.model = self.tokenizer.model
+        self.as_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.pattern = regex.compile(pattern)
+        self.latin = _LATIN.get(pattern, self.pattern)
+        self.four_bytes = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
         self.border = regex.compile(r"\p{L}(?= \p{L})")
+        # Ids by match: of late, and before that. Half of MEMO_BYTES each at most.
         self.memo: dict[str, bytes] = {}
-        self.memo_bytes = 0
+        self.older: dict[str, bytes] = {}
+        self.size = 0
 
     def __call__(self, text: str) -> bytes:
         return b"".join(self._chunk(chunk) for chunk in self._chunks(text))
@@ -77,42 +92,34 @@ class Encoder:
         yield text[start:] if start else text
 
     def _chunk(self, text: str) -> bytes:
-        matches = self.pattern.findall(text)
-        if self.memo_bytes > MEMO_BYTES:
-            self.memo, self.memo_bytes = {}, 0
-        new = set(matches).difference(self.memo)
-        long = {m: self._ids(m) for m in new if len(m) > MEMO_CHARS}
-        self._learn([m for m in new if len(m) <= MEMO_CHARS])
-        if not long:
-            return b"".join(map(self.memo.__getitem__, matches))
-        return b"".join(long[m] if m in long else self.memo[m] for m in matches)
-
-    def _ids(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-
-    def _learn(self, matches: list[str]) -> None:
-        # A blank and letters stay one match in a row of such, so one call encodes many.
-        joined = [m for m in matches if len(m) > 1 and m[0] == " " and m[1:].isalpha()]
-        for part in (joined[i : i + 5000] for i in range(0, len(joined), 5000)):
-            self._learn_row(part)
-        for m in matches:
-            if m not in self.memo:
-                self._keep(m, self._ids(m))
-
-    def _learn_row(self, part: list[str]) -> None:
-        found = self.tokenizer.encode("".join(part), add_special_tokens=False)
-        ids, words = np.array(found.ids, dtype="<u4"), np.array(found.word_ids, dtype=np.int64)
-        ends = np.append(np.flatnonzero(words[1:] != words[:-1]) + 1, len(words))
-        if len(ends) != len(part):
-            return  # the library splits otherwise; each match is then encoded by itself
-        data, start = ids.tobytes(), 0
-        for m, end in zip(part, (4 * ends).tolist(), strict=True):
-            self._keep(m, data[start:end])
-            start = end
-
-    def _keep(self, match: str, ids: bytes) -> None:
-        self.memo[match] = ids
-        self.memo_bytes += MEMO_ENTRY + len(ids) + 2 * len(match)
+        if self.size > MEMO_BYTES // 2:
+            self.older, self.memo, self.size = self.memo, {}, 0
+        matches = (self.pattern if _NOT_LATIN.search(text) else self.latin).findall(text)
+        found = list(map(self.memo.get, matches))
+        if None in found:
+            missing = [i for i, ids in enumerate(found) if ids is None]
+            learnt = self._learn({matches[i] for i in missing})
+            for i in missing:
+                found[i] = learnt[matches[i]]
+        return b"".join(found)
+
+    def _learn(self, matches: set[str]) -> dict[str, bytes]:
+        """Ids of matches that the memo has not: the library's model works on each by itself."""
+        learnt = {m: self.older[m] for m in matches if m in self.older}
+        new = [m for m in matches if m not in learnt]
+        # The library writes bytes as printable characters; a line break parts the matches that have none.
+        flat = [m for m in new if "\n" not in m]
+        written = self._written("\n".join(flat)).split(self._written("\n")) if flat else []
+        for m, w in [*zip(flat, written, strict=True), *((m, self._written(m)) for m in new if "\n" in m)]:
+            learnt[m] = b"".join([self.four_bytes[t.id] for t in self.model.tokenize(w)])
+        for m, ids in learnt.items():
+            if len(m) <= MEMO_CHARS:
+                self.memo[m] = ids
+                self.size += MEMO_ENTRY + len(ids) + 2 * len(m)
+        return learnt
+
+    def _written(self, text: str) -> str:
+        return "".join(part for part, _ in self.as_bytes.pre_tokenize_str(text))
 
 
 # One encoder for each worker process: its memo serves all its tasks.
