@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as _dt
 from collections.abc import Callable
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,6 +59,16 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return process_trips(raw_trips(spark, sf_dir), extra=("k",))
 
 
+def checksum(c: str):
+    """The sum of a bigint column modulo 2^64 (two's complement): the plain sum wherever that fits a bigint.
+
+    The sum of ``k`` over a large log does not fit; it is taken in decimals,
+    so that nothing overflows on the way.
+    """
+    low = F.pmod(F.sum(F.col(c).cast("decimal(38,0)")), F.lit(Decimal(2**64)))
+    return F.when(low >= F.lit(Decimal(2**63)), low - F.lit(Decimal(2**64))).otherwise(low).cast("bigint")
+
+
 def _q_raw_profile(spark, sf_dir):
     raw = raw_trips(spark, sf_dir)
     return raw.agg(
@@ -69,7 +80,7 @@ def _q_raw_profile(spark, sf_dir):
         F.sum(S.DURATION).cast("bigint").alias("sum_duracion"),
         F.sum((F.col(S.FARE) * 100).cast("bigint")).alias("sum_tarifa_c"),
         F.sum((F.col(S.TIP) * 100).cast("bigint")).alias("sum_propina_c"),
-        F.sum("k").alias("sum_k"),
+        checksum("k").alias("sum_k"),
         F.min(S.PICKUP_TIME).alias("min_subida"),
         F.max(S.DROPOFF_TIME).alias("max_bajada"),
     )
@@ -436,7 +447,7 @@ def _q_frequent_routes_by_instant(spark, sf_dir):
 def _roundtrip_summary(df: DataFrame) -> DataFrame:
     return df.agg(
         F.count(F.lit(1)).alias("n"),
-        F.sum("k").alias("sum_k"),
+        checksum("k").alias("sum_k"),
         F.sum((F.col(S.FARE) * 100).cast("bigint")).alias("sum_tarifa_c"),
         F.sum(S.PICKUP_LAT_CELL).alias("sum_cuad_latitud_subida"),
         F.sum(S.DROPOFF_LON_CELL).alias("sum_cuad_longitud_bajada"),
