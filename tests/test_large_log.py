@@ -5,6 +5,8 @@ from __future__ import annotations
 import pytest
 
 from tripgrid import catalog
+from tripgrid.operators.clean import process_trips
+from tripgrid.sources.fixture import raw_trips
 
 LINEITEM = "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int"
 
@@ -36,3 +38,13 @@ def test_checksum_is_the_plain_sum_where_it_fits(spark):
     for rows in ([5, -7, None], [2**63 - 1], [-(2**63)], [2**63 - 1, 1, -1], []):
         df = spark.createDataFrame([(x,) for x in rows], "k bigint")
         assert df.agg(catalog.checksum("k")).first()[0] == (sum(x for x in rows if x is not None) if rows else None)
+
+
+def test_formulas_of_the_derived_log_are_not_repeated_in_the_rules(spark, scratch):
+    rows = [(i, i % 97, i % 11, i % 5) for i in range(1, 400)]
+    sf_dir = lineitem(spark, scratch, rows)
+    trips = catalog.trips(spark, sf_dir)
+    filters = [line for line in trips._jdf.queryExecution().executedPlan().toString().splitlines() if " Filter " in line]
+    assert filters and not any(word in line for line in filters for word in (" div ", "CASE WHEN", "l_partkey", "timestampadd"))
+    want = process_trips(raw_trips(spark, sf_dir), extra=("k",))
+    assert trips.dtypes == want.dtypes and sorted(trips.collect()) == sorted(want.collect()) and trips.count() > 50

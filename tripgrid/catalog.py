@@ -32,7 +32,7 @@ from .plans.seasonal_rollup import (
     route_rollup,
     write_route_rollup,
 )
-from .sources.fixture import raw_trips
+from .sources.fixture import computed_once, raw_trips
 from .sources.trip_store import compact_trips
 from .sources.trips_io import open_trips, read_raw_trips, read_trips, read_trips_csv, write_trips, write_trips_csv
 from .session import scratch_path
@@ -56,7 +56,7 @@ STORED_ROWS = 2000
 
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Processed trips (18 columns + ``k``) derived from the driver's lineitem."""
-    return process_trips(raw_trips(spark, sf_dir), extra=("k",))
+    return process_trips(computed_once(raw_trips(spark, sf_dir)), extra=("k",))
 
 
 def checksum(c: str):
