@@ -137,7 +137,8 @@ def frequent_routes_seasonal_from_rollup(
     # Trips that no whole quarter hour counts.
     touched = [in_band_sql(c, a, b) for a, b in slots.cut for c in (S.PICKUP_TIME, S.DROPOFF_TIME)]
     border_files = [in_window_sql(S.PICKUP_TIME, s, s + _dt.timedelta(seconds=SLOT_SECONDS)) for s, _ in borders]
-    where = f"({' OR '.join([*touched, *border_files])}) AND {on_weekday_sql(S.PICKUP_TIME, day, midnight)}"
+    in_bands = [in_band_sql(c, lo, hi) for c in (S.PICKUP_TIME, S.DROPOFF_TIME)]  # as of the query over all trips
+    where = " AND ".join([f"({' OR '.join([*touched, *border_files])})", *in_bands, on_weekday_sql(S.PICKUP_TIME, day, midnight)])
     log = stored(trips, where)
     in_cut = [time_of_day_band_sql(c, a, b) for a, b in slots.cut for c in (S.PICKUP_TIME, S.DROPOFF_TIME)]
     data_type = log.schema[S.PICKUP_TIME].dataType

@@ -265,7 +265,7 @@ def compact_trips(spark: SparkSession, path: str, rows_per_file: int | None = No
     trips = read_files(spark, store.path, old, _schema(chosen[0].esquema))
     name, scratch = f"{_COMPACTED}{uuid.uuid4().hex}", []
     writer = layout_frame(trips.drop(*S.LAYOUT_COLUMNS), "by_date", rows_per_file=size, scratch=scratch).write.mode("append")
-    writer.option("mapreduce.output.basename", name).partitionBy(S.PICKUP_DATE, S.DROPOFF_DATE).parquet(store.path)
+    writer.option("mapreduce.output.basename", name).option("maxRecordsPerFile", size).partitionBy(S.PICKUP_DATE, S.DROPOFF_DATE).parquet(store.path)
     delete_paths(spark, scratch)
     new = [f for f in _data_files(spark, store.path) if f.split("/")[-1].startswith(name)]
     replaced = spark.createDataFrame([(f,) for f in old], "archivo string")

@@ -114,6 +114,8 @@ ROW_BYTES = 160
 
 LAYOUTS = ("flat", "by_date")
 CLUSTERINGS = ("counts", "rebalance", "local")
+# Tasks that write a load of many small files, for each core of the session.
+_TASKS_PER_CORE = 4
 _ADVISORY = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
 
 
@@ -162,11 +164,15 @@ def _with_pieces(trips: DataFrame, rows_per_file: int, scratch: list[str]) -> Da
     n_pieces = pieces.agg(F.count_distinct(S.PICKUP_DATE, "_pieza") + F.coalesce(F.sum(F.col("_partes") - 1), F.lit(0))).first()[0]
     if not n_pieces:
         return trips.hint("rebalance", S.PICKUP_DATE, S.DROPOFF_DATE)
-    part = F.pmod(F.xxhash64(S.MEDALLION, S.LICENSE, S.PICKUP_TIME, S.DROPOFF_TIME), F.col("_partes"))
-    cut = trips.withColumn("_slot", _slot()).join(pieces, [S.PICKUP_DATE, "_slot"], "left").withColumn("_parte", part)
+    # Neighbouring pieces of a date go to one task, which writes their files one after the other: the number of tasks
+    # follows the cores and the bytes of the load, not its number of files.
+    group = max(1, min(n_pieces // (_TASKS_PER_CORE * session_cores(spark)), rows_per_piece(spark) // rows_per_file))
+    part = F.pmod(F.xxhash64(S.MEDALLION, S.LICENSE, S.PICKUP_TIME, S.DROPOFF_TIME), F.ceil(F.col("_partes") / group).cast("int"))
+    near = F.floor(F.col("_pieza") / group)
+    cut = trips.withColumn("_slot", _slot()).join(pieces, [S.PICKUP_DATE, "_slot"], "left").withColumns({"_grupo": near, "_parte": part})
     # A number of partitions of its own, so that small pieces are not merged into files that span the day.
-    width = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * n_pieces)
-    return cut.repartition(width, S.PICKUP_DATE, S.DROPOFF_DATE, "_pieza", "_parte")
+    width = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * -(-n_pieces // group))
+    return cut.repartition(width, S.PICKUP_DATE, S.DROPOFF_DATE, "_grupo", "_parte")
 
 
 def layout_frame(
@@ -175,6 +181,8 @@ def layout_frame(
     """The frame :func:`write_trips` hands to the writer (see there for the options).
 
     ``scratch`` gets the folders that the frame reads from and its writer deletes.
+    With ``counts`` a task may hold several pieces of a date: its writer needs the
+    option ``maxRecordsPerFile``, the rows of a file.
     """
     if layout not in LAYOUTS:
         raise ValueError(f"layout must be one of {LAYOUTS}, got {layout!r}")
@@ -220,8 +228,10 @@ def write_trips(
       first; a date with more than ``rows_per_file`` rows is cut into pieces of
       the day, so each of its files covers a short time and a time-of-day band
       opens few; any other date stays whole, however many dates there are. One
-      exchange by (dates, piece) moves the rows, of twice as many partitions as
-      there are pieces; a load without busy dates is rebalanced as below;
+      exchange by (dates, group of neighbouring pieces) moves the rows, of twice
+      as many partitions as there are groups; a task cuts its rows, in time
+      order, into files of ``rows_per_file``. A load without busy dates is
+      rebalanced as below;
     * ``rebalance``: the same on the two dates alone, without counting; the
       files of a busy date each span the day;
     * ``local``: no exchange, each task sorts its own rows. For inputs that
@@ -240,6 +250,9 @@ def write_trips(
     scratch: list[str] = []
     writer_df = layout_frame(df, layout, cluster, rows_per_file, scratch)
     writer = writer_df.write.mode(mode).option("compression", compression)
+    if layout == "by_date" and cluster == "counts":
+        size = rows_per_file or rows_per_piece(df.sparkSession)
+        max_records_per_file = min(size, max_records_per_file or size)
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
     if layout == "by_date":
