@@ -158,8 +158,9 @@ def _broken_csv(spark, sf_dir):
             if name == f.name:
                 text = F.when(F.col("k") % every == 0, F.lit(broken)).otherwise(text)
         texts.append(F.coalesce(text, F.lit("")))
-    line = F.when(F.col("k") % SHORT == 0, F.concat_ws(",", *texts[:-1])).otherwise(F.concat_ws(",", *texts))
-    line = F.when(F.col("k") % LONG == 0, F.concat(line, F.lit(",sobra,sobra"))).otherwise(line)
+    # Every field is mentioned once, so it is computed once; concat_ws leaves NULLs out.
+    short, long = (F.coalesce(F.col("k") % every == 0, F.lit(False)) for every in (SHORT, LONG))
+    line = F.concat_ws(",", *texts[:-1], F.when(~short, texts[-1]), F.when(long, F.lit("sobra,sobra")))
     path = scratch_path(spark, "broken-csv")
     raw.select(line.alias("value")).write.text(path)
     return path

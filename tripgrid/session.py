@@ -22,6 +22,8 @@ SQL_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.parquet.compression.codec": "snappy",
+    # HotSpot leaves methods over 8000 bytes of code uncompiled; stages with a larger one run operator by operator.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 # Static settings: only honoured when a session is built (spark.conf.set on a
