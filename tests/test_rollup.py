@@ -11,6 +11,7 @@ from conftest import trips_frame
 from test_trip_store import made
 from tripgrid.plans.frequent_routes import frequent_routes_seasonal
 from tripgrid.plans.seasonal_rollup import band_slots, frequent_routes_seasonal_from_rollup, read_route_rollup, route_rollup, write_route_rollup
+from tripgrid.sources import trip_store
 from tripgrid.sources.trips_io import open_trips, write_trips
 
 
@@ -50,3 +51,23 @@ def test_most_trips_come_from_the_rollup(spark, stored):
     opened = [f for f in frequent_routes_seasonal_from_rollup(rollup, log, "enero", "martes", "10:00").inputFiles() if os.sep + "trips" + os.sep in f]
     whole = frequent_routes_seasonal(log, "enero", "martes", "10:00").inputFiles()
     assert len(opened) <= len(whole)
+
+
+def test_looking_up_many_files_takes_few_tasks(spark, stored, monkeypatch):
+    _, log, _ = stored
+    files = log.files().count()
+    monkeypatch.setattr(trip_store, "_LISTED_BY_DRIVER", 0)
+    monkeypatch.setattr(trip_store, "_LISTING_TASKS_PER_CORE", 1)
+    tasks = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(tasks)
+    context = spark.sparkContext
+    context.setJobGroup("lookup", "files of a store")
+    try:
+        read = log.frame()
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    tracker = context.statusTracker()
+    stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup("lookup") for s in tracker.getJobInfo(j).stageIds]
+    most = max(s.numTasks for s in stages if s)
+    assert files > context.defaultParallelism >= most
+    assert len(read.inputFiles()) == files and spark.conf.get(tasks) == before

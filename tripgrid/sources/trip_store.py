@@ -38,6 +38,9 @@ _COMPACTED = "compacto-"
 # Up to so many files are looked up by the driver itself, more by a Spark job.
 _LISTED_BY_DRIVER = 512
 _LISTING_CONF = "spark.sql.sources.parallelPartitionDiscovery.threshold"
+# Tasks of that job for each core; Spark's own number is one for each file, up to 10,000.
+_LISTING_TASKS_PER_CORE = 4
+_LISTING_TASKS_CONF = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
 
 INDEX_SCHEMA = T.StructType(
     [
@@ -171,13 +174,16 @@ def _schema(text: str) -> T.StructType:
 def read_files(spark: SparkSession, path: str, files: Sequence[str], schema: T.StructType) -> DataFrame:
     """Some files of a table with a declared schema; their folders give the partition columns."""
     paths = [f"{path}/{f}" for f in files]
-    before = spark.conf.get(_LISTING_CONF)
-    if int(before) < len(paths) <= _LISTED_BY_DRIVER:
+    before = {c: spark.conf.get(c) for c in (_LISTING_CONF, _LISTING_TASKS_CONF)}
+    if int(before[_LISTING_CONF]) < len(paths) <= _LISTED_BY_DRIVER:
         spark.conf.set(_LISTING_CONF, str(_LISTED_BY_DRIVER))
+    tasks = min(int(before[_LISTING_TASKS_CONF]), _LISTING_TASKS_PER_CORE * spark.sparkContext.defaultParallelism)
+    spark.conf.set(_LISTING_TASKS_CONF, str(tasks))
     try:
         return spark.read.schema(schema).option("basePath", path).parquet(*paths)
     finally:
-        spark.conf.set(_LISTING_CONF, before)
+        for c, value in before.items():
+            spark.conf.set(c, value)
 
 
 # ---------------------------------------------------------------------------
