@@ -119,3 +119,38 @@ def test_scores_beyond_64_bits(spark):
 def test_empty_table(spark):
     assert phrases.collocations(frame(spark, [("en", "a b")]).where("false")).count() == 0
     assert phrases.collocations(frame(spark, [("en", "a b")])).count() == 0
+
+
+def test_tasks_of_the_last_pass_do_not_grow_with_the_splits(spark):
+    context = spark.sparkContext
+    most = max(phrases.VERIFY_TASKS_PER_CORE * context.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    rows = context.parallelize([("en", b"one two three. " * 3)] * 400, 3 * most)
+    texts = spark.createDataFrame(rows, "lang string, data binary")
+    everything = np.full(phrases.FILTER_BITS // 64, ~np.uint64(0))
+    context.setJobGroup("verify", "last pass")
+    try:
+        found, sizes = phrases._verified(texts, everything, 30)
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    tracker = context.statusTracker()
+    stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup("verify") for s in tracker.getJobInfo(j).stageIds]
+    assert 0 < max(s.numTasks for s in stages if s) <= most
+    assert {(r.phrase, r.f) for r in found.collect()} == {(p, 1200) for p in ("one", "two", "three", "one two", "two three", "one two three")}
+    assert sizes.first().n == 3600
+
+
+def test_texts_that_share_a_fingerprint_stay_apart_in_a_tally():
+    rows = made(40, 5)
+    everything = np.full(phrases.FILTER_BITS // 64, ~np.uint64(0))
+    texts = phrases.Texts()
+    for i in range(0, 40, 10):
+        words = phrases.Words("\n".join(t for _, t in rows[i : i + 10]).encode())
+        words.keys = lambda firsts, order: (firsts % 5).astype(np.uint64)
+        texts.add("en", words, everything)
+        texts._merge()
+    got = collections.Counter()
+    for batch in texts.flush():
+        for r in batch.to_pylist():
+            got[r["words"], r["phrase"]] += r["n"]  # a text has several of these fingerprints
+    f, n = counted([("en", t) for _, t in rows])
+    assert got == {(0, ""): n["en"], **{(len(k) - 1, " ".join(k[1:])): v for k, v in f.items()}}

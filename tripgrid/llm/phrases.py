@@ -45,6 +45,8 @@ SLAB_BYTES = 1 << 20
 # Entries that a task holds before it hands them on.
 TALLY = 1 << 21
 TEXTS = 1_000_000
+TEXT_BYTES = 64 << 20
+VERIFY_TASKS_PER_CORE = 2
 FILTER_BITS = 1 << 27
 
 # Two primes below 2^31 and bases below them.
@@ -115,20 +117,33 @@ class Words:
     def text(self, first: int, words: int) -> bytes:
         return self.codes[self.starts[first] : self.ends[first + words - 1]].tobytes()
 
-    def equal(self, firsts: np.ndarray, others: np.ndarray, words: int) -> np.ndarray:
-        """Mask of the n-grams whose bytes are those of their counterparts."""
-        start, other = self.starts[firsts], self.starts[others]
-        size = self.ends[firsts + words - 1] - start
-        same = size == self.ends[others + words - 1] - other
-        todo = np.flatnonzero(same & (start != other))
-        done = np.cumsum(size[todo])
-        for block in np.split(todo, np.searchsorted(done, np.arange(SLAB_BYTES, int(done[-1]) + 1 if len(done) else 0, SLAB_BYTES))):
-            if len(block):
-                heads = np.cumsum(size[block]) - size[block]
-                place = np.arange(int(size[block].sum())) - np.repeat(heads, size[block])
-                differ = self.codes[np.repeat(start[block], size[block]) + place] != self.codes[np.repeat(other[block], size[block]) + place]
-                same[block] = ~np.logical_or.reduceat(differ, heads)
-        return same
+
+def _blocks(sizes: np.ndarray) -> Iterator[tuple[slice, np.ndarray]]:
+    """Runs of texts of about ``SLAB_BYTES`` together, and the place of each of their bytes in its text."""
+    done = np.cumsum(sizes)
+    cuts = np.searchsorted(done, np.arange(SLAB_BYTES, int(done[-1]) + 1 if len(done) else 0, SLAB_BYTES))
+    for first, last in zip([0, *cuts.tolist()], [*cuts.tolist(), len(sizes)], strict=True):
+        if first < last:
+            size = sizes[first:last]
+            yield slice(first, last), np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+
+
+def _equal(codes: np.ndarray, starts: np.ndarray, others: np.ndarray, sizes: np.ndarray, other_sizes: np.ndarray) -> np.ndarray:
+    """Mask of the texts whose bytes are those of their counterparts."""
+    same = sizes == other_sizes
+    todo = np.flatnonzero(same & (starts != others))
+    for block, place in _blocks(sizes[todo]):
+        at = todo[block]
+        size = sizes[at]
+        differ = codes[np.repeat(starts[at], size) + place] != codes[np.repeat(others[at], size) + place]
+        same[at] = ~np.logical_or.reduceat(differ, np.cumsum(size) - size)
+    return same
+
+
+def _cut_out(codes: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The texts' bytes one after another."""
+    out = [codes[np.repeat(starts[block], sizes[block]) + place] for block, place in _blocks(sizes)]
+    return np.concatenate(out) if out else codes[:0]
 
 
 def _slabs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, Words]]:
@@ -254,51 +269,112 @@ def _filter(keys: DataFrame) -> np.ndarray:
     return out
 
 
-def _verified_slab(words: Words, order: int, bits: np.ndarray) -> Iterator[tuple[bytes, int]]:
-    """Texts of the n-grams that pass ``bits`` and how often each occurs, by comparing bytes."""
+def _merged(keys: np.ndarray, counts: np.ndarray, starts: np.ndarray, sizes: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, ...]:
+    """``(keys, counts, sizes, bytes)``: each text once, told apart by its bytes where fingerprints are equal."""
+    todo, chosen, sums = np.argsort(keys), [], []
+    while len(todo):
+        key = keys[todo]
+        new = np.append(True, key[1:] != key[:-1])
+        first = np.flatnonzero(new)
+        lead = todo[first][np.cumsum(new) - 1]
+        same = _equal(codes, starts[todo], starts[lead], sizes[todo], sizes[lead])
+        chosen.append(todo[first])
+        sums.append(np.add.reduceat(np.where(same, counts[todo], 0), first))
+        todo = todo[~same]  # other texts with the same fingerprint
+    if not chosen:
+        return keys, counts, sizes, codes[:0]
+    at = np.concatenate(chosen)
+    return keys[at], np.concatenate(sums), sizes[at], _cut_out(codes, starts[at], sizes[at])
+
+
+def _slab_texts(words: Words, order: int, bits: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The n-grams that pass ``bits``, as ``_merged`` gives them."""
     firsts = words.firsts(order)
     keys = words.keys(firsts, order)
     passing = _passing(keys, bits)
-    firsts, keys = firsts[passing], keys[passing]
-    while len(firsts):
-        found, place, back = np.unique(keys, return_index=True, return_inverse=True)
-        same = words.equal(firsts, firsts[place][back], order)
-        counts = np.bincount(back[same], minlength=len(found))
-        for first, n in zip(firsts[place].tolist(), counts.tolist(), strict=True):
-            yield words.text(first, order), n
-        firsts, keys = firsts[~same], keys[~same]  # other texts with the same fingerprint
+    firsts = firsts[passing]
+    starts = words.starts[firsts]
+    return _merged(keys[passing], np.ones(len(firsts), dtype=np.int64), starts, words.ends[firsts + order - 1] - starts, words.codes)
+
+
+def _verified_slab(words: Words, order: int, bits: np.ndarray) -> Iterator[tuple[bytes, int]]:
+    """Texts of the n-grams that pass ``bits`` and how often each occurs, by comparing bytes."""
+    _, counts, sizes, codes = _slab_texts(words, order, bits)
+    for n, size, end in zip(counts.tolist(), sizes.tolist(), np.cumsum(sizes).tolist(), strict=True):
+        yield codes[end - size : end].tobytes(), n
+
+
+class Texts:
+    """How often each text occurs, by language and number of words; of ``TEXTS`` entries and ``TEXT_BYTES`` at most.
+
+    The texts stand one after another in an array: there is no object for each.
+    """
+
+    def __init__(self) -> None:
+        self.totals: dict[str, int] = {}
+        self.parts: dict[tuple[str, int], list[tuple[np.ndarray, ...]]] = {}
+        self.size = self.bytes = 0
+
+    def add(self, lang: str, words: Words, bits: np.ndarray) -> None:
+        self.totals[lang] = self.totals.get(lang, 0) + words.n
+        for order in range(1, MOST_WORDS + 1):
+            part = _slab_texts(words, order, bits)
+            self.parts.setdefault((lang, order), []).append(part)
+            self.size += len(part[0])
+            self.bytes += len(part[3])
+        if self.size > TEXTS or self.bytes > TEXT_BYTES:
+            self._merge()
+
+    def _merge(self) -> None:
+        for name, parts in self.parts.items():
+            if len(parts) > 1:
+                keys, counts, sizes, codes = (np.concatenate(c) for c in zip(*parts, strict=True))
+                parts[:] = [_merged(keys, counts, np.cumsum(sizes) - sizes, sizes, codes)]
+        self.size = sum(len(part[0]) for parts in self.parts.values() for part in parts)
+        self.bytes = sum(len(part[3]) for parts in self.parts.values() for part in parts)
+
+    def full(self) -> bool:
+        return 4 * self.size > 3 * TEXTS or 4 * self.bytes > 3 * TEXT_BYTES
+
+    def flush(self) -> Iterator[pa.RecordBatch]:
+        self._merge()
+        # No words at all: how many words the language has.
+        for lang, n in self.totals.items():
+            yield _text_batch(lang, 0, np.zeros(1, dtype=np.int32), np.empty(0, dtype=np.uint8), np.array([n]))
+        for (lang, order), [(_, counts, sizes, codes)] in self.parts.items():
+            ends = np.cumsum(sizes)
+            for i in range(0, len(sizes), 1 << 16):
+                j = min(len(sizes), i + (1 << 16))
+                data = codes[ends[i] - sizes[i] : ends[j - 1]]
+                yield _text_batch(lang, order, sizes[i:j], data, counts[i:j])
+        self.totals, self.parts, self.size, self.bytes = {}, {}, 0, 0
+
+
+def _text_batch(lang: str, order: int, sizes: np.ndarray, codes: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+    offsets = np.append(0, np.cumsum(sizes)).astype(np.int32)
+    phrases = pa.StringArray.from_buffers(len(sizes), pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(codes)))
+    langs = pa.array([lang], pa.string()).take(pa.array(np.zeros(len(sizes), dtype=np.int32)))
+    columns = [langs, phrases, pa.array(np.full(len(sizes), order, dtype=np.int32)), pa.array(counts.astype(np.int64))]
+    return pa.RecordBatch.from_arrays(columns, names=["lang", "phrase", "words", "n"])
 
 
 def _verified(texts: DataFrame, bits: np.ndarray, least: int) -> tuple[DataFrame, DataFrame]:
-    """Stored ``(lang, phrase, words, f)`` of the phrases that occur ``least`` times, and ``(lang, n)``, all words."""
-    shared = texts.sparkSession.sparkContext.broadcast(bits)
-    schema = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("words", pa.int32()), ("n", pa.int64())])
+    """Stored ``(lang, phrase, words, f)`` of the phrases that occur ``least`` times, and ``(lang, n)``, all words.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = shared.value
-        counts: dict[tuple[str, int], dict[bytes, int]] = {}
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            for (lang, order), found in counts.items():
-                phrases, n = list(found), list(found.values())
-                for i in range(0, len(phrases), 1 << 16):
-                    some = [p.decode() for p in phrases[i : i + (1 << 16)]]
-                    columns = [[lang] * len(some), some, [order] * len(some), n[i : i + (1 << 16)]]
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(columns, schema, strict=True)], schema=schema)
-            counts.clear()
+    A task hands on a row for each text it has met, so the tasks follow the cores, not the input's splits.
+    """
+    context = texts.sparkSession.sparkContext
+    shared = context.broadcast(bits)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits, found = shared.value, Texts()
         for lang, words in _slabs(batches):
-            # No words at all: how many words the language has.
-            total = counts.setdefault((lang, 0), {})
-            total[b""] = total.get(b"", 0) + words.n
-            for order in range(1, MOST_WORDS + 1):
-                found = counts.setdefault((lang, order), {})
-                for phrase, n in _verified_slab(words, order, bits):
-                    found[phrase] = found.get(phrase, 0) + n
-            if sum(map(len, counts.values())) > TEXTS:
-                yield from flush()
-        yield from flush()
+            found.add(lang, words, bits)
+            if found.full():
+                yield from found.flush()
+        yield from found.flush()
 
+    texts = texts.coalesce(VERIFY_TASKS_PER_CORE * context.defaultParallelism)
     found = texts.mapInArrow(run, "lang string, phrase string, words int, n bigint")
     found = found.groupBy("lang", "words", "phrase").agg(F.sum("n").alias("f")).where((F.col("f") >= least) | (F.col("words") == 0))
     stored = materialize(found, "phrases")
