@@ -154,3 +154,16 @@ def test_texts_that_share_a_fingerprint_stay_apart_in_a_tally():
             got[r["words"], r["phrase"]] += r["n"]  # a text has several of these fingerprints
     f, n = counted([("en", t) for _, t in rows])
     assert got == {(0, ""): n["en"], **{(len(k) - 1, " ".join(k[1:])): v for k, v in f.items()}}
+
+
+def test_a_tally_is_full_only_of_different_texts(monkeypatch):
+    monkeypatch.setattr(phrases, "TEXTS", 12)
+    everything = np.full(phrases.FILTER_BITS // 64, ~np.uint64(0))
+    texts = phrases.Texts()
+    for _ in range(50):
+        texts.add("en", phrases.Words(b"one two three"), everything)
+        assert not texts.full()
+    texts.add("en", phrases.Words(b"four five six seven"), everything)
+    assert texts.full()
+    got = {(r["words"], r["phrase"]): r["n"] for b in texts.flush() for r in b.to_pylist()}
+    assert got[0, ""] == 154 and got[3, "one two three"] == 50 and got[4, "four five six seven"] == 1 and len(got) == 17

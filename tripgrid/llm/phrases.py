@@ -128,14 +128,14 @@ def _blocks(sizes: np.ndarray) -> Iterator[tuple[slice, np.ndarray]]:
             yield slice(first, last), np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
 
 
-def _equal(codes: np.ndarray, starts: np.ndarray, others: np.ndarray, sizes: np.ndarray, other_sizes: np.ndarray) -> np.ndarray:
+def _equal(codes: np.ndarray, starts: np.ndarray, sizes: np.ndarray, other_codes: np.ndarray, others: np.ndarray, other_sizes: np.ndarray) -> np.ndarray:
     """Mask of the texts whose bytes are those of their counterparts."""
     same = sizes == other_sizes
-    todo = np.flatnonzero(same & (starts != others))
+    todo = np.flatnonzero(same & (starts != others) if codes is other_codes else same)
     for block, place in _blocks(sizes[todo]):
         at = todo[block]
         size = sizes[at]
-        differ = codes[np.repeat(starts[at], size) + place] != codes[np.repeat(others[at], size) + place]
+        differ = codes[np.repeat(starts[at], size) + place] != other_codes[np.repeat(others[at], size) + place]
         same[at] = ~np.logical_or.reduceat(differ, np.cumsum(size) - size)
     return same
 
@@ -270,21 +270,39 @@ def _filter(keys: DataFrame) -> np.ndarray:
 
 
 def _merged(keys: np.ndarray, counts: np.ndarray, starts: np.ndarray, sizes: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, ...]:
-    """``(keys, counts, sizes, bytes)``: each text once, told apart by its bytes where fingerprints are equal."""
+    """``(keys, counts, sizes, bytes)`` by key: each text once, told apart by its bytes where fingerprints are equal."""
     todo, chosen, sums = np.argsort(keys), [], []
     while len(todo):
         key = keys[todo]
         new = np.append(True, key[1:] != key[:-1])
         first = np.flatnonzero(new)
         lead = todo[first][np.cumsum(new) - 1]
-        same = _equal(codes, starts[todo], starts[lead], sizes[todo], sizes[lead])
+        same = _equal(codes, starts[todo], sizes[todo], codes, starts[lead], sizes[lead])
         chosen.append(todo[first])
         sums.append(np.add.reduceat(np.where(same, counts[todo], 0), first))
         todo = todo[~same]  # other texts with the same fingerprint
     if not chosen:
         return keys, counts, sizes, codes[:0]
-    at = np.concatenate(chosen)
-    return keys[at], np.concatenate(sums), sizes[at], _cut_out(codes, starts[at], sizes[at])
+    at, sums = np.concatenate(chosen), np.concatenate(sums)
+    if len(chosen) > 1:
+        order = np.argsort(keys[at])
+        at, sums = at[order], sums[order]
+    return keys[at], sums, sizes[at], _cut_out(codes, starts[at], sizes[at])
+
+
+def _not_counted(part: tuple[np.ndarray, ...], table: tuple[np.ndarray, ...]) -> tuple[np.ndarray, ...]:
+    """Adds the counts of ``part`` to those of ``table``; returns the texts that it does not have."""
+    keys, counts, sizes, codes = part
+    if not len(keys) or not len(table[0]):
+        return part
+    starts, at = np.cumsum(sizes) - sizes, np.minimum(np.searchsorted(table[0], keys), len(table[0]) - 1)
+    hit = np.flatnonzero(table[0][at] == keys)
+    found = at[hit]
+    same = _equal(codes, starts[hit], sizes[hit], table[3], (np.cumsum(table[2]) - table[2])[found], table[2][found])
+    np.add.at(table[1], found[same], counts[hit[same]])
+    rest = np.ones(len(keys), dtype=bool)
+    rest[hit[same]] = False
+    return keys[rest], counts[rest], sizes[rest], _cut_out(codes, starts[rest], sizes[rest])
 
 
 def _slab_texts(words: Words, order: int, bits: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -318,12 +336,12 @@ class Texts:
     def add(self, lang: str, words: Words, bits: np.ndarray) -> None:
         self.totals[lang] = self.totals.get(lang, 0) + words.n
         for order in range(1, MOST_WORDS + 1):
-            part = _slab_texts(words, order, bits)
-            self.parts.setdefault((lang, order), []).append(part)
+            part, parts = _slab_texts(words, order, bits), self.parts.setdefault((lang, order), [])
+            if parts:
+                part = _not_counted(part, parts[0])
+            parts.append(part)
             self.size += len(part[0])
             self.bytes += len(part[3])
-        if self.size > TEXTS or self.bytes > TEXT_BYTES:
-            self._merge()
 
     def _merge(self) -> None:
         for name, parts in self.parts.items():
@@ -334,6 +352,10 @@ class Texts:
         self.bytes = sum(len(part[3]) for parts in self.parts.values() for part in parts)
 
     def full(self) -> bool:
+        """Whether too many are left when each is there once."""
+        if self.size <= TEXTS and self.bytes <= TEXT_BYTES:
+            return False
+        self._merge()
         return 4 * self.size > 3 * TEXTS or 4 * self.bytes > 3 * TEXT_BYTES
 
     def flush(self) -> Iterator[pa.RecordBatch]:
