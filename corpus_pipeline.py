@@ -4,6 +4,7 @@ Poor documents go, exact copies go, one document of each group of near
 duplicates stays, the sources are mixed to their target weights, and what is
 left is encoded. Every stage works on all that the one before it kept. Stages
 take and return the columns of ``documents``, the last one returns token ids.
+Workers get the texts in batches of bounded bytes, however long a task's texts are.
 
 Nulls in any column, empty and very long texts, repeated rows and empty tables
 are handled as each operator's docstring defines.
@@ -15,7 +16,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripgrid.llm._common import materialize, table
+from tripgrid.llm._common import bound_sent_batches, materialize, table
 from tripgrid.llm.bpe import encode_documents
 from tripgrid.llm.exact_dedup import drop_exact_duplicates
 from tripgrid.llm.jaccard import drop_near_duplicates
@@ -26,17 +27,20 @@ from tripgrid.llm.queries import N_GRADES, VOCABULARY, rated
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are of grade 1 or better with a probability of at least one half."""
+    bound_sent_batches(spark)
     model = fit(docs, table(spark, sf_dir, "labels"), rated(), N_GRADES)
     return select_documents(docs, model)
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts, the row with the largest doc_id."""
+    bound_sent_batches(spark)
     return drop_exact_duplicates(docs)
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group linked by five-word shingles at a similarity of 0.8, the least doc_id."""
+    bound_sent_batches(spark)
     return drop_near_duplicates(docs)
 
 
@@ -47,6 +51,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every row, checked by decoding: ``round_trip`` tells that the text came back."""
+    bound_sent_batches(spark)
     path, pattern = public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN
     sized = docs.select("doc_id", "text", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
     ids = encode_documents(sized, path, pattern, keep=("text_sha256",), decode=True)

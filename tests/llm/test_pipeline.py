@@ -1,6 +1,7 @@
 """The pipeline's stages against brute force on sf0.01, and the registered queries."""
 
 import public_tokenizers as P
+import pyarrow as pa
 import tiktoken
 
 import __spark_entry__
@@ -8,7 +9,7 @@ import corpus_pipeline
 from .test_jaccard import brute_force
 from .test_mixing import targets
 from tripgrid.llm import bpe, registry
-from tripgrid.llm._common import materialize
+from tripgrid.llm._common import SENT_BYTES, materialize
 
 SF = "/root/testdata/sf0.01"
 
@@ -67,6 +68,23 @@ def test_odd_documents(spark, monkeypatch):
         assert docs.count() >= (20 if source is df else 0)
 
 
+def test_workers_get_batches_of_bounded_bytes(spark):
+    """A task's texts are not one batch: the encoder's worker, and any after it, gets about SENT_BYTES at a time."""
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n_bytes": [batch.nbytes], "n_rows": [batch.num_rows]})
+
+    text = "concat_ws(' ', 'words of text', id, repeat('and some more of them ', 200))"
+    docs = spark.range(0, 4000, numPartitions=1).selectExpr("id as doc_id", f"{text} as text")
+    for stage in (corpus_pipeline.encoded, corpus_pipeline.without_copies, corpus_pipeline.without_near_copies):
+        spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+        stage(spark, docs.limit(20), SF)
+        got = docs.mapInArrow(sizes, "n_bytes bigint, n_rows bigint").collect()
+        assert sum(r.n_rows for r in got) == 4000 and len(got) > 4
+        assert max(r.n_bytes for r in got) < 2 * SENT_BYTES
+
+
 def test_registered_queries():
     names = [n for n in __spark_entry__.queries() if n.startswith("op") or n == "pipeline"]
     assert names == [*(f"{n}" for n in registry.queries())] and len(names) == 14

@@ -11,6 +11,9 @@ from tripgrid.session import ensure_checkpoint_dir, scratch_path
 
 # A worker hands back an Arrow batch once its values reach this size.
 BATCH_BYTES = 8 << 20
+# Spark ends a batch that it sends to a worker at this size. Its own limits (10,000 rows, 64 MiB) make one batch of
+# all texts of a task; executor and worker then hold each batch several times, outside the executor's heap.
+SENT_BYTES = 2 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +34,11 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bound_sent_batches(spark: SparkSession) -> None:
+    """From now on this session's workers get batches of about ``SENT_BYTES``."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(SENT_BYTES))
+
+
 def parallelism(spark: SparkSession) -> int:
     """Number of shuffle partitions the session asks for."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
