@@ -12,7 +12,7 @@ SF_DIR = "/root/testdata/sf0.001"
 @pytest.fixture(scope="module")
 def con():
     c = duckdb.connect()
-    for table in ("documents", "pages", "conversations"):
+    for table in ("documents", "pages", "conversations", "benchmark"):
         c.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{SF_DIR}/{table}.parquet')")
     return c
 
